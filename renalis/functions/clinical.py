@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 SCR_DIGITS = 6
 EGFR_DIGITS = 4
+# The product of rounded terms has at most ten decimals; rounding there never meets a tie.
+EGFR_DIGITS_ROUNDED_TERMS = 10
 
 
 def age_years(at: Column, birth: Column, mode: str) -> Column:
@@ -37,7 +39,8 @@ def egfr(scr: Column, age: Column, sex: Column, race: Column, round_terms: bool
         age_term = F.round(F.round(age_term, 3), 2)
     sex_term = F.when(sex == "F", F.lit(0.742)).otherwise(F.lit(1.0))
     race_term = F.when(race == "03", F.lit(1.212)).otherwise(F.lit(1.0))
-    return F.round(F.lit(175.0) * scr_term * age_term * sex_term * race_term, EGFR_DIGITS)
+    digits = EGFR_DIGITS_ROUNDED_TERMS if round_terms else EGFR_DIGITS
+    return F.round(F.lit(175.0) * scr_term * age_term * sex_term * race_term, digits)
 
 
 def _units(scr: Column) -> Column:

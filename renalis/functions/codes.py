@@ -67,8 +67,13 @@ CODE_SETS: dict[str, list[tuple[str, str, list[str]]]] = {
 def _matches(code: Column, kind: str, codes: list[str]) -> Column:
     if kind == "exact":
         return code.isin(codes)
-    test = Column.startswith if kind == "prefix" else Column.contains
-    return reduce(or_, [test(code, c) for c in codes])
+    if kind == "contains":
+        return reduce(or_, [code.contains(c) for c in codes])
+    # Prefixes of one length are one set lookup, instead of a test per prefix.
+    lengths = sorted({len(c) for c in codes})
+    return reduce(
+        or_, [F.substring(code, 1, n).isin([c for c in codes if len(c) == n]) for n in lengths]
+    )
 
 
 def code_match(name: str, type_col: str, code_col: str) -> Column:

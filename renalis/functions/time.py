@@ -12,7 +12,7 @@ def combine_date_time(day: Column, time: Column, missing: str = "null") -> Colum
     """Calendar date plus 'HH:mm' text. A missing time gives NULL, or midnight on request."""
     if missing == "midnight":
         time = F.coalesce(time, F.lit("00:00"))
-    text = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), time)
+    text = F.concat(day.cast("date").cast("string"), F.lit(" "), time)
     return text.cast("timestamp_ntz")
 
 

@@ -17,14 +17,23 @@ STAY = ["PATID", "ENCOUNTERID", "ADMIT_DATE_TIME", "DISCHARGE_DATE_TIME"]
 SCR = ["SERUM_CREAT", "EGFR", "LAB_ORDER_DATE", "SPECIMEN_DATE_TIME", "RESULT_DATE_TIME"]
 
 
-def initial_cohort(encounter: DataFrame, demographic: DataFrame, cfg: CohortConfig) -> DataFrame:
-    """Adult inpatient stays of the window; of stays with one discharge date, the first admitted."""
+TRAITS = ["BIRTH_DATE", "SEX", "RACE"]
+
+
+def initial_cohort(
+    encounter: DataFrame, demographic: DataFrame, cfg: CohortConfig, traits: bool = False
+) -> DataFrame:
+    """Adult inpatient stays of the window; of stays with one discharge date, the first admitted.
+
+    ``traits`` keeps the patient's birth date, sex and race for the eGFR.
+    """
     stays = encounter.filter(
         F.col("ENC_TYPE").isin(*cfg.enc_types)
         & F.col("ADMIT_DATE").between(F.lit(cfg.window_start), F.lit(cfg.window_end))
         & (F.datediff("DISCHARGE_DATE", "ADMIT_DATE") >= cfg.min_stay_days)
     )
-    stays = stays.join(demographic.select("PATID", "BIRTH_DATE"), "PATID")
+    kept = TRAITS if traits else []
+    stays = stays.join(demographic.select("PATID", *(kept or ["BIRTH_DATE"])), "PATID")
     if cfg.dedupe_discharge:
         # rank = 1 on row_number lets Spark keep one row per group before the shuffle.
         first = Window.partitionBy("PATID", "DISCHARGE_DATE").orderBy(
@@ -45,6 +54,7 @@ def initial_cohort(encounter: DataFrame, demographic: DataFrame, cfg: CohortConf
         ),
         F.datediff("DISCHARGE_DATE", "ADMIT_DATE").alias("los"),
         *cfg.extra_encounter_cols,
+        *kept,
     ).filter(F.col("age_at_admit") >= cfg.min_age)
 
 
@@ -72,57 +82,56 @@ def scr_mean(lab: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFrame:
     )
 
 
+def cohort_patients(demographic: DataFrame, cohort: DataFrame) -> DataFrame:
+    """The traits of the cohort's patients."""
+    return demographic.select("PATID", *TRAITS).join(
+        cohort.select("PATID"), "PATID", "left_semi"
+    )
+
+
 def all_scr_egfr(
-    lab: DataFrame,
-    demographic: DataFrame,
-    cohort: DataFrame,
-    cfg: CohortConfig,
-    since: date | None = None,
+    lab: DataFrame, patients: DataFrame, cfg: CohortConfig, since: date | None = None
 ) -> DataFrame:
     """All adult creatinine values of the cohort's patients with their eGFR.
 
-    The semi-join runs on the patient side, so the lab rows are joined once, on PATID, and the
-    aggregate and the distinct reuse that partitioning. ``since`` drops earlier orders at the scan.
+    Joining the cohort's patients filters the lab rows and adds the traits at once, and the
+    aggregate and the distinct reuse its partitioning. ``since`` drops earlier orders at the scan.
     """
-    traits = ["BIRTH_DATE", "SEX", "RACE"]
-    patients = demographic.select("PATID", *traits).join(
-        cohort.select("PATID"), "PATID", "left_semi"
-    )
     scr = serum_creatinine_filter(lab, cfg)
     if since is not None:
         scr = scr.filter(F.col("LAB_ORDER_DATE") >= F.lit(since))
-    age = age_years(F.col("LAB_ORDER_DATE"), F.col("BIRTH_DATE"), cfg.age_mode)
     owner = ["ENCOUNTERID"] if cfg.keep_lab_encounter else []
-    return (
+    means = (
         scr.join(patients, "PATID")
-        .groupBy("PATID", "ENCOUNTERID", *LAB_TIMES, *traits)
+        .groupBy("PATID", "ENCOUNTERID", *LAB_TIMES, *TRAITS)
         .agg(mean_scr(F.col("RESULT_NUM")).alias("SERUM_CREAT"))
-        .withColumn("AGE_AT_SCR", age)
+    )
+    return _with_egfr(means, ["PATID", *owner], cfg).distinct()
+
+
+def _with_egfr(means: DataFrame, keys: list[str], cfg: CohortConfig) -> DataFrame:
+    """Adult values with eGFR and combined times; means holds the patients' traits."""
+    age = age_years(F.col("LAB_ORDER_DATE"), F.col("BIRTH_DATE"), cfg.age_mode)
+    taken = combine_date_time(F.col("SPECIMEN_DATE"), F.col("SPECIMEN_TIME"), cfg.missing_time)
+    known = combine_date_time(F.col("RESULT_DATE"), F.col("RESULT_TIME"), cfg.missing_time)
+    rate = egfr(
+        F.col("SERUM_CREAT"), F.col("AGE_AT_SCR"), F.col("SEX"), F.col("RACE"), cfg.egfr_round
+    )
+    return (
+        means.withColumn("AGE_AT_SCR", age)
         .filter(F.col("AGE_AT_SCR") >= cfg.min_age)
         .select(
-            "PATID",
-            *owner,
+            *keys,
             "SERUM_CREAT",
-            egfr(
-                F.col("SERUM_CREAT"),
-                F.col("AGE_AT_SCR"),
-                F.col("SEX"),
-                F.col("RACE"),
-                cfg.egfr_round,
-            ).alias("EGFR"),
+            rate.alias("EGFR"),
             "LAB_ORDER_DATE",
-            combine_date_time(
-                F.col("SPECIMEN_DATE"), F.col("SPECIMEN_TIME"), cfg.missing_time
-            ).alias("SPECIMEN_DATE_TIME"),
-            combine_date_time(F.col("RESULT_DATE"), F.col("RESULT_TIME"), cfg.missing_time).alias(
-                "RESULT_DATE_TIME"
-            ),
+            taken.alias("SPECIMEN_DATE_TIME"),
+            known.alias("RESULT_DATE_TIME"),
         )
-        .distinct()
     )
 
 
-def stay_days(cohort: DataFrame) -> DataFrame:
+def stay_days(cohort: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per stay and calendar day whose midnight lies between admission and discharge."""
     admit, discharge = F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME")
     admit_day = F.to_date(admit)
@@ -130,7 +139,9 @@ def stay_days(cohort: DataFrame) -> DataFrame:
         F.date_add(admit_day, 1)
     )
     return (
-        cohort.select(*STAY, first.alias("first_day"), F.to_date(discharge).alias("last_day"))
+        cohort.select(
+            *STAY, *(keep or []), first.alias("first_day"), F.to_date(discharge).alias("last_day")
+        )
         .filter(F.col("first_day") <= F.col("last_day"))
         .withColumn("STAY_DAY", F.explode(F.sequence("first_day", "last_day")))
         .drop("first_day", "last_day")
@@ -170,6 +181,35 @@ def match_labs_to_encounter(scr: DataFrame, cohort: DataFrame, cfg: CohortConfig
     return by_patient.unionByName(by_encounter).distinct()
 
 
+def scr_in_stays(lab: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFrame:
+    """All three steps at once for presets that match by patient: filter, mean, match.
+
+    Values of one order date share their stays, so matching before averaging changes nothing, and
+    the lab rows cross the network once, by (PATID, day): the mean and the distinct reuse that.
+    ``cohort`` holds the patients' traits.
+    """
+    scr = serum_creatinine_filter(lab, cfg).filter(
+        F.col("LAB_ORDER_DATE") >= F.lit(cfg.window_start)
+    )
+    matched = scr.alias("lab").join(
+        stay_days(cohort, TRAITS).alias("stay"),
+        (F.col("lab.PATID") == F.col("stay.PATID"))
+        & (F.col("LAB_ORDER_DATE") == F.col("STAY_DAY")),
+    )
+    means = (
+        matched.select(
+            *[f"stay.{c}" for c in STAY],
+            F.col("lab.ENCOUNTERID").alias("LAB_ENCOUNTERID"),
+            *[f"lab.{c}" for c in LAB_TIMES],
+            *TRAITS,
+            "RESULT_NUM",
+        )
+        .groupBy(*STAY, "LAB_ENCOUNTERID", *LAB_TIMES, *TRAITS)
+        .agg(mean_scr(F.col("RESULT_NUM")).alias("SERUM_CREAT"))
+    )
+    return _with_egfr(means, STAY, cfg).distinct()
+
+
 def enough_scr(matched: DataFrame, cfg: CohortConfig) -> DataFrame:
     """ENCOUNTERID of stays with at least two creatinine values, by the preset's rule.
 
@@ -236,9 +276,18 @@ def first_scr(matched: DataFrame, cfg: CohortConfig) -> DataFrame:
 
 
 def baseline_first(first: DataFrame) -> DataFrame:
-    """Baseline of a stay: the first creatinine in it (lowest value, highest eGFR of the time)."""
-    return first.groupBy(*STAY, "LAB_ORDER_DATE", "SPECIMEN_DATE_TIME", "RESULT_DATE_TIME").agg(
-        F.min("SERUM_CREAT").alias("SERUM_CREAT"), F.max("EGFR").alias("EGFR")
+    """Baseline of a stay: the first creatinine in it (lowest value, highest eGFR of the time).
+
+    FIRST_TIME and FIRST_EGFR, the lowest, describe the first creatinine for the exclusion rules.
+    """
+    return (
+        first.groupBy(*STAY, "LAB_ORDER_DATE", "SPECIMEN_DATE_TIME", "RESULT_DATE_TIME")
+        .agg(
+            F.min("SERUM_CREAT").alias("SERUM_CREAT"),
+            F.max("EGFR").alias("EGFR"),
+            F.min("EGFR").alias("FIRST_EGFR"),
+        )
+        .withColumn("FIRST_TIME", F.col("SPECIMEN_DATE_TIME"))
     )
 
 
@@ -264,11 +313,20 @@ def baseline_prior_2d(first: DataFrame, all_scr: DataFrame) -> DataFrame:
         F.coalesce(F.col(f"prior.{c}"), F.col(f"own.{c}")).alias(c)
         for c in ["SERUM_CREAT", "EGFR", *values]
     ]
-    days_prior = F.datediff("own.LAB_ORDER_DATE", "prior.LAB_ORDER_DATE").alias("days_prior")
     return (
-        matched.select(*[f"own.{c}" for c in STAY], *chosen, days_prior)
-        .groupBy(*STAY, *values, "days_prior")
-        .agg(F.max("SERUM_CREAT").alias("SERUM_CREAT"), F.min("EGFR").alias("EGFR"))
+        matched.select(
+            *[f"own.{c}" for c in STAY],
+            *chosen,
+            F.datediff("own.LAB_ORDER_DATE", "prior.LAB_ORDER_DATE").alias("days_prior"),
+            F.col("own.SPECIMEN_DATE_TIME").alias("FIRST_TIME"),
+            F.col("own.EGFR").alias("FIRST_EGFR"),
+        )
+        .groupBy(*STAY, *values, "days_prior", "FIRST_TIME")
+        .agg(
+            F.max("SERUM_CREAT").alias("SERUM_CREAT"),
+            F.min("EGFR").alias("EGFR"),
+            F.min("FIRST_EGFR").alias("FIRST_EGFR"),
+        )
     )
 
 
@@ -282,12 +340,12 @@ def eligible_baseline(baseline: DataFrame, exclusions: DataFrame) -> DataFrame:
     return baseline.join(exclusions.select("ENCOUNTERID"), "ENCOUNTERID", "left_anti")
 
 
-def eligible(scr: DataFrame, baseline: DataFrame, exclusions: DataFrame) -> DataFrame:
+def eligible(scr: DataFrame, base: DataFrame) -> DataFrame:
     """Creatinine rows of the eligible stays next to the stay's baseline.
 
-    The anti-join runs on the baselines, one or a few rows per stay, not on the lab rows.
+    ``base`` holds the baselines of eligible stays only, so no anti-join touches the lab rows.
     """
-    base = eligible_baseline(baseline, exclusions).select(
+    base = base.select(
         "ENCOUNTERID",
         "ADMIT_DATE_TIME",
         "DISCHARGE_DATE_TIME",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from renalis.config import CohortConfig
@@ -12,44 +15,70 @@ from renalis.operators.cohort import enough_scr
 LOW_EGFR, ESRD, RRT, RRT_48H, BURN, FEW_SCR = "low_egfr", "esrd", "rrt", "rrt_48h", "burn", "few_scr"
 
 
-def diagnosis_history(diagnosis: DataFrame) -> DataFrame:
-    """One row per patient: first ESRD and RRT diagnosis dates, and the days of burn admissions.
-
-    "A diagnosis before the admission" only needs the first date, so the pre-aggregated minimum
-    replaces the semi-join; a set of dates cannot exceed the calendar.
-    """
+def _diagnosis_days(diagnosis: DataFrame) -> DataFrame:
     esrd = code_match("ESRD_DX", "DX_TYPE", "DX")
     rrt = code_match("RRT_DX", "DX_TYPE", "DX")
     burn = code_match("BURN_DX", "DX_TYPE", "DX") & (F.col("DX_SOURCE") == "AD")
     day = F.to_date("ADMIT_DATE")
-    return (
-        diagnosis.filter(esrd | rrt | burn)
-        .groupBy("PATID")
-        .agg(
-            F.min(F.when(esrd, day)).alias("FIRST_ESRD"),
-            F.min(F.when(rrt, day)).alias("FIRST_RRT_DX"),
-            F.collect_set(F.when(burn, day)).alias("BURN_DAYS"),
-        )
+    return diagnosis.filter(esrd | rrt | burn).select(
+        "PATID",
+        F.when(esrd, day).alias("ESRD"),
+        F.when(rrt, day).alias("RRT_DX"),
+        F.when(burn, day).alias("BURN"),
     )
 
 
-def procedure_history(procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
-    """One row per patient: first dialysis or transplant, and the days the later rules look at."""
+def _procedure_days(procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
     transplant = code_match("TRANSPLANT_PX", "PX_TYPE", "PX")
     dialysis = code_match("DIALYSIS_PX", "PX_TYPE", "PX")
     day = F.to_date("PX_DATE")
-    early = (transplant | dialysis) if cfg.rrt48_counts_dialysis else transplant
-    return (
-        procedures.filter(transplant | dialysis)
-        .groupBy("PATID")
-        .agg(
-            F.min(day).alias("FIRST_RRT_PX"),
-            F.collect_set(F.when(transplant, day)).alias("TRANSPLANT_DAYS"),
-            F.collect_set(F.when(early, day)).alias("RRT48_DAYS"),
-        )
+    return procedures.filter(transplant | dialysis).select(
+        "PATID",
+        day.alias("RRT_PX"),
+        F.when(transplant, day).alias("TRANSPLANT"),
+        (day if cfg.rrt48_counts_dialysis else F.when(transplant, day)).alias("RRT48"),
     )
 
 
+# History column -> the day column it summarises, and how.
+_FROM_DIAGNOSES = {
+    "FIRST_ESRD": ("ESRD", F.min),
+    "FIRST_RRT_DX": ("RRT_DX", F.min),
+    "BURN_DAYS": ("BURN", F.collect_set),
+}
+_FROM_PROCEDURES = {
+    "FIRST_RRT_PX": ("RRT_PX", F.min),
+    "TRANSPLANT_DAYS": ("TRANSPLANT", F.collect_set),
+    "RRT48_DAYS": ("RRT48", F.collect_set),
+}
+
+
+def _per_patient(days: DataFrame, summary: dict) -> DataFrame:
+    return days.groupBy("PATID").agg(*[how(day).alias(n) for n, (day, how) in summary.items()])
+
+
+def diagnosis_history(diagnosis: DataFrame) -> DataFrame:
+    """One row per patient: first ESRD and RRT diagnosis dates, and the days of burn admissions.
+
+    "A diagnosis before the admission" only needs the first date, so the pre-aggregated minimum
+    replaces the semi-join; a set of dates cannot exceed the calendar.
+    """
+    return _per_patient(_diagnosis_days(diagnosis), _FROM_DIAGNOSES)
+
+
+def procedure_history(procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
+    """One row per patient: first dialysis or transplant, and the days the later rules look at."""
+    return _per_patient(_procedure_days(procedures, cfg), _FROM_PROCEDURES)
+
+
+def code_history(diagnosis: DataFrame, procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
+    """Both histories in one row per patient: one pass over each table, one shuffle for both."""
+    days = _diagnosis_days(diagnosis).unionByName(
+        _procedure_days(procedures, cfg), allowMissingColumns=True
+    )
+    return _per_patient(days, {**_FROM_DIAGNOSES, **_FROM_PROCEDURES})
+
+
 def _admit_day() -> Column:
     return F.to_date("ADMIT_DATE_TIME")
 
@@ -58,10 +87,10 @@ def _before_admission(first_date: str) -> Column:
     return F.coalesce(F.col(first_date) < _admit_day(), F.lit(False))
 
 
-def _within_48h(cfg: CohortConfig) -> Column:
-    bound = F.col("SPECIMEN_DATE_TIME") + F.expr("INTERVAL 2 DAYS")
+def _within_48h(first_time: str, cfg: CohortConfig) -> Column:
+    bound = F.col(first_time) + F.expr("INTERVAL 2 DAYS")
     if cfg.rrt48_trunc:
-        bound = F.date_add(F.to_date("SPECIMEN_DATE_TIME"), 2)
+        bound = F.date_add(F.to_date(first_time), 2)
     hit = F.exists("RRT48_DAYS", lambda d: (d >= _admit_day()) & (d < bound))
     return F.coalesce(hit, F.lit(False))
 
@@ -70,14 +99,13 @@ def _burn_admission() -> Column:
     return F.coalesce(F.array_contains("BURN_DAYS", _admit_day()), F.lit(False))
 
 
-def _low_egfr(cfg: CohortConfig) -> Column:
-    value = F.col("EGFR")
+def _low_egfr(value: Column, cfg: CohortConfig) -> Column:
     return value <= cfg.egfr_cut if cfg.egfr_cut_inclusive else value < cfg.egfr_cut
 
 
 def excl_low_egfr(first: DataFrame, cfg: CohortConfig) -> DataFrame:
     """Stays whose first eGFR is under the cut."""
-    return first.filter(_low_egfr(cfg)).select("ENCOUNTERID").distinct()
+    return first.filter(_low_egfr(F.col("EGFR"), cfg)).select("ENCOUNTERID").distinct()
 
 
 def excl_pre_esrd(init: DataFrame, diagnosis: DataFrame) -> DataFrame:
@@ -116,7 +144,8 @@ def excl_rrt_48h(first: DataFrame, procedures: DataFrame, cfg: CohortConfig) ->
     """Stays with a renal procedure from the admission day to 48 hours after the first specimen."""
     history = procedure_history(procedures, cfg).select("PATID", "RRT48_DAYS")
     stays = first.select("ENCOUNTERID", "PATID", "ADMIT_DATE_TIME", "SPECIMEN_DATE_TIME").distinct()
-    return stays.join(history, "PATID").filter(_within_48h(cfg)).select("ENCOUNTERID").distinct()
+    hit = _within_48h("SPECIMEN_DATE_TIME", cfg)
+    return stays.join(history, "PATID").filter(hit).select("ENCOUNTERID").distinct()
 
 
 def excl_burn(init: DataFrame, diagnosis: DataFrame) -> DataFrame:
@@ -134,48 +163,42 @@ def excl_few_scr(matched: DataFrame, cfg: CohortConfig) -> DataFrame:
     )
 
 
-def screen_stays(
-    init: DataFrame,
-    first: DataFrame,
-    matched: DataFrame,
-    diagnosis: DataFrame,
-    procedures: DataFrame,
-    cfg: CohortConfig,
-) -> DataFrame:
-    """One row per stay with a flag for each rule, and the first transplant day in the stay.
-
-    DIAGNOSIS and PROCEDURES are read once each, whatever the number of rules.
-    """
-    scr = first.groupBy("ENCOUNTERID", "SPECIMEN_DATE_TIME").agg(F.min("EGFR").alias("EGFR"))
-    inside = F.col("TRANSPLANT_DAYS")
+def first_transplant_day(cfg: CohortConfig) -> Column:
+    """First transplant day of the patient, within the stay where the preset says so."""
+    days = F.col("TRANSPLANT_DAYS")
     if cfg.rrt_bounded:
-        inside = F.filter(
-            inside,
+        days = F.filter(
+            days,
             lambda d: d.cast("timestamp_ntz").between(
                 F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME")
             ),
         )
+    return F.array_min(days)
+
+
+def screen_stays(
+    baseline: DataFrame, history: DataFrame, matched: DataFrame, cfg: CohortConfig
+) -> DataFrame:
+    """The baselines with a flag per rule, and the first transplant day in the stay.
+
+    One join answers all rules; the result serves eligibility, staging and the attrition counts.
+    """
+    stay = Window.partitionBy("ENCOUNTERID")
+    stays = baseline.withColumn("FIRST_EGFR", F.min("FIRST_EGFR").over(stay))
     few = F.lit(False)
-    stays = init.select("ENCOUNTERID", "PATID", "ADMIT_DATE_TIME", "DISCHARGE_DATE_TIME")
     if cfg.min_scr_rule == "exclusion":
         enough = enough_scr(matched, cfg).withColumn("enough", F.lit(True))
         stays = stays.join(enough, "ENCOUNTERID", "left")
         few = F.col("enough").isNull()
-    return (
-        stays.join(scr, "ENCOUNTERID")
-        .join(diagnosis_history(diagnosis), "PATID", "left")
-        .join(procedure_history(procedures, cfg), "PATID", "left")
-        .select(
-            "ENCOUNTERID",
-            "ADMIT_DATE_TIME",
-            _low_egfr(cfg).alias(LOW_EGFR),
-            _before_admission("FIRST_ESRD").alias(ESRD),
-            (_before_admission("FIRST_RRT_DX") | _before_admission("FIRST_RRT_PX")).alias(RRT),
-            _within_48h(cfg).alias(RRT_48H),
-            _burn_admission().alias(BURN),
-            few.alias(FEW_SCR),
-            F.array_min(inside).alias("RRT_DATE"),
-        )
+    return stays.join(history, "PATID", "left").select(
+        *[c for c in baseline.columns if c not in ("FIRST_TIME", "FIRST_EGFR")],
+        _low_egfr(F.col("FIRST_EGFR"), cfg).alias(LOW_EGFR),
+        _before_admission("FIRST_ESRD").alias(ESRD),
+        (_before_admission("FIRST_RRT_DX") | _before_admission("FIRST_RRT_PX")).alias(RRT),
+        _within_48h("FIRST_TIME", cfg).alias(RRT_48H),
+        _burn_admission().alias(BURN),
+        few.alias(FEW_SCR),
+        first_transplant_day(cfg).alias("RRT_DATE"),
     )
 
 
@@ -201,17 +224,21 @@ def rule_labels(cfg: CohortConfig) -> dict[str, list[str]]:
 
 
 def exclude_all(screened: DataFrame, cfg: CohortConfig) -> DataFrame:
-    """(ENCOUNTERID, EXCLUD_TYPE), one row per stay and rule that hits."""
+    """(ENCOUNTERID, EXCLUD_TYPE), one row per stay and rule that hits, with the admission."""
     hits = []
     for label, flags in rule_labels(cfg).items():
-        hit = F.col(flags[0])
-        for flag in flags[1:]:
-            hit = hit | F.col(flag)
-        hits.append(F.when(hit, F.lit(label)))
+        hits.append(F.when(reduce(or_, [F.col(f) for f in flags]), F.lit(label)))
     return screened.select(
-        "ENCOUNTERID", "ADMIT_DATE_TIME", F.explode(F.array_compact(F.array(*hits)))
-        .alias("EXCLUD_TYPE")
-    )
+        "ENCOUNTERID",
+        "ADMIT_DATE_TIME",
+        F.explode(F.array_compact(F.array(*hits))).alias("EXCLUD_TYPE"),
+    ).distinct()
+
+
+def not_excluded(screened: DataFrame) -> DataFrame:
+    """The screened baselines that no rule hits."""
+    hit = reduce(or_, [F.col(f) for f in (LOW_EGFR, ESRD, RRT, RRT_48H, BURN, FEW_SCR)])
+    return screened.filter(~hit)
 
 
 def exclusion_audit(excluded: DataFrame, init: DataFrame, codes: DataFrame) -> DataFrame:

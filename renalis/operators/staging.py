@@ -16,7 +16,7 @@ from renalis.functions.time import (
     second_of_day,
     seconds_between,
 )
-from renalis.operators.exclusions import procedure_history
+from renalis.operators.exclusions import first_transplant_day, procedure_history
 
 BASE = ["SERUM_CREAT_BASE", "SERUM_CREAT_BASE_DATE_TIME"]
 STAY = ["PATID", "ENCOUNTERID", "ADMIT_DATE_TIME", "DISCHARGE_DATE_TIME"]
@@ -35,21 +35,20 @@ def _min_gap(cfg: CohortConfig) -> int:
     return 4 if cfg.diff_mode == "whole" else 1
 
 
-def rrt_stage3(baseline: DataFrame, procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
+def rrt_stage3(
+    baseline: DataFrame, procedures: DataFrame, cfg: CohortConfig
+) -> DataFrame:
     """First transplant day within the stay, per eligible baseline."""
     days = procedure_history(procedures, cfg).select("PATID", "TRANSPLANT_DAYS")
-    within = F.col("TRANSPLANT_DAYS")
-    if cfg.rrt_bounded:
-        within = F.filter(
-            within,
-            lambda d: d.cast("timestamp_ntz").between(
-                F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME")
-            ),
-        )
+    return rrt_of_baselines(
+        baseline.join(days, "PATID").withColumn("RRT_DATE", first_transplant_day(cfg))
+    )
+
+
+def rrt_of_baselines(baseline: DataFrame) -> DataFrame:
+    """The baselines that already know their RRT_DATE, as stage 3 rows."""
     return (
-        baseline.join(days, "PATID")
-        .withColumn("RRT_DATE", F.array_min(within))
-        .filter(F.col("RRT_DATE").isNotNull())
+        baseline.filter(F.col("RRT_DATE").isNotNull())
         .select(
             *STAY,
             F.col("SERUM_CREAT").alias("SERUM_CREAT_BASE"),
@@ -298,12 +297,16 @@ def stages_daily(worst: DataFrame) -> DataFrame:
     )
 
 
-def onset_events(daily: DataFrame) -> DataFrame:
-    """First day of each stage of an injured stay; last day of a stay without injury."""
+def _is_onset() -> Column:
     top, stage = F.col("AKI_STAGE_max"), F.col("AKI_STAGE")
     injured = (F.col("rn_asc") == 1) & (top > 0) & (stage > 0)
     spared = (F.col("rn_desc") == 1) & (top == 0) & (stage == 0)
-    return daily.filter(injured | spared)
+    return injured | spared
+
+
+def onset_events(daily: DataFrame) -> DataFrame:
+    """First day of each stage of an injured stay; last day of a stay without injury."""
+    return daily.filter(_is_onset())
 
 
 # Output columns by stage: date, value, increment.
@@ -315,28 +318,41 @@ STAGE_COLUMNS = {
 }
 
 
-def pivot_onsets(events: DataFrame) -> DataFrame:
-    """One row per stay, stages as columns: date, value and increment in a single aggregation."""
-    cells = []
+def _cells(picked: Column | None = None) -> dict[str, Column]:
+    """Aggregates that put each stage's date, value and increment in columns of their own."""
+    cells = {}
     for stage, (onset, scr, inc) in STAGE_COLUMNS.items():
         here = F.col("AKI_STAGE") == stage
-        cells.append(F.min(F.when(here, F.col("SPECIMEN_DATE"))).alias(onset))
-        cells.append(F.max(F.when(here, F.col("SERUM_CREAT"))).alias(scr))
-        cells.append(F.max(F.when(here, F.col("SERUM_CREAT_INC"))).alias(inc))
-    return events.groupBy("ENCOUNTERID").agg(*cells)
+        if picked is not None:
+            here = picked & here
+        cells[onset] = F.min(F.when(here, F.col("SPECIMEN_DATE")))
+        cells[scr] = F.max(F.when(here, F.col("SERUM_CREAT")))
+        cells[inc] = F.max(F.when(here, F.col("SERUM_CREAT_INC")))
+    return cells
+
+
+def pivot_onsets(events: DataFrame) -> DataFrame:
+    """One row per stay, stages as columns: date, value and increment in a single aggregation."""
+    return events.groupBy("ENCOUNTERID").agg(*[c.alias(n) for n, c in _cells().items()])
 
 
 def raw_onset(daily: DataFrame) -> DataFrame:
-    """Stays with their stage onsets and days since admission, before pruning."""
-    stays = daily.select(
+    """Stays with their stage onsets and days since admission, before pruning.
+
+    The pivot runs as a window over the stay's days, so the days are computed once and neither the
+    pivot nor the distinct shuffles again.
+    """
+    stay = Window.partitionBy("ENCOUNTERID")
+    pivoted = daily.withColumns({n: c.over(stay) for n, c in _cells(_is_onset()).items()})
+    stays = pivoted.select(
         "PATID",
         "ENCOUNTERID",
         F.to_date("ADMIT_DATE_TIME").alias("ADMIT_DATE"),
         F.to_date("DISCHARGE_DATE_TIME").alias("DISCHARGE_DATE"),
         "SERUM_CREAT_BASE",
+        *_cells(),
     ).distinct()
-    joined = stays.join(pivot_onsets(onset_events(daily)), "ENCOUNTERID", "left")
-    return joined.withColumns(
+    return stays.withColumns(
         {
             since: F.datediff(onset, "ADMIT_DATE")
             for onset, since in [

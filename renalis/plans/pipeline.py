@@ -7,7 +7,6 @@ from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from renalis.config import CohortConfig
 from renalis.operators import attrition, cohort, collect, deid, exclusions, staging
@@ -19,36 +18,48 @@ Cdm = dict[str, DataFrame]
 class Extraction:
     """Cohort extraction step by step. Steps are built on first use.
 
-    Three steps are cut, that is written and read back, because several later steps read them: the
-    initial cohort, the matched labs (the one pass over the lab table) and the screened stays (the
-    one pass over diagnoses and procedures). Everything else stays lazy.
+    Some steps are cut, that is written and read back: those that several later steps read, and
+    small ones that are joined with a large table. A join of two plain scans is what AQE can split
+    where a key is hot, and whose small side it can broadcast by measured size. The lab, diagnosis
+    and procedure tables are read once each.
     """
 
     def __init__(self, spark: SparkSession, cdm: Cdm, cfg: CohortConfig, work: Workspace):
         self.spark, self.cdm, self.cfg, self.work = spark, cdm, cfg, work
 
     @cached_property
-    def initial_cohort(self) -> DataFrame:
-        stays = cohort.initial_cohort(self.cdm["ENCOUNTER"], self.cdm["DEMOGRAPHIC"], self.cfg)
+    def stays(self) -> DataFrame:
+        """The initial cohort with the traits of its patients."""
+        stays = cohort.initial_cohort(
+            self.cdm["ENCOUNTER"], self.cdm["DEMOGRAPHIC"], self.cfg, traits=True
+        )
         return self.work.cut(stays, "initial_cohort")
 
+    @cached_property
+    def initial_cohort(self) -> DataFrame:
+        return self.stays.drop(*cohort.TRAITS)
+
     @cached_property
     def all_scr(self) -> DataFrame:
-        """Creatinine history as far back as the later steps look."""
+        """Creatinine history as far back as the later steps look, for presets that keep it."""
         days_back = 2 if self.cfg.baseline_mode == "prior_2d" else 0
+        patients = self.work.cut(
+            self.stays.select("PATID", *cohort.TRAITS).distinct(), "patients"
+        )
         scr = cohort.all_scr_egfr(
             self.cdm["LAB_RESULT_CM"],
-            self.cdm["DEMOGRAPHIC"],
-            self.initial_cohort,
-            self.cfg,
+            patients,
+            cfg=self.cfg,
             since=self.cfg.window_start - timedelta(days=days_back),
         )
-        # Read twice only where the baseline looks back before the stay.
-        return self.work.cut(scr, "all_scr") if days_back else scr
+        return self.work.cut(scr, "all_scr")
 
     @cached_property
     def matched(self) -> DataFrame:
-        rows = cohort.match_labs_to_encounter(self.all_scr, self.initial_cohort, self.cfg)
+        if self.cfg.lab_match == "patient" and self.cfg.baseline_mode == "first":
+            rows = cohort.scr_in_stays(self.cdm["LAB_RESULT_CM"], self.stays, self.cfg)
+        else:
+            rows = cohort.match_labs_to_encounter(self.all_scr, self.initial_cohort, self.cfg)
         return self.work.cut(rows, "matched")
 
     @cached_property
@@ -72,46 +83,39 @@ class Extraction:
         )
 
     @cached_property
-    def screened(self) -> DataFrame:
-        flags = exclusions.screen_stays(
-            self.init,
-            self.first_scr,
-            self.matched,
-            self.cdm["DIAGNOSIS"],
-            self.cdm["PROCEDURES"],
-            self.cfg,
+    def code_history(self) -> DataFrame:
+        history = exclusions.code_history(
+            self.cdm["DIAGNOSIS"], self.cdm["PROCEDURES"], self.cfg
         )
+        return self.work.cut(history, "code_history")
+
+    @cached_property
+    def screened(self) -> DataFrame:
+        flags = exclusions.screen_stays(self.baseline, self.code_history, self.matched, self.cfg)
         return self.work.cut(flags, "screened")
 
     @cached_property
     def exclude_all(self) -> DataFrame:
         return exclusions.exclude_all(self.screened, self.cfg)
 
+    @cached_property
+    def eligible_base(self) -> DataFrame:
+        return exclusions.not_excluded(self.screened)
+
     @cached_property
     def eligible(self) -> DataFrame:
-        """With rn; consumers that leave rn out do not pay for it."""
-        return cohort.eligible(self.scr_egfr, self.baseline, self.exclude_all)
+        """With the rank rn, which no later step needs."""
+        return cohort.eligible(self.scr_egfr, self.eligible_base)
 
     @cached_property
     def eligible_unranked(self) -> DataFrame:
         # The baselines already come from qualifying stays only.
-        return cohort.eligible(self.matched, self.baseline, self.exclude_all)
+        return cohort.eligible(self.matched, self.eligible_base)
 
     @cached_property
     def rrt(self) -> DataFrame:
         """First transplant day per eligible baseline, from the screening's pass."""
-        days = self.screened.filter(F.col("RRT_DATE").isNotNull()).select("ENCOUNTERID", "RRT_DATE")
-        return (
-            cohort.eligible_baseline(self.baseline, self.exclude_all)
-            .join(days, "ENCOUNTERID")
-            .select(
-                *staging.STAY,
-                F.col("SERUM_CREAT").alias("SERUM_CREAT_BASE"),
-                F.col("SPECIMEN_DATE_TIME").alias("SPECIMEN_DATE_TIME_BASE"),
-                F.col("RRT_DATE").alias("SPECIMEN_DATE_TIME"),
-            )
-            .distinct()
-        )
+        return staging.rrt_of_baselines(self.eligible_base)
 
     @cached_property
     def stage_events(self) -> DataFrame:
@@ -142,8 +146,9 @@ class Extraction:
         return self.work.cut(self.aki_onsets, "aki_onsets")
 
     def consort(self, era: str) -> DataFrame:
+        # Each qualifying stay has a screened baseline.
         return attrition.consort(
-            self.initial_cohort, self.init, self.exclude_all, self.onsets, era, self.cfg
+            self.initial_cohort, self.screened, self.exclude_all, self.onsets, era, self.cfg
         )
 
 
