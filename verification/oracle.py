@@ -11,6 +11,7 @@ import re
 from renalis.config import CohortConfig
 from renalis.functions.codes import CODE_SETS, SCR_LOINC, VITAL_CODES, VITAL_NAMES
 from renalis.operators.deid import SHIFTED_DATES
+from verification import matrix
 from verification.views import VIEWS
 
 SALT = "check-only"
@@ -508,6 +509,15 @@ def _deid_steps(cfg: CohortConfig) -> dict[str, str]:
     return steps
 
 
+def _model_steps() -> dict[str, str]:
+    return {
+        "matrix": matrix.MATRIX_SQL,
+        "class_weight": matrix.WEIGHT_SQL,
+        "stratified_folds": matrix.FOLDS_SQL,
+        "roc_auc": matrix.AUC_SQL,
+    }
+
+
 def steps(cfg: CohortConfig) -> dict[str, str]:
     """All steps of a preset, in an order in which each only uses earlier ones."""
     return {
@@ -518,6 +528,7 @@ def steps(cfg: CohortConfig) -> dict[str, str]:
         **_attrition_steps(cfg),
         **_collect_steps(cfg),
         **_deid_steps(cfg),
+        **_model_steps(),
     }
 
 

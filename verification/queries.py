@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from renalis import preset, session
 from renalis.config import CohortConfig
-from renalis.operators import attrition, cohort, collect, deid, exclusions, staging
+from renalis.operators import attrition, cohort, collect, deid, exclusions, model, staging
 from renalis.plans.pipeline import Extraction, collect_one
-from verification import oracle
+from renalis.sources.matrix import SPLITS, save_matrix
+from verification import matrix, oracle
 from verification.views import load_views
 
 # Study window of the test tables.
@@ -166,6 +167,73 @@ def _match_all_scr(x: Extraction) -> DataFrame:
     return cohort.match_labs_to_encounter(scr, x.initial_cohort, x.cfg)
 
 
+def _training(x: Extraction) -> model.Training:
+    train, _ = matrix.split(x.work.cut(matrix.feature_matrix(x), "matrix"))
+    return model.prepare(train, "row_id", x.work, k=2)
+
+
+# Small searches: what is checked is the mechanism, on all rows.
+_SMALL_GRID = {"max_depth": [2, 4], "learning_rate": [0.1, 0.5], "subsample": [1.0]}
+
+
+def _candidates(x: Extraction, found: list[dict]) -> DataFrame:
+    columns = ["n_estimators", "max_depth", "learning_rate", "subsample", "score"]
+    rows = [[float(c[name]) for name in columns] for c in found]
+    return x.spark.createDataFrame(rows, ", ".join(f"{name} double" for name in columns))
+
+
+def _halving(x: Extraction) -> DataFrame:
+    found = model.grid_search_halving(_training(x), _SMALL_GRID, (2, 4), factor=2, k=2)
+    return _candidates(x, found)
+
+
+def _random(x: Extraction) -> DataFrame:
+    pool = [{**c, "n_estimators": 3} for c in model.expand_grid(_SMALL_GRID)]
+    return _candidates(x, model.random_search(_training(x), pool, n_iter=2, k=2))
+
+
+def _default_fit(x: Extraction) -> DataFrame:
+    rows = x.work.cut(matrix.feature_matrix(x), "matrix")
+    train, test = matrix.split(rows)
+    training = model.prepare(train, "row_id", x.work, k=2)
+    return model.score(model.default_fit(training, n_trees=5), training, test)
+
+
+def _run_setting(x: Extraction) -> DataFrame:
+    """Through stored matrices, as a training run reads them."""
+    rows = matrix.feature_matrix(x)
+    for key, value in matrix.SETTING.items():
+        rows = rows.withColumn(key, F.lit(value))
+    root = f"{x.work.path}/matrices"
+    for part, df in zip(SPLITS, matrix.split(rows)):
+        save_matrix(df, root, part)
+    return model.run_stored_setting(
+        root, matrix.SETTING, "catd", "row_id", x.work, k=2, search={"n_estimators": 5}
+    )
+
+
+_MODEL: dict[str, tuple[Build, str | None]] = {
+    "matrix": (matrix.feature_matrix, "matrix"),
+    "class_weight": (lambda x: model.class_weight(matrix.feature_matrix(x)), "class_weight"),
+    "stratified_folds": (
+        lambda x: model.stratified_folds(
+            x.work.cut(matrix.feature_matrix(x).select("row_id", "label"), "matrix"),
+            "row_id",
+            seed=matrix.FOLDS_SEED,
+        ),
+        "stratified_folds",
+    ),
+    "roc_auc": (
+        lambda x: model.roc_auc(matrix.feature_matrix(x), "base_scr", x.work),
+        "roc_auc",
+    ),
+    "grid_search_halving": (_halving, None),
+    "random_search": (_random, None),
+    "default_fit": (_default_fit, None),
+    "run_setting": (_run_setting, None),
+}
+
+
 def registry() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for name, build in {**_COHORT, **_FLAGGED}.items():
@@ -204,6 +272,9 @@ def registry() -> dict[str, Query]:
         found[name] = Query(_shift(table), name)
     found["shift_lab_by_table"] = Query(_shift_by_table, "shift_lab")
 
+    for name, (build, step) in _MODEL.items():
+        found[name] = Query(build, step)
+
     # The rule variants of the other presets.
     variants = [
         "initial_cohort", "all_scr_egfr", "matched", "aki_scr_egfr", "exclude_all", "eligible",
