@@ -1,0 +1,262 @@
+from __future__ import annotations
+
+import itertools
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from renalis import preset
+from renalis.operators import attrition, staging
+from renalis.plans.pipeline import Extraction, extract
+from tests.conftest import d, frame, person, scr, site, stay, ts
+
+ELIGIBLE = (
+    "PATID:string ENCOUNTERID:string ADMIT_DATE_TIME:ts DISCHARGE_DATE_TIME:ts "
+    "SERUM_CREAT_BASE:double SPECIMEN_DATE_TIME_BASE:ts SERUM_CREAT:double EGFR:double "
+    "SPECIMEN_DATE_TIME:ts RESULT_DATE_TIME:ts"
+)
+
+
+def eligible(spark, values, admit="2015-01-01 00:00", base=None, discharge="2015-02-01 00:00"):
+    """One stay; values are (specimen time, creatinine); the baseline is the first, or given."""
+    base_value, base_time = base or (values[0][1], values[0][0])
+    rows = [
+        ("p", "e", admit, discharge, base_value, base_time, v, 60.0, t, t) for t, v in values
+    ]
+    return frame(spark, ELIGIBLE, rows)
+
+
+@pytest.mark.parametrize(
+    "later, exact, whole, boundary",
+    [
+        ("2015-01-02 08:00", 0, 0, 0),
+        ("2015-01-02 08:01", 1, 1, 1),
+        ("2015-01-04 08:00", 1, 1, 1),
+        ("2015-01-04 08:01", 0, 0, 1),
+        ("2015-01-05 00:00", 0, 0, 0),
+    ],
+)
+def test_rolling_window_borders(spark, later, exact, whole, boundary):
+    df = eligible(spark, [("2015-01-02 08:00", 1.0), (later, 1.3)])
+    for name, want in (("oracle", exact), ("postgres", whole), ("tsql", boundary)):
+        cfg = preset(name)
+        assert staging.rolling_48h_pairs(df, cfg).count() == want, name
+        rolling = staging.daily_candidates(df, cfg).filter("SERUM_CREAT_RBASE is not null")
+        assert rolling.count() == want, name
+
+
+@pytest.mark.parametrize(
+    "value, stage", [(1.44, 0), (1.45, 1), (1.94, 1), (1.95, 2), (2.94, 2), (2.95, 3)]
+)
+def test_ratio_stages(spark, value, stage):
+    df = eligible(spark, [("2015-01-02 08:00", 1.0), ("2015-01-03 08:00", value)])
+    rows = staging.ratio_stage(df, preset("oracle")).collect()
+    assert [r.AKI_STAGE for r in rows] == [stage]
+
+
+@pytest.mark.parametrize(
+    "taken, oracle, postgres",
+    [
+        ("2015-01-02 20:00", 1, 0),  # under a whole day
+        ("2015-01-09 08:00", 1, 1),
+        ("2015-01-09 08:01", 0, 1),
+        ("2015-01-10 07:59", 0, 1),
+        ("2015-01-10 08:00", 0, 0),
+    ],
+)
+def test_ratio_window(spark, taken, oracle, postgres):
+    df = eligible(spark, [("2015-01-02 08:00", 1.0), (taken, 1.0)])
+    assert staging.ratio_stage(df, preset("oracle")).count() == oracle
+    assert staging.ratio_stage(df, preset("postgres")).count() == postgres
+    # The third preset wants a baseline before admission.
+    assert staging.ratio_stage(df, preset("tsql")).count() == 0
+    early = eligible(spark, [("2015-01-02 08:00", 1.0)], base=(1.0, "2014-12-31 23:00"))
+    assert staging.ratio_stage(early, preset("tsql")).count() == 1
+
+
+def test_null_order_decides_between_transplant_and_lab(spark):
+    event = (
+        "PATID:string ENCOUNTERID:string ADMIT_DATE_TIME:ts DISCHARGE_DATE_TIME:ts "
+        "SERUM_CREAT_BASE:double SERUM_CREAT_BASE_DATE_TIME:ts SERUM_CREAT_RBASE:double "
+        "SERUM_CREAT:double SERUM_CREAT_INC:double AKI_STAGE:int SPECIMEN_DATE_TIME:ts"
+    )
+    head = ("p", "e", "2015-01-01 00:00", "2015-01-09 00:00", 1.0, "2015-01-01 06:00", None)
+    df = frame(spark, event, [
+        (*head, 3.5, 3.5, 3, "2015-01-03 09:00"),
+        (*head, None, None, 3, "2015-01-03 00:00"),
+    ])
+    first = staging.worst_per_day(df, preset("oracle")).collect()
+    last = staging.worst_per_day(df, preset("tsql")).collect()
+    assert [r.SERUM_CREAT for r in first] == [None]
+    assert [r.SERUM_CREAT for r in last] == [3.5]
+
+
+@pytest.mark.parametrize("name", ["oracle", "postgres", "tsql"])
+def test_daily_worst_without_pairs_equals_the_one_with_pairs(spark, name):
+    """Random stays with several baselines and equal times, both routes to the daily worst."""
+    rng = random.Random(5)
+    rows = []
+    for e in range(40):
+        admit = datetime(2015, 1, 1, rng.randrange(24), 0)
+        bases = [(rng.choice([0.8, 1.0, 1.2]), admit + timedelta(hours=rng.randrange(-20, 30)))
+                 for _ in range(rng.choice([1, 1, 2]))]
+        for _ in range(rng.randrange(2, 14)):
+            taken = admit + timedelta(hours=rng.randrange(-5, 260))
+            value = round(rng.choice([0.7, 0.9, 1.0, 1.5, 2.1, 3.3]) + rng.choice([0, 0, 0.05]), 2)
+            for base, when in bases:
+                rows.append((f"p{e}", f"e{e}", str(admit), str(admit + timedelta(days=12)), base,
+                             str(when), value, 50.0, str(taken), str(taken)))
+    cfg = preset(name)
+    df = frame(spark, ELIGIBLE, rows)
+    by_pairs = staging.worst_per_day(staging.stage_events(df, None, cfg), cfg)
+    direct = staging.worst_per_day(staging.daily_candidates(df, cfg), cfg)
+    assert by_pairs.count() > 50
+    columns = by_pairs.columns
+    assert by_pairs.exceptAll(direct.select(*columns)).count() == 0
+    assert direct.select(*columns).exceptAll(by_pairs).count() == 0
+
+
+def test_pruning_all_patterns(spark):
+    days = [None, 1, 2, 3]
+    rows = [(f"{a}{b}{c}", a, b, c) for a, b, c in itertools.product(days, days, days)]
+    df = frame(
+        spark, "id:string AKI1_SINCE_ADMIT:int AKI2_SINCE_ADMIT:int AKI3_SINCE_ADMIT:int", rows
+    )
+    for stage in (1, 2):
+        for part in ("ONSET", "SCR", "INC"):
+            df = df.withColumn(f"AKI{stage}_{part}", F.col(f"AKI{stage}_SINCE_ADMIT"))
+    for r in staging.prune_recovering(df).collect():
+        a, b, c = rows[[x[0] for x in rows].index(r.id)][1:]
+        want_a = a if not ((a and b and a >= b) or (a and c and a >= c)) else None
+        want_b = b if not (b and c and b >= c) else None
+        assert (r.AKI1_SINCE_ADMIT, r.AKI1_ONSET, r.AKI1_SCR, r.AKI1_INC) == (want_a,) * 4
+        assert (r.AKI2_SINCE_ADMIT, r.AKI2_ONSET, r.AKI2_SCR, r.AKI2_INC) == (want_b,) * 4
+        assert r.AKI3_SINCE_ADMIT == c
+
+
+def course(spark, work, cfg, values, **more):
+    labs = [scr("p", t.split()[0], t, v, ENCOUNTERID="e") for t, v in values]
+    rows = {
+        "ENCOUNTER": [stay("e", "p", "2015-01-01 00:00", "2015-01-12 10:00")],
+        "DEMOGRAPHIC": [person("p")],
+        "LAB_RESULT_CM": labs,
+        **more,
+    }
+    return Extraction(spark, site(spark, **rows), cfg, work)
+
+
+def test_onsets_of_an_injured_stay(spark, work, oracle_cfg):
+    x = course(spark, work, oracle_cfg, [
+        ("2015-01-01 08:00", 1.0), ("2015-01-02 09:00", 1.5), ("2015-01-03 09:00", 2.5),
+        ("2015-01-03 20:00", 2.6), ("2015-01-05 09:00", 1.6), ("2015-01-06 09:00", 1.0),
+    ])
+    r = x.aki_onsets.first()
+    assert (r.AKI1_ONSET, r.AKI1_SCR, r.AKI1_INC) == (d("2015-01-02"), 1.5, 1.5)
+    # The day's worst value gives the value, the first day of the stage the date.
+    assert (r.AKI2_ONSET, r.AKI2_SCR, r.AKI2_INC) == (d("2015-01-03"), 2.6, 2.6)
+    assert r.AKI3_ONSET is None and r.NONAKI_ANCHOR is None
+    assert (r.ADMIT_YEAR, r.BCCOVID, r.DISCHARGE_DATE) == ("2015", 1, d("2015-01-12"))
+
+
+def test_anchor_of_a_stay_without_injury(spark, work, oracle_cfg):
+    x = course(spark, work, oracle_cfg, [
+        ("2015-01-01 08:00", 1.0), ("2015-01-02 09:00", 1.2),
+        # Beyond the week of the ratios, but within 48 hours of an earlier value.
+        ("2015-01-10 09:00", 1.1), ("2015-01-11 09:00", 1.0),
+    ])
+    r = x.aki_onsets.first()
+    assert (r.NONAKI_ANCHOR, r.NON_AKI_SCR) == (d("2015-01-11"), 1.0)
+    assert r.NON_AKI_INC == pytest.approx(-0.1)
+    assert r.NONAKI_SINCE_ADMIT == 10
+
+
+def test_transplant_gives_stage_three(spark, work, oracle_cfg):
+    transplant = {"PATID": "p", "PX": "50360", "PX_TYPE": "CH", "PX_DATE": "2015-01-06"}
+    values = [("2015-01-01 08:00", 1.0), ("2015-01-02 09:00", 1.5)]
+    x = course(spark, work, oracle_cfg, values, PROCEDURES=[transplant])
+    r = x.aki_onsets.first()
+    assert (r.AKI1_ONSET, r.AKI3_ONSET, r.AKI3_SCR) == (d("2015-01-02"), d("2015-01-06"), None)
+
+
+def test_era_border(spark, work):
+    """Admitted during the split day: after it for the first counts, before it for the last."""
+    cfg = preset("oracle")
+    cdm = site(
+        spark,
+        ENCOUNTER=[stay("e", "p", "2019-12-31 10:00", "2020-01-08 10:00")],
+        DEMOGRAPHIC=[person("p")],
+        LAB_RESULT_CM=[
+            scr("p", "2020-01-01", "2020-01-01 08:00", 1.0),
+            scr("p", "2020-01-02", "2020-01-02 08:00", 1.6),
+        ],
+    )
+    result = extract(spark, cdm, cfg, work)
+    before = {r.CNT_TYPE: r.ENC_CNT for r in result.consort_bc.collect()}
+    after = {r.CNT_TYPE: r.ENC_CNT for r in result.consort_ad.collect()}
+    assert (before["Initial"], after["Initial"]) == (0, 1)
+    assert (before["Has_at_least_2_SCr"], after["Has_at_least_2_SCr"]) == (0, 1)
+    assert (before["Total"], after["Total"]) == (1, 0)
+    assert (before["AKI1"], before["AKI1_to_AKI2"], after["AKI1"]) == (1, 0, 0)
+
+
+def test_outcome_groups_overlap(spark):
+    cols = "ENCOUNTERID:string AKI1_ONSET:date AKI2_ONSET:date AKI3_ONSET:date BCCOVID:int"
+    day = "2015-01-01"
+    rows = [
+        (f"{a}{b}{c}", day if a else None, day if b else None, day if c else None, 1)
+        for a, b, c in itertools.product([0, 1], repeat=3)
+    ]
+    got = {
+        r.CNT_TYPE: r.ENC_CNT
+        for r in attrition.attrition_outcomes(frame(spark, cols, rows), "BC").collect()
+    }
+    assert got == {
+        "Total": 8, "nonAKI": 1, "AKI1": 4, "nonAKI_to_AKI2": 2, "AKI1_to_AKI2": 2,
+        "nonAKI_to_AKI3": 1, "nonAKI_to_AKI2_to_AKI3": 1, "AKI1_to_AKI2_to_AKI3": 1,
+    }
+    empty = attrition.attrition_outcomes(frame(spark, cols, []), "BC").collect()
+    assert {r.ENC_CNT for r in empty} == {0} and len(empty) == 8
+
+
+def test_hours_and_half_days(spark):
+    df = frame(
+        spark, "ADMIT_DATE_TIME:ts SPECIMEN_DATE_TIME:ts",
+        [("2015-01-01 20:40", "2015-01-02 09:15")],
+    )
+    got = {
+        n: staging.time_since_admit(df, preset(n)).first()[2:] for n in ("oracle", "tsql")
+    }
+    assert got["oracle"] == (13, 1, 0)
+    assert got["tsql"] == (13, 1, 1)
+
+
+def test_several_baselines_compete_for_the_day(spark, work, oracle_cfg):
+    labs = [
+        scr("p", "2015-01-02", "2015-01-02 08:00", 1.0, "2015-01-02 09:00"),
+        scr("p", "2015-01-02", "2015-01-02 08:00", 1.2, "2015-01-02 10:00"),
+        scr("p", "2015-01-04", "2015-01-04 08:00", 1.1),
+    ]
+    cdm = site(
+        spark,
+        ENCOUNTER=[stay("e", "p", "2015-01-01 05:00", "2015-01-12 10:00")],
+        DEMOGRAPHIC=[person("p")],
+        LAB_RESULT_CM=labs,
+    )
+    onsets = Extraction(spark, cdm, oracle_cfg, work).aki_onsets.collect()
+    # The larger ratio wins the day; only its baseline is left.
+    assert [r.SERUM_CREAT_BASE for r in onsets] == [1.0]
+
+
+def test_specimen_day_is_counted_from_the_admission_time(spark):
+    df = eligible(
+        spark, [("2015-01-02 08:00", 1.0), ("2015-01-03 07:00", 1.4), ("2015-01-03 09:00", 1.3)],
+        admit="2015-01-02 08:00",
+    )
+    cfg = preset("oracle")
+    worst = staging.worst_per_day(staging.daily_candidates(df, cfg), cfg).collect()
+    assert {(r.DAY_SINCE_ADMIT, r.SPECIMEN_DATE_TIME) for r in worst} == {
+        (0, ts("2015-01-03 07:00")),
+        (1, ts("2015-01-03 09:00")),
+    }
