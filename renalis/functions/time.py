@@ -24,12 +24,13 @@ def epoch_day(day: Column) -> Column:
     return F.datediff(day, F.lit("1970-01-01").cast("date"))
 
 
-def epoch_seconds(ts: Column) -> Column:
-    return epoch_day(ts).cast("long") * DAY_SECONDS + second_of_day(ts)
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from start to end, by interval arithmetic, which knows no time zone."""
+    return (end - start).cast("interval second").cast("long")
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return epoch_seconds(end) - epoch_seconds(start)
+def epoch_seconds(ts: Column) -> Column:
+    return seconds_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
 def days_between(start: Column, end: Column, mode: str) -> Column:

@@ -197,8 +197,10 @@ def scr_in_stays(lab: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFr
         & (F.col("LAB_ORDER_DATE") == F.col("STAY_DAY")),
     )
     means = (
+        # Both partitioning columns are taken from the lab side, so that their pairing stays visible.
         matched.select(
-            *[f"stay.{c}" for c in STAY],
+            "lab.PATID",
+            *[f"stay.{c}" for c in STAY if c != "PATID"],
             F.col("lab.ENCOUNTERID").alias("LAB_ENCOUNTERID"),
             *[f"lab.{c}" for c in LAB_TIMES],
             *TRAITS,

@@ -228,11 +228,10 @@ def exclude_all(screened: DataFrame, cfg: CohortConfig) -> DataFrame:
     hits = []
     for label, flags in rule_labels(cfg).items():
         hits.append(F.when(reduce(or_, [F.col(f) for f in flags]), F.lit(label)))
-    return screened.select(
-        "ENCOUNTERID",
-        "ADMIT_DATE_TIME",
-        F.explode(F.array_compact(F.array(*hits))).alias("EXCLUD_TYPE"),
-    ).distinct()
+    labelled = screened.select(
+        "ENCOUNTERID", "ADMIT_DATE_TIME", F.explode(F.array(*hits)).alias("EXCLUD_TYPE")
+    )
+    return labelled.filter(F.col("EXCLUD_TYPE").isNotNull()).distinct()
 
 
 def not_excluded(screened: DataFrame) -> DataFrame:

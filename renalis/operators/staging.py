@@ -245,7 +245,8 @@ def daily_candidates(eligible: DataFrame, cfg: CohortConfig) -> DataFrame:
     )
     return (
         points.withColumn("rolling", rolling)
-        .withColumn("event", F.explode(F.array_compact(F.array(by_pair, by_ratio))))
+        .withColumn("event", F.explode(F.array(by_pair, by_ratio)))
+        .filter(F.col("event").isNotNull())
         .select(
             *STAY,
             "SERUM_CREAT_BASE",

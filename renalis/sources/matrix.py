@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEYS = ["site", "year", "stg", "fs", "oversample"]
 SPLITS = ("train", "test")
@@ -27,8 +28,11 @@ def load_matrix(
     setting = dict(zip(KEYS, (site, year, stg, fs, oversample)))
     frames = []
     for split in SPLITS:
-        df = spark.read.parquet(f"{root}/{split}")
+        found = spark.read.parquet(f"{root}/{split}").schema
+        # Keys are text: a site named 01 must not be read as the number 1.
+        typed = [T.StructField(f.name, T.StringType()) if f.name in KEYS else f for f in found]
+        df = spark.read.schema(T.StructType(typed)).parquet(f"{root}/{split}")
         for key, value in setting.items():
-            df = df.filter(F.col(key).cast("string") == str(value))
+            df = df.filter(F.col(key) == str(value))
         frames.append(df.drop(*KEYS))
     return frames[0], frames[1]

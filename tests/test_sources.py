@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from renalis.sources.cdm import load_cdm
+from renalis.sources.schemas import SCHEMAS, conform, missing_columns
+from renalis.sources.sinks import DEID_EXPORTS, RAW_EXPORTS, export_all, export_csv, save_table
+from tests.conftest import d, person, site, stay
+
+
+def write_site(spark, root, fmt="parquet"):
+    cdm = site(
+        spark,
+        ENCOUNTER=[stay("e", "p", "2015-01-01 08:00", "2015-01-05 10:00")],
+        DEMOGRAPHIC=[person("p")],
+    )
+    for name, df in cdm.items():
+        # A site's own spelling, and a column of its own.
+        df = df.withColumnRenamed("PATID", "patid").selectExpr("*", "'x' as site_column")
+        df.write.mode("overwrite").option("header", True).format(fmt).save(
+            f"{root}/{name.lower()}.{fmt}"
+        )
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "csv"])
+def test_load_directory(spark, tmp_path, fmt):
+    write_site(spark, str(tmp_path), fmt)
+    cdm = load_cdm(spark, str(tmp_path), fmt)
+    assert "VITAL" not in cdm and "DEATH" in cdm
+    enc = cdm["ENCOUNTER"]
+    assert "SITE_COLUMN" in enc.columns and dict(enc.dtypes)["ADMIT_DATE"] == "date"
+    row = enc.first()
+    assert (row.PATID, row.ADMIT_DATE, row.ADMIT_TIME) == ("p", d("2015-01-01"), "08:00")
+
+
+def test_missing_required_table(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        load_cdm(spark, str(tmp_path))
+
+
+def test_load_catalog_tables(spark, tmp_path):
+    spark.sql(f"create database if not exists site_a location '{tmp_path}/db'")
+    try:
+        for name, df in site(spark, DEMOGRAPHIC=[person("p")]).items():
+            save_table(df, name.lower(), "site_a")
+        cdm = load_cdm(spark, "site_a", "table")
+        assert cdm["DEMOGRAPHIC"].count() == 1 and "MED_ADMIN" not in cdm
+    finally:
+        spark.sql("drop database site_a cascade")
+
+
+def test_conform_casts_numbers_kept_as_text(spark):
+    df = spark.createDataFrame([("1.5", "2015-01-01")], "result_num string, LAB_ORDER_DATE string")
+    out = conform(df, "LAB_RESULT_CM")
+    assert out.dtypes == [("RESULT_NUM", "double"), ("LAB_ORDER_DATE", "date")]
+    assert missing_columns(df, "LAB_RESULT_CM", ["RESULT_NUM", "PATID"]) == ["PATID"]
+
+
+def test_export_skips_empty_and_absent_tables(spark, tmp_path):
+    people = site(spark, DEMOGRAPHIC=[{**person("p"), "RAW_RACE": "Œuvre"}])
+    tables = {"AKI_DEMO": people["DEMOGRAPHIC"], "AKI_PX": people["PROCEDURES"]}
+    written = export_all(tables, str(tmp_path), RAW_EXPORTS)
+    assert written == ["AKI_DEMO"]
+    back = spark.read.option("header", True).csv(f"{tmp_path}/AKI_DEMO")
+    assert back.columns == SCHEMAS["DEMOGRAPHIC"].names
+    assert (back.first().BIRTH_DATE, back.first().RAW_RACE) == ("1960-01-01", "Œuvre")
+    parts = [f for f in os.listdir(tmp_path / "AKI_DEMO") if f.endswith(".csv")]
+    raw = b"".join((tmp_path / "AKI_DEMO" / f).read_bytes() for f in parts)
+    assert "Œuvre".encode() in raw
+
+
+def test_export_lists():
+    assert len(RAW_EXPORTS) == 15 and "AKI_DX_CURRENT_ADMIT_DATE" not in RAW_EXPORTS
+    assert "DEID_AKI_ONSETS" in DEID_EXPORTS and "CONSORT_DIAGRAM_BC" in DEID_EXPORTS
+
+
+def test_export_csv_overwrites(spark, tmp_path):
+    for rows in (3, 2):
+        export_csv(spark.range(rows).toDF("n"), f"{tmp_path}/t")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/t").count() == 2
