@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -148,57 +149,79 @@ def stay_days(cohort: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
+# Longer stays, such as those that a far future date keeps open, are not copied to their days.
+LONG_STAY_DAYS = 400
+
+
+def join_labs_to_stays(
+    scr: DataFrame, cohort: DataFrame, by_day: bool, keep: list[str] | None = None
+) -> DataFrame:
+    """Each lab row (lab.*) next to the stays of its patient (stay.*) that contain its order date.
+
+    By day, for ordinary stays: a lab order is a date, so "between admission and discharge" is
+    equality with one of the stay's days. Joining on (PATID, day) compares only true matches and
+    spreads a hot patient over days. By range, for the long ones: such a stay holds most later labs
+    of its patient anyway.
+    """
+    same_patient = F.col("lab.PATID") == F.col("stay.PATID")
+    order, long = F.col("lab.LAB_ORDER_DATE"), F.col("los") > LONG_STAY_DAYS
+    if by_day:
+        stays = stay_days(cohort.filter(~long), keep)
+        inside = order == F.col("stay.STAY_DAY")
+    else:
+        stays = cohort.filter(long)
+        inside = order.between(F.col("stay.ADMIT_DATE_TIME"), F.col("stay.DISCHARGE_DATE_TIME"))
+    return scr.alias("lab").join(stays.alias("stay"), same_patient & inside)
+
+
+def _for_all_stays(cohort: DataFrame, step: Callable[[bool], DataFrame]) -> DataFrame:
+    """The step by day and, only where the cohort has long stays, by range as well."""
+    rows = step(True)
+    if cohort.filter(F.col("los") > LONG_STAY_DAYS).isEmpty():
+        return rows
+    return rows.unionByName(step(False))
+
+
 def match_labs_to_encounter(scr: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFrame:
-    """Pair each lab order date with the stays of its patient that contain it.
+    """Pair each creatinine value with the stays that contain its order date, by preset rule.
 
-    A lab order is a date, so "between admission and discharge" is equality with one of the stay's
-    days. Joining on (PATID, day) compares only true matches and spreads a hot patient over days.
+    ``cohort`` should be a written table: whether it has long stays is looked up at once.
     """
-    days = stay_days(cohort)
     owner = F.col("lab.ENCOUNTERID")
-    by_patient = scr.alias("lab").join(
-        days.alias("stay"),
-        (F.col("lab.PATID") == F.col("stay.PATID"))
-        & (F.col("LAB_ORDER_DATE") == F.col("STAY_DAY")),
-    )
-    if cfg.lab_match == "union_all":
-        by_patient = by_patient.filter(owner != F.col("stay.ENCOUNTERID"))
-    columns = [f"stay.{c}" for c in STAY] + SCR
-    by_patient = by_patient.select(*columns)
+    columns = [f"stay.{c}" for c in STAY if c != "PATID"] + [f"lab.{c}" for c in SCR]
+
+    def by_patient(by_day: bool) -> DataFrame:
+        joined = join_labs_to_stays(scr, cohort, by_day)
+        if cfg.lab_match == "union_all":
+            joined = joined.filter(owner != F.col("stay.ENCOUNTERID"))
+        return joined.select("lab.PATID", *columns)
+
+    matched = _for_all_stays(cohort, by_patient)
     if cfg.lab_match == "patient":
-        return by_patient
+        return matched
+    inside = F.col("LAB_ORDER_DATE").between(F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME"))
     by_encounter = (
         scr.alias("lab")
-        .join(
-            cohort.alias("stay"),
-            (owner == F.col("stay.ENCOUNTERID"))
-            & F.col("LAB_ORDER_DATE").between(
-                F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME")
-            ),
-        )
-        .select("lab.PATID", *columns[1:])
+        .join(cohort.alias("stay"), (owner == F.col("stay.ENCOUNTERID")) & inside)
+        .select("lab.PATID", *columns)
     )
-    return by_patient.unionByName(by_encounter).distinct()
+    return matched.unionByName(by_encounter).distinct()
 
 
 def scr_in_stays(lab: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFrame:
-    """All three steps at once for presets that match by patient: filter, mean, match.
+    """All three steps at once for presets that match by patient: filter, match, mean.
 
     Values of one order date share their stays, so matching before averaging changes nothing, and
     the lab rows cross the network once, by (PATID, day): the mean and the distinct reuse that.
-    ``cohort`` holds the patients' traits.
+    ``cohort``, a written table, holds the patients' traits.
     """
     scr = serum_creatinine_filter(lab, cfg).filter(
         F.col("LAB_ORDER_DATE") >= F.lit(cfg.window_start)
     )
-    matched = scr.alias("lab").join(
-        stay_days(cohort, TRAITS).alias("stay"),
-        (F.col("lab.PATID") == F.col("stay.PATID"))
-        & (F.col("LAB_ORDER_DATE") == F.col("STAY_DAY")),
-    )
-    means = (
-        # Both partitioning columns are taken from the lab side, so that their pairing stays visible.
-        matched.select(
+
+    def values(by_day: bool) -> DataFrame:
+        matched = join_labs_to_stays(scr, cohort, by_day, TRAITS).select(
+            # Both partitioning columns come from the lab side: their pairing stays visible.
             "lab.PATID",
             *[f"stay.{c}" for c in STAY if c != "PATID"],
             F.col("lab.ENCOUNTERID").alias("LAB_ENCOUNTERID"),
@@ -206,10 +229,12 @@ def scr_in_stays(lab: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFr
             *TRAITS,
             "RESULT_NUM",
         )
-        .groupBy(*STAY, "LAB_ENCOUNTERID", *LAB_TIMES, *TRAITS)
-        .agg(mean_scr(F.col("RESULT_NUM")).alias("SERUM_CREAT"))
-    )
-    return _with_egfr(means, STAY, cfg).distinct()
+        means = matched.groupBy(*STAY, "LAB_ENCOUNTERID", *LAB_TIMES, *TRAITS).agg(
+            mean_scr(F.col("RESULT_NUM")).alias("SERUM_CREAT")
+        )
+        return _with_egfr(means, STAY, cfg).distinct()
+
+    return _for_all_stays(cohort, values)
 
 
 def enough_scr(matched: DataFrame, cfg: CohortConfig) -> DataFrame:

@@ -18,6 +18,8 @@ from renalis.operators.cohort import is_serum_creatinine
 # Width of the time slots of the interval joins, in days: about a window's length for the windows
 # that start at admission, a dozen slots for the one-year history.
 SLOT_DAYS = 32
+# Longer windows, such as those a far future date keeps open, are not copied to their slots.
+LONG_WINDOW_DAYS = 1200
 TOP_CODED_AGE = 90
 
 
@@ -111,8 +113,11 @@ def collect_window(
 
     The windows, the small side, are copied to the time slots they touch; the large side computes
     its single slot. The equi-join on (PATID, slot) then spreads a patient with very many rows over
-    the calendar and never compares rows that are years apart. ``since`` is the first admission day
-    the onset table can hold: it bounds the scan of the large table.
+    the calendar and never compares rows that are years apart. Windows of several years, where there
+    are any, are joined by patient and range: they hold most of the patient's rows anyway.
+
+    ``onsets`` should be a written table: whether it has such windows is looked up at once.
+    ``since`` is the first admission day it can hold, which bounds the scan of the large table.
     """
     if source is None:
         return None
@@ -136,16 +141,24 @@ def collect_window(
     )
     if spec.distinct:
         windows = windows.distinct()
-    windows = windows.withColumn(
-        "slot", F.explode(F.sequence(_slot(F.col("win_first")), _slot(F.col("win_last"))))
+    inside = (F.col("row.PATID") == F.col("win.PATID")) & F.col(f"row.{spec.date_col}").between(
+        F.col("win_first"), F.col("win_last")
     )
+    long = F.datediff("win_last", "win_first") > LONG_WINDOW_DAYS
+    slots = F.explode(F.sequence(_slot(F.col("win_first")), _slot(F.col("win_last"))))
+    short = windows.filter(~long).withColumn("slot", slots)
+    same_slot = F.col("row.slot") == F.col("win.slot")
+    by_slot = rows.alias("row").join(short.alias("win"), inside & same_slot)
+    result = _collected(by_slot, source, spec, cfg)
+    if not windows.filter(long).isEmpty():
+        by_range = rows.alias("row").join(windows.filter(long).alias("win"), inside)
+        result = result.unionByName(_collected(by_range, source, spec, cfg))
+    return result.drop("slot")
 
-    joined = rows.alias("row").join(
-        windows.alias("win"),
-        (F.col("row.PATID") == F.col("win.PATID"))
-        & (F.col("row.slot") == F.col("win.slot"))
-        & F.col(f"row.{spec.date_col}").between(F.col("win_first"), F.col("win_last")),
-    )
+
+def _collected(
+    joined: DataFrame, source: DataFrame, spec: Collection, cfg: CohortConfig
+) -> DataFrame:
     derived = spec.derived(cfg) if spec.derived else {}
     result = joined.select(
         "ONSETS_ENCOUNTERID",
@@ -159,7 +172,7 @@ def collect_window(
     if spec.distinct:
         # With PATID and slot among the columns, the distinct needs no shuffle of its own.
         result = result.distinct()
-    return result.drop("slot")
+    return result
 
 
 def _conditions(spec: Collection, cfg: CohortConfig) -> list[Column]:

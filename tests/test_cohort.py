@@ -276,3 +276,20 @@ def test_window_start_does_not_reach_before_the_study(spark, work):
     cfg = preset("oracle", window_start=date(2015, 1, 10))
     x = extraction(spark, work, cfg, ENCOUNTER=ENC, LAB_RESULT_CM=LABS)
     assert x.matched.count() == 2
+
+
+@pytest.mark.parametrize("name", ["oracle", "postgres", "tsql"])
+def test_stay_that_a_placeholder_date_keeps_open(spark, work, name):
+    enc = [
+        stay("open", "p", "2015-01-01 05:00", "9999-12-31 10:00"),
+        stay("e", "p", "2016-01-01 05:00", "2016-01-09 10:00"),
+    ]
+    labs = [
+        scr("p", day, f"{day} 08:00", 1.0, ENCOUNTERID="x")
+        for day in ("2014-12-31", "2015-01-01", "2015-01-02", "2016-01-05", "2019-05-05")
+    ]
+    x = extraction(spark, work, preset(name), ENCOUNTER=enc, LAB_RESULT_CM=labs)
+    got = sorted((r.ENCOUNTERID, str(r.LAB_ORDER_DATE)) for r in x.matched.collect())
+    assert got == [
+        ("e", "2016-01-05"), ("open", "2015-01-02"), ("open", "2016-01-05"), ("open", "2019-05-05"),
+    ]

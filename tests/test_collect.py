@@ -92,6 +92,18 @@ def test_long_stay_and_overlapping_stays(spark, oracle_cfg):
     assert pairs == [("long", "2015-06-01"), ("long", "2016-05-02"), ("short", "2016-05-02")]
 
 
+def test_window_that_a_placeholder_date_keeps_open(spark, oracle_cfg):
+    df = onset(
+        spark,
+        ("p", "open", "2015-01-10", "9999-12-30", 1.0, "2015-02-01", None, None, None),
+        STAY,
+    )
+    rows = [{"PATID": "p", "PX_DATE": day} for day in ("2015-01-09", "2015-01-12", "2019-05-02")]
+    got = collect_one("AKI_PX", df, {"PROCEDURES": table(spark, "PROCEDURES", rows)}, oracle_cfg)
+    pairs = sorted((r.ONSETS_ENCOUNTERID, str(r.PX_DATE)) for r in got.collect())
+    assert pairs == [("e", "2015-01-12"), ("open", "2015-01-12"), ("open", "2019-05-02")]
+
+
 def test_vital_codes(spark, oracle_cfg):
     rows = [
         {"PATID": "p", "OBSCLIN_START_DATE": "2015-01-11", "OBSCLIN_CODE": c}

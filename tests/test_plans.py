@@ -154,7 +154,7 @@ def test_hot_patient_in_the_lab_match(spark, work, oracle_cfg):
             "date_add(date'2015-01-01', day) as RESULT_DATE", "'23:00' as RESULT_TIME",
         )
     )
-    stays = cohort.initial_cohort(enc, demo, oracle_cfg, traits=True)
+    stays = work.cut(cohort.initial_cohort(enc, demo, oracle_cfg, traits=True), "stays")
     got = cohort.scr_in_stays(lab, stays, oracle_cfg)
     want = (
         lab.groupBy("PATID", "LAB_ORDER_DATE", "SPECIMEN_TIME")
