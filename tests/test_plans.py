@@ -199,3 +199,62 @@ def test_hot_slot_is_split_by_adaptive_execution(spark, work, oracle_cfg):
         text = executed(distinct)
         assert "skew=true" in text, text
         assert distinct.count() == want
+
+
+def test_hot_stay_in_the_staging(spark, work, oracle_cfg):
+    """One stay with most of the creatinine rows: its partition is split and reduced early."""
+    from renalis.operators import staging
+
+    matched = work.cut(
+        spark.range(60000).selectExpr(
+            "'p' || if(id % 3 <> 0, 0, 1 + id % 500) as PATID",
+            "'e' || if(id % 3 <> 0, 0, 1 + id % 500) as ENCOUNTERID",
+            "round(0.5 + (id * 37 % 100) / 40, 2) as SERUM_CREAT", "50.0D as EGFR",
+            "timestamp_ntz'2015-01-01 00:00:00'"
+            " + make_dt_interval(0, 0, cast(id * 7919 % 20000 as int), 0) as SPECIMEN_DATE_TIME",
+        ).withColumn("RESULT_DATE_TIME", F.col("SPECIMEN_DATE_TIME")),
+        "matched",
+    )
+    base = work.cut(
+        spark.range(501).selectExpr(
+            "'e' || id as ENCOUNTERID", "timestamp_ntz'2015-01-01 00:00:00' as ADMIT_DATE_TIME",
+            "timestamp_ntz'2015-02-01 00:00:00' as DISCHARGE_DATE_TIME", "1.0D as SERUM_CREAT",
+            "timestamp_ntz'2015-01-01 00:00:00' as SPECIMEN_DATE_TIME",
+            "timestamp_ntz'2015-01-01 00:00:00' as RESULT_DATE_TIME",
+        ),
+        "base",
+    )
+
+    def worst():
+        points = staging.daily_candidates(cohort.eligible(matched, base), oracle_cfg)
+        return staging.worst_per_day(points, oracle_cfg)
+
+    plain = sorted(map(str, worst().collect()))
+    with settings(spark, **SMALL_SKEW):
+        df = worst()
+        text = executed(df)
+        assert "skew=true" in text, text
+        assert sorted(map(str, df.collect())) == plain
+
+
+def test_hot_patient_in_the_initial_cohort(spark, work, oracle_cfg):
+    enc = work.cut(
+        spark.range(40000).selectExpr(
+            "'e' || id as ENCOUNTERID", "'p' || if(id % 3 <> 0, 0, 1 + id % 500) as PATID",
+            "'IP' as ENC_TYPE", "date_add(date'2011-01-01', cast(id % 3000 as int)) as ADMIT_DATE",
+            "'08:00' as ADMIT_TIME",
+            "date_add(date'2011-01-01', cast(id % 3000 + 2 + id % 5 as int)) as DISCHARGE_DATE",
+            "'09:00' as DISCHARGE_TIME",
+        ),
+        "enc",
+    )
+    demo = work.cut(
+        spark.range(501).selectExpr("'p' || id as PATID", "date'1950-01-01' as BIRTH_DATE"), "demo"
+    )
+    plain = cohort.initial_cohort(enc, demo, oracle_cfg).count()
+    assert plain == enc.select("PATID", "DISCHARGE_DATE").distinct().count()
+    with settings(spark, **SMALL_SKEW):
+        df = cohort.initial_cohort(enc, demo, oracle_cfg)
+        text = executed(df)
+        assert "skew=true" in text, text
+        assert df.count() == plain
