@@ -12,7 +12,9 @@ from renalis.config import CohortConfig
 from renalis.functions.codes import code_match
 from renalis.operators.cohort import enough_scr
 
-LOW_EGFR, ESRD, RRT, RRT_48H, BURN, FEW_SCR = "low_egfr", "esrd", "rrt", "rrt_48h", "burn", "few_scr"
+# Flag columns of the screened stays.
+LOW_EGFR, ESRD, RRT = "low_egfr", "esrd", "rrt"
+RRT_48H, BURN, FEW_SCR = "rrt_48h", "burn", "few_scr"
 
 
 def _diagnosis_days(diagnosis: DataFrame) -> DataFrame:

@@ -35,9 +35,7 @@ def _min_gap(cfg: CohortConfig) -> int:
     return 4 if cfg.diff_mode == "whole" else 1
 
 
-def rrt_stage3(
-    baseline: DataFrame, procedures: DataFrame, cfg: CohortConfig
-) -> DataFrame:
+def rrt_stage3(baseline: DataFrame, procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
     """First transplant day within the stay, per eligible baseline."""
     days = procedure_history(procedures, cfg).select("PATID", "TRANSPLANT_DAYS")
     return rrt_of_baselines(
@@ -97,9 +95,8 @@ def rolling_48h_pairs(eligible: DataFrame, cfg: CohortConfig) -> DataFrame:
             taken.alias("RBASE_TIME"),
         )
         .distinct()
-        .withColumn(
-            "slot", F.explode(F.sequence(slot(F.col("RBASE_TIME")), slot(F.col("RBASE_TIME")) + reach))
-        )
+        .withColumn("first_slot", slot(F.col("RBASE_TIME")))
+        .withColumn("slot", F.explode(F.sequence("first_slot", F.col("first_slot") + reach)))
     )
     later = (
         eligible.select("ENCOUNTERID", "SERUM_CREAT", "SPECIMEN_DATE_TIME", "RESULT_DATE_TIME")
@@ -281,7 +278,8 @@ def stages_daily(worst: DataFrame) -> DataFrame:
     """Days of each stay and stage counted from the first and from the last, and the top stage."""
     ties = [
         F.col(c).asc_nulls_last()
-        for c in ["SPECIMEN_DATE_TIME", "SERUM_CREAT", "SERUM_CREAT_INC", "SERUM_CREAT_RBASE", *BASE]
+        for c in ["SPECIMEN_DATE_TIME", "SERUM_CREAT", "SERUM_CREAT_INC"]
+        + ["SERUM_CREAT_RBASE", *BASE]
     ]
     stage = Window.partitionBy("ENCOUNTERID", "AKI_STAGE")
     # The stay-wide maximum comes first: the stage windows then reuse its partitioning.

@@ -145,15 +145,28 @@ VIEWS: dict[str, str] = {
 BASE_TABLES = ["customer", "orders", "lineitem"]
 
 
-def load_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The views as DataFrames over the Parquet files of one scale."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
-    views = {}
-    for name, text in VIEWS.items():
-        # Named DataFrame arguments stand in for the tables, without registering views.
+class Views(dict):
+    """The views as DataFrames over the Parquet files of one scale, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        text, used = VIEWS[name], {}
         for table in BASE_TABLES:
-            text = text.replace(f"from {table}", f"from {{{table}}}")
-            text = text.replace(f"join {table} ", f"join {{{table}}} ")
-        used = {t: df for t, df in tables.items() if f"{{{t}}}" in text}
-        views[name] = spark.sql(text, **used)
-    return views
+            # Named DataFrame arguments stand in for the tables, without registering views.
+            bound = text.replace(f"from {table}", f"from {{{table}}}")
+            bound = bound.replace(f"join {table} ", f"join {{{table}}} ")
+            if bound != text:
+                used[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+            text = bound
+        self[name] = self.spark.sql(text, **used)
+        return self[name]
+
+    def get(self, name: str, default=None):
+        return self[name] if name in VIEWS else default
+
+
+def load_views(spark: SparkSession, sf_dir: str) -> Views:
+    return Views(spark, sf_dir)
