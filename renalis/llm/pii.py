@@ -114,9 +114,15 @@ _OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _BETWEEN = r"(?:[ \t]*[-,][ \t]*|[ \t]+)"
 _SPELLED = re.compile(rf"\b{_DIGIT}(?:{_BETWEEN}(?:{_DIGIT}|[0-9]+))*\b", re.I | re.A)
 _WORD_DOT = rf"(?:[ \t]+dot[ \t]+|{_OPEN}(?:dot|\.){_CLOSE}|[ \t]*\.[ \t]*)"
+# Ends of domains after which a bare "at" with a "dot" is taken for a disguise.
+_ENDS = (
+    "com|org|net|edu|gov|mil|info|biz|io|ai|co|uk|de|fr|es|eu|ch|nl|ca|au|jp|cn|ru|br|pl|se|pt|example"
+)
+_ANY_DOT = rf"(?:[ \t]+dot[ \t]+|{_OPEN}dot{_CLOSE}|\.)"
 _DISGUISE = re.compile(
     rf"(?P<at>(?<=[A-Za-z0-9]){_OPEN}(?:at|@){_CLOSE}(?=[A-Za-z0-9])"
-    rf"|(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9-]+(?:[ \t]+dot[ \t]+|{_OPEN}dot{_CLOSE})[A-Za-z]))"
+    rf"|(?<=[A-Za-z0-9])[ \t]+at[ \t]+"
+    rf"(?=[A-Za-z0-9-]+(?:{_ANY_DOT}[A-Za-z0-9-]+){{0,5}}{_ANY_DOT}(?:{_ENDS})\b))"
     rf"|(?P<dot>(?<=[A-Za-z0-9])(?:{_OPEN}(?:dot|\.){_CLOSE}|[ \t]+dot[ \t]+)(?=[A-Za-z0-9]))"
     rf"|(?P<plus>\bplus[ \t]+(?=[0-9]|{_DIGIT}\b))",
     re.I | re.A,

@@ -64,11 +64,17 @@ def resolved(head: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def _line(name: str, value: Column) -> Column:
-    """A header line; none for a null. Control characters are percent-encoded."""
+    """A header line; none for a null.
+
+    Line breaks in the value are percent-encoded, and so is its end where that would look like a
+    version line.
+    """
     clean = value
     for char in ("\r", "\n"):
         clean = F.replace(clean, F.lit(char), F.lit(f"%{ord(char):02X}"))
-    return F.coalesce(F.concat(F.lit(f"{name}: "), clean, F.lit("\r\n")), F.lit(""))
+    line = F.concat(F.lit(f"{name}: "), clean, F.lit("\r\n"))
+    escaped = f"{VERSION[:-3]}%{ord(VERSION[-3]):02X}\r\n"
+    return F.coalesce(F.replace(line, F.lit(VERSION), F.lit(escaped)), F.lit(""))
 
 
 def _record_id(id_: Column, nth: Column) -> Column:
@@ -83,7 +89,8 @@ def _body(payload: Column) -> Column:
     """The HTTP response: the payload as it is, or in base64 if it would look like a new record."""
     plain = F.concat(F.lit(_HTTP + "\r\n"), payload)
     encoded = F.concat(F.lit(_HTTP + _ENCODED + "\r\n"), F.base64(F.encode(payload, "UTF-8")))
-    return F.when(F.contains(payload, F.lit(VERSION)), encoded).otherwise(plain)
+    ended = F.concat(payload, F.lit(END))
+    return F.when(F.contains(ended, F.lit(VERSION)), encoded).otherwise(plain)
 
 
 def records(

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+from renalis.llm import tiling
+from tests.llm.rows import CLASHING, documents, edge_rows, prose
+
+
+def by_definition(doc, item, least):
+    """Greedy string tiling by comparing every pair of places."""
+    doc_free, item_free = [True] * len(doc), [True] * len(item)
+    found = []
+    while True:
+        longest, at = least - 1, []
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while (
+                    i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n]
+                    and item_free[i + n] and doc_free[j + n]
+                ):
+                    n += 1
+                if n > longest:
+                    longest, at = n, []
+                if n == longest >= least:
+                    at.append((i, j))
+        if not at:
+            return found
+        for i, j in sorted(at):
+            if all(item_free[i : i + longest]) and all(doc_free[j : j + longest]):
+                item_free[i : i + longest] = doc_free[j : j + longest] = [False] * longest
+                found.append((j, i, longest))
+
+
+def test_tiles():
+    rng = random.Random(1)
+    for k in range(300):
+        doc = [rng.randrange(4) for _ in range(rng.randint(0, 40))]
+        item = [rng.randrange(4) for _ in range(rng.randint(1, 20))]
+        least = 2 + k % 3
+        got = tiling.tiles(np.array(doc, np.int64), np.array(item, np.int64), least)
+        assert got == by_definition(doc, item, least)
+
+
+def test_running_hashes():
+    ids = np.random.default_rng(1).integers(0, 3, 200)
+    for size in range(1, 40):
+        hashes = tiling.run_hashes(ids, size)
+        runs = [tuple(ids[i : i + size]) for i in range(len(ids) - size + 1)]
+        assert len(set(zip(runs, hashes.tolist()))) == len(set(runs)) == len(set(hashes.tolist()))
+
+
+ITEMS = [(100, prose(50, 40)), (101, prose(51, 30)), (102, "too short"), (103, None), (104, "")]
+
+
+def items(spark):
+    return spark.createDataFrame(ITEMS, "item_id long, text string")
+
+
+def planted():
+    one, two = ITEMS[0][1].split(), ITEMS[1][1].split()
+    moved = " ".join(one[20:] + ["and", "so"] + one[:20])
+    return [
+        (1, prose(1, 300) + " " + ITEMS[0][1] + " " + prose(2, 100)),
+        (2, prose(3, 50) + " " + moved + " " + prose(4, 50)),  # halves in the other order
+        (3, ITEMS[1][1].upper().replace(" ", ", ")),
+        (4, prose(5, 400)),
+        (5, prose(6, 50) + " ".join(one[:20]) + prose(7, 50)),  # half of an item
+        (6, ITEMS[0][1] + " x " + ITEMS[1][1]),
+        (7, " ".join(two[:14] + ["other"] + two[15:])),  # one word changed
+    ]
+
+
+def test_contaminated_documents(spark):
+    got = tiling.contaminated(documents(spark, planted()), items(spark)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [
+        (1, 100), (2, 100), (3, 101), (6, 100), (6, 101), (7, 101),
+    ]
+    tiles = {(r.doc_id, r.item_id): r.n_tiles for r in got}
+    assert tiles[1, 100] == 1 and tiles[2, 100] == 2 and tiles[7, 101] == 2
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch):
+    docs = documents(spark, planted())
+    whole = sorted(map(tuple, tiling.contaminated(docs, items(spark)).collect()))
+    one_by_one = list(tiling.blocks(spark, items(spark), "item_id", "text", most=15))
+    assert len(one_by_one) > 3
+    monkeypatch.setattr(tiling, "BLOCK_WORDS", 15)
+    monkeypatch.setattr(tiling.blocks, "__defaults__", (tiling.SEED, 15))
+    assert sorted(map(tuple, tiling.contaminated(docs, items(spark)).collect())) == whole
+    assert sorted(r.doc_id for r in tiling.clean(docs, items(spark)).collect()) == [4, 5]
+
+
+def test_edge_rows(spark):
+    rows = [*edge_rows(), (50, ITEMS[0][1]), (50, ITEMS[0][1]), (None, ITEMS[0][1])]
+    docs = documents(spark, rows)
+    got = tiling.contaminated(docs, items(spark)).collect()
+    assert sorted((r.doc_id or 0, r.item_id) for r in got) == [(0, 100), (50, 100), (50, 100)]
+    clean = tiling.clean(docs, items(spark))
+    assert clean.columns == docs.columns and set(CLASHING) <= set(clean.columns)
+    assert [(r.doc_id, r.text) for r in clean.collect()] == edge_rows()
+    assert tiling.contaminated(documents(spark, []), items(spark)).count() == 0
+    none = items(spark).limit(0)
+    assert tiling.contaminated(docs, none).count() == 0
+    assert tiling.clean(docs, none).count() == len(rows)
