@@ -113,7 +113,7 @@ def with_successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     n = max(1, min(BLOCKS, 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     keys = rows.select("k")
     shares = [i / n for i in range(1, n)] or [0.5]
-    cuts = keys.agg(F.percentile_approx("k", shares, 10 * n).alias("at")).first()["at"] or []
+    cuts = keys.agg(F.percentile_approx("k", shares, 10 * n).alias("at")).first()["at"] or [0]
     splits = [-float("inf"), *sorted({float(c) for c in cuts}), float("inf")]
     ranges = Bucketizer(splits=splits, inputCol="d", outputCol="b")
 
