@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +11,7 @@ from renalis.config import CohortConfig
 from renalis.functions.clinical import age_years, egfr, mean_scr
 from renalis.functions.codes import SCR_LOINC
 from renalis.functions.time import combine_date_time
+from renalis.operators.calendar import days_within, occurring
 
 LAB_TIMES = ["LAB_ORDER_DATE", "SPECIMEN_DATE", "SPECIMEN_TIME", "RESULT_DATE", "RESULT_TIME"]
 STAY = ["PATID", "ENCOUNTERID", "ADMIT_DATE_TIME", "DISCHARGE_DATE_TIME"]
@@ -95,17 +95,18 @@ def all_scr_egfr(
 ) -> DataFrame:
     """All adult creatinine values of the cohort's patients with their eGFR.
 
-    Joining the cohort's patients filters the lab rows and adds the traits at once, and the
-    aggregate and the distinct reuse its partitioning. ``since`` drops earlier orders at the scan.
+    Lab rows are averaged first, keyed by patient and time, which map-side combine shrinks and which
+    spreads a patient with very many of them. The traits then come to the means. ``since`` drops
+    earlier orders at the scan.
     """
     scr = serum_creatinine_filter(lab, cfg)
     if since is not None:
         scr = scr.filter(F.col("LAB_ORDER_DATE") >= F.lit(since))
     owner = ["ENCOUNTERID"] if cfg.keep_lab_encounter else []
     means = (
-        scr.join(patients, "PATID")
-        .groupBy("PATID", "ENCOUNTERID", *LAB_TIMES, *TRAITS)
+        scr.groupBy("PATID", "ENCOUNTERID", *LAB_TIMES)
         .agg(mean_scr(F.col("RESULT_NUM")).alias("SERUM_CREAT"))
+        .join(patients, "PATID")
     )
     return _with_egfr(means, ["PATID", *owner], cfg).distinct()
 
@@ -132,8 +133,8 @@ def _with_egfr(means: DataFrame, keys: list[str], cfg: CohortConfig) -> DataFram
     )
 
 
-def stay_days(cohort: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One row per stay and calendar day whose midnight lies between admission and discharge."""
+def stay_days(cohort: DataFrame, calendar: Column, keep: list[str] | None = None) -> DataFrame:
+    """One row per stay and occurring day whose midnight lies between admission and discharge."""
     admit, discharge = F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME")
     admit_day = F.to_date(admit)
     first = F.when(admit_day.cast("timestamp_ntz") == admit, admit_day).otherwise(
@@ -144,59 +145,38 @@ def stay_days(cohort: DataFrame, keep: list[str] | None = None) -> DataFrame:
             *STAY, *(keep or []), first.alias("first_day"), F.to_date(discharge).alias("last_day")
         )
         .filter(F.col("first_day") <= F.col("last_day"))
-        .withColumn("STAY_DAY", F.explode(F.sequence("first_day", "last_day")))
-        .drop("first_day", "last_day")
+        .withColumn("calendar", calendar)
+        .withColumn("days", days_within("calendar", F.col("first_day"), F.col("last_day")))
+        .withColumn("STAY_DAY", F.explode("days"))
+        .drop("first_day", "last_day", "calendar", "days")
     )
 
 
-# Longer stays, such as those that a far future date keeps open, are not copied to their days.
-LONG_STAY_DAYS = 400
-
-
 def join_labs_to_stays(
-    scr: DataFrame, cohort: DataFrame, by_day: bool, keep: list[str] | None = None
+    scr: DataFrame, cohort: DataFrame, keep: list[str] | None = None
 ) -> DataFrame:
     """Each lab row (lab.*) next to the stays of its patient (stay.*) that contain its order date.
 
-    By day, for ordinary stays: a lab order is a date, so "between admission and discharge" is
-    equality with one of the stay's days. Joining on (PATID, day) compares only true matches and
-    spreads a hot patient over days. By range, for the long ones: such a stay holds most later labs
-    of its patient anyway.
+    A lab order is a date, so "between admission and discharge" is equality with one of the stay's
+    days. Joining on (PATID, day) compares only true matches and spreads a hot patient over days.
+    Stays of any length take this way, as only days with lab orders count.
     """
-    same_patient = F.col("lab.PATID") == F.col("stay.PATID")
-    order, long = F.col("lab.LAB_ORDER_DATE"), F.col("los") > LONG_STAY_DAYS
-    if by_day:
-        stays = stay_days(cohort.filter(~long), keep)
-        inside = order == F.col("stay.STAY_DAY")
-    else:
-        stays = cohort.filter(long)
-        inside = order.between(F.col("stay.ADMIT_DATE_TIME"), F.col("stay.DISCHARGE_DATE_TIME"))
-    return scr.alias("lab").join(stays.alias("stay"), same_patient & inside)
-
-
-def _for_all_stays(cohort: DataFrame, step: Callable[[bool], DataFrame]) -> DataFrame:
-    """The step by day and, only where the cohort has long stays, by range as well."""
-    rows = step(True)
-    if cohort.filter(F.col("los") > LONG_STAY_DAYS).isEmpty():
-        return rows
-    return rows.unionByName(step(False))
+    stays = stay_days(cohort, occurring(scr, "LAB_ORDER_DATE"), keep)
+    matches = (F.col("lab.PATID") == F.col("stay.PATID")) & (
+        F.col("lab.LAB_ORDER_DATE") == F.col("stay.STAY_DAY")
+    )
+    return scr.alias("lab").join(stays.alias("stay"), matches)
 
 
 def match_labs_to_encounter(scr: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFrame:
-    """Pair each creatinine value with the stays that contain its order date, by preset rule.
-
-    ``cohort`` should be a written table: whether it has long stays is looked up at once.
-    """
+    """Pair each creatinine value with the stays that contain its order date, by preset rule."""
     owner = F.col("lab.ENCOUNTERID")
     columns = [f"stay.{c}" for c in STAY if c != "PATID"] + [f"lab.{c}" for c in SCR]
 
-    def by_patient(by_day: bool) -> DataFrame:
-        joined = join_labs_to_stays(scr, cohort, by_day)
-        if cfg.lab_match == "union_all":
-            joined = joined.filter(owner != F.col("stay.ENCOUNTERID"))
-        return joined.select("lab.PATID", *columns)
-
-    matched = _for_all_stays(cohort, by_patient)
+    joined = join_labs_to_stays(scr, cohort)
+    if cfg.lab_match == "union_all":
+        joined = joined.filter(owner != F.col("stay.ENCOUNTERID"))
+    matched = joined.select("lab.PATID", *columns)
     if cfg.lab_match == "patient":
         return matched
     inside = F.col("LAB_ORDER_DATE").between(F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME"))
@@ -213,28 +193,25 @@ def scr_in_stays(lab: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFr
 
     Values of one order date share their stays, so matching before averaging changes nothing, and
     the lab rows cross the network once, by (PATID, day): the mean and the distinct reuse that.
-    ``cohort``, a written table, holds the patients' traits.
+    ``cohort`` holds the patients' traits.
     """
     scr = serum_creatinine_filter(lab, cfg).filter(
         F.col("LAB_ORDER_DATE") >= F.lit(cfg.window_start)
     )
 
-    def values(by_day: bool) -> DataFrame:
-        matched = join_labs_to_stays(scr, cohort, by_day, TRAITS).select(
-            # Both partitioning columns come from the lab side: their pairing stays visible.
-            "lab.PATID",
-            *[f"stay.{c}" for c in STAY if c != "PATID"],
-            F.col("lab.ENCOUNTERID").alias("LAB_ENCOUNTERID"),
-            *[f"lab.{c}" for c in LAB_TIMES],
-            *TRAITS,
-            "RESULT_NUM",
-        )
-        means = matched.groupBy(*STAY, "LAB_ENCOUNTERID", *LAB_TIMES, *TRAITS).agg(
-            mean_scr(F.col("RESULT_NUM")).alias("SERUM_CREAT")
-        )
-        return _with_egfr(means, STAY, cfg).distinct()
-
-    return _for_all_stays(cohort, values)
+    matched = join_labs_to_stays(scr, cohort, TRAITS).select(
+        # Both partitioning columns come from the lab side: their pairing stays visible.
+        "lab.PATID",
+        *[f"stay.{c}" for c in STAY if c != "PATID"],
+        F.col("lab.ENCOUNTERID").alias("LAB_ENCOUNTERID"),
+        *[f"lab.{c}" for c in LAB_TIMES],
+        *TRAITS,
+        "RESULT_NUM",
+    )
+    means = matched.groupBy(*STAY, "LAB_ENCOUNTERID", *LAB_TIMES, *TRAITS).agg(
+        mean_scr(F.col("RESULT_NUM")).alias("SERUM_CREAT")
+    )
+    return _with_egfr(means, STAY, cfg).distinct()
 
 
 def enough_scr(matched: DataFrame, cfg: CohortConfig) -> DataFrame:

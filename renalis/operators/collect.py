@@ -12,14 +12,9 @@ from pyspark.sql import functions as F
 from renalis.config import CohortConfig
 from renalis.functions.clinical import age_years
 from renalis.functions.codes import VITAL_CODES, VITAL_NAMES
-from renalis.functions.time import epoch_day
+from renalis.operators.calendar import occurring, slot_of, slots_within
 from renalis.operators.cohort import is_serum_creatinine
 
-# Width of the time slots of the interval joins, in days: about a window's length for the windows
-# that start at admission, a dozen slots for the one-year history.
-SLOT_DAYS = 32
-# Longer windows, such as those a far future date keeps open, are not copied to their slots.
-LONG_WINDOW_DAYS = 1200
 TOP_CODED_AGE = 90
 
 
@@ -98,10 +93,6 @@ COLLECTIONS: dict[str, Collection] = {
 }
 
 
-def _slot(day: Column) -> Column:
-    return F.floor(epoch_day(day) / F.lit(SLOT_DAYS)).cast("int")
-
-
 def collect_window(
     onsets: DataFrame,
     source: DataFrame | None,
@@ -111,13 +102,13 @@ def collect_window(
 ) -> DataFrame | None:
     """Rows of a clinical table whose date lies in a stay's window, next to the stay.
 
-    The windows, the small side, are copied to the time slots they touch; the large side computes
-    its single slot. The equi-join on (PATID, slot) then spreads a patient with very many rows over
-    the calendar and never compares rows that are years apart. Windows of several years, where there
-    are any, are joined by patient and range: they hold most of the patient's rows anyway.
+    The windows, the small side, are copied to the time slots they touch and in which the large side
+    has rows; the large side computes its single slot. The equi-join on (PATID, slot) then spreads a
+    patient with very many rows over the calendar and never compares rows that are years apart.
+    Windows of any length take this way: one that a far future date keeps open costs no more copies
+    than there are slots in the data.
 
-    ``onsets`` should be a written table: whether it has such windows is looked up at once.
-    ``since`` is the first admission day it can hold, which bounds the scan of the large table.
+    ``since`` is the first admission day of the onsets, which bounds the scan of the large table.
     """
     if source is None:
         return None
@@ -127,7 +118,6 @@ def collect_window(
         rows = rows.filter(condition)
     if since is not None:
         rows = rows.filter(when >= F.lit(since + timedelta(days=spec.lo)))
-    rows = rows.withColumn("slot", _slot(when))
 
     first = F.date_add("ADMIT_DATE", spec.lo)
     last = F.col("win_end") if spec.hi is None else F.date_add("ADMIT_DATE", spec.hi)
@@ -144,16 +134,14 @@ def collect_window(
     inside = (F.col("row.PATID") == F.col("win.PATID")) & F.col(f"row.{spec.date_col}").between(
         F.col("win_first"), F.col("win_last")
     )
-    long = F.datediff("win_last", "win_first") > LONG_WINDOW_DAYS
-    slots = F.explode(F.sequence(_slot(F.col("win_first")), _slot(F.col("win_last"))))
-    short = windows.filter(~long).withColumn("slot", slots)
+    slots = slots_within("calendar", F.col("win_first"), F.col("win_last"))
+    windows = windows.withColumn("calendar", occurring(rows, spec.date_col))
+    windows = windows.withColumn("slots", slots).withColumn("slot", F.explode("slots"))
+    windows = windows.drop("calendar", "slots")
+    rows = rows.withColumn("slot", slot_of(when))
     same_slot = F.col("row.slot") == F.col("win.slot")
-    by_slot = rows.alias("row").join(short.alias("win"), inside & same_slot)
-    result = _collected(by_slot, source, spec, cfg)
-    if not windows.filter(long).isEmpty():
-        by_range = rows.alias("row").join(windows.filter(long).alias("win"), inside)
-        result = result.unionByName(_collected(by_range, source, spec, cfg))
-    return result.drop("slot")
+    joined = rows.alias("row").join(windows.alias("win"), inside & same_slot)
+    return _collected(joined, source, spec, cfg).drop("slot")
 
 
 def _collected(

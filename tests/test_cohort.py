@@ -149,13 +149,19 @@ def test_missing_specimen_time(spark, work, oracle_cfg):
         scr("p", "2015-01-03", "2015-01-03 09:00", 1.2),
     ]
     enc = [stay("e", "p", "2015-01-01 05:00", "2015-01-09 10:00")]
-    x = extraction(spark, work, oracle_cfg, ENCOUNTER=enc, LAB_RESULT_CM=labs)
-    first = x.first_scr.collect()
-    assert [r.SPECIMEN_DATE_TIME for r in first] == [ts("2015-01-02 09:00")]
-    y = extraction(
-        spark, work, replace(oracle_cfg, missing_time="midnight"), ENCOUNTER=enc, LAB_RESULT_CM=labs
-    )
-    assert [r.SPECIMEN_DATE_TIME for r in y.first_scr.collect()] == [ts("2015-01-02 00:00")]
+    null = replace(oracle_cfg, missing_time="null")
+    for cfg, first in ((null, "2015-01-02 09:00"), (oracle_cfg, "2015-01-02 00:00")):
+        x = extraction(spark, work, cfg, ENCOUNTER=enc, LAB_RESULT_CM=labs)
+        assert [r.SPECIMEN_DATE_TIME for r in x.first_scr.collect()] == [ts(first)]
+
+
+@pytest.mark.parametrize(("name", "found"), [("oracle", 1), ("postgres", 0), ("tsql", 0)])
+def test_missing_admission_time(spark, work, name, found):
+    """Midnight in one dialect; in the others a stay that no time is inside of."""
+    enc = [stay("e", "p", "2015-01-01", "2015-01-09 10:00")]
+    labs = [scr("p", "2015-01-01", "2015-01-01 08:00", 1.0, ENCOUNTERID="x")]
+    x = extraction(spark, work, preset(name), ENCOUNTER=enc, LAB_RESULT_CM=labs)
+    assert x.matched.count() == found
 
 
 def test_lab_match_presets(spark, work):
@@ -268,8 +274,9 @@ def test_exclusions_and_eligible_are_disjoint(spark, work, oracle_cfg):
     )
     assert ids(x.exclude_all) == ["later"]
     assert set(ids(x.eligible)) == {"e"}
-    audit = exclusions.exclusion_audit(x.exclude_all, x.init, x.cdm["DIAGNOSIS"])
-    assert audit.count() == 1
+    excluded = exclusions.excl_pre_esrd(x.init, x.cdm["DIAGNOSIS"])
+    audit = exclusions.exclusion_audit("pre_esrd", excluded, x.init, x.cdm["DIAGNOSIS"])
+    assert [tuple(r)[:3] for r in audit.collect()] == [("later", "09", "585.6")]
 
 
 def test_window_start_does_not_reach_before_the_study(spark, work):
