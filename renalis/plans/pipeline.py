@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from renalis.config import CohortConfig
 from renalis.operators import attrition, cohort, collect, deid, exclusions, staging
-from renalis.session import Workspace
+from renalis.session import Workspace, tune
 
 Cdm = dict[str, DataFrame]
 
@@ -85,7 +85,7 @@ class Extraction:
     @cached_property
     def code_history(self) -> DataFrame:
         history = exclusions.code_history(
-            self.cdm["DIAGNOSIS"], self.cdm["PROCEDURES"], self.cfg
+            self.cdm["DIAGNOSIS"], self.cdm["PROCEDURES"], self.cfg, self.stays
         )
         return self.work.cut(history, "code_history")
 
@@ -162,7 +162,8 @@ class CohortResult:
 
 
 def extract(spark: SparkSession, cdm: Cdm, cfg: CohortConfig, work: Workspace) -> CohortResult:
-    run = Extraction(spark, cdm, cfg, work)
+    """The results read tables of ``work``: clear it after their last use."""
+    run = Extraction(tune(spark), cdm, cfg, work)
     return CohortResult(run.onsets, run.consort(attrition.BEFORE), run.consort(attrition.AFTER))
 
 
@@ -174,6 +175,7 @@ def collect_one(name: str, onsets: DataFrame, cdm: Cdm, cfg: CohortConfig) -> Da
 
 def collect_all(onsets: DataFrame, cdm: Cdm, cfg: CohortConfig) -> dict[str, DataFrame]:
     """All outputs for which the site has the source table."""
+    tune(onsets.sparkSession)
     tables = {
         "AKI_DEMO_DEATH": collect.collect_death(onsets, cdm["DEATH"]),
         "AKI_DEMO": collect.collect_demographics(onsets, cdm["DEMOGRAPHIC"], cdm["DEATH"], cfg),

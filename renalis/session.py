@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,34 +26,52 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only for local runs that name none."""
+    """The shared folder of the cluster; a temporary one only for runs in a single process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="renalis-")
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever store it is in."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Workspace:
-    """Tables of one run, written to the shared folder and read back.
+    """Tables of one run, written to the shared folder and read back; a context that drops them.
 
-    A written table survives the loss of executors, is scanned with column pruning by each of its
-    readers, and has a known size, so that Spark's own broadcast decision rests on a measured one.
+    Names may repeat, as each table has a folder of its own. A written table survives the loss of
+    executors, is scanned with column pruning by each of its readers, and has a known size, so that
+    Spark's own broadcast decision rests on a measured one.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{root or scratch_root(spark)}/renalis-{uuid.uuid4().hex}"
+        self.tables = 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(
+        self, kind: type | None, error: BaseException | None, trace: TracebackType | None
+    ) -> None:
+        self.clear()
+
+    def folder(self, name: str) -> str:
+        """A new folder of the run."""
+        self.tables += 1
+        return f"{self.path}/{self.tables:03d}-{name}"
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
-        target = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(target)
+        target = self.folder(name)
+        df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
     def clear(self) -> None:
         """Drop this run's tables, once nothing reads them any more."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        delete_folder(self.spark, self.path)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from renalis.sources.schemas import OPTIONAL_TABLES, REQUIRED_TABLES, SCHEMAS, conform
 
+# What an analysis error says if a table is not there. Any other error is a damaged table.
+_ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND")
+# The same from databases behind JDBC: SQLSTATE 42P01 and 42S02, and vendors' own texts.
+_ABSENT_JDBC = ("42P01", "42S02", "ORA-00942", "Invalid object name")
+
 _EXTENSIONS = {"parquet": ".parquet", "orc": ".orc", "csv": ".csv"}
 
 
@@ -26,6 +32,13 @@ def _read_jdbc(spark: SparkSession, url: str, schema: str, table: str, options:
     )
 
 
+def is_absent(error: Exception) -> bool:
+    """Whether reading failed because there is no such table."""
+    if isinstance(error, AnalysisException):
+        return (error.getCondition() or "").split(".")[0] in _ABSENT
+    return any(mark in str(error) for mark in _ABSENT_JDBC)
+
+
 def load_cdm(
     spark: SparkSession,
     source: str,
@@ -38,7 +51,8 @@ def load_cdm(
 
     ``source`` is a directory of files (fmt parquet, orc or csv), a catalog database (fmt table) or
     a JDBC address (fmt jdbc, with ``schema`` and, for parallel reads, the usual partitioning
-    ``options``). Optional tables that a site does not have are left out.
+    ``options``). Optional tables that a site does not have are left out; one that is there and
+    cannot be read is an error.
     """
     found = {}
     for table in tables or [*REQUIRED_TABLES, *OPTIONAL_TABLES]:
@@ -49,8 +63,8 @@ def load_cdm(
                 df = _read_jdbc(spark, source, schema or "", table, options or {})
             else:
                 df = _read_file(spark, source, table, fmt)
-        except AnalysisException:
-            if table in OPTIONAL_TABLES:
+        except (AnalysisException, Py4JJavaError) as error:
+            if table in OPTIONAL_TABLES and is_absent(error):
                 continue
             raise
         found[table] = conform(df, table) if table in SCHEMAS else df

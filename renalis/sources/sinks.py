@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from renalis.operators.collect import COLLECTIONS
+from renalis.session import delete_folder
 
 RAW_EXPORTS = [
     "AKI_ONSETS", "CONSORT_DIAGRAM_BC", "CONSORT_DIAGRAM_AD", "AKI_DEMO_DEATH", "AKI_DEMO",
@@ -20,25 +22,36 @@ def save_table(df: DataFrame, name: str, database: str) -> DataFrame:
     return spark.table(f"{database}.{name}")
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """UTF-8 CSV with a header in each part file; dates as yyyy-MM-dd, times to the second."""
+def export_csv(df: DataFrame, path: str) -> int:
+    """UTF-8 CSV with a header in each part file; dates as yyyy-MM-dd, times to the second.
+
+    Returns the number of rows, counted while they are written.
+    """
+    seen = Observation()
     (
-        df.write.mode("overwrite")
+        df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("dateFormat", "yyyy-MM-dd")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
+    return seen.get["rows"]
 
 
 def export_all(tables: dict[str, DataFrame], folder: str, names: list[str]) -> list[str]:
-    """Export the listed tables that are present and not empty; returns the names written."""
+    """Export the listed tables that are present and not empty; returns the names written.
+
+    Each table is computed once. The folder of one that turns out empty is removed again.
+    """
     written = []
     for name in names:
         table = tables.get(name)
-        if table is None or table.isEmpty():
+        if table is None:
             continue
-        export_csv(table, f"{folder}/{name}")
-        written.append(name)
+        if export_csv(table, f"{folder}/{name}"):
+            written.append(name)
+        else:
+            delete_folder(table.sparkSession, f"{folder}/{name}")
     return written

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 
-from renalis.sources.cdm import load_cdm
+from renalis.sources.cdm import is_absent, load_cdm
 from renalis.sources.schemas import SCHEMAS, conform, missing_columns
 from renalis.sources.sinks import DEID_EXPORTS, RAW_EXPORTS, export_all, export_csv, save_table
 from tests.conftest import d, person, site, stay
@@ -41,6 +41,23 @@ def test_missing_required_table(spark, tmp_path):
         load_cdm(spark, str(tmp_path))
 
 
+def test_damaged_optional_table_is_an_error(spark, tmp_path):
+    write_site(spark, str(tmp_path))
+    os.makedirs(tmp_path / "vital.parquet")
+    (tmp_path / "vital.parquet" / "part-0.parquet").write_bytes(b"not a table")
+    with pytest.raises(Exception, match="(?i)footer|parquet|schema"):
+        load_cdm(spark, str(tmp_path))
+
+
+def test_absent_tables_behind_jdbc():
+    class Error(Exception):
+        pass
+
+    assert is_absent(Error("ORA-00942: table or view does not exist"))
+    assert is_absent(Error('ERROR: relation "cdm.vital" does not exist; SQLSTATE 42P01'))
+    assert not is_absent(Error("ORA-01017: invalid username/password"))
+
+
 def test_load_catalog_tables(spark, tmp_path):
     spark.sql(f"create database if not exists site_a location '{tmp_path}/db'")
     try:
@@ -67,6 +84,7 @@ def test_export_skips_empty_and_absent_tables(spark, tmp_path):
     back = spark.read.option("header", True).csv(f"{tmp_path}/AKI_DEMO")
     assert back.columns == SCHEMAS["DEMOGRAPHIC"].names
     assert (back.first().BIRTH_DATE, back.first().RAW_RACE) == ("1960-01-01", "Œuvre")
+    assert not os.path.exists(tmp_path / "AKI_PX")
     parts = [f for f in os.listdir(tmp_path / "AKI_DEMO") if f.endswith(".csv")]
     raw = b"".join((tmp_path / "AKI_DEMO" / f).read_bytes() for f in parts)
     assert "Œuvre".encode() in raw
