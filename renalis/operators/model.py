@@ -14,13 +14,13 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from renalis.session import Workspace
 from renalis.sources.matrix import KEYS, load_matrix
 
-LABEL, WEIGHT, FOLD, FEATURES, VALIDATION = "label", "weight", "fold", "features", "validation"
+LABEL, WEIGHT, FOLD, FEATURES = "label", "weight", "fold", "features"
 
 # The search spaces.
 HALVING_GRID = {
@@ -75,7 +75,7 @@ def boolean_features(df: DataFrame) -> list[str]:
 
 def numeric_features(df: DataFrame, label: str = LABEL) -> list[str]:
     numeric = ("double", "float", "int", "bigint", "smallint", "tinyint", "decimal")
-    skip = {label, WEIGHT, FOLD, VALIDATION, *KEYS}
+    skip = {label, WEIGHT, FOLD, *KEYS}
     return [n for n, kind in df.dtypes if kind.split("(")[0] in numeric and n not in skip]
 
 
@@ -135,7 +135,7 @@ def roc_auc(
         "per_score",
     )
     bounds = per_score.approxQuantile("score", [i / slots for i in range(1, slots)], 0.25 / slots)
-    splits = [-math.inf, *sorted(set(bounds)), math.inf]
+    splits = [-math.inf, *(sorted(set(bounds)) or [0.0]), math.inf]  # no scores, no bounds
     slotted = Bucketizer(splits=splits, inputCol="score", outputCol="slot").transform(per_score)
     lower = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     totals = slotted.groupBy("slot").agg(F.sum("neg").alias("neg"))
@@ -220,6 +220,45 @@ def halving_schedule(
     return rungs
 
 
+def halving_plan(
+    folds: DataFrame,
+    spark: SparkSession,
+    grid: dict[str, list] = HALVING_GRID,
+    trees: tuple[int, int] = HALVING_TREES,
+    factor: int = 3,
+) -> DataFrame:
+    """One row per rung and fold of a halving search: trees, candidates, rows fitted and held out."""
+    rungs = [
+        (i, n, keep)
+        for i, (n, keep) in enumerate(halving_schedule(len(expand_grid(grid)), *trees, factor))
+    ]
+    plan = spark.createDataFrame(rungs, "rung int, n_estimators int, candidates int")
+    counts = folds.groupBy(FOLD).agg(F.count("*").alias("held_rows"))
+    total = F.sum("held_rows").over(Window.partitionBy(F.lit(1)))  # a row for each fold
+    counts = counts.withColumn("fit_rows", total - F.col("held_rows"))
+    every = plan.select(F.collect_list(F.struct(*plan.columns)).alias("rungs")).scalar()
+    counts = counts.withColumn("rungs", every)
+    return counts.select(FOLD, "fit_rows", "held_rows", F.inline("rungs"))
+
+
+def grid_table(
+    rows: int, spark: SparkSession, grid: dict[str, list] = HALVING_GRID
+) -> DataFrame:
+    """The candidates of a grid in the booster's parameters, as param_maps() sets them."""
+    estimator = booster()
+    names = {
+        "subsample": estimator.subsamplingRate,
+        "colsample": estimator.featureSubsetStrategy,
+        "max_depth": estimator.maxDepth,
+        "learning_rate": estimator.stepSize,
+        "min_child_weight": estimator.minInstancesPerNode,
+        "gamma": estimator.minInfoGain,
+    }
+    maps = param_maps(estimator, expand_grid(grid), rows)
+    values = [tuple(float(m[names[n]]) for n in names) for m in maps]
+    return spark.createDataFrame(values, ", ".join(f"{n} double" for n in names))
+
+
 @dataclass(frozen=True)
 class Training:
     """Training rows, prepared once for all the fits of a search."""
@@ -255,9 +294,15 @@ def booster(seed: int = 0, **params) -> GBTClassifier:
 
 
 def _cross_validate(
-    estimator: Estimator, maps: list[dict], training: Training, k: int, parallelism: int
+    estimator: Estimator,
+    maps: list[dict],
+    training: Training,
+    k: int,
+    parallelism: int,
+    metric: str,
 ) -> list[float]:
-    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
+    """Mean of the metric over the folds, for each map of parameters; larger is better."""
+    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName=metric)
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=maps,
@@ -266,7 +311,8 @@ def _cross_validate(
         foldCol=FOLD,
         parallelism=parallelism,
     )
-    return search.fit(training.rows).avgMetrics
+    sign = 1 if evaluator.isLargerBetter() else -1
+    return [sign * value for value in search.fit(training.rows).avgMetrics]
 
 
 def _best_first(candidates: list[Settings], scores: list[float]) -> list[int]:
@@ -281,6 +327,7 @@ def grid_search_halving(
     k: int = 5,
     seed: int = 0,
     parallelism: int = 4,
+    metric: str = "accuracy",
 ) -> list[Settings]:
     """Successive halving on the number of trees; the candidates of the last rung, best first."""
     alive = expand_grid(grid)
@@ -288,7 +335,7 @@ def grid_search_halving(
         alive = [{**c, "n_estimators": n_trees} for c in alive[:keep]]
         estimator = booster(seed)
         maps = param_maps(estimator, alive, training.count)
-        scores = _cross_validate(estimator, maps, training, k, parallelism)
+        scores = _cross_validate(estimator, maps, training, k, parallelism, metric)
         alive = [{**alive[i], "score": scores[i]} for i in _best_first(alive, scores)]
     return alive
 
@@ -300,33 +347,59 @@ def random_search(
     k: int = 5,
     seed: int = 0,
     parallelism: int = 4,
+    metric: str = "logLoss",
 ) -> list[Settings]:
-    """Cross-validate a seeded sample of the candidates; all of it, best first."""
+    """Cross-validate a seeded sample of the candidates; all of it, best first.
+
+    Log loss, and not accuracy, which favours the majority class where positives are rare.
+    """
     pool = expand_grid(RANDOM_GRID) if candidates is None else candidates
     drawn = random.Random(seed).sample(pool, min(n_iter, len(pool)))
     estimator = booster(seed)
     maps = param_maps(estimator, drawn, training.count)
-    scores = _cross_validate(estimator, maps, training, k, parallelism)
+    scores = _cross_validate(estimator, maps, training, k, parallelism, metric)
     return [{**drawn[i], "score": scores[i]} for i in _best_first(drawn, scores)]
 
 
-def default_fit(training: Training, n_trees: int = 20, seed: int = 0) -> Model:
+def default_fit(training: Training, n_trees: int = 20, seed: int = 0, **params) -> Model:
     """Default booster with class weights."""
-    return booster(seed, maxIter=n_trees).fit(training.rows)
+    return booster(seed, maxIter=n_trees, **params).fit(training.rows)
+
+
+def stopping_round(losses: list[float], patience: int) -> int:
+    """Trees to keep: those up to the least loss that no loss of the next `patience` trees beats."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def fit_early_stop(
-    training: Training, settings: Settings, tolerance: float = 0.01, seed: int = 0
+    training: Training, settings: Settings, patience: int = 50, seed: int = 0
 ) -> Model:
-    """Fit that stops once the error on a held-out fold no longer falls.
+    """Fit on all rows, with as many trees as lower the loss on a held-out fold.
 
-    The held-out rows are the first fold. Stopping on the training rows themselves, as a booster
-    given them as its evaluation set does, would not notice overfitting.
+    Trees are fitted on the other folds until `patience` of them in a row bring no gain on the first
+    fold. The number of trees up to the best one is then fitted on all rows. Stopping on the training
+    rows themselves would not notice overfitting. Trees come in doubling batches, as a fit with fewer
+    trees is the beginning of one with more.
     """
-    rows = training.rows.withColumn(VALIDATION, F.col(FOLD) == 0)
-    estimator = booster(seed, validationIndicatorCol=VALIDATION, validationTol=tolerance)
     chosen = {n: v for n, v in settings.items() if n != "score"}
-    return estimator.copy(param_maps(estimator, [chosen], training.count)[0]).fit(rows)
+    estimator = booster(seed)
+    estimator = estimator.copy(param_maps(estimator, [chosen], training.count)[0])
+    most = estimator.getMaxIter()
+    fitting, held = training.rows.filter(F.col(FOLD) != 0), training.rows.filter(F.col(FOLD) == 0)
+    n = min(most, 2 * patience)
+    while True:
+        trial = estimator.copy({estimator.maxIter: n}).fit(fitting)
+        losses = trial.evaluateEachIteration(held)
+        keep = stopping_round(losses, patience)
+        if keep + patience <= n or n == most:
+            return estimator.copy({estimator.maxIter: keep}).fit(training.rows)
+        n = min(most, 2 * n)
 
 
 def score(model: Model, training: Training, test: DataFrame, label: str = LABEL) -> DataFrame:
@@ -367,16 +440,17 @@ def run_setting(
         best = random_search(training, drawn, len(drawn), k, seed)[0]
     elif model_type == "catr":
         best = random_search(training, k=k, seed=seed, **options)[0]
-    elif model_type == "catd":
-        best = {"n_estimators": options.get("n_estimators", 1000), "max_depth": 6}
-    else:
+    elif model_type != "catd":
         raise ValueError(f"unknown model type {model_type}")
-    model = fit_early_stop(training, best, seed=seed)
+    if model_type == "catd":
+        model = default_fit(training, options.get("n_estimators", 1000), seed, maxDepth=6)
+    else:
+        model = fit_early_stop(training, best, seed=seed)
     if model_path:
         model.write().overwrite().save(model_path)
     scored = work.cut(score(model, training, test, label), "scored")
-    auc_label = roc_auc(scored, "prediction", Workspace(work.spark, work.path)).first()["auc"]
-    auc_score = roc_auc(scored, "probability", Workspace(work.spark, work.path)).first()["auc"]
+    auc_label = roc_auc(scored, "prediction", work).first()["auc"]
+    auc_score = roc_auc(scored, "probability", work).first()["auc"]
     row = [
         *[str(setting[key]) for key in KEYS],
         model_type,

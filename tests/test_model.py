@@ -123,3 +123,34 @@ def test_stored_matrices_and_settings(spark, work):
     assert result.site == "01" and result.model_type == "catr" and 0.5 < result.auc <= 1
     with pytest.raises(ValueError):
         model.run_stored_setting(root, SETTING, "other", "row_id", work, k=2)
+
+
+def test_stopping_round():
+    falling = [1 / (i + 1) for i in range(200)]
+    assert model.stopping_round(falling, 50) == 200
+    assert model.stopping_round([3, 2, 1, 2, 2, 0.5], 3) == 6
+    assert model.stopping_round([3, 2, 1, 2, 2, 2, 0.5], 3) == 3
+    assert model.stopping_round([1.0], 50) == 1
+
+
+def test_early_stop_goes_on_while_the_loss_falls(spark, work):
+    training = model.prepare(matrix(spark), "row_id", work, k=3)
+    settings = {"n_estimators": 120, "max_depth": 1, "learning_rate": 0.01}
+    fitted = model.fit_early_stop(training, settings, patience=20)
+    assert fitted.getNumTrees > 100
+    # The last fit is that of all rows.
+    again = model.booster(maxIter=fitted.getNumTrees, maxDepth=1, stepSize=0.01).fit(training.rows)
+    assert again.toDebugString.split("\n", 1)[1] == fitted.toDebugString.split("\n", 1)[1]
+
+
+def test_auc_of_nothing(spark, work):
+    none = spark.createDataFrame([], "label int, score double")
+    assert model.roc_auc(none, "score", work).first()["auc"] is None
+
+
+def test_two_results_on_one_workspace(spark, work):
+    rows = [(0, 0.1), (1, 0.9), (0, 0.4), (1, 0.3)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    first = model.roc_auc(df, "score", work)
+    second = model.roc_auc(df.withColumn("score", -F.col("score")), "score", work)
+    assert (first.first()["auc"], second.first()["auc"]) == (0.75, 0.25)
