@@ -62,7 +62,8 @@ class CohortConfig:
 
 
 PRESETS: dict[str, CohortConfig] = {
-    "oracle": CohortConfig(),
+    # Its date function takes a missing time as midnight; the others' give NULL.
+    "oracle": CohortConfig(missing_time="midnight"),
     "postgres": CohortConfig(
         age_mode="calendar",
         demo_age_mode="complete",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -46,17 +47,36 @@ def _procedure_days(procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
 _FROM_DIAGNOSES = {
     "FIRST_ESRD": ("ESRD", F.min),
     "FIRST_RRT_DX": ("RRT_DX", F.min),
-    "BURN_DAYS": ("BURN", F.collect_set),
+    "BURN_DAYS": ("BURN", F.collect_list),
 }
 _FROM_PROCEDURES = {
     "FIRST_RRT_PX": ("RRT_PX", F.min),
-    "TRANSPLANT_DAYS": ("TRANSPLANT", F.collect_set),
-    "RRT48_DAYS": ("RRT48", F.collect_set),
+    "TRANSPLANT_DAYS": ("TRANSPLANT", F.collect_list),
+    "RRT48_DAYS": ("RRT48", F.collect_list),
 }
 
 
+def _kinds(days: DataFrame) -> DataFrame:
+    """(PATID, kind, day), each once: what tasks send on, however many codes a patient has."""
+    kinds = [
+        F.struct(F.lit(c).alias("kind"), F.col(c).alias("day")) for c in days.columns if c != "PATID"
+    ]
+    each = days.select("PATID", F.inline(F.array(*kinds)))
+    return each.filter("day is not null").distinct()
+
+
 def _per_patient(days: DataFrame, summary: dict) -> DataFrame:
-    return days.groupBy("PATID").agg(*[how(day).alias(n) for n, (day, how) in summary.items()])
+    """Lists of days are built last, from rows that are distinct already."""
+    return (
+        _kinds(days)
+        .groupBy("PATID")
+        .agg(
+            *[
+                how(F.when(F.col("kind") == kind, F.col("day"))).alias(name)
+                for name, (kind, how) in summary.items()
+            ]
+        )
+    )
 
 
 def diagnosis_history(diagnosis: DataFrame) -> DataFrame:
@@ -73,11 +93,21 @@ def procedure_history(procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
     return _per_patient(_procedure_days(procedures, cfg), _FROM_PROCEDURES)
 
 
-def code_history(diagnosis: DataFrame, procedures: DataFrame, cfg: CohortConfig) -> DataFrame:
-    """Both histories in one row per patient: one pass over each table, one shuffle for both."""
+def code_history(
+    diagnosis: DataFrame,
+    procedures: DataFrame,
+    cfg: CohortConfig,
+    patients: DataFrame | None = None,
+) -> DataFrame:
+    """Both histories in one row per patient: one pass over each table, one shuffle for both.
+
+    ``patients`` (PATID) limits it to the cohort's.
+    """
     days = _diagnosis_days(diagnosis).unionByName(
         _procedure_days(procedures, cfg), allowMissingColumns=True
     )
+    if patients is not None:
+        days = days.join(patients.select("PATID"), "PATID", "left_semi")
     return _per_patient(days, {**_FROM_DIAGNOSES, **_FROM_PROCEDURES})
 
 
@@ -242,7 +272,40 @@ def not_excluded(screened: DataFrame) -> DataFrame:
     return screened.filter(~hit)
 
 
-def exclusion_audit(excluded: DataFrame, init: DataFrame, codes: DataFrame) -> DataFrame:
-    """Every code row of the patients behind an exclusion, once; PATID leads back to the stays."""
-    patients = init.join(excluded.select("ENCOUNTERID"), "ENCOUNTERID", "left_semi")
-    return codes.join(patients.select("PATID"), "PATID", "left_semi")
+@dataclass(frozen=True)
+class AuditedRule:
+    """A rule of earlier codes: where its code rows are, and which count."""
+
+    table: str
+    columns: tuple[str, str, str]  # code system, code, date
+    sets: tuple[str, ...]
+
+    def codes(self) -> Column:
+        return reduce(or_, [code_match(name, *self.columns[:2]) for name in self.sets])
+
+
+AUDITED = {
+    "pre_esrd": AuditedRule("DIAGNOSIS", ("DX_TYPE", "DX", "ADMIT_DATE"), ("ESRD_DX",)),
+    "pre_rrt_dx": AuditedRule("DIAGNOSIS", ("DX_TYPE", "DX", "ADMIT_DATE"), ("RRT_DX",)),
+    "pre_rrt_px": AuditedRule(
+        "PROCEDURES", ("PX_TYPE", "PX", "PX_DATE"), ("TRANSPLANT_PX", "DIALYSIS_PX")
+    ),
+}
+
+
+def exclusion_audit(
+    rule: str, excluded: DataFrame, init: DataFrame, rows: DataFrame, every_code: bool = False
+) -> DataFrame:
+    """The codes behind an exclusion: ENCOUNTERID of the excluded stay, code system, code, date.
+
+    Codes of the rule's sets only, which keeps the list in proportion to them; ``every_code`` lists
+    all codes of the patients instead.
+    """
+    spec = AUDITED[rule]
+    stays = init.select("ENCOUNTERID", "PATID").join(
+        excluded.select("ENCOUNTERID"), "ENCOUNTERID", "left_semi"
+    )
+    listed = rows if every_code else rows.filter(spec.codes())
+    return stays.join(listed.select("PATID", *spec.columns), "PATID").select(
+        "ENCOUNTERID", *spec.columns
+    )

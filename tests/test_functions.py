@@ -119,3 +119,22 @@ def test_code_table(spark):
     counts = {r[0]: r[1] for r in table.groupBy("set_name").count().collect()}
     assert counts["SCR_LOINC"] == 7 and counts["VITAL_CODES"] == 45 and counts["VITAL_NAMES"] == 8
     assert counts["BURN_DX"] == 27 and counts["TRANSPLANT_PX"] == 29
+
+
+def test_codes_of_the_study():
+    """Literal values, as the check SQL takes its lists from the library."""
+    sets = {
+        name: sorted(c for _, _, listed in rules for c in listed)
+        for name, rules in codes.CODE_SETS.items()
+    }
+    assert sets["ESRD_DX"] == ["585.6", "N18.6"]
+    assert sets["RRT_DX"] == [
+        "996.81", "T86.10", "T86.11", "T86.12", "V42.0", "V45.1", "V56.", "Z49.31", "Z94.0", "Z99.2",
+    ]
+    assert sets["DIALYSIS_PX"] == [
+        "39.93", "39.95", "54.98", "5A1D00Z", "5A1D60Z", "5A1D70Z", "5A1D80Z", "5A1D90Z", "90935",
+        "90937", "9094", "9095", "9096", "9097", "9098", "9099",
+    ]
+    assert {n: len(c) for n, c in sets.items()} == {
+        "ESRD_DX": 2, "RRT_DX": 10, "DIALYSIS_PX": 16, "TRANSPLANT_PX": 29, "BURN_DX": 27,
+    }
