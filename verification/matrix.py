@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from renalis.operators import model
 from renalis.plans.pipeline import Extraction
 
 SETTING = {"site": "S1", "year": 1998, "stg": "stg01", "fs": "all", "oversample": "raw"}
@@ -38,6 +39,42 @@ AUC_SQL = """
     group by p, n"""
 
 
+# One row per feature and kind, with what the matrix holds of it.
+KINDS_SQL = """
+    select 'female' as feature, true as is_boolean, count(female) as n from matrix
+    union all select 'black', true, count(black) from matrix
+    union all select 'base_scr', false, count(base_scr) from matrix
+    union all select 'age', false, count(age) from matrix
+    union all select 'los', false, count(los) from matrix"""
+RUNGS_SQL = """
+    select r.rung, r.n_estimators, r.candidates, f.fold, f.held_rows,
+           cast(sum(f.held_rows) over (partition by r.rung) as bigint) - f.held_rows as fit_rows
+    from (values (0, 100, 216), (1, 100, 72), (2, 100, 24), (3, 300, 8), (4, 900, 3))
+             r (rung, n_estimators, candidates)
+    cross join (select fold, count(*) as held_rows from stratified_folds group by fold) f"""
+GRID_SQL = """
+    select s.subsample, c.colsample, d.max_depth, l.learning_rate, w.min_child_weight,
+           g.gamma / (select count(*) from matrix) as gamma
+    from (values (0.5e0), (1.0e0)) s (subsample)
+    cross join (values (0.6e0), (0.8e0), (1.0e0)) c (colsample)
+    cross join (values (5e0), (10e0)) d (max_depth)
+    cross join (values (0.01e0), (0.1e0), (0.5e0)) l (learning_rate)
+    cross join (values (1e0), (5e0), (10e0)) w (min_child_weight)
+    cross join (values (0.5e0), (1.0e0)) g (gamma)"""
+
+
+def feature_kinds(x: Extraction) -> DataFrame:
+    """The features by kind, as the assembler takes them, with the number of values of each."""
+    rows = feature_matrix(x)
+    kinds = [(n, False) for n in model.numeric_features(rows)]
+    kinds += [(n, True) for n in model.boolean_features(rows)]
+    each = [
+        F.struct(F.lit(n).alias("feature"), F.lit(b).alias("is_boolean"), F.count(n).alias("n"))
+        for n, b in kinds
+    ]
+    return rows.agg(F.array(*each).alias("found")).select(F.inline("found"))
+
+
 def feature_matrix(x: Extraction) -> DataFrame:
     """One row per stay of the onset table; label: any injury."""
     injured = F.coalesce("AKI1_ONSET", "AKI2_ONSET", "AKI3_ONSET").isNotNull()

@@ -39,7 +39,9 @@ def _age(at: str, birth: str, mode: str) -> str:
     return f"cast(date_sub('year', {birth}, {at}) as integer)"
 
 
-def _stamp(day: str, time: str) -> str:
+def _stamp(day: str, time: str, cfg: CohortConfig) -> str:
+    if cfg.missing_time == "midnight":
+        time = f"coalesce({time}, '00:00')"
     return f"cast(strftime({day}, '%Y-%m-%d') || ' ' || {time} as timestamp)"
 
 
@@ -105,8 +107,8 @@ def _cohort_steps(cfg: CohortConfig) -> dict[str, str]:
 
     steps = {
         "initial_cohort": f"""
-            select ENCOUNTERID, PATID, age_at_admit, {_stamp("ADMIT_DATE", "ADMIT_TIME")} as {_ADMIT},
-                   {_stamp("DISCHARGE_DATE", "DISCHARGE_TIME")} as {_DISCHARGE},
+            select ENCOUNTERID, PATID, age_at_admit, {_stamp("ADMIT_DATE", "ADMIT_TIME", cfg)} as {_ADMIT},
+                   {_stamp("DISCHARGE_DATE", "DISCHARGE_TIME", cfg)} as {_DISCHARGE},
                    cast(DISCHARGE_DATE - ADMIT_DATE as integer) as los{extra}
             from (select e.*, {_age("e.ADMIT_DATE", "d.BIRTH_DATE", cfg.age_mode)} as age_at_admit
                   from ENCOUNTER e join DEMOGRAPHIC d using (PATID)
@@ -125,8 +127,8 @@ def _cohort_steps(cfg: CohortConfig) -> dict[str, str]:
             select distinct PATID, {owner}SERUM_CREAT,
                    round(175.0 * {scr_term} * {age_term} * if(SEX = 'F', 0.742, 1.0)
                          * if(RACE = '03', 1.212, 1.0), {10 if cfg.egfr_round else 4}) as EGFR,
-                   LAB_ORDER_DATE, {_stamp("SPECIMEN_DATE", "SPECIMEN_TIME")} as SPECIMEN_DATE_TIME,
-                   {_stamp("RESULT_DATE", "RESULT_TIME")} as RESULT_DATE_TIME
+                   LAB_ORDER_DATE, {_stamp("SPECIMEN_DATE", "SPECIMEN_TIME", cfg)} as SPECIMEN_DATE_TIME,
+                   {_stamp("RESULT_DATE", "RESULT_TIME", cfg)} as RESULT_DATE_TIME
             from (select m.*, m.RESULT_NUM as SERUM_CREAT, d.SEX, d.RACE,
                          {_age("m.LAB_ORDER_DATE", "d.BIRTH_DATE", cfg.age_mode)} as AGE
                   from scr_mean m join DEMOGRAPHIC d on d.PATID = m.PATID)
@@ -219,9 +221,18 @@ def _exclusion_steps(cfg: CohortConfig) -> dict[str, str]:
         f"select ENCOUNTERID, '{label}' as EXCLUD_TYPE from {source}"
         for label, source in labels.items()
     )
-    steps["audit_pre_esrd"] = """
-        select d.* from DIAGNOSIS d
-        where d.PATID in (select PATID from init where ENCOUNTERID in (from excl_pre_esrd))"""
+    dx, px = ("DX_TYPE", "DX", "ADMIT_DATE"), ("PX_TYPE", "PX", "PX_DATE")
+    audited = {
+        "pre_esrd": ("DIAGNOSIS", dx, _codes("ESRD_DX", "DX_TYPE", "DX")),
+        "pre_rrt_dx": ("DIAGNOSIS", dx, _codes("RRT_DX", "DX_TYPE", "DX")),
+        "pre_rrt_px": ("PROCEDURES", px, f"({transplant} or {dialysis})"),
+    }
+    for rule, (table, columns, codes) in audited.items():
+        listed = ", ".join(f"t.{c}" for c in columns)
+        for suffix, which in (("", codes), ("_every_code", "true")):
+            steps[f"audit_{rule}{suffix}"] = f"""
+                select i.ENCOUNTERID, {listed} from init i join {table} t on t.PATID = i.PATID
+                where i.ENCOUNTERID in (select ENCOUNTERID from excl_{rule}) and {which}"""
     steps["eligible"] = f"""
         select a.PATID, a.ENCOUNTERID, b.{_ADMIT}, b.{_DISCHARGE},
                b.SERUM_CREAT as SERUM_CREAT_BASE, b.SPECIMEN_DATE_TIME as SPECIMEN_DATE_TIME_BASE,
@@ -515,6 +526,9 @@ def _model_steps() -> dict[str, str]:
         "class_weight": matrix.WEIGHT_SQL,
         "stratified_folds": matrix.FOLDS_SQL,
         "roc_auc": matrix.AUC_SQL,
+        "boolean_features": matrix.KINDS_SQL,
+        "halving_rungs": matrix.RUNGS_SQL,
+        "grid_parameters": matrix.GRID_SQL,
     }
 
 

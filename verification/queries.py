@@ -13,7 +13,6 @@ from renalis import preset, session
 from renalis.config import CohortConfig
 from renalis.operators import attrition, cohort, collect, deid, exclusions, model, staging
 from renalis.plans.pipeline import Extraction, collect_one
-from renalis.sources.matrix import SPLITS, save_matrix
 from verification import matrix, oracle
 from verification.views import load_views
 
@@ -156,6 +155,15 @@ def _shift_by_table(x: Extraction) -> DataFrame:
     return deid.shift_table("AKI_LAB", labs, deid.date_shift_table(x.onsets, SALT, x.cfg), x.cfg)
 
 
+def _audit(rule: str, **options: bool) -> Build:
+    def build(x: Extraction) -> DataFrame:
+        rows = x.cdm[exclusions.AUDITED[rule].table]
+        excluded = _FLAGGED[f"excl_{rule}"](x)
+        return exclusions.exclusion_audit(rule, excluded, x.init, rows, **options)
+
+    return build
+
+
 def _baseline(x: Extraction) -> DataFrame:
     return x.baseline.drop("FIRST_TIME", "FIRST_EGFR")
 
@@ -167,49 +175,27 @@ def _match_all_scr(x: Extraction) -> DataFrame:
     return cohort.match_labs_to_encounter(scr, x.initial_cohort, x.cfg)
 
 
-def _training(x: Extraction) -> model.Training:
-    train, _ = matrix.split(x.work.cut(matrix.feature_matrix(x), "matrix"))
-    return model.prepare(train, "row_id", x.work, k=2)
-
-
-# Small searches: what is checked is the mechanism, on all rows.
-_SMALL_GRID = {"max_depth": [2, 4], "learning_rate": [0.1, 0.5], "subsample": [1.0]}
+def _matrix(x: Extraction) -> DataFrame:
+    return x.work.cut(matrix.feature_matrix(x), "matrix")
 
 
-def _candidates(x: Extraction, found: list[dict]) -> DataFrame:
-    columns = ["n_estimators", "max_depth", "learning_rate", "subsample", "score"]
-    rows = [[float(c[name]) for name in columns] for c in found]
-    return x.spark.createDataFrame(rows, ", ".join(f"{name} double" for name in columns))
-
-
-def _halving(x: Extraction) -> DataFrame:
-    found = model.grid_search_halving(_training(x), _SMALL_GRID, (2, 4), factor=2, k=2)
-    return _candidates(x, found)
+def _halving_rungs(x: Extraction) -> DataFrame:
+    """What each fit of the halving search works on: trees, candidates, and rows by fold."""
+    folds = model.stratified_folds(
+        _matrix(x).select("row_id", "label"), "row_id", seed=matrix.FOLDS_SEED
+    )
+    return model.halving_plan(folds, x.spark)
 
 
-def _random(x: Extraction) -> DataFrame:
-    pool = [{**c, "n_estimators": 3} for c in model.expand_grid(_SMALL_GRID)]
-    return _candidates(x, model.random_search(_training(x), pool, n_iter=2, k=2))
+def _grid_parameters(x: Extraction) -> DataFrame:
+    """The halving grid as parameters of the booster, for the training rows at hand."""
+    return model.grid_table(_matrix(x).count(), x.spark)
 
 
 def _default_fit(x: Extraction) -> DataFrame:
-    rows = x.work.cut(matrix.feature_matrix(x), "matrix")
-    train, test = matrix.split(rows)
-    training = model.prepare(train, "row_id", x.work, k=2)
-    return model.score(model.default_fit(training, n_trees=5), training, test)
-
-
-def _run_setting(x: Extraction) -> DataFrame:
-    """Through stored matrices, as a training run reads them."""
-    rows = matrix.feature_matrix(x)
-    for key, value in matrix.SETTING.items():
-        rows = rows.withColumn(key, F.lit(value))
-    root = f"{x.work.path}/matrices"
-    for part, df in zip(SPLITS, matrix.split(rows)):
-        save_matrix(df, root, part)
-    return model.run_stored_setting(
-        root, matrix.SETTING, "catd", "row_id", x.work, k=2, search={"n_estimators": 5}
-    )
+    train, test = matrix.split(_matrix(x))
+    training = model.prepare(train, "row_id", x.work)
+    return model.score(model.default_fit(training), training, test)
 
 
 _MODEL: dict[str, tuple[Build, str | None]] = {
@@ -227,10 +213,10 @@ _MODEL: dict[str, tuple[Build, str | None]] = {
         lambda x: model.roc_auc(matrix.feature_matrix(x), "base_scr", x.work),
         "roc_auc",
     ),
-    "grid_search_halving": (_halving, None),
-    "random_search": (_random, None),
+    "boolean_features": (matrix.feature_kinds, "boolean_features"),
+    "halving_rungs": (_halving_rungs, "halving_rungs"),
+    "grid_parameters": (_grid_parameters, "grid_parameters"),
     "default_fit": (_default_fit, None),
-    "run_setting": (_run_setting, None),
 }
 
 
@@ -244,11 +230,10 @@ def registry() -> dict[str, Query]:
     found["excl_few_scr"] = Query(
         lambda x: exclusions.excl_few_scr(x.matched, x.cfg), "excl_few_scr", "tsql"
     )
-    found["audit_pre_esrd"] = Query(
-        lambda x: exclusions.exclusion_audit(
-            exclusions.excl_pre_esrd(x.init, x.cdm["DIAGNOSIS"]), x.init, x.cdm["DIAGNOSIS"]
-        ),
-        "audit_pre_esrd",
+    for rule in exclusions.AUDITED:
+        found[f"audit_{rule}"] = Query(_audit(rule), f"audit_{rule}")
+    found["audit_pre_esrd_every_code"] = Query(
+        _audit("pre_esrd", every_code=True), "audit_pre_esrd_every_code"
     )
     for era in (attrition.BEFORE, attrition.AFTER):
         for name, build in _attrition(era).items():

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from renalis.functions.codes import CODE_SETS
+
 
 def _clock(minutes: str) -> str:
     """'HH:MM' text of a minute of the day."""
@@ -39,6 +41,44 @@ def _row(key: str) -> str:
     return f"{_ROW_ID} as {key}, {_PATID} as PATID, {_ENCOUNTERID} as ENCOUNTERID"
 
 
+def _codes(sets: dict[int, list[str]], other: tuple[str, str]) -> tuple[str, str]:
+    """Code and code system of a record: each code of the sets, by l_partkey and l_suppkey.
+
+    sets: which codes go to records whose l_partkey % 100 is the key; other: the code for the rest in
+    the system of an even and of an odd l_suppkey. A prefix gets a digit behind it.
+    """
+    code, kind = [], []
+    for part, names in sets.items():
+        each = [
+            (system, c + ("1" if how == "prefix" else ""))
+            for name in names
+            for system, how, codes in CODE_SETS[name]
+            for c in codes
+        ]
+        place = f"cast(l_suppkey % {len(each)} as int) + 1"
+        for target, at in ((code, 1), (kind, 0)):
+            listed = ",".join(x[at] for x in each)
+            target.append(f"when {part} then split_part('{listed}', ',', {place})")
+    return (
+        f"case l_partkey % 100 {' '.join(code)} else "
+        f"case when l_suppkey % 2 = 0 then '{other[0]}' else '{other[1]}' end end",
+        f"case l_partkey % 100 {' '.join(kind)} else "
+        "case when l_suppkey % 2 = 0 then '09' else '10' end end",
+    )
+
+
+_DX, _DX_TYPE = _codes({0: ["ESRD_DX"], 1: ["RRT_DX"], 2: ["BURN_DX"]}, ("401.9", "I10"))
+_PX, _PX_TYPE = _codes({3: ["DIALYSIS_PX"], 4: ["TRANSPLANT_PX"]}, ("99.21", "99213"))
+# Every 211th stay is over 400 days long, every 307th leaves a window of over 1200 days.
+_STAY_DAYS = (
+    "(case when o_orderkey % 211 = 0 then 500 when o_orderkey % 307 = 0 then 1300 "
+    "else o_orderkey % 12 end)"
+)
+# A third of the lab results were ordered in a contact of their own.
+_LAB_ENCOUNTERID = (
+    "case when l_linenumber % 3 = 0 then 'L' else 'E' end || cast(l_orderkey as string)"
+)
+
 _SPECIMEN_MINUTE = "l_partkey * 13 % 1440"
 _RESULT_MINUTE = f"(({_SPECIMEN_MINUTE}) + 60)"
 
@@ -51,9 +91,11 @@ VIEWS: dict[str, str] = {
         from customer""",
     "ENCOUNTER": f"""
         select {_ENCOUNTERID} as ENCOUNTERID, {_PATID} as PATID,
-               {_OD} as ADMIT_DATE, {_clock("o_orderkey * 37 % 1440")} as ADMIT_TIME,
-               {_plus(_OD, "o_orderkey % 12")} as DISCHARGE_DATE,
-               {_clock("o_orderkey * 53 % 1440")} as DISCHARGE_TIME,
+               {_OD} as ADMIT_DATE,
+               {_when("o_orderkey % 61 <> 0", _clock("o_orderkey * 37 % 1440"))} as ADMIT_TIME,
+               {_plus(_OD, _STAY_DAYS)} as DISCHARGE_DATE,
+               {_when("o_orderkey % 67 <> 0", _clock("o_orderkey * 53 % 1440"))}
+                   as DISCHARGE_TIME,
                case o_orderpriority when '1-URGENT' then 'EI' when '2-HIGH' then 'IP'
                     when '3-MEDIUM' then 'IS' when '4-NOT SPECIFIED' then 'ED'
                     when '5-LOW' then 'AV' end as ENC_TYPE,
@@ -63,14 +105,17 @@ VIEWS: dict[str, str] = {
                {_when("o_orderkey % 4 <> 0", "'HO'")} as ADMITTING_SOURCE
         from orders""",
     "LAB_RESULT_CM": f"""
-        select {_row("LAB_RESULT_CM_ID")},
+        select {_ROW_ID} as LAB_RESULT_CM_ID, {_PATID} as PATID,
+               {_LAB_ENCOUNTERID} as ENCOUNTERID,
                case when l_partkey % 25 = 0 then 'URINE' else 'SER_PLAS' end as SPECIMEN_SOURCE,
                case when l_partkey % 10 = 9 then '2951-2' else '2160-0' end as LAB_LOINC,
                {_plus(_OD, "l_linenumber")} as LAB_ORDER_DATE,
                {_plus(_OD, "l_linenumber")} as SPECIMEN_DATE,
-               {_clock(_SPECIMEN_MINUTE)} as SPECIMEN_TIME,
+               {_when("(l_partkey + l_suppkey) % 17 <> 0", _clock(_SPECIMEN_MINUTE))}
+                   as SPECIMEN_TIME,
                {_plus(_OD, f"l_linenumber + floor({_RESULT_MINUTE} / 1440)")} as RESULT_DATE,
-               {_clock(f"{_RESULT_MINUTE} % 1440")} as RESULT_TIME,
+               {_when("(l_partkey + l_suppkey) % 19 <> 0", _clock(f"{_RESULT_MINUTE} % 1440"))}
+                   as RESULT_TIME,
                0.5e0 + l_quantity / 20 as RESULT_NUM,
                case l_suppkey % 20 when 0 then 'umol/L' when 1 then 'MG' else 'mg/dL' end
                    as RESULT_UNIT
@@ -80,24 +125,13 @@ VIEWS: dict[str, str] = {
                case when l_linenumber = 1 then {_OD} else cast(l_shipdate as date) end
                    as ADMIT_DATE,
                {_plus(_OD, "l_linenumber - 1")} as DX_DATE,
-               case l_partkey % 100
-                    when 0 then case when l_suppkey % 2 = 0 then '585.6' else 'N18.6' end
-                    when 1 then case when l_suppkey % 2 = 0 then 'V45.11' else 'Z99.2' end
-                    when 2 then case when l_suppkey % 2 = 0 then '941.20' else 'T20.10' end
-                    else case when l_suppkey % 2 = 0 then '401.9' else 'I10' end end as DX,
-               case when l_suppkey % 2 = 0 then '09' else '10' end as DX_TYPE,
+               {_DX} as DX, {_DX_TYPE} as DX_TYPE,
                case l_returnflag when 'A' then 'AD' when 'N' then 'FI' else 'DI' end as DX_SOURCE
         {_LINES}""",
     "PROCEDURES": f"""
         select {_row("PROCEDURESID")}, {_OD} as ADMIT_DATE,
                {_plus(_OD, "l_linenumber")} as PX_DATE,
-               case l_partkey % 100
-                    when 3 then case l_suppkey % 3 when 0 then '90935' when 1 then '39.95'
-                                     else '5A1D00Z' end
-                    when 4 then case l_suppkey % 3 when 0 then '50360' when 1 then '55.69'
-                                     else '0TY00Z0' end
-                    else '99213' end as PX,
-               case l_suppkey % 3 when 0 then 'CH' when 1 then '09' else '10' end as PX_TYPE
+               {_PX} as PX, {_PX_TYPE} as PX_TYPE
         {_LINES}""",
     "DEATH": f"""
         select 'P' || cast(c_custkey as string) as PATID,
