@@ -53,7 +53,8 @@ def op6_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive(table(spark, sf_dir, "pages"), f"{Workspace(spark).path}/warc")
+    work = Workspace(spark)
+    return warc.archive(table(spark, sf_dir, "pages"), work.folder("warc"), work)
 
 
 def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,7 +85,6 @@ def rebalance(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     )
 
     def place(acc: F.Column, slot: F.Column) -> F.Column:
-        least = (F.array_position(acc["load"], F.array_min(acc["load"])) - 1).cast("int")
         load = F.transform(
             acc["load"], lambda b, i: b - F.when(i == acc["least"], slot["b"]).otherwise(0)
         )
@@ -110,17 +109,17 @@ def rebalance(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
 class SlotMaps:
     """Versions of the slot-to-shard map, each written once: one row per slot."""
 
-    def __init__(self, work: Workspace):
-        self.work = work
-        self.latest = 0
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.latest = spark, path, 0
 
     def store(self, slot_map: DataFrame) -> DataFrame:
         self.latest += 1
-        return self.work.cut(slot_map.coalesce(1), f"slot_map/version={self.latest}")
+        slot_map.repartition(1).write.parquet(f"{self.path}/version={self.latest}")
+        return self.read()
 
     def read(self, version: int | None = None) -> DataFrame:
-        path = f"{self.work.path}/slot_map/version={version or self.latest}"
-        return self.work.spark.read.schema("virtual_slot int, shard int").parquet(path)
+        path = f"{self.path}/version={version or self.latest}"
+        return self.spark.read.schema("virtual_slot int, shard int").parquet(path)
 
 
 def assign(
@@ -140,8 +139,8 @@ def assign(
     """
     spark = docs.sparkSession
     rows = records(docs, id_col, text_col)
-    sizes = work.cut(slot_sizes(rows).coalesce(1), "slot_sizes")
-    maps = SlotMaps(work)
+    sizes = work.cut(slot_sizes(rows).repartition(1), "slot_sizes")
+    maps = SlotMaps(spark, work.folder("slot_map"))
     first = maps.store(initial_map(spark, shards))
     maps.store(rebalance(first, sizes, shards))
 

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from renalis.session import Workspace
+
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -33,12 +35,17 @@ def payload_digest(payload: Column) -> Column:
     return F.concat(*letters)
 
 
-def headers(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """id, url, digest and bytes of each row; no payload."""
+def _name(id_: Column) -> Column:
+    """The id as text, "-" for a null: a key that joins and windows can share."""
+    return F.coalesce(id_.cast("string"), F.lit("-"))
+
+
+def headers(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """id, its name, digest and bytes of each row; no payload."""
     payload = F.coalesce(F.col(html_col), F.lit(""))
     return pages.select(
         F.col(id_col).alias("id"),
-        F.col(url_col).alias("url"),
+        _name(F.col(id_col)).alias("name"),
         payload_digest(payload).alias("digest"),
         F.octet_length(payload).cast("long").alias("bytes"),
     )
@@ -58,8 +65,8 @@ def originals(head: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def resolved(head: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(id, digest, original) of each distinct id and digest; original null: always a response."""
-    distinct = head.select("id", "digest").distinct()
+    """(name, digest, original) of each distinct id and digest; original null: always a response."""
+    distinct = head.select("name", "digest").distinct()
     return distinct.join(originals(head, min_bytes), "digest", "left")
 
 
@@ -79,9 +86,8 @@ def _line(name: str, value: Column) -> Column:
 
 def _record_id(id_: Column, nth: Column) -> Column:
     """The first record of an id is urn:page:ID; further rows with that id and payload add a number."""
-    named = F.coalesce(id_.cast("string"), F.lit("-"))
     return F.concat(
-        F.lit("<urn:page:"), named, F.when(nth > 1, F.concat(F.lit("."), nth)).otherwise(""), F.lit(">")
+        F.lit("<urn:page:"), _name(id_), F.when(nth > 1, F.concat(F.lit("."), nth)).otherwise(""), F.lit(">")
     )
 
 
@@ -109,17 +115,14 @@ def records(
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(
         F.col(id_col).alias("id"),
+        _name(F.col(id_col)).alias("name"),
         F.col(url_col).alias("url"),
         payload.alias("payload"),
         payload_digest(payload).alias("digest"),
     )
-    decided = resolved(headers(pages, id_col, url_col, html_col), min_bytes).select(
-        F.col("id").alias("d_id"), F.col("digest").alias("d_digest"), "original"
-    )
-    rows = rows.join(
-        decided, (F.col("digest") == F.col("d_digest")) & F.col("id").eqNullSafe(F.col("d_id"))
-    )
-    nth = F.row_number().over(W.partitionBy("digest", "id").orderBy("url"))
+    decided = resolved(headers(pages, id_col, html_col), min_bytes)
+    rows = rows.join(decided, ["digest", "name"])
+    nth = F.row_number().over(W.partitionBy("digest", "name").orderBy("url"))  # no further shuffle
     small = F.octet_length("payload") < min_bytes
     first = F.col("id").eqNullSafe(F.col("original")) & (F.col("nth") == 1)
     rows = rows.withColumn("nth", nth).withColumn("response", small | first)
@@ -162,29 +165,33 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         .text(path)
         .filter(F.col("value") != "")
     )
-    text = F.col("value")
-    head = F.substring_index(text, END, 1)
-    block = F.substring(text, F.length(head) + 5, F.length(text) - F.length(head) - 8)
+    # Record headers, HTTP headers, and the rest, which the two line breaks at the end close.
+    rows = lines.select("value", F.split("value", END, 3).alias("part")).select(
+        F.concat(F.lit("\r\n"), F.col("part")[0]).alias("head"),
+        F.col("part")[1].alias("http"),
+        F.expr("substring(part[2], 1, length(part[2]) - 4)").alias("body"),
+        F.octet_length("value").alias("size"),
+    )
 
     def field(name: str) -> Column:
-        value = F.regexp_extract(F.concat(F.lit("\r\n"), head), rf"\r\n{name}: ([^\r\n]*)", 1)
+        value = F.regexp_extract("head", rf"\r\n{name}: ([^\r\n]*)", 1)
         return F.when(value != "", value)
 
     page = r"^<urn:page:(-?[0-9]*)(?:\.[0-9]+)?>$"
-    http = F.substring_index(block, END, 1)
-    body = F.substring(block, F.length(http) + 5, F.length(block))
-    rows = lines.select(
+    # The block is the value without the record's headers and the line breaks around it.
+    block = F.col("size") - F.octet_length("head") + 2 - 8
+    rows = rows.select(
         field("WARC-Type").alias("type"),
         F.regexp_extract(field("WARC-Record-ID"), page, 1).alias("id"),
         F.regexp_extract(field("WARC-Payload-Digest"), "^sha1:(.*)$", 1).alias("digest"),
         F.regexp_extract(field("WARC-Refers-To"), page, 1).alias("refers_to"),
         field("WARC-Target-URI").alias("uri"),
         F.assert_true(
-            field("Content-Length").cast("long") == F.octet_length(block),
+            field("Content-Length").cast("long") == block,
             F.lit("a record's length is not that of its header"),
         ).alias("whole"),
-        F.contains(http, F.lit(_ENCODED.strip())).alias("encoded"),
-        body.alias("body"),
+        F.contains("http", F.lit(_ENCODED.strip())).alias("encoded"),
+        "body",
     )
     decoded = F.decode(F.unbase64("body"), "UTF-8")
     payload = F.when(F.col("encoded"), decoded).otherwise(F.col("body"))
@@ -201,39 +208,42 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def resolve_revisits(found: DataFrame) -> DataFrame:
+def resolve_revisits(found: DataFrame, work: Workspace) -> DataFrame:
     """id, payload_bytes, payload_digest, record_type, refers_to: revisits joined to their originals.
 
-    Only the headers of the records meet, by digest.
+    The records are read once; only their headers are kept, as a table, and meet by digest.
     """
-    head = found.select(
-        "type", "id", "digest", "refers_to", "found_digest", F.octet_length("payload").alias("n")
-    )
-    response = head.filter("type = 'response'").select(
-        "id", F.col("n").cast("long").alias("payload_bytes"), F.col("found_digest").alias("payload_digest"),
-        F.col("type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"),
-    )
+    head = work.cut(
+        found.select(
+            "id", "type", "digest", "refers_to", "found_digest",
+            F.octet_length("payload").cast("long").alias("n"),
+        ),
+        "headers",
+    )
     sources = (
         head.filter("type = 'response'")
         .groupBy("digest")
-        .agg(F.max("n").alias("n"), F.max("found_digest").alias("found_digest"))
+        .agg(F.max("n").alias("s_n"), F.max("found_digest").alias("s_digest"))
     )
+    response = head.filter("type = 'response'").select(
+        "id", F.col("n").alias("payload_bytes"), F.col("found_digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), "refers_to",
+    )
     revisits = (
         head.filter("type = 'revisit'")
-        .select("id", "digest", "refers_to")
         .join(sources, "digest", "left")
         .select(
-            "id", F.col("n").cast("long").alias("payload_bytes"),
-            F.col("found_digest").alias("payload_digest"), F.lit("revisit").alias("record_type"),
-            "refers_to",
+            "id", F.col("s_n").alias("payload_bytes"), F.col("s_digest").alias("payload_digest"),
+            F.col("type").alias("record_type"), "refers_to",
         )
-    )
+    )
     return response.unionByName(revisits)
 
 
 def archive(
     pages: DataFrame,
     path: str,
+    work: Workspace,
     min_bytes: int = 0,
     id_col: str = "page_id",
     url_col: str = "url",
@@ -249,7 +259,7 @@ def archive(
     """
     spark = pages.sparkSession
     write_archives(pages, path, min_bytes, id_col=id_col, url_col=url_col, html_col=html_col)
-    found = resolve_revisits(read_archives(spark, path))
+    found = resolve_revisits(read_archives(spark, path), work)
     return found.select(
         F.col("id").alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )

@@ -36,7 +36,7 @@ PAYLOADS = [
 
 def check_archive(spark, work, rows, min_bytes=0):
     path = work.folder("warc")
-    got = sorted(map(tuple, warc.archive(pages(spark, rows), path, min_bytes).collect()))
+    got = sorted(map(tuple, warc.archive(pages(spark, rows), path, work, min_bytes).collect()))
     first = {}
     for i, _, html in sorted(rows, key=lambda r: r[0]):
         first.setdefault(html or "", i)
@@ -78,7 +78,7 @@ def test_repeated_rows_and_odd_headers(spark, work):
 
 def test_rows_without_id(spark, work):
     rows = [(None, "u", "only"), (None, "v", "p"), (5, "w", "p")]
-    got = warc.archive(pages(spark, rows), work.folder("warc")).collect()
+    got = warc.archive(pages(spark, rows), work.folder("warc"), work).collect()
     assert sorted((r.page_id is None, r.record_type, r.refers_to or 0) for r in got) == [
         (False, "response", 0), (True, "response", 0), (True, "revisit", 5),
     ]
@@ -109,7 +109,7 @@ def test_files_are_archives(spark, work):
 
 
 def test_empty_table(spark, work):
-    assert warc.archive(pages(spark, []), work.folder("warc")).count() == 0
+    assert warc.archive(pages(spark, []), work.folder("warc"), work).count() == 0
 
 
 # ---- hosts ----------------------------------------------------------------------------------------
