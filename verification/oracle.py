@@ -520,6 +520,18 @@ def _deid_steps(cfg: CohortConfig) -> dict[str, str]:
     return steps
 
 
+def _source_steps() -> dict[str, str]:
+    stored = ["ENCOUNTER", "DEMOGRAPHIC", "LAB_RESULT_CM", "DIAGNOSIS", "PROCEDURES", "DEATH", "VITAL"]
+    return {
+        "load_cdm": " union all ".join(
+            f"select '{name}' as table_name, count(*) as n_rows, "
+            f"count(distinct PATID) as n_patients from {name}"
+            for name in stored
+        ),
+        "export_csv": "select cast(columns(*) as varchar) from collect_death",
+    }
+
+
 def _model_steps() -> dict[str, str]:
     return {
         "matrix": matrix.MATRIX_SQL,
@@ -542,6 +554,7 @@ def steps(cfg: CohortConfig) -> dict[str, str]:
         **_attrition_steps(cfg),
         **_collect_steps(cfg),
         **_deid_steps(cfg),
+        **_source_steps(),
         **_model_steps(),
     }
 

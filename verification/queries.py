@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from renalis import preset, session
 from renalis.config import CohortConfig
 from renalis.operators import attrition, cohort, collect, deid, exclusions, model, staging
 from renalis.plans.pipeline import Extraction, collect_one
+from renalis.sources import cdm, sinks
 from verification import matrix, oracle
 from verification.views import load_views
 
@@ -164,6 +166,34 @@ def _audit(rule: str, **options: bool) -> Build:
     return build
 
 
+# Tables that the round trip through files writes; the other optional ones are absent there.
+STORED = ["ENCOUNTER", "DEMOGRAPHIC", "LAB_RESULT_CM", "DIAGNOSIS", "PROCEDURES", "DEATH", "VITAL"]
+
+
+def _load_cdm(x: Extraction) -> DataFrame:
+    """Rows and patients of each table of a site that was written to files and loaded from there."""
+    root = x.work.folder("site")
+    for name in STORED:
+        x.cdm[name].write.parquet(f"{root}/{name.lower()}.parquet")
+    counts = [
+        df.agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("n_rows"),
+            F.countDistinct("PATID").alias("n_patients"),
+        )
+        for name, df in cdm.load_cdm(x.spark, root).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _export_csv(x: Extraction) -> DataFrame:
+    """Deaths, exported and read back as text."""
+    folder = x.work.folder("csv")
+    deaths = collect.collect_death(x.onsets, x.cdm["DEATH"])
+    sinks.export_all({"AKI_DEMO_DEATH": deaths}, folder, sinks.RAW_EXPORTS)
+    return x.spark.read.option("header", True).csv(f"{folder}/AKI_DEMO_DEATH")
+
+
 def _baseline(x: Extraction) -> DataFrame:
     return x.baseline.drop("FIRST_TIME", "FIRST_EGFR")
 
@@ -257,6 +287,8 @@ def registry() -> dict[str, Query]:
         found[name] = Query(_shift(table), name)
     found["shift_lab_by_table"] = Query(_shift_by_table, "shift_lab")
 
+    found["load_cdm"] = Query(_load_cdm, "load_cdm")
+    found["export_csv"] = Query(_export_csv, "export_csv")
     for name, (build, step) in _MODEL.items():
         found[name] = Query(build, step)
 
