@@ -5,6 +5,10 @@ bucket, the number of leading zeros and the bits that follow: 16 bits instead of
 bands, texts that agree in a band meet, a Jaccard estimate that takes accidental agreement of the
 short registers into account sorts out most of the wrong ones, and full sets confirm the rest.
 
+Most texts leave buckets empty, and a band of fixed places would then hold one register or two, which
+any two texts with a common phrase share. A band is therefore a run of registers that are not empty,
+with their places.
+
 Texts with equal sets are one class and go through all this as one. In a crowded bucket members are
 first compared with a single centre, the member that shares most with others, so a group of thousands
 of near copies costs as many comparisons and not their square. What the confirmed links join into one
@@ -26,7 +30,12 @@ from renalis.session import Workspace
 
 BUCKETS = 256  # by the first 8 bits of a hash
 MANTISSA = 10  # bits kept behind the leading zeros
-BANDS, ROWS = 51, 5  # a pair at 0.8 agrees in no band once in 600 million times
+# Runs of a sketch, by the number of registers that are not empty: up to `own` of them belong to the
+# level, and sketches of up to `reach` join it, which their near duplicates may have. Few registers
+# start a run each, many at STARTS fixed places; at 0.8, of (1 - 0.8^5)^51 pairs no run agrees.
+LEVELS = [(24, 32, 3), (51, 72, 4), (BUCKETS, BUCKETS, 5)]  # own, reach, registers of a run
+STARTS = 51
+TINY = 9  # sets of so few shingles also meet by what is left without one of them, which is exact
 MARGIN = 5.0  # standard deviations by which an estimate may fall short
 CACHE = 400_000  # words whose hashes a worker keeps
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -87,13 +96,33 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(found: np.ndarray) -> np.ndarray:
-    """Keys of the bands that hold a register which is not empty."""
-    grid = found[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for j in range(ROWS):
-        key = _mixed((key ^ grid[:, j]) * _P)
-    return key[grid.any(axis=1)].astype(np.int64)
+def _folded(tag: int, columns: list[np.ndarray]) -> np.ndarray:
+    key = np.full(len(columns[0]), tag, np.uint64)
+    for c in columns:
+        key = _mixed((key ^ c) * _P)
+    return key
+
+
+def band_keys(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Keys of the bands of a sketch, each once."""
+    at = np.flatnonzero(found)
+    if not len(at):
+        return np.empty(0, np.int64)
+    placed = (at.astype(np.uint64) << np.uint64(16)) | found[at]
+    keys, under = [], 0
+    for own, reach, size in LEVELS:
+        if under < len(at) <= reach:
+            first = np.arange(len(at))
+            if own == BUCKETS:
+                places = np.arange(STARTS) * BUCKETS // STARTS
+                first = np.unique(np.searchsorted(at, places) % len(at))
+            run = [placed[(first + j) % len(at)] for j in range(size)]
+            keys.append(_folded(size, run))
+        under = own
+    if len(hashes) <= TINY:
+        total = hashes.sum(dtype=np.uint64)
+        keys.append(_folded(1, [np.append(total - hashes, total)]))
+    return np.unique(np.concatenate(keys)).astype(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,41 +142,35 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, set_hash, registers) of each row."""
-    names = ["id", "n", "set_hash", "registers"]
+    """(id, n, set_hash, registers, keys) of each row."""
+    names = ["id", "n", "set_hash", "registers", "keys"]
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, whole, short = [], [], []
+        counts, whole, short, keys = [], [], [], []
         for text in batch.column(1).to_pylist():
             h = shingles(text, size)
+            found = registers(h)
             counts.append(len(h))
             whole.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
-            short.append(registers(h).tobytes())
+            short.append(found.tobytes())
+            keys.append(band_keys(found, h))
         columns = [
             batch.column(0), pa.array(counts, pa.int64()), pa.array(whole, pa.binary()),
-            pa.array(short, pa.binary()),
+            pa.array(short, pa.binary()), _lists(keys),
         ]
         return pa.RecordBatch.from_arrays(columns, names)
 
     return map_texts(
-        docs, [id_col, text_col], convert, "id long, n long, set_hash binary, registers binary"
+        docs,
+        [id_col, text_col],
+        convert,
+        "id long, n long, set_hash binary, registers binary, keys array<long>",
     )
 
 
-def bands(classes: DataFrame) -> DataFrame:
-    """(key, rep, n) of each class and band."""
-
-    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [
-            band_keys(np.frombuffer(r, np.uint16)) for r in batch.column(2).to_pylist()
-        ]
-        row = np.repeat(np.arange(len(found)), [len(k) for k in found])
-        keys = np.concatenate(found)
-        at = pa.array(row)
-        columns = [pa.array(keys), batch.column(0).take(at), batch.column(1).take(at)]
-        return pa.RecordBatch.from_arrays(columns, ["key", "rep", "n"])
-
-    return map_texts(classes, ["rep", "n", "registers"], convert, "key long, rep long, n long")
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    border = np.cumsum([0] + [len(p) for p in parts]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(border), pa.array(np.concatenate(parts)))
 
 
 def _pairs(x: F.Column, y: F.Column) -> list[F.Column]:
@@ -180,25 +203,21 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return map_texts(joined, ["a", "b", "ra", "rb"], convert, "a long, b long")
 
 
-def confirmed(
-    pairs: DataFrame, docs: DataFrame, work: Workspace, name: str, size: int, percent: int, id_col: str, text_col: str
-) -> DataFrame:
-    """The pairs whose full sets are similar enough. Only texts of pairs are read again."""
-    pairs = work.cut(pairs, f"likely_{name}")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        ids, "id", "left_semi"
-    )
+def full_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, members): the full sets of the texts whose ids are listed."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t, size).astype(np.int64) for t in batch.column(1).to_pylist()]
-        border = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(border), pa.array(np.concatenate(sets)))
-        return pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "members"])
+        return pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["id", "members"])
 
-    sets = work.cut(
-        map_texts(texts, ["id", "text"], convert, "id long, members array<long>"), f"sets_{name}"
+    return map_texts(
+        texts.join(ids, "id", "left_semi"), ["id", "text"], convert, "id long, members array<long>"
     )
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     sides = [sets.select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in ("a", "b")]
     common = F.size(F.array_intersect("ma", "mb"))
     union = F.size("ma") + F.size("mb") - common
@@ -237,14 +256,16 @@ def near_duplicates(
     )
     classes = work.cut(
         every.join(sets, (every.id == sets.rep) & (every.set_hash == sets.set_hash), "left_semi")
-        .select(F.col("id").alias("rep"), "n", "registers"),
+        .select(F.col("id").alias("rep"), "n", "registers", "keys"),
         "classes",
     )
 
-    # Buckets with more than one class.
-    keys = bands(classes)
+    # Buckets with more than one class, and the full sets of those in them.
+    keys = classes.select(F.explode("keys").alias("key"), "rep", "n")
     counts = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     crowded = work.cut(keys.join(counts, "key"), "crowded")
+    members = crowded.select(F.col("rep").alias("id")).distinct()
+    full = work.cut(full_sets(docs, members, size, id_col, text_col), "full_sets")
 
     # Round one: each member with the centre of its bucket.
     weight = crowded.groupBy("rep").agg(F.sum("c").alias("w"))
@@ -259,10 +280,7 @@ def near_duplicates(
         .distinct()
     )
     spokes = work.cut(spokes, "spokes")
-    settings = {"size": size, "percent": percent, "id_col": id_col, "text_col": text_col}
-    first = work.cut(
-        confirmed(likely(spokes, classes, percent), docs, work, "first", **settings), "links_first"
-    )
+    first = work.cut(confirmed(likely(spokes, classes, percent), full, percent), "links_first")
     labels = components(first, work, "first")
 
     # Round two: members of one bucket that are in different components, each with each.
@@ -286,15 +304,15 @@ def near_duplicates(
         .distinct()
         .join(spokes, ["a", "b"], "left_anti")
     )
-    second = confirmed(likely(rest, classes, percent), docs, work, "second", **settings)
+    second = confirmed(likely(rest, classes, percent), full, percent)
     links = work.cut(first.unionByName(second), "links")
     labels = components(links, work, "all")
 
-    members = every.join(sets, "set_hash", "left").select(
+    belongs = every.join(sets, "set_hash", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("rep", "id").alias("rep")
     )
     found = F.coalesce("label", "rep")
-    return members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+    return belongs.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("id").alias(id_col),
         "n_shingles",
         found.alias("component_id"),
