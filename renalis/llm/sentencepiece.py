@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from renalis.llm.common import CUT, map_texts, sized
+from renalis.llm.common import CUT, claim, map_texts, sized
 
 SPACE = "▁"
 BLOCK = 1 << 18  # characters that are indexed at a time
@@ -41,6 +42,8 @@ class Pieces:
         n = model.get_piece_size()
         self.names = [model.id_to_piece(i) for i in range(n)]
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
+        self.byte = {i: b for b, i in self.bytes.items()}
+        self.shown = [name.replace(SPACE, " ") for name in self.names]
         normal = [
             i for i in range(n)
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))
@@ -292,41 +295,37 @@ def segments(text: str, size: int = CUT) -> Iterator[str]:
 
 
 def decode(ids: Iterable[int], pieces: Pieces) -> str:
-    """The text of piece ids: bytes put together, marks back to spaces, the first space dropped.
+    """The text of piece ids: marks back to spaces, bytes put together, the space in front dropped.
 
     Bytes that are no UTF-8 become replacement characters, one for each.
     """
-    byte = _byte_of(pieces)
     ids = list(ids)
-    if byte.keys().isdisjoint(ids):
-        text = "".join(map(pieces.names.__getitem__, ids))
+    if pieces.byte.keys().isdisjoint(ids):
+        text = "".join(map(pieces.shown.__getitem__, ids))
     else:
         out, held = [], bytearray()
-        for i in [*ids, None]:
-            if i in byte:
-                held.append(byte[i])
+        for i in ids:
+            if i in pieces.byte:
+                held.append(pieces.byte[i])
                 continue
             if held:
                 out.append(_from_bytes(bytes(held)))
                 held.clear()
-            if i is not None:
-                out.append(pieces.names[i])
-        text = "".join(out)
-    text = text.replace(SPACE, " ")
-    return text[1:] if text.startswith(" ") else text
+            out.append(pieces.shown[i])
+        text = "".join(out) + _from_bytes(bytes(held))
+    return text[1:] if ids and pieces.shown[ids[0]].startswith(" ") else text
 
 
 def _from_bytes(held: bytes) -> str:
-    try:
-        return held.decode("utf-8")
-    except UnicodeDecodeError as e:
-        one = "�" if e.start == 0 else ""
-        cut = 1 if e.start == 0 else e.start
-        return (held[:cut].decode("utf-8") if not one else one) + _from_bytes(held[cut:])
-
-
-def _byte_of(pieces: Pieces) -> dict[int, int]:
-    return {i: b for b, i in pieces.bytes.items()}
+    out = []
+    while held:
+        try:
+            out.append(held.decode("utf-8"))
+            break
+        except UnicodeDecodeError as error:
+            out += [held[: error.start].decode("utf-8"), "\ufffd"]
+            held = held[error.start + 1 :]
+    return "".join(out)
 
 
 # ---- application ----------------------------------------------------------------------------------
@@ -336,6 +335,7 @@ _workers: dict[str, Encoder] = {}
 
 def encode_texts(texts: list[str | None], path: str) -> list[list[int]]:
     """Piece ids of each text, all in one batch; a null text has none."""
+    claim("sentencepiece", _workers.clear)
     encoder = _workers.get(path)
     if encoder is None:
         _workers.clear()
@@ -379,7 +379,13 @@ def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
         names = [*batch.schema.names, "pieces", "n_pieces"]
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
 
-    schema = kept.schema.add("pieces", "array<int>").add("n_pieces", "long")
+    schema = T.StructType(
+        [
+            *kept.schema.fields,
+            T.StructField("pieces", T.ArrayType(T.IntegerType())),
+            T.StructField("n_pieces", T.LongType()),
+        ]
+    )
     return map_texts(kept, [f"`{c}`" for c in kept.columns], convert, schema)
 
 
