@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from renalis.llm.common import Chunks, cuts, map_texts, sized
+from renalis.llm.common import Chunks, claim, cuts, map_texts, sized
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16  # hashed features
@@ -35,6 +35,7 @@ CACHE = 200_000  # distinct words whose evidence a worker keeps
 
 # The training sample: documents of each language, passages of each document, words of a passage.
 DOCS_PER_LANG, PASSAGES, PASSAGE_WORDS = 300, 3, 24
+SALTS = 64
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -222,7 +223,8 @@ def training_passages(
     """(lang, words): passages spread over whole texts of a bounded sample of the labelled rows.
 
     At most DOCS_PER_LANG documents of each language, those with the smallest hashed ids. They are
-    chosen on ids alone; each task passes on no more rows of a language than the sample takes.
+    chosen on ids alone, in SALTS parts of each language first and then among those parts' choices, so
+    that no task sees more of a common language than its share.
     """
     usable = (
         F.col(id_col).isNotNull()
@@ -233,13 +235,12 @@ def training_passages(
     rows = docs.filter(usable).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    chosen = (
-        rows.select("id", "lang", F.xxhash64("id").alias("h"))
-        .withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "id")))
-        .filter(F.col("n") <= DOCS_PER_LANG)
-        .select("id", "lang")
-        .distinct()
-    )
+    hashed = rows.select("id", "lang", F.xxhash64("id").alias("h"))
+    chosen = hashed.withColumn("salt", F.pmod("h", F.lit(SALTS)))
+    for group in (["lang", "salt"], ["lang"]):
+        nth = F.row_number().over(W.partitionBy(*group).orderBy("h", "id"))
+        chosen = chosen.withColumn("n", nth).filter(F.col("n") <= DOCS_PER_LANG)
+    chosen = chosen.select("id", "lang").distinct()
     texts = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
 
     def passages(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -356,6 +357,7 @@ _workers: dict[str, _Evidence] = {}
 
 def _evidence(model: Model, most: float = float("inf")) -> _Evidence:
     """The worker's table for this model: one model at a time, emptied when over `most` words."""
+    claim("langid", _workers.clear)
     found = _workers.get(model.key)
     if found is None or len(found) > most:
         _workers.clear()
