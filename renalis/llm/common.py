@@ -78,6 +78,21 @@ class Chunks(dict):
         return np.concatenate(parts)
 
 
+_claims: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str, clear: Callable[[], None]) -> None:
+    """Says that a worker now serves this operator: what it keeps for others is dropped.
+
+    Workers outlive the stages of a pipeline, and their memory is that of one operator at a time.
+    """
+    if name not in _claims:
+        for drop in _claims.values():
+            drop()
+        _claims.clear()
+        _claims[name] = clear
+
+
 def map_texts(
     df: DataFrame,
     columns: list[str],

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from renalis.llm.common import Chunks, sized
+from renalis.llm.common import Chunks, claim, sized
 
 SEED = 5  # words of a shared run, and of the shortest tile
 COVERAGE = 0.8  # share of a test item under tiles from which a document counts as contaminated
@@ -159,6 +159,7 @@ _workers: dict[int, Chunks] = {}
 
 def _ids(text: str, block: Block) -> np.ndarray:
     """Word ids of a text; the worker keeps those of strings it has met."""
+    claim("tiling", _workers.clear)
     found = _workers.get(id(block))
     if found is None:
         _workers.clear()

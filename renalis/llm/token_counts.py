@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from renalis.llm.common import cuts, map_texts, sized
+from renalis.llm.common import claim, cuts, map_texts, sized
 
 CACHE = 700_000  # strings of either kind whose counts a worker keeps
 LIMIT = 2048
@@ -198,6 +198,7 @@ def count_tokens(
     sent = spark.sparkContext.broadcast(vocabulary)  # a fixed vocabulary of 49,000 strings
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+        claim("token_counts", _workers.clear)
         key = sent.value.key
         counts = _workers.get(key)
         if counts is None:
