@@ -12,19 +12,22 @@ with their places.
 Texts with equal sets are one class and go through all this as one. In a crowded bucket members are
 first compared with a single centre, the member that shares most with others, so a group of thousands
 of near copies costs as many comparisons and not their square. What the confirmed links join into one
-component needs no further comparison; only members of one bucket that are still in different
-components are then compared with each other.
+component needs no further comparison. Members of one bucket that are still in different components
+are then compared with each other by shortened sets, in blocks of bounded size inside the tasks, which
+pass on links between components and nothing else.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renalis.llm.common import cuts, map_texts, sized
+from renalis.llm.common import claim, cuts, map_texts, sized
 from renalis.llm.components import components
 from renalis.session import Workspace
 
@@ -36,6 +39,8 @@ MANTISSA = 10  # bits kept behind the leading zeros
 LEVELS = [(24, 32, 3), (51, 72, 4), (BUCKETS, BUCKETS, 5)]  # own, reach, registers of a run
 STARTS = 51
 TINY = 9  # sets of so few shingles also meet by what is left without one of them, which is exact
+CELL = 1024  # members of a bucket that are compared with as many at a time
+COLUMNS = 1024  # hashes of a cell that are counted at a time
 MARGIN = 5.0  # standard deviations by which an estimate may fall short
 CACHE = 400_000  # words whose hashes a worker keeps
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -63,6 +68,7 @@ def shingles(text: str | None, size: int = 2) -> np.ndarray:
     """
     if not text:
         return np.empty(0, np.uint64)
+    claim("near_dedup", _words.clear)
     parts = []
     for piece in cuts(text):
         words = piece.encode("utf-8", "surrogatepass").lower().split()
@@ -203,16 +209,103 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return map_texts(joined, ["a", "b", "ra", "rb"], convert, "a long, b long")
 
 
+def _links(members: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links (a, b) that join components of the members (block, rep, label, short set) of one cell.
+
+    Members of one block, or else pairs of one from each of two. Short sets hold 32 bits of each hash,
+    so their common part is never smaller than that of the full sets. Of the links found, those that
+    connect what the ones before have not.
+    """
+    if len(members) < 2:
+        return []
+    sets = [np.unique(np.frombuffer(m[3], np.uint32)) for m in members]
+    block = np.array([m[0] for m in members])
+    label = np.unique(np.array([m[2] for m in members]), return_inverse=True)[1]
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    shared, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1  # of the hashes that more than one member has
+    kept = count[column] > 1
+    owner, column = owner[kept], number[column[kept]]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    by_column = np.argsort(column, kind="stable")
+    owner, column = owner[by_column], column[by_column]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        at = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[owner[at], column[at] - low] = 1
+        common += part @ part.T
+    union = size[:, None] + size - common
+    linked = (100 * common >= percent * union) & (label[:, None] != label)
+    if block[0] != block[-1]:
+        linked &= block[:, None] != block
+    root = list(range(int(label.max()) + 1))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for x, y in zip(*(v.tolist() for v in np.nonzero(np.triu(linked)))):
+        p, q = top(int(label[x])), top(int(label[y]))
+        if p != q:
+            root[p] = q
+            found.append(tuple(sorted((members[x][1], members[y][1]))))
+    return found
+
+
+def links_in_buckets(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, of members (key, rep, label, short, c) of one bucket.
+
+    c is the size of the bucket. Its members fall into blocks of about CELL, and each two blocks meet
+    in a cell, so a task holds two blocks at most, however large the bucket.
+    """
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    cells = (
+        members.withColumn("blocks", F.ceil(F.col("c") / F.lit(CELL)).cast("int"))
+        .withColumn("block", own)
+        .withColumn("other", F.explode(every))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high", "block", "rep")
+        .select("key", "low", "high", "block", "rep", "label", "short")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, rows, out = None, [], set()
+        for batch in batches:
+            for key, low, high, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, low, high) != cell:
+                    out.update(_links(rows, percent))
+                    cell, rows = (key, low, high), []
+                rows.append(tuple(row))
+        out.update(_links(rows, percent))
+        if out:
+            columns = [pa.array(c, pa.int64()) for c in zip(*out)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return cells.mapInArrow(run, "a long, b long").distinct()
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, members): the full sets of the texts whose ids are listed."""
+    """(id, members, short): the full sets of the texts whose ids are listed, and 32 bits of each hash."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t, size).astype(np.int64) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["id", "members"])
+        short = [(s & 0xFFFFFFFF).astype(np.uint32).tobytes() for s in sets]
+        columns = [batch.column(0), _lists(sets), pa.array(short, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["id", "members", "short"])
 
     return map_texts(
-        texts.join(ids, "id", "left_semi"), ["id", "text"], convert, "id long, members array<long>"
+        texts.join(ids, "id", "left_semi"),
+        ["id", "text"],
+        convert,
+        "id long, members array<long>, short binary",
     )
 
 
@@ -285,26 +378,17 @@ def near_duplicates(
 
     # Round two: members of one bucket that are in different components, each with each.
     at = crowded.join(labels, crowded.rep == labels.id, "left").select(
-        "key", "rep", "n", F.coalesce("label", "rep").alias("label")
+        "key", "rep", "n", "c", F.coalesce("label", "rep").alias("label")
     )
     mixed = (
         at.groupBy("key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .filter("low < high")
+        .select("key")
     )
-    at = work.cut(at.join(mixed, "key", "left_semi"), "mixed")
-    other = at.select("key", *(F.col(c).alias(f"o_{c}") for c in ("rep", "n", "label")))
-    rest = (
-        at.join(other, "key")
-        .filter(
-            (F.col("label") < F.col("o_label"))
-            & _sizes_allow(F.col("n"), F.col("o_n"), percent)
-        )
-        .select(*_pairs(F.col("rep"), F.col("o_rep")))
-        .distinct()
-        .join(spokes, ["a", "b"], "left_anti")
-    )
-    second = confirmed(likely(rest, classes, percent), full, percent)
+    short = full.select(F.col("id").alias("rep"), "short")
+    at = at.join(mixed, "key", "left_semi").join(short, "rep")
+    second = confirmed(work.cut(links_in_buckets(at, percent), "links_second"), full, percent)
     links = work.cut(first.unionByName(second), "links")
     labels = components(links, work, "all")
 

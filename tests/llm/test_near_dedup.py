@@ -78,6 +78,42 @@ def test_a_large_group_of_near_copies(spark, work):
     check(spark, work, rows)
 
 
+def test_blocks_of_a_bucket(spark, work, monkeypatch):
+    """Links found in cells of any size connect what all links together connect."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**64, 90, dtype=np.uint64)
+    sets = [
+        np.unique(np.append(base[: 90 - i % 12], rng.integers(0, 2**64, 3 + i % 12, dtype=np.uint64)))
+        for i in range(60)
+    ]
+    label = [i // 7 for i in range(60)]
+    rows = [
+        (1, i, label[i], 60, (s & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
+        for i, s in enumerate(sets)
+    ]
+    members = spark.createDataFrame(rows, "key long, rep long, label long, c long, short binary")
+
+    def connected(links):
+        root = list(range(9))
+        for a, b in links:
+            p, q = sorted((root[label[a]], root[label[b]]))
+            root = [p if r == q else r for r in root]
+        return root
+
+    every = []
+    for i in range(60):
+        for j in range(i):
+            n = len(np.intersect1d(sets[i], sets[j]))
+            if label[i] != label[j] and 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                every.append((j, i))
+    assert every and len(set(connected(every))) < 9
+    for cell in (1000, 7):
+        monkeypatch.setattr(near_dedup, "CELL", cell)
+        monkeypatch.setattr(near_dedup, "COLUMNS", 16)
+        found = [tuple(r) for r in near_dedup.links_in_buckets(members, 80).collect()]
+        assert set(found) <= set(every) and connected(found) == connected(every)
+
+
 def test_edge_rows(spark, work):
     got = near_dedup.near_duplicates(documents(spark, edge_rows()), work).collect()
     assert len(got) == len(edge_rows())
