@@ -127,6 +127,7 @@ _DISGUISE = re.compile(
     rf"|(?P<plus>\bplus[ \t]+(?=[0-9]|{_DIGIT}\b))",
     re.I | re.A,
 )
+_DOTTED = re.compile(r"[ \t]+[A-Za-z0-9-]+\.", re.A)
 _BRACKETED = re.compile(r"[\[({<][ \t]*(?:at|@|\.|dot)[ \t]*[\])}>]", re.I | re.A)
 _LONGEST_DISGUISE = 40
 
@@ -186,6 +187,17 @@ def _standing(low: str, word: str) -> list[int]:
     return found
 
 
+def _may_be_disguised(text: str) -> bool:
+    """False only if _DISGUISE has no match: none of its signs stands anywhere in the text."""
+    low = _lower(text)
+    return (
+        "plus" in low
+        or bool(_standing(low, "dot"))
+        or _BRACKETED.search(text) is not None
+        or any(_DOTTED.match(text, at + 2) for at in _standing(low, "at"))
+    )
+
+
 def _spelled(text: str, anchors: list[int]) -> list[tuple[int, int, str]]:
     """Edits that write spelled digits as figures: three in a row, or some beside a dot or plus."""
     edits, until = [], 0
@@ -222,11 +234,8 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
         apply([(m.start(), m.end(), _MAPPED[m.group()]) for m in one.finditer(now)])
     low = _lower(now)
     words = sorted(at for word in _DIGITS for at in _standing(low, word))
-    disguised = (
-        _standing(low, "dot") or _standing(low, "plus") or _BRACKETED.search(now) is not None
-    )
     apply(_spelled(now, words))
-    if disguised:
+    if _may_be_disguised(now):
         signs = {"at": "@", "dot": ".", "plus": "+"}
         apply([(m.start(), m.end(), signs[m.lastgroup]) for m in _DISGUISE.finditer(now)])
     if not steps:

@@ -76,6 +76,27 @@ def test_clean_text_is_left_alone(text):
     assert pii.spans_of(text) == ([], []) and pii.masked(text, []) == text
 
 
+def test_bare_at_before_a_plain_dot_needs_no_other_sign():
+    text = "mail jane at example.com today"
+    for other in ("", " and a dot", " surplus", " (at) "):
+        (kind, start, end), = pii.spans_of(text + other)[1]
+        assert (kind, text[start:end]) == ("email", "jane at example.com")
+    assert pii.masked(text, pii.spans_of(text)[1]) == "mail <EMAIL> today"
+
+
+def test_pre_test_passes_whatever_the_pattern_finds():
+    rng = random.Random(3)
+    parts = ["at", "At", "dot", "DOT", "plus", "éplus", "(", ")", "[", ".", "@", " ", " ", "\t", "é",
+             "x", "firm", ".com", "it", "5", "one", "-"]
+    hits = 0
+    for _ in range(60_000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 12)))
+        if pii._DISGUISE.search(text):
+            hits += 1
+            assert pii._may_be_disguised(text), repr(text)
+    assert hits > 300
+
+
 def test_plain_spans_stay_beside_disguised_ones():
     text = "a@b.com dot net, c (at) d.org, 10.0.0.1"
     plain, every = pii.spans_of(text)
