@@ -114,15 +114,35 @@ _OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _BETWEEN = r"(?:[ \t]*[-,][ \t]*|[ \t]+)"
 _SPELLED = re.compile(rf"\b{_DIGIT}(?:{_BETWEEN}(?:{_DIGIT}|[0-9]+))*\b", re.I | re.A)
 _WORD_DOT = rf"(?:[ \t]+dot[ \t]+|{_OPEN}(?:dot|\.){_CLOSE}|[ \t]*\.[ \t]*)"
-# Ends of domains after which a bare "at" with a "dot" is taken for a disguise.
+# Ends of domains after which a bare "at" with plain dots is taken for a disguise.
 _ENDS = (
     "com|org|net|edu|gov|mil|info|biz|io|ai|co|uk|de|fr|es|eu|ch|nl|ca|au|jp|cn|ru|br|pl|se|pt|example"
 )
+# Where a dot is spelled or bracketed, any end of letters will do. Words before and after
+# a spelled dot that show prose ("at the dot of one"); none of the latter is an end of domains.
+_NO_DOMAIN = (
+    "the|a|an|this|that|these|those|each|every|any|some|no|another|which|what|polka|my|your|his|her|its"
+    "|our|their|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen"
+    "|(?:twen|thir|for|fif|six|seven|eigh|nine)ty(?:-[a-z]+)?"
+)
+_NO_END = (
+    "of|and|or|for|on|with|from|if|an|the|this|that|these|those|then|than|but|when|while|where|which"
+    "|was|were|are|has|had|have|can|will|would|could|should|not|he|she|we|they|his|her|its|our|their|your"
+    "|above|below|into|onto|until|after|before|because"
+)
 _ANY_DOT = rf"(?:[ \t]+dot[ \t]+|{_OPEN}dot{_CLOSE}|\.)"
+_MORE = rf"(?:{_ANY_DOT}[A-Za-z0-9-]+){{0,5}}"
+_ANY_END = r"(?:[A-Za-z]{2,}|xn--[A-Za-z0-9-]+)(?![A-Za-z0-9_]|-[A-Za-z0-9])"
+_AFTER_AT = (
+    rf"(?:[A-Za-z0-9-]+{_MORE}{_ANY_DOT}(?:{_ENDS})\b"
+    rf"|[A-Za-z0-9-]+{_MORE}{_OPEN}dot{_CLOSE}(?:[A-Za-z0-9-]+\.){{0,5}}{_ANY_END}"
+    rf"|(?!(?:{_NO_DOMAIN})[ \t])[A-Za-z0-9-]+{_MORE}[ \t]+dot[ \t]+"
+    rf"(?:[A-Za-z0-9-]+\.){{0,5}}(?!(?:{_NO_END})\b){_ANY_END})"
+)
 _DISGUISE = re.compile(
     rf"(?P<at>(?<=[A-Za-z0-9]){_OPEN}(?:at|@){_CLOSE}(?=[A-Za-z0-9])"
     rf"|(?<=[A-Za-z0-9])[ \t]+at[ \t]+"
-    rf"(?=[A-Za-z0-9-]+(?:{_ANY_DOT}[A-Za-z0-9-]+){{0,5}}{_ANY_DOT}(?:{_ENDS})\b))"
+    rf"(?={_AFTER_AT}))"
     rf"|(?P<dot>(?<=[A-Za-z0-9])(?:{_OPEN}(?:dot|\.){_CLOSE}|[ \t]+dot[ \t]+)(?=[A-Za-z0-9]))"
     rf"|(?P<plus>\bplus[ \t]+(?=[0-9]|{_DIGIT}\b))",
     re.I | re.A,

@@ -84,6 +84,32 @@ def test_bare_at_before_a_plain_dot_needs_no_other_sign():
     assert pii.masked(text, pii.spans_of(text)[1]) == "mail <EMAIL> today"
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "anna at posta dot it", "jo at firm dot dev", "jo at firm (dot) in", "jo at mail.firm dot xyz",
+        "jo at firm dot co.at", "jo at firm dot co dot dk", "jo at firm [dot] museum",
+        "jo at firm dot xn--p1ai", "jo AT firm DOT me", "jo at the (dot) agency",
+    ],
+)
+def test_any_end_after_a_spelled_dot(part):
+    for text in (part, f"write to {part}, please"):
+        (kind, start, end), = pii.spans_of(text)[1]
+        assert (kind, text[start:end]) == ("email", part)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "look at the dot in it", "aim at that dot under us", "look at polka dot dresses", "he is at firm.it",
+        "meet at noon dot of one", "at ten dot fifteen", "it is at nine dot five percent", "at x dot y",
+        "look at any dot and app", "she was at firm dot and left",
+    ],
+)
+def test_prose_around_a_spelled_dot_is_left_alone(text):
+    assert pii.spans_of(text) == ([], [])
+
+
 def test_pre_test_passes_whatever_the_pattern_finds():
     rng = random.Random(3)
     parts = ["at", "At", "dot", "DOT", "plus", "éplus", "(", ")", "[", ".", "@", " ", " ", "\t", "é",
