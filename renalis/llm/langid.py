@@ -37,6 +37,12 @@ CACHE = 200_000  # distinct words whose evidence a worker keeps
 DOCS_PER_LANG, PASSAGES, PASSAGE_WORDS = 300, 3, 24
 SALTS = 64
 
+# Familiarity: parts of the sample that are scored by the others, lengths of passages that have a bound,
+# share of the held-out passages below it, slack in spreads, held-out words that a bound needs at least.
+PARTS, LENGTHS, BELOW, SLACK, LEAST = 4, (1, 2, 4, 8, 16, 24), 0.001, 1.0, 200
+STRANGE = -10.0  # familiarity, in spreads below the middle, that one word can have at least
+SMOOTHING, ALPHABET = 4.0, 4096
+
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -95,6 +101,132 @@ def _sums(owner: np.ndarray, values: np.ndarray, weights: np.ndarray, n: int) ->
     )
 
 
+def _trigrams(words: list[str]) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """(word, three characters) of each 3-gram of the words with their borders."""
+    text = "".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass")
+    code = np.frombuffer(text, np.uint32).astype(np.int64)
+    owner = np.repeat(np.arange(len(words)), np.array([len(w) + 2 for w in words], np.int64))
+    at = np.flatnonzero(owner[:-2] == owner[2:])
+    return owner[at], (code[at], code[at + 1], code[at + 2])
+
+
+def _keys(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
+    """What is counted: the 3-gram and its context, the 2-gram and its context, the character."""
+    return [a << 42 | b << 21 | c, a << 21 | b, b << 21 | c, b, c]
+
+
+class _Grams:
+    """Counts of the characters' 3-grams by label, exact: a code point has 21 bits."""
+
+    def __init__(self, words: list[str], label: np.ndarray, k: int):
+        owner, chars = _trigrams(words)
+        self.totals = np.bincount(label[owner], minlength=k).astype(float)
+        self.tables = []
+        for keys in _keys(*chars):
+            found, at = np.unique(keys, return_inverse=True)
+            counts = np.bincount(at * k + label[owner], minlength=(len(found) + 1) * k)
+            self.tables.append((found, counts.reshape(-1, k)))  # the last row is that of no gram
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """Mean log chance of the characters of each word under each label."""
+        owner, chars = _trigrams(words)
+        n = []
+        for (found, counts), keys in zip(self.tables, _keys(*chars)):
+            at = np.searchsorted(found, keys)
+            hit = found[np.minimum(at, len(found) - 1)] == keys
+            n.append(counts[np.where(hit, at, len(found))])
+        p = (n[4] + SMOOTHING / ALPHABET) / (self.totals + SMOOTHING)
+        p = (n[2] + SMOOTHING * p) / (n[3] + SMOOTHING)
+        p = (n[0] + SMOOTHING * p) / (n[1] + SMOOTHING)
+        size = np.bincount(owner, minlength=len(words))
+        return _sums(owner, np.ones(len(owner)), np.log(p), len(words)) / size[:, None]
+
+
+def _better_half(near: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Mean familiarity of the better half of the words of each passage."""
+    place = np.arange(LENGTHS[-1])
+    inside = place < size[:, None]
+    words = near[np.minimum(starts[:, None] + place, len(near) - 1)]
+    words = -np.sort(np.where(inside, -words, np.inf), axis=1)
+    half = (size + 1) // 2
+    return np.where(place < half[:, None], words, 0.0).sum(axis=1) / half
+
+
+@dataclass
+class Familiarity:
+    """How well words are known, and below what a passage is in none of the learned languages.
+
+    A word's familiarity is its score under the label that it fits best, in spreads from the middle of
+    the held-out words of that label. A passage's is the mean of the better half of its words, so that
+    keys, names and quotations don't make a text strange. The bounds are low quantiles of those of
+    held-out passages.
+    """
+
+    grams: _Grams
+    middle: np.ndarray
+    spread: np.ndarray
+    bounds: np.ndarray | None = None  # for passages of LENGTHS words and more
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return self.scaled(self.grams.score(words))
+
+    def scaled(self, score: np.ndarray) -> np.ndarray:
+        return np.clip(((score - self.middle) / self.spread).max(axis=1), STRANGE, 1.0)
+
+    def known(self, near: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Of each word, whether its passage is known; texts are cut into passages of 24 words."""
+        most = LENGTHS[-1]
+        pieces = -(-lengths // most)
+        first = np.repeat(np.cumsum(pieces) - pieces, pieces)
+        order = np.arange(pieces.sum()) - first
+        size = np.minimum(most, np.repeat(lengths, pieces) - order * most)
+        mean = _better_half(near, np.cumsum(size) - size, size)
+        bound = self.bounds[np.searchsorted(LENGTHS, size, side="right") - 1]
+        return np.repeat(mean >= bound, size)
+
+
+def familiarity(passages: list[tuple[str, list[str], int]], labels: list[str]) -> Familiarity | None:
+    """Learned from (lang, words, part); each part is scored by the others. None for tiny samples."""
+    passages = sorted((lang, words, part) for lang, words, part in passages if words)
+    k, number = len(labels), {label: i for i, label in enumerate(labels)}
+    words = [w for _, ws, _ in passages for w in ws]
+    sizes = [len(ws) for _, ws, _ in passages]
+    label = np.repeat(np.array([number[lang] for lang, _, _ in passages], np.int64), sizes)
+    part = np.repeat(np.array([p for _, _, p in passages], np.int64), sizes)
+    score = np.full((len(words), k), -np.inf)
+    for p in range(PARTS):
+        rest, here = np.flatnonzero(part != p), np.flatnonzero(part == p)
+        if len(rest) and len(here):
+            grams = _Grams([words[i] for i in rest], label[rest], k)
+            score[here] = np.where(grams.totals > 0, grams.score([words[i] for i in here]), -np.inf)
+    own = score[np.arange(len(words)), label]
+    if np.isfinite(own).sum() < LEAST:
+        return None
+    middle, spread = np.full(k, np.nan), np.full(k, np.nan)
+    for i in range(k):
+        of_label = own[(label == i) & np.isfinite(own)]
+        if len(of_label) >= LEAST // 4:
+            low, middle[i], high = np.quantile(of_label, (0.25, 0.5, 0.75))
+            spread[i] = max((high - low) / 1.349, 0.1)
+    # Labels with too little to tell are measured like the others.
+    middle = np.where(np.isnan(middle), np.nanmin(middle), middle)
+    spread = np.where(np.isnan(spread), np.nanmax(spread), spread)
+    found = Familiarity(_Grams(words, label, k), middle, spread)
+    near = np.where(np.isfinite(own), found.scaled(score), np.nan)
+    ends = np.cumsum(sizes)
+    bounds = []
+    for n in LENGTHS:
+        at = [j for end, size in zip(ends, sizes) for j in range(end - size, end - n + 1, n)]
+        at = np.array([j for j in at if not np.isnan(near[j : j + n]).any()], np.int64)
+        if len(at):
+            means = _better_half(near, at, np.full(len(at), n))
+            bounds.append(np.quantile(means, BELOW) - SLACK)
+        else:
+            bounds.append(bounds[-1])
+    found.bounds = np.array(bounds)
+    return found
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -102,6 +234,7 @@ class Model:
     transitions: np.ndarray  # log weight of label after label
     lexicon: dict[str, int] = field(default_factory=dict)  # word -> its most frequent label
     key: str = ""
+    familiar: Familiarity | None = None  # if given, words of strange passages are in no language
 
     def psi(self, words: list[str]) -> np.ndarray:
         """exp(evidence), the largest of each word 1."""
@@ -118,6 +251,7 @@ class _Evidence(dict):
         self.model = model
         self.new: list[str] = []
         self.rows = np.empty((0, len(model.labels)), np.float32)
+        self.near = np.empty(0)  # familiarity of the words, if the model has any
         self.ids = Chunks(words_of, self.__getitem__).ids
 
     def __missing__(self, word: str) -> int:
@@ -132,6 +266,8 @@ class _Evidence(dict):
     def table(self) -> np.ndarray:
         if self.new:
             self.rows = np.concatenate([self.rows, self.model.psi(self.new)])
+            if self.model.familiar:
+                self.near = np.concatenate([self.near, self.model.familiar.of(self.new)])
             self.new = []
         return self.rows
 
@@ -220,7 +356,7 @@ def held_out(id_col: str = "doc_id") -> F.Column:
 def training_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """(lang, words): passages spread over whole texts of a bounded sample of the labelled rows.
+    """(lang, words, part): passages spread over whole texts of a bounded sample of the labelled rows.
 
     At most DOCS_PER_LANG documents of each language, those with the smallest hashed ids. They are
     chosen on ids alone, in SALTS parts of each language first and then among those parts' choices, so
@@ -233,7 +369,10 @@ def training_passages(
         & F.col(text_col).isNotNull()
     )
     rows = docs.filter(usable).select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.col(id_col).alias("id"),
+        F.col(lang_col).alias("lang"),
+        F.col(text_col).alias("text"),
+        F.pmod(F.shiftright(F.xxhash64(id_col), 8), F.lit(PARTS)).cast("int").alias("part"),
     )
     hashed = rows.select("id", "lang", F.xxhash64("id").alias("h"))
     chosen = hashed.withColumn("salt", F.pmod("h", F.lit(SALTS)))
@@ -244,19 +383,26 @@ def training_passages(
     texts = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
 
     def passages(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, out = [], []
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        langs, out, parts = [], [], []
+        for lang, text, part in zip(*(c.to_pylist() for c in batch.columns)):
             words = [w for piece in cuts(text) for w in words_of(piece)]
             n = min(PASSAGES, -(-len(words) // PASSAGE_WORDS))
             for j in range(n):
                 start = (len(words) - PASSAGE_WORDS) * j // max(1, n - 1) if n > 1 else 0
                 out.append(words[max(0, start) : max(0, start) + PASSAGE_WORDS])
                 langs.append(lang)
+                parts.append(part)
         return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(out, pa.list_(pa.string()))], ["lang", "words"]
+            [
+                pa.array(langs, pa.string()),
+                pa.array(out, pa.list_(pa.string())),
+                pa.array(parts, pa.int32()),
+            ],
+            ["lang", "words", "part"],
         )
 
-    return map_texts(texts, ["lang", "text"], passages, "lang string, words array<string>")
+    schema = "lang string, words array<string>, part int"
+    return map_texts(texts, ["lang", "text", "part"], passages, schema)
 
 
 def fit(passages: list[tuple[str, list[str]]], rounds: int = 40, seed: int = 7) -> Model:
@@ -342,11 +488,18 @@ def fit(passages: list[tuple[str, list[str]]], rounds: int = 40, seed: int = 7)
     return model
 
 
-def train(docs: DataFrame, **columns: str) -> Model:
-    """A model of the sample's passages; their number has a fixed bound for each language."""
+def train(docs: DataFrame, rejecting: bool = False, **columns: str) -> Model:
+    """A model of the sample's passages; their number has a fixed bound for each language.
+
+    With `rejecting`, the model also knows what is in none of the languages, if there is enough to learn
+    that from.
+    """
     rows = training_passages(docs, **columns).collect()
     model = fit([(r["lang"], list(r["words"])) for r in rows])
-    model.key = f"{zlib.crc32(model.weights.tobytes())}-{len(rows)}"
+    if rejecting:
+        passages = [(r["lang"], list(r["words"]), r["part"]) for r in rows]
+        model.familiar = familiarity(passages, model.labels)
+    model.key = f"{zlib.crc32(model.weights.tobytes())}-{len(rows)}-{model.familiar is not None}"
     return model
 
 
@@ -366,7 +519,10 @@ def _evidence(model: Model, most: float = float("inf")) -> _Evidence:
 
 
 def label_texts(texts: list[str | None], model: Model) -> list[np.ndarray]:
-    """Marginals (words x labels) for each text; no rows for a text without letters."""
+    """Marginals (words x labels) for each text; no rows for a text without letters.
+
+    They are zero in strange passages, if the model tells these.
+    """
     k = len(model.labels)
     out: list[np.ndarray] = [np.empty((0, k), np.float32)] * len(texts)
     waiting: list[tuple[int, np.ndarray]] = []
@@ -374,8 +530,11 @@ def label_texts(texts: list[str | None], model: Model) -> list[np.ndarray]:
     def flush() -> None:
         if waiting:
             lengths = np.array([len(ids) for _, ids in waiting])
-            psi = _evidence(model).table()[np.concatenate([ids for _, ids in waiting])]
-            done = marginals(psi, lengths, model.transitions)
+            ids = np.concatenate([ids for _, ids in waiting])
+            evidence = _evidence(model)
+            done = marginals(evidence.table()[ids], lengths, model.transitions)
+            if model.familiar:
+                done = done * model.familiar.known(evidence.near[ids], lengths)[:, None]
             for (i, _), part in zip(waiting, np.split(done, np.cumsum(lengths)[:-1])):
                 out[i] = part
             waiting.clear()
@@ -468,10 +627,10 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float, text_col: str = "text") -> DataFrame:
     """The rows whose text has a language with at least this score, all columns as they are.
 
-    The verdict is a matter of the text alone and is made where the row is, without a shuffle.
+    Words of passages that are strange to all learned languages count for none. The verdict is a matter of the text alone and is made where the row is, without a shuffle.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(train(docs, text_col=text_col))
+    sent = spark.sparkContext.broadcast(train(docs, rejecting=True, text_col=text_col))
     sized(spark)
     at = docs.columns.index(text_col)
 

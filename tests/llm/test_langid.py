@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import zlib
 
@@ -112,3 +113,38 @@ def test_rejected_documents_go_and_columns_stay(spark, labelled):
     kept = langid.keep_identified(more, 0.3)
     assert kept.columns == more.columns and set(CLASHING) <= set(kept.columns)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(120))
+
+
+FOREIGN = [
+    "Все люди рождаются свободными и равными в своём достоинстве и правах.",
+    "人人生而自由，在尊严和权利上一律平等。", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι", "Привет",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+]
+
+
+def test_texts_in_languages_not_learned_go(spark, labelled):
+    mixed = text("aa", 700, 60) + " " + FOREIGN[0] + " " + text("bb", 701, 60)
+    clean = [(600 + i, text(("aa", "bb")[i % 2], 600 + i, 1 + i)) for i in range(40)]
+    clean.append((640, text("aa", 640, 9) + " 2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"))
+    foreign = [(800 + i, t * n) for i, (t, n) in enumerate((t, n) for t in FOREIGN for n in (1, 40))]
+    more = labelled.unionByName(documents(spark, [*clean, (700, mixed), *foreign]))
+    kept = langid.keep_identified(more, 0.3)
+    got = sorted(r.doc_id for r in kept.select("doc_id").collect())
+    assert got == [*range(120), *range(600, 641), 700]
+
+
+def test_rejection_on_the_test_tables(spark):
+    """Nothing of the learned languages goes, and all of the foreign texts do."""
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(path).select("doc_id", "text", "lang")
+    foreign = spark.createDataFrame(
+        [(-1 - i, t, None) for i, t in enumerate(FOREIGN)], docs.schema
+    )
+    want = docs.filter(F.col("text").rlike("[a-zA-ZäöüÄÖÜßñÑéèêçÉÈÊÇíóáúÍÓÁÚ]"))
+    kept = langid.keep_identified(docs.unionByName(foreign), 0.3)
+    ids = [sorted(r.doc_id for r in x.select("doc_id").collect()) for x in (kept, want)]
+    assert ids[0] == ids[1]
