@@ -361,11 +361,6 @@ def random_search(
     return [{**drawn[i], "score": scores[i]} for i in _best_first(drawn, scores)]
 
 
-def default_fit(training: Training, n_trees: int = 20, seed: int = 0, **params) -> Model:
-    """Default booster with class weights."""
-    return booster(seed, maxIter=n_trees, **params).fit(training.rows)
-
-
 def stopping_round(losses: list[float], patience: int) -> int:
     """Trees to keep: those up to the least loss that no loss of the next `patience` trees beats."""
     best = 0
@@ -402,6 +397,13 @@ def fit_early_stop(
         n = min(most, 2 * n)
 
 
+def default_fit(
+    training: Training, n_trees: int = 1000, seed: int = 0, patience: int = 50
+) -> Model:
+    """Default booster with class weights: up to n_trees of depth 6, as the held-out fold has it."""
+    return fit_early_stop(training, {"n_estimators": n_trees, "max_depth": 6}, patience, seed)
+
+
 def score(model: Model, training: Training, test: DataFrame, label: str = LABEL) -> DataFrame:
     """Test rows with the hard prediction and the probability of a positive."""
     scored = model.transform(training.transform(test))
@@ -443,7 +445,7 @@ def run_setting(
     elif model_type != "catd":
         raise ValueError(f"unknown model type {model_type}")
     if model_type == "catd":
-        model = default_fit(training, options.get("n_estimators", 1000), seed, maxDepth=6)
+        model = default_fit(training, options.get("n_estimators", 1000), seed)
     else:
         model = fit_early_stop(training, best, seed=seed)
     if model_path:

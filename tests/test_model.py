@@ -143,6 +143,20 @@ def test_early_stop_goes_on_while_the_loss_falls(spark, work):
     assert again.toDebugString.split("\n", 1)[1] == fitted.toDebugString.split("\n", 1)[1]
 
 
+def test_default_fit_stops_by_the_held_out_fold(spark, work, monkeypatch):
+    training = model.prepare(matrix(spark), "row_id", work, k=3)
+    fitted = model.default_fit(training, patience=2)
+    assert fitted.getMaxDepth() == 6
+    trial = model.booster(maxIter=fitted.getNumTrees + 2, maxDepth=6)
+    trial = trial.fit(training.rows.filter("fold != 0"))
+    losses = trial.evaluateEachIteration(training.rows.filter("fold = 0"))
+    assert model.stopping_round(losses, 2) == fitted.getNumTrees
+    asked = []
+    monkeypatch.setattr(model, "fit_early_stop", lambda *given: asked.append(given[1:]))
+    model.default_fit(training)
+    assert asked == [({"n_estimators": 1000, "max_depth": 6}, 50, 0)]
+
+
 def test_auc_of_nothing(spark, work):
     none = spark.createDataFrame([], "label int, score double")
     assert model.roc_auc(none, "score", work).first()["auc"] is None
