@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from renalis.llm import (
+    bytebpe,
+    hard_negatives,
     host_reputation,
     langid,
+    merkle,
     near_dedup,
     pii,
     sentencepiece,
@@ -70,6 +74,22 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op11_kronecker_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, Workspace(spark))
+
+
+def op12_pointer_jumping_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
+def op13_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bytebpe.encode(table(spark, sf_dir, "documents"), ranks, Workspace(spark))
+    return bytebpe.digests(bytebpe.decode(encoded, ranks))
+
+
 _QUERIES = [
     op1_crf_language_id,
     op2_virtual_slot_sharding,
@@ -81,6 +101,9 @@ _QUERIES = [
     op8_string_tiling,
     op9_winnowing,
     op10_hyperminhash,
+    op11_kronecker_hard_negatives,
+    op12_pointer_jumping_proofs,
+    op13_distinct_word_bpe,
 ]
 
 
