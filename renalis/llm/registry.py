@@ -15,6 +15,7 @@ from renalis.llm import (
     langid,
     merkle,
     near_dedup,
+    oracle,
     pii,
     sentencepiece,
     sharding,
@@ -115,4 +116,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
