@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from renalis.config import CohortConfig
 from renalis.functions.clinical import age_years, egfr, mean_scr
 from renalis.functions.codes import SCR_LOINC
+from renalis.functions.membership import Membership
 from renalis.functions.time import combine_date_time
-from renalis.operators.calendar import days_within, occurring
+from renalis.operators.calendar import DayIndex, day_index
 
 LAB_TIMES = ["LAB_ORDER_DATE", "SPECIMEN_DATE", "SPECIMEN_TIME", "RESULT_DATE", "RESULT_TIME"]
 STAY = ["PATID", "ENCOUNTERID", "ADMIT_DATE_TIME", "DISCHARGE_DATE_TIME"]
@@ -91,15 +92,21 @@ def cohort_patients(demographic: DataFrame, cohort: DataFrame) -> DataFrame:
 
 
 def all_scr_egfr(
-    lab: DataFrame, patients: DataFrame, cfg: CohortConfig, since: date | None = None
+    lab: DataFrame,
+    patients: DataFrame,
+    cfg: CohortConfig,
+    since: date | None = None,
+    likely: Membership | None = None,
 ) -> DataFrame:
     """All adult creatinine values of the cohort's patients with their eGFR.
 
     Lab rows are averaged first, keyed by patient and time, which map-side combine shrinks and which
     spreads a patient with very many of them. The traits then come to the means. ``since`` drops
-    earlier orders at the scan.
+    earlier orders at the scan, and ``likely`` most rows of other patients.
     """
     scr = serum_creatinine_filter(lab, cfg)
+    if likely is not None:
+        scr = scr.filter(likely.may_have("PATID"))
     if since is not None:
         scr = scr.filter(F.col("LAB_ORDER_DATE") >= F.lit(since))
     owner = ["ENCOUNTERID"] if cfg.keep_lab_encounter else []
@@ -133,7 +140,7 @@ def _with_egfr(means: DataFrame, keys: list[str], cfg: CohortConfig) -> DataFram
     )
 
 
-def stay_days(cohort: DataFrame, calendar: Column, keep: list[str] | None = None) -> DataFrame:
+def stay_days(cohort: DataFrame, index: DayIndex, keep: list[str] | None = None) -> DataFrame:
     """One row per stay and occurring day whose midnight lies between admission and discharge."""
     admit, discharge = F.col("ADMIT_DATE_TIME"), F.col("DISCHARGE_DATE_TIME")
     admit_day = F.to_date(admit)
@@ -145,35 +152,37 @@ def stay_days(cohort: DataFrame, calendar: Column, keep: list[str] | None = None
             *STAY, *(keep or []), first.alias("first_day"), F.to_date(discharge).alias("last_day")
         )
         .filter(F.col("first_day") <= F.col("last_day"))
-        .withColumn("calendar", calendar)
-        .withColumn("days", days_within("calendar", F.col("first_day"), F.col("last_day")))
-        .withColumn("STAY_DAY", F.explode("days"))
-        .drop("first_day", "last_day", "calendar", "days")
+        .withColumn("STAY_DAY", F.explode(index.days_within(F.col("first_day"), F.col("last_day"))))
+        .drop("first_day", "last_day")
     )
 
 
 def join_labs_to_stays(
-    scr: DataFrame, cohort: DataFrame, keep: list[str] | None = None
+    scr: DataFrame, cohort: DataFrame, index: DayIndex | None = None, keep: list[str] | None = None
 ) -> DataFrame:
     """Each lab row (lab.*) next to the stays of its patient (stay.*) that contain its order date.
 
     A lab order is a date, so "between admission and discharge" is equality with one of the stay's
     days. Joining on (PATID, day) compares only true matches and spreads a hot patient over days.
-    Stays of any length take this way, as only days with lab orders count.
+    Stays of any length take this way, as only days with lab orders count: those of the index, which
+    may hold more days than the labs given; without one, it is made of these.
     """
-    stays = stay_days(cohort, occurring(scr, "LAB_ORDER_DATE"), keep)
+    index = index or DayIndex.of(day_index(scr, "LAB_ORDER_DATE"))
+    stays = stay_days(cohort, index, keep)
     matches = (F.col("lab.PATID") == F.col("stay.PATID")) & (
         F.col("lab.LAB_ORDER_DATE") == F.col("stay.STAY_DAY")
     )
     return scr.alias("lab").join(stays.alias("stay"), matches)
 
 
-def match_labs_to_encounter(scr: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFrame:
+def match_labs_to_encounter(
+    scr: DataFrame, cohort: DataFrame, cfg: CohortConfig, index: DayIndex | None = None
+) -> DataFrame:
     """Pair each creatinine value with the stays that contain its order date, by preset rule."""
     owner = F.col("lab.ENCOUNTERID")
     columns = [f"stay.{c}" for c in STAY if c != "PATID"] + [f"lab.{c}" for c in SCR]
 
-    joined = join_labs_to_stays(scr, cohort)
+    joined = join_labs_to_stays(scr, cohort, index)
     if cfg.lab_match == "union_all":
         joined = joined.filter(owner != F.col("stay.ENCOUNTERID"))
     matched = joined.select("lab.PATID", *columns)
@@ -188,18 +197,26 @@ def match_labs_to_encounter(scr: DataFrame, cohort: DataFrame, cfg: CohortConfig
     return matched.unionByName(by_encounter).distinct()
 
 
-def scr_in_stays(lab: DataFrame, cohort: DataFrame, cfg: CohortConfig) -> DataFrame:
+def scr_in_stays(
+    lab: DataFrame,
+    cohort: DataFrame,
+    cfg: CohortConfig,
+    index: DayIndex | None = None,
+    patients: Membership | None = None,
+) -> DataFrame:
     """All three steps at once for presets that match by patient: filter, match, mean.
 
     Values of one order date share their stays, so matching before averaging changes nothing, and
     the lab rows cross the network once, by (PATID, day): the mean and the distinct reuse that.
-    ``cohort`` holds the patients' traits.
+    ``cohort`` holds the patients' traits; ``patients`` drops most rows of others at the scan.
     """
     scr = serum_creatinine_filter(lab, cfg).filter(
         F.col("LAB_ORDER_DATE") >= F.lit(cfg.window_start)
     )
+    if patients is not None:
+        scr = scr.filter(patients.may_have("PATID"))
 
-    matched = join_labs_to_stays(scr, cohort, TRAITS).select(
+    matched = join_labs_to_stays(scr, cohort, index, TRAITS).select(
         # Both partitioning columns come from the lab side: their pairing stays visible.
         "lab.PATID",
         *[f"stay.{c}" for c in STAY if c != "PATID"],

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from renalis.config import CohortConfig
 from renalis.functions.clinical import age_years
 from renalis.functions.codes import VITAL_CODES, VITAL_NAMES
-from renalis.operators.calendar import occurring, slot_of, slots_within
+from renalis.functions.membership import Membership
+from renalis.operators.calendar import DayIndex, day_index, slot_of
 from renalis.operators.cohort import is_serum_creatinine
 
 TOP_CODED_AGE = 90
@@ -99,6 +100,8 @@ def collect_window(
     spec: Collection,
     cfg: CohortConfig,
     since: date | None = None,
+    index: DayIndex | None = None,
+    patients: Membership | None = None,
 ) -> DataFrame | None:
     """Rows of a clinical table whose date lies in a stay's window, next to the stay.
 
@@ -109,6 +112,8 @@ def collect_window(
     than there are slots in the data.
 
     ``since`` is the first admission day of the onsets, which bounds the scan of the large table.
+    ``index`` tells which days occur in the table, so that outputs of one table share it; without one
+    it is made of the date column. ``patients`` drops most rows of other patients at the scan.
     """
     if source is None:
         return None
@@ -116,6 +121,8 @@ def collect_window(
     rows = source
     for condition in _conditions(spec, cfg):
         rows = rows.filter(condition)
+    if patients is not None:
+        rows = rows.filter(patients.may_have("PATID"))
     if since is not None:
         rows = rows.filter(when >= F.lit(since + timedelta(days=spec.lo)))
 
@@ -134,10 +141,9 @@ def collect_window(
     inside = (F.col("row.PATID") == F.col("win.PATID")) & F.col(f"row.{spec.date_col}").between(
         F.col("win_first"), F.col("win_last")
     )
-    slots = slots_within("calendar", F.col("win_first"), F.col("win_last"))
-    windows = windows.withColumn("calendar", occurring(rows, spec.date_col))
-    windows = windows.withColumn("slots", slots).withColumn("slot", F.explode("slots"))
-    windows = windows.drop("calendar", "slots")
+    index = index or DayIndex.of(day_index(source, spec.date_col))
+    slots = index.slots_within(F.col("win_first"), F.col("win_last"))
+    windows = windows.withColumn("slot", F.explode(slots))
     rows = rows.withColumn("slot", slot_of(when))
     same_slot = F.col("row.slot") == F.col("win.slot")
     joined = rows.alias("row").join(windows.alias("win"), inside & same_slot)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from renalis.config import CohortConfig
 from renalis.functions.codes import code_match
+from renalis.functions.membership import Membership
 from renalis.operators.cohort import enough_scr
 
 # Flag columns of the screened stays.
@@ -98,11 +99,14 @@ def code_history(
     procedures: DataFrame,
     cfg: CohortConfig,
     patients: DataFrame | None = None,
+    likely: Membership | None = None,
 ) -> DataFrame:
     """Both histories in one row per patient: one pass over each table, one shuffle for both.
 
-    ``patients`` (PATID) limits it to the cohort's.
+    ``patients`` (PATID) limits it to the cohort's; ``likely`` drops most others at the scan.
     """
+    if likely is not None:
+        diagnosis, procedures = (t.filter(likely.may_have("PATID")) for t in (diagnosis, procedures))
     days = _diagnosis_days(diagnosis).unionByName(
         _procedure_days(procedures, cfg), allowMissingColumns=True
     )

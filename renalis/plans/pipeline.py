@@ -9,12 +9,29 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from renalis.config import CohortConfig
+from renalis.functions.membership import Membership, membership
 from renalis.operators import attrition, cohort, collect, deid, exclusions, staging
+from renalis.operators.calendar import DayIndex, day_index
 from renalis.session import Workspace, tune
 
 Cdm = dict[str, DataFrame]
 
 
+class DayIndexes:
+    """The days that occur in the date columns of a site, each column read once and its index written."""
+
+    def __init__(self, cdm: Cdm, work: Workspace):
+        self.cdm, self.work = cdm, work
+        self.known: dict[tuple[str, str], DayIndex] = {}
+
+    def of(self, table: str, date_col: str) -> DayIndex:
+        key = (table, date_col)
+        if key not in self.known:
+            days = day_index(self.cdm[table], date_col)
+            self.known[key] = DayIndex.of(self.work.cut(days, f"days_{table}_{date_col}"))
+        return self.known[key]
+
+
 class Extraction:
     """Cohort extraction step by step. Steps are built on first use.
 
@@ -26,6 +43,7 @@ class Extraction:
 
     def __init__(self, spark: SparkSession, cdm: Cdm, cfg: CohortConfig, work: Workspace):
         self.spark, self.cdm, self.cfg, self.work = spark, cdm, cfg, work
+        self.days = DayIndexes(cdm, work)
 
     @cached_property
     def stays(self) -> DataFrame:
@@ -39,6 +57,11 @@ class Extraction:
     def initial_cohort(self) -> DataFrame:
         return self.stays.drop(*cohort.TRAITS)
 
+    @cached_property
+    def likely(self) -> Membership:
+        """Which patients can be in the cohort: what the scans of the clinical tables ask."""
+        return Membership.of(self.work.cut(membership(self.stays, "PATID"), "likely"))
+
     @cached_property
     def all_scr(self) -> DataFrame:
         """Creatinine history as far back as the later steps look, for presets that keep it."""
@@ -51,15 +74,19 @@ class Extraction:
             patients,
             cfg=self.cfg,
             since=self.cfg.window_start - timedelta(days=days_back),
+            likely=self.likely,
         )
         return self.work.cut(scr, "all_scr")
 
     @cached_property
     def matched(self) -> DataFrame:
+        days = self.days.of("LAB_RESULT_CM", "LAB_ORDER_DATE")
         if self.cfg.lab_match == "patient" and self.cfg.baseline_mode == "first":
-            rows = cohort.scr_in_stays(self.cdm["LAB_RESULT_CM"], self.stays, self.cfg)
+            rows = cohort.scr_in_stays(self.cdm["LAB_RESULT_CM"], self.stays, self.cfg, days, self.likely)
         else:
-            rows = cohort.match_labs_to_encounter(self.all_scr, self.initial_cohort, self.cfg)
+            rows = cohort.match_labs_to_encounter(
+                self.all_scr, self.initial_cohort, self.cfg, days
+            )
         return self.work.cut(rows, "matched")
 
     @cached_property
@@ -85,7 +112,7 @@ class Extraction:
     @cached_property
     def code_history(self) -> DataFrame:
         history = exclusions.code_history(
-            self.cdm["DIAGNOSIS"], self.cdm["PROCEDURES"], self.cfg, self.stays
+            self.cdm["DIAGNOSIS"], self.cdm["PROCEDURES"], self.cfg, self.stays, self.likely
         )
         return self.work.cut(history, "code_history")
 
@@ -167,21 +194,41 @@ def extract(spark: SparkSession, cdm: Cdm, cfg: CohortConfig, work: Workspace) -
     return CohortResult(run.onsets, run.consort(attrition.BEFORE), run.consort(attrition.AFTER))
 
 
-def collect_one(name: str, onsets: DataFrame, cdm: Cdm, cfg: CohortConfig) -> DataFrame | None:
+def collect_one(
+    name: str,
+    onsets: DataFrame,
+    cdm: Cdm,
+    cfg: CohortConfig,
+    days: DayIndexes | None = None,
+    patients: Membership | None = None,
+) -> DataFrame | None:
     """One windowed output; None where the site has no such table."""
     spec = collect.COLLECTIONS[name]
-    return collect.collect_window(onsets, cdm.get(spec.table), spec, cfg, cfg.window_start)
+    if spec.table not in cdm:
+        return None
+    index = days.of(spec.table, spec.date_col) if days else None
+    return collect.collect_window(
+        onsets, cdm[spec.table], spec, cfg, cfg.window_start, index, patients
+    )
+
 
+def collect_all(
+    onsets: DataFrame, cdm: Cdm, cfg: CohortConfig, work: Workspace | None = None
+) -> dict[str, DataFrame]:
+    """All outputs for which the site has the source table.
 
-def collect_all(onsets: DataFrame, cdm: Cdm, cfg: CohortConfig) -> dict[str, DataFrame]:
-    """All outputs for which the site has the source table."""
+    With a workspace, outputs of one table share the index of its days, else each reads the dates; and
+    scans drop the rows of patients without an onset row.
+    """
     tune(onsets.sparkSession)
+    days = DayIndexes(cdm, work) if work else None
+    patients = Membership.of(work.cut(membership(onsets, "PATID"), "likely")) if work else None
     tables = {
         "AKI_DEMO_DEATH": collect.collect_death(onsets, cdm["DEATH"]),
         "AKI_DEMO": collect.collect_demographics(onsets, cdm["DEMOGRAPHIC"], cdm["DEATH"], cfg),
     }
     for name in collect.COLLECTIONS:
-        table = collect_one(name, onsets, cdm, cfg)
+        table = collect_one(name, onsets, cdm, cfg, days, patients)
         if table is not None:
             tables[name] = table
     return tables

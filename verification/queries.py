@@ -113,7 +113,7 @@ _COLLECTED = {
 
 
 def _collect(output: str) -> Build:
-    return lambda x: collect_one(output, x.onsets, x.cdm, x.cfg)
+    return lambda x: collect_one(output, x.onsets, x.cdm, x.cfg, x.days)
 
 
 def _collect_demographics(x: Extraction) -> DataFrame:
@@ -127,7 +127,7 @@ def _exported(x: Extraction, table: str) -> DataFrame:
         return collect.collect_death(x.onsets, x.cdm["DEATH"])
     if table == "AKI_DEMO":
         return _collect_demographics(x)
-    return collect_one(table, x.onsets, x.cdm, x.cfg)
+    return collect_one(table, x.onsets, x.cdm, x.cfg, x.days)
 
 
 def _shift(table: str) -> Build:
@@ -153,7 +153,7 @@ def _attrition(era: str) -> dict[str, Build]:
 
 def _shift_by_table(x: Extraction) -> DataFrame:
     """The same shift through a stored table, as a site with its own shifts would."""
-    labs = collect_one("AKI_LAB", x.onsets, x.cdm, x.cfg)
+    labs = collect_one("AKI_LAB", x.onsets, x.cdm, x.cfg, x.days)
     return deid.shift_table("AKI_LAB", labs, deid.date_shift_table(x.onsets, SALT, x.cfg), x.cfg)
 
 
