@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import random
+import threading
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from renalis.session import Workspace
-from renalis.sources.matrix import KEYS, load_matrix
+from renalis.session import Workspace, folder_exists, scratch_root
+from renalis.sources.matrix import KEYS, load_matrix, stored_settings
 
 LABEL, WEIGHT, FOLD, FEATURES = "label", "weight", "fold", "features"
 
@@ -266,6 +271,7 @@ class Training:
     rows: DataFrame
     count: int
     pipeline: Model
+    key: str = ""  # tells training rows apart whose trials are kept in one table
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.pipeline.transform(df)
@@ -284,7 +290,16 @@ def prepare(
         FEATURES, F.col(label).cast("double").alias(LABEL), WEIGHT, FOLD
     )
     rows = work.cut(rows, "training")
-    return Training(rows, weights["negatives"] + weights["positives"], pipeline)
+    checkpointed(work.spark)
+    # Folds and features of all rows, in whatever order, and the seed that dealt the folds.
+    key = rows.agg(F.sum(F.xxhash64(FOLD, LABEL, vector_to_array(FEATURES)) % (1 << 32))).first()[0]
+    return Training(rows, weights["negatives"] + weights["positives"], pipeline, f"{seed}:{key}")
+
+
+def checkpointed(spark: SparkSession) -> None:
+    """Boosting cuts its lineage every ten trees, which needs a folder that all executors share."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
 
 
 def booster(seed: int = 0, **params) -> GBTClassifier:
@@ -293,26 +308,81 @@ def booster(seed: int = 0, **params) -> GBTClassifier:
     )
 
 
+class Trials:
+    """Scores of fits that are done, kept in a table, so that a search that ended goes on where it was.
+
+    A trial is a fit of one candidate without one fold. Its key names all that its score depends on: the
+    candidate's settings, fold, seed, metric and training rows. Each score is appended when it is known.
+    Without a path they last as long as the object.
+    """
+
+    SCHEMA = "trial string, score double, seconds double"
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path, self.lock = spark, path, threading.Lock()
+        self.known: dict[str, float] = {}
+        self.fitted = 0
+        if path is not None and folder_exists(spark, path):
+            stored = spark.read.schema(self.SCHEMA).parquet(path)
+            self.known = {r["trial"]: r["score"] for r in stored.collect()}  # a row for each fit
+
+    def score(self, trial: str, fit: Callable[[], float]) -> float:
+        """The stored score, or that of the fit, which is stored."""
+        with self.lock:
+            if trial in self.known:
+                return self.known[trial]
+        started = time.perf_counter()
+        value = fit()
+        with self.lock:  # writers of one folder must not commit at the same time
+            if self.path is not None:
+                row = [(trial, value, time.perf_counter() - started)]
+                self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").parquet(
+                    self.path
+                )
+            self.known[trial] = value
+            self.fitted += 1
+        return value
+
+
 def _cross_validate(
-    estimator: Estimator,
-    maps: list[dict],
+    candidates: list[Settings],
     training: Training,
     k: int,
+    seed: int,
     parallelism: int,
     metric: str,
+    trials: Trials | None = None,
 ) -> list[float]:
-    """Mean of the metric over the folds, for each map of parameters; larger is better."""
+    """Mean of the metric over the folds, for each candidate; larger is better.
+
+    Fits run side by side, each in a scheduler pool of its own; what the trials know is not fitted.
+    """
+    spark = training.rows.sparkSession
+    trials = trials or Trials(spark)
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName=metric)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=evaluator,
-        numFolds=k,
-        foldCol=FOLD,
-        parallelism=parallelism,
-    )
     sign = 1 if evaluator.isLargerBetter() else -1
-    return [sign * value for value in search.fit(training.rows).avgMetrics]
+    estimator = booster(seed)
+    maps = param_maps(estimator, candidates, training.count)
+
+    def fold_score(task: tuple[int, int]) -> float:
+        i, fold = task
+        settings = {n: v for n, v in candidates[i].items() if n != "score"}
+        known = {**settings, "fold": fold, "folds": k, "seed": seed, "metric": metric,
+                 "rows": training.count, "key": training.key}
+
+        def fit() -> float:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{i}-{fold}")
+            fitting = training.rows.filter(F.col(FOLD) != fold)
+            fitted = estimator.copy(maps[i]).fit(fitting)
+            held = fitted.transform(training.rows.filter(F.col(FOLD) == fold))
+            return sign * evaluator.evaluate(held)
+
+        return trials.score(json.dumps(known, sort_keys=True), fit)
+
+    tasks = [(i, fold) for i in range(len(candidates)) for fold in range(k)]
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        scores = pool.map(inheritable_thread_target(spark)(fold_score), tasks, chunksize=1)
+    return [sum(scores[i * k : (i + 1) * k]) / k for i in range(len(candidates))]
 
 
 def _best_first(candidates: list[Settings], scores: list[float]) -> list[int]:
@@ -328,14 +398,17 @@ def grid_search_halving(
     seed: int = 0,
     parallelism: int = 4,
     metric: str = "accuracy",
+    trials: Trials | None = None,
 ) -> list[Settings]:
-    """Successive halving on the number of trees; the candidates of the last rung, best first."""
+    """Successive halving on the number of trees; the candidates of the last rung, best first.
+
+    Rungs that repeat the number of trees ask for scores that are known and fit nothing.
+    """
     alive = expand_grid(grid)
+    trials = trials or Trials(training.rows.sparkSession)
     for n_trees, keep in halving_schedule(len(alive), *trees, factor):
         alive = [{**c, "n_estimators": n_trees} for c in alive[:keep]]
-        estimator = booster(seed)
-        maps = param_maps(estimator, alive, training.count)
-        scores = _cross_validate(estimator, maps, training, k, parallelism, metric)
+        scores = _cross_validate(alive, training, k, seed, parallelism, metric, trials)
         alive = [{**alive[i], "score": scores[i]} for i in _best_first(alive, scores)]
     return alive
 
@@ -348,6 +421,7 @@ def random_search(
     seed: int = 0,
     parallelism: int = 4,
     metric: str = "logLoss",
+    trials: Trials | None = None,
 ) -> list[Settings]:
     """Cross-validate a seeded sample of the candidates; all of it, best first.
 
@@ -355,9 +429,7 @@ def random_search(
     """
     pool = expand_grid(RANDOM_GRID) if candidates is None else candidates
     drawn = random.Random(seed).sample(pool, min(n_iter, len(pool)))
-    estimator = booster(seed)
-    maps = param_maps(estimator, drawn, training.count)
-    scores = _cross_validate(estimator, maps, training, k, parallelism, metric)
+    scores = _cross_validate(drawn, training, k, seed, parallelism, metric, trials)
     return [{**drawn[i], "score": scores[i]} for i in _best_first(drawn, scores)]
 
 
@@ -426,20 +498,22 @@ def run_setting(
     k: int = 5,
     seed: int = 0,
     search: dict | None = None,
+    trials_path: str | None = None,
 ) -> DataFrame:
     """Search, fit and score one setting; one result row.
 
     model_type: xgbhgs (halving grid), xgbbs (random draws from the continuous ranges), catd
-    (defaults), catr (random grid). ``search`` overrides arguments of the search.
+    (defaults), catr (random grid). ``search`` overrides arguments of the search. With trials_path the
+    scores of a search are kept there, and a run that ended goes on with what it lacks.
     """
     started = time.perf_counter()
-    options = search or {}
+    options = {**(search or {}), "trials": Trials(work.spark, trials_path)}
     training = prepare(train, row_id, work, label, k, seed)
     if model_type == "xgbhgs":
         best = grid_search_halving(training, k=k, seed=seed, **options)[0]
     elif model_type == "xgbbs":
         drawn = sample_ranges(options.get("n_iter", 50), seed, options.get("ranges", RANGES))
-        best = random_search(training, drawn, len(drawn), k, seed)[0]
+        best = random_search(training, drawn, len(drawn), k, seed, trials=options["trials"])[0]
     elif model_type == "catr":
         best = random_search(training, k=k, seed=seed, **options)[0]
     elif model_type != "catd":
@@ -472,3 +546,68 @@ def run_stored_setting(
     """run_setting on the stored matrices of a setting."""
     train, test = load_matrix(work.spark, root, *[setting[key] for key in KEYS])
     return run_setting(train, test, setting, model_type, row_id, work, **options)
+
+
+RESULT_KEYS = [*KEYS, "model_type"]
+RESULT = (
+    ", ".join(f"{key} string" for key in KEYS)
+    + ", train_rows long, test_rows long, auc double, auc_probability double, seconds double"
+    + ", model_type string"
+)
+
+
+def finished(spark: SparkSession, results: str) -> DataFrame:
+    """Result rows so far: one for each setting and model type that is done."""
+    if not folder_exists(spark, results):
+        return spark.createDataFrame([], RESULT)
+    return spark.read.schema(RESULT).parquet(results)
+
+
+def run_settings(
+    root: str,
+    model_types: list[str],
+    row_id: str,
+    results: str,
+    work: Workspace,
+    parallelism: int = 2,
+    trials_root: str | None = None,
+    models_root: str | None = None,
+    **options,
+) -> DataFrame:
+    """Every stored setting with every model type; the table of results.
+
+    Jobs are the partitions of the stored matrices. Each runs in a scheduler pool of its own and
+    overwrites its own partition of the results when it is done, so that one that was lost half-way
+    leaves nothing, and the next run fits only what has no result yet. trials_root and models_root get
+    a folder for each job. The other options are those of run_setting().
+    """
+    spark = work.spark
+    done = {tuple(r) for r in finished(spark, results).select(*RESULT_KEYS).collect()}
+    jobs = [
+        (setting, kind)
+        for setting in stored_settings(spark, root)
+        for kind in model_types
+        if (*(setting[key] for key in KEYS), kind) not in done
+    ]
+    writing = threading.Lock()
+
+    def run(job: tuple[dict, str]) -> None:
+        setting, kind = job
+        name = "/".join([*(f"{key}={setting[key]}" for key in KEYS), f"model_type={kind}"])
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        train, test = load_matrix(spark, root, *[setting[key] for key in KEYS])
+        row = run_setting(
+            train, test, setting, kind, row_id, work,
+            trials_path=f"{trials_root}/{name}" if trials_root else None,
+            model_path=f"{models_root}/{name}" if models_root else None,
+            **options,
+        ).withColumns({"train_rows": F.lit(train.count()), "test_rows": F.lit(test.count())})
+        columns = [name.split(" ")[0] for name in RESULT.split(", ")]
+        with writing:
+            row.select(*columns).coalesce(1).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(*RESULT_KEYS).parquet(results)
+
+    with ThreadPool(max(1, min(parallelism, len(jobs) or 1))) as pool:
+        pool.map(inheritable_thread_target(spark)(run), jobs, chunksize=1)
+    return finished(spark, results)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import tempfile
 import uuid
@@ -35,6 +36,11 @@ def scratch_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="renalis-")
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder from whatever store it is in."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -52,7 +58,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{root or scratch_root(spark)}/renalis-{uuid.uuid4().hex}"
-        self.tables = 0
+        self.numbers = itertools.count(1)
 
     def __enter__(self) -> Workspace:
         return self
@@ -64,8 +70,8 @@ class Workspace:
 
     def folder(self, name: str) -> str:
         """A new folder of the run."""
-        self.tables += 1
-        return f"{self.path}/{self.tables:03d}-{name}"
+        number = next(self.numbers)  # threads may cut tables at the same time
+        return f"{self.path}/{number:03d}-{name}"
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         target = self.folder(name)

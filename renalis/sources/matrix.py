@@ -36,3 +36,11 @@ def load_matrix(
             df = df.filter(F.col(key) == str(value))
         frames.append(df.drop(*KEYS))
     return frames[0], frames[1]
+
+
+def stored_settings(spark: SparkSession, root: str) -> list[dict[str, str]]:
+    """The settings that have a matrix of training rows: a few keys each, from the partitions alone."""
+    found = spark.read.parquet(f"{root}/train").schema
+    typed = [T.StructField(f.name, T.StringType()) if f.name in KEYS else f for f in found]
+    rows = spark.read.schema(T.StructType(typed)).parquet(f"{root}/train")
+    return [r.asDict() for r in rows.select(*KEYS).distinct().orderBy(*KEYS).collect()]

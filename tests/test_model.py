@@ -168,3 +168,86 @@ def test_two_results_on_one_workspace(spark, work):
     first = model.roc_auc(df, "score", work)
     second = model.roc_auc(df.withColumn("score", -F.col("score")), "score", work)
     assert (first.first()["auc"], second.first()["auc"]) == (0.75, 0.25)
+
+
+GRID = {"max_depth": [1, 2], "learning_rate": [0.1, 0.3], "gamma": [0.5], "colsample": [1.0],
+        "subsample": [1.0], "min_child_weight": [1]}
+
+
+def test_a_search_goes_on_where_it_was(spark, work, monkeypatch):
+    training = model.prepare(matrix(spark), "row_id", work, k=2)
+    path = f"{work.path}/trials"
+    first = model.Trials(spark, path)
+    # Four candidates, then two of them with as many trees, then one with twice as many.
+    assert model.halving_schedule(4, 2, 4, 2) == [(2, 4), (2, 2), (4, 1)]
+    best = model.grid_search_halving(training, GRID, (2, 4), 2, k=2, trials=first)
+    assert first.fitted == 2 * (4 + 1)  # nothing for the second rung
+    assert spark.read.parquet(path).count() == first.fitted
+
+    again = model.Trials(spark, path)
+    assert model.grid_search_halving(training, GRID, (2, 4), 2, k=2, trials=again) == best
+    assert again.fitted == 0
+
+    # A run that was lost after some fits: the rest is fitted, and the result is the same.
+    lost = f"{work.path}/lost"
+    spark.read.parquet(path).limit(4).coalesce(1).write.parquet(lost)
+    rest = model.Trials(spark, lost)
+    assert model.grid_search_halving(training, GRID, (2, 4), 2, k=2, trials=rest) == best
+    assert rest.fitted == first.fitted - 4
+
+    # Other rows, folds or metrics are other trials.
+    other = model.prepare(matrix(spark, seed=2), "row_id", work, k=2)
+    more = model.Trials(spark, path)
+    model.random_search(other, [{"max_depth": 1, "n_estimators": 2}], k=2, trials=more)
+    assert more.fitted == 2
+
+
+def test_scores_are_those_of_the_cross_validator(spark, work):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    training = model.prepare(matrix(spark), "row_id", work, k=3)
+    candidates = [{"max_depth": d, "n_estimators": 3, "learning_rate": 0.2} for d in (1, 3)]
+    for metric, sign in (("accuracy", 1), ("logLoss", -1)):
+        found = model._cross_validate(candidates, training, 3, 0, 2, metric)
+        estimator = model.booster(0)
+        ready = CrossValidator(
+            estimator=estimator, numFolds=3, foldCol="fold",
+            estimatorParamMaps=model.param_maps(estimator, candidates, training.count),
+            evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName=metric),
+        ).fit(training.rows)
+        assert found == pytest.approx([sign * v for v in ready.avgMetrics])
+
+
+def test_settings_are_run_once_each(spark, work, monkeypatch):
+    root, results = f"{work.path}/matrices", f"{work.path}/results"
+    rows = matrix(spark, 240)
+    for key, value in {**SETTING, "site": "01"}.items():
+        rows = rows.withColumn(key, F.lit(str(value)))
+    both = rows.unionByName(rows.withColumn("year", F.lit("2016")).limit(200))
+    save_matrix(both, root, "train")
+    save_matrix(both, root, "test")
+    options = {"k": 2, "search": {"candidates": [{"max_depth": 2, "n_estimators": 2}]}}
+    kept = {"trials_root": f"{work.path}/trials", "models_root": f"{work.path}/models"}
+    lost = model.run_setting
+
+    def fails_for_one(train, test, setting, *rest, **more):
+        if setting["year"] == "2016":
+            raise RuntimeError("lost")
+        return lost(train, test, setting, *rest, **more)
+
+    monkeypatch.setattr(model, "run_setting", fails_for_one)
+    with pytest.raises(RuntimeError):
+        model.run_settings(root, ["catr"], "row_id", results, work, 1, **kept, **options)
+    assert [r.year for r in model.finished(spark, results).collect()] == ["2015"]
+
+    ran = []
+    monkeypatch.setattr(model, "run_setting", lambda *a, **k: ran.append(a[2]["year"]) or lost(*a, **k))
+    found = model.run_settings(root, ["catr"], "row_id", results, work, **kept, **options)
+    assert ran == ["2016"]
+    assert sorted((r.site, r.year, r.model_type, r.train_rows, r.test_rows) for r in found.collect()) == [
+        ("01", "2015", "catr", 240, 240), ("01", "2016", "catr", 200, 200)
+    ]
+    assert all(0.5 <= r.auc_probability <= 1 for r in found.collect())
+    again = model.run_settings(root, ["catr"], "row_id", results, work, **kept, **options)
+    assert ran == ["2016"] and again.count() == 2

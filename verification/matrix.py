@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from renalis.operators import model
 from renalis.plans.pipeline import Extraction
+from renalis.sources.matrix import save_matrix
 
 SETTING = {"site": "S1", "year": 1998, "stg": "stg01", "fs": "all", "oversample": "raw"}
 
@@ -63,6 +64,28 @@ GRID_SQL = """
     cross join (values (0.5e0), (1.0e0)) g (gamma)"""
 
 
+# The stored matrices of two settings, by the length of the stay; one fold is the test split.
+STORED_SQL = """
+    select m.*, case when m.los < 5 then '1998' else '1999' end as year,
+           case when f.fold = 0 then 'test' else 'train' end as split
+    from matrix m join stratified_folds f on f.row_id = m.row_id"""
+SETTINGS_SQL = """
+    select 'S1' as site, year, 'stg01' as stg, 'all' as fs, 'raw' as oversample,
+           'catd' as model_type, count(*) filter (split = 'train') as train_rows,
+           count(*) filter (split = 'test') as test_rows, true as scored
+    from stored_matrix group by year"""
+
+
+def store(rows: DataFrame, root: str) -> None:
+    """Writes the matrices of two settings under root; rows have a fold."""
+    year = F.when(F.col("los") < 5, "1998").otherwise("1999")
+    keyed = rows.withColumns(
+        {"year": year, **{k: F.lit(SETTING[k]) for k in ("site", "stg", "fs", "oversample")}}
+    )
+    for name, part in (("train", F.col(model.FOLD) != 0), ("test", F.col(model.FOLD) == 0)):
+        save_matrix(keyed.filter(part).drop(model.FOLD), root, name)
+
+
 def feature_kinds(x: Extraction) -> DataFrame:
     """The features by kind, as the assembler takes them, with the number of values of each."""
     rows = feature_matrix(x)

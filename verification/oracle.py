@@ -541,6 +541,8 @@ def _model_steps() -> dict[str, str]:
         "boolean_features": matrix.KINDS_SQL,
         "halving_rungs": matrix.RUNGS_SQL,
         "grid_parameters": matrix.GRID_SQL,
+        "stored_matrix": matrix.STORED_SQL,
+        "run_settings": matrix.SETTINGS_SQL,
     }
 
 

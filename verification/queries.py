@@ -15,6 +15,7 @@ from renalis.config import CohortConfig
 from renalis.operators import attrition, cohort, collect, deid, exclusions, model, staging
 from renalis.plans.pipeline import Extraction, collect_one
 from renalis.sources import cdm, sinks
+from renalis.sources.matrix import SPLITS, load_matrix, stored_settings
 from verification import matrix, oracle
 from verification.views import load_views
 
@@ -228,6 +229,33 @@ def _default_fit(x: Extraction) -> DataFrame:
     return model.score(model.default_fit(training), training, test)
 
 
+def _stored(x: Extraction) -> str:
+    """Folder with the matrices of two settings."""
+    root = x.work.folder("matrices")
+    rows = _matrix(x)
+    folds = model.stratified_folds(rows.select("row_id", "label"), "row_id", seed=matrix.FOLDS_SEED)
+    matrix.store(rows.join(folds.drop("label"), "row_id"), root)
+    return root
+
+
+def _stored_matrix(x: Extraction) -> DataFrame:
+    """All matrices as they come back from the store, with their year and split."""
+    root, frames = _stored(x), []
+    for setting in stored_settings(x.spark, root):
+        for split, rows in zip(SPLITS, load_matrix(x.spark, root, **setting)):
+            year = F.lit(setting["year"]).alias("year")
+            frames.append(rows.select("*", year, F.lit(split).alias("split")))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _run_settings(x: Extraction) -> DataFrame:
+    """Default fits of all stored settings: their rows, and whether both areas are in range."""
+    root, results = _stored(x), x.work.folder("results")
+    found = model.run_settings(root, ["catd"], "row_id", results, x.work)
+    scored = F.col("auc").between(0, 1) & F.col("auc_probability").between(0.5, 1)
+    return found.select(*model.RESULT_KEYS, "train_rows", "test_rows", scored.alias("scored"))
+
+
 _MODEL: dict[str, tuple[Build, str | None]] = {
     "matrix": (matrix.feature_matrix, "matrix"),
     "class_weight": (lambda x: model.class_weight(matrix.feature_matrix(x)), "class_weight"),
@@ -247,6 +275,8 @@ _MODEL: dict[str, tuple[Build, str | None]] = {
     "halving_rungs": (_halving_rungs, "halving_rungs"),
     "grid_parameters": (_grid_parameters, "grid_parameters"),
     "default_fit": (_default_fit, None),
+    "stored_matrix": (_stored_matrix, "stored_matrix"),
+    "run_settings": (_run_settings, "run_settings"),
 }
 
 
