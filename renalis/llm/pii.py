@@ -107,13 +107,36 @@ def _characters() -> dict[str, str]:
 
 _MAPPED = _characters()
 
-# The digits in words.
-_DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
-_DIGIT = "(?:" + "|".join(_DIGITS) + ")"
+# The digits in words, in four languages; then the words for a dot and a plus.
+_NUMBERS = (
+    ("zero one two three four five six seven eight nine", "dot", "plus"),
+    ("null eins zwei drei vier fünf sechs sieben acht neun", "punkt", "plus"),
+    ("cero uno dos tres cuatro cinco seis siete ocho nueve", "punto", "más"),
+    ("zéro un deux trois quatre cinq six sept huit neuf", "point", "plus"),
+)
+# What stands for @ in languages other than English, and the words for a dot there.
+_AT_WORDS, _DOT_WORDS = "arroba|arobase|arrobase|arobas|klammeraffe|ät", "punkt|punto|point"
 _OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _BETWEEN = r"(?:[ \t]*[-,][ \t]*|[ \t]+)"
-_SPELLED = re.compile(rf"\b{_DIGIT}(?:{_BETWEEN}(?:{_DIGIT}|[0-9]+))*\b", re.I | re.A)
-_WORD_DOT = rf"(?:[ \t]+dot[ \t]+|{_OPEN}(?:dot|\.){_CLOSE}|[ \t]*\.[ \t]*)"
+
+
+class _Numbers:
+    """Spelled digits of a language, and the patterns that read them."""
+
+    def __init__(self, words: str, dot: str, plus: str):
+        self.digits = {w: str(i) for i, w in enumerate(words.split())}
+        self.sign = plus
+        one = "(?:" + "|".join(self.digits) + ")"
+        word_dot = rf"(?:[ \t]+{dot}[ \t]+|{_OPEN}(?:{dot}|\.){_CLOSE}|[ \t]*\.[ \t]*)"
+        self.part = re.compile(rf"{one}|[0-9]+", re.I)
+        self.run = re.compile(rf"\b{one}(?:{_BETWEEN}(?:{one}|[0-9]+))*\b", re.I)
+        self.dot_after = re.compile(word_dot, re.I)
+        self.before = re.compile(rf"(?:{word_dot}|\b{plus}[ \t]+|\+)\Z", re.I)
+        self.plus = re.compile(rf"\b{plus}[ \t]+(?=[0-9])", re.I)
+
+
+_LANGUAGES = [_Numbers(*row) for row in _NUMBERS]
+_DIGIT = "(?:" + "|".join(_LANGUAGES[0].digits) + ")"
 # Ends of domains after which a bare "at" with plain dots is taken for a disguise.
 _ENDS = (
     "com|org|net|edu|gov|mil|info|biz|io|ai|co|uk|de|fr|es|eu|ch|nl|ca|au|jp|cn|ru|br|pl|se|pt|example"
@@ -133,12 +156,13 @@ _NO_END = (
 _ANY_DOT = rf"(?:[ \t]+dot[ \t]+|{_OPEN}dot{_CLOSE}|\.)"
 _MORE = rf"(?:{_ANY_DOT}[A-Za-z0-9-]+){{0,5}}"
 _ANY_END = r"(?:[A-Za-z]{2,}|xn--[A-Za-z0-9-]+)(?![A-Za-z0-9_]|-[A-Za-z0-9])"
-_AFTER_AT = (
-    rf"(?:[A-Za-z0-9-]+{_MORE}{_ANY_DOT}(?:{_ENDS})\b"
-    rf"|[A-Za-z0-9-]+{_MORE}{_OPEN}dot{_CLOSE}(?:[A-Za-z0-9-]+\.){{0,5}}{_ANY_END}"
+_SPELLED_AFTER = (
+    rf"(?:[A-Za-z0-9-]+{_MORE}{_OPEN}dot{_CLOSE}(?:[A-Za-z0-9-]+\.){{0,5}}{_ANY_END}"
     rf"|(?!(?:{_NO_DOMAIN})[ \t])[A-Za-z0-9-]+{_MORE}[ \t]+dot[ \t]+"
-    rf"(?:[A-Za-z0-9-]+\.){{0,5}}(?!(?:{_NO_END})\b){_ANY_END})"
+    rf"(?:[A-Za-z0-9-]+\.){{0,5}}(?!(?:{_NO_END})\b){_ANY_END}"
+    rf"|(?=[A-Za-z0-9.-]*(?:[ \t]+dot[ \t]|{_OPEN}dot))[A-Za-z0-9-]+{_MORE}{_ANY_DOT}(?:{_ENDS})\b)"
 )
+_AFTER_AT = rf"(?:[A-Za-z0-9-]+{_MORE}{_ANY_DOT}(?:{_ENDS})\b|{_SPELLED_AFTER})"
 _DISGUISE = re.compile(
     rf"(?P<at>(?<=[A-Za-z0-9]){_OPEN}(?:at|@){_CLOSE}(?=[A-Za-z0-9])"
     rf"|(?<=[A-Za-z0-9])[ \t]+at[ \t]+"
@@ -147,6 +171,35 @@ _DISGUISE = re.compile(
     rf"|(?P<plus>\bplus[ \t]+(?=[0-9]|{_DIGIT}\b))",
     re.I | re.A,
 )
+# A bare "at" before plain dots alone is common in prose. It counts only with evidence: a name before it
+# that no word looks like, or a word before the name that asks for an address. Those words
+# in four languages, and words that are no name.
+_DOMAIN_SPELLED = re.compile(_SPELLED_AFTER, re.I | re.A)
+_DOMAIN_PLAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.A)
+_NAME = re.compile(r"[A-Za-z0-9._%+-]+\Z", re.A)
+_NAME_LIKE = re.compile(r"(?=.*[A-Za-z])(?!(?:[A-Za-z]\.)+[A-Za-z]?\Z).*[0-9._+].*", re.A)
+_CUE = re.compile(
+    r"\b(?:e-?mails?|mails?|mailto|contact|write|reach|address|kontakt|kontaktiere|schreib|schreibe|schreiben"
+    r"|adresse|correo|contacto|escribe|escriba|escribir|dirección|courriel|contactez|écrire|écris|écrivez)"
+    r"(?:[ \t]+(?:to|is|sie|an|à|a|ist|es|est))*[ \t]*[:=]?[ \t]*\Z",
+    re.I,
+)
+_NO_NAME = frozenset(
+    "me us you him her them it one someone anyone mich uns sie ihn nos me moi nous vous le la les".split()
+)
+# Addresses of other languages: the sign in a word of its own, or "at" before a spelled German dot.
+_FOREIGN_DOT = rf"(?:[ \t]+(?:{_DOT_WORDS})[ \t]+|{_OPEN}(?:{_DOT_WORDS}|\.){_CLOSE}|\.)"
+_FOREIGN_MAIL = re.compile(
+    rf"(?<=[A-Za-z0-9])(?P<before>[ \t]+(?:{_DOT_WORDS})[ \t]+[A-Za-z0-9_-]+)?"
+    rf"(?:(?P<at>[ \t]+(?:{_AT_WORDS})[ \t]+|{_OPEN}(?:{_AT_WORDS}){_CLOSE})"
+    rf"[A-Za-z0-9-]+(?:{_FOREIGN_DOT}[A-Za-z0-9-]+){{1,5}}"
+    rf"|(?P<german>[ \t]+at[ \t]+|{_OPEN}(?:at|@){_CLOSE})"
+    rf"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:[ \t]+punkt[ \t]+|{_OPEN}punkt{_CLOSE})"
+    rf"[A-Za-z0-9-]+(?:{_FOREIGN_DOT}[A-Za-z0-9-]+){{0,4}})",
+    re.I,
+)
+_FOREIGN_IP = re.compile(rf"\b[0-9]{{1,3}}(?:[ \t]+(?:{_DOT_WORDS})[ \t]+[0-9]{{1,3}}){{3}}\b", re.I)
+_FOREIGN_SIGN = re.compile(rf"(?:[ \t]+|{_OPEN})(?:{_DOT_WORDS})(?:{_CLOSE}|[ \t]+)|{_OPEN}\.{_CLOSE}", re.I)
 _DOTTED = re.compile(r"[ \t]+[A-Za-z0-9-]+\.", re.A)
 _BRACKETED = re.compile(r"[\[({<][ \t]*(?:at|@|\.|dot)[ \t]*[\])}>]", re.I | re.A)
 _LONGEST_DISGUISE = 40
@@ -218,28 +271,57 @@ def _may_be_disguised(text: str) -> bool:
     )
 
 
-def _spelled(text: str, anchors: list[int]) -> list[tuple[int, int, str]]:
+def _spelled(text: str, language: _Numbers, anchors: list[int]) -> list[tuple[int, int, str]]:
     """Edits that write spelled digits as figures: three in a row, or some beside a dot or plus."""
     edits, until = [], 0
     for anchor in anchors:
-        m = _SPELLED.match(text, anchor) if anchor >= until else None
+        m = language.run.match(text, anchor) if anchor >= until else None
         if m is None:
             continue
         until = m.end()
-        parts = re.findall(rf"{_DIGIT}|[0-9]+", m.group(), re.I | re.A)
-        beside = (
-            re.match(_WORD_DOT, text[m.end() : m.end() + _LONGEST_DISGUISE], re.I)
-            or re.search(_WORD_DOT + r"\Z", text[max(0, m.start() - _LONGEST_DISGUISE) : m.start()], re.I)
-            or re.search(r"(?:\bplus[ \t]+|\+)\Z", text[max(0, m.start() - 8) : m.start()], re.I)
+        parts = language.part.findall(m.group())
+        beside = len(parts) < 3 and (
+            language.dot_after.match(text[m.end() : m.end() + _LONGEST_DISGUISE])
+            or language.before.search(text[max(0, m.start() - _LONGEST_DISGUISE) : m.start()])
         )
         if len(parts) >= 3 or beside:
-            figures = "".join(_DIGITS.get(p.lower(), p) for p in parts)
+            figures = "".join(language.digits.get(p.lower(), p) for p in parts)
             edits.append((m.start(), m.end(), figures))
     return edits
 
 
-def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
-    """What the rewritten text shows besides the plain spans, in source characters."""
+def _foreign(text: str, low: str) -> list[tuple[int, int, str]]:
+    """Edits for the signs of addresses in other languages, only where they make one."""
+    edits = []
+    if any(w in low for w in _DOT_WORDS.split("|") + _AT_WORDS.split("|")):
+        for m in _FOREIGN_MAIL.finditer(text):
+            a, b = m.span("at") if m.group("at") else m.span("german")
+            edits += [(d.start(), d.end(), ".") for d in _FOREIGN_SIGN.finditer(text, m.start(), a)]
+            edits.append((a, b, "@"))
+            edits += [(d.start(), d.end(), ".") for d in _FOREIGN_SIGN.finditer(text, b, m.end())]
+        for m in _FOREIGN_IP.finditer(text):
+            edits += [(d.start(), d.end(), ".") for d in _FOREIGN_SIGN.finditer(text, *m.span())]
+    for language in _LANGUAGES[1:]:
+        if language.sign in low:
+            edits += [(m.start(), m.end(), "+") for m in language.plus.finditer(text)]
+    edits = sorted(set(edits))
+    return [e for i, e in enumerate(edits) if not i or e[0] >= edits[i - 1][1]]
+
+
+def _evident(text: str, at: int) -> bool:
+    """Whether what stands before a bare "at" shows that it is an address."""
+    name = _NAME.search(text, max(0, at - 64), at)
+    if name is None:
+        return False
+    if _NAME_LIKE.match(name.group().strip("._%+-")):
+        return True
+    before = text[max(0, name.start() - 48) : name.start()]
+    return name.group().lower() not in _NO_NAME and _CUE.search(before) is not None
+
+
+def disguised_spans(text: str, plain: list[Span]) -> tuple[list[Span], list[Span]]:
+    """What the rewritten text shows besides the plain spans, in source characters; and what may be an
+    address, but stands as words of prose do."""
     steps: list[Rewritten] = []
     now = text
 
@@ -249,29 +331,45 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
             steps.append(rewrite(now, edits))
             now = steps[-1].text
 
+    def to_source(start: int, end: int) -> tuple[int, int, bool]:
+        changed = False
+        for step in reversed(steps):
+            start, end, touched = step.source(start, end)
+            changed |= touched
+        return start, end, changed
+
     if not text.isascii() and (odd := _MAPPED.keys() & set(text)):
         one = re.compile("[" + "".join(map(re.escape, odd)) + "]")
         apply([(m.start(), m.end(), _MAPPED[m.group()]) for m in one.finditer(now)])
-    low = _lower(now)
-    words = sorted(at for word in _DIGITS for at in _standing(low, word))
-    apply(_spelled(now, words))
+    for language in _LANGUAGES:
+        low = _lower(now)
+        words = sorted(at for word in language.digits for at in _standing(low, word))
+        apply(_spelled(now, language, words))
+    apply(_foreign(now, _lower(now)))
+    unsure: list[Span] = []
     if _may_be_disguised(now):
-        signs = {"at": "@", "dot": ".", "plus": "+"}
-        apply([(m.start(), m.end(), signs[m.lastgroup]) for m in _DISGUISE.finditer(now)])
+        signs, edits = {"at": "@", "dot": ".", "plus": "+"}, []
+        for m in _DISGUISE.finditer(now):
+            bare = m.lastgroup == "at" and m.group().strip(" \t").lower() == "at"
+            if bare and not (_DOMAIN_SPELLED.match(now, m.end()) or _evident(now, m.start())):
+                name = _NAME.search(now, max(0, m.start() - 64), m.start())
+                domain = _DOMAIN_PLAIN.match(now, m.end())
+                if name and domain:
+                    unsure.append(("email", *to_source(name.start(), domain.end())[:2]))
+            else:
+                edits.append((m.start(), m.end(), signs[m.lastgroup]))
+        apply(edits)
     if not steps:
-        return []
+        return [], unsure
     found = []
     taken = sorted((s, e) for _, s, e in plain)
     for kind, start, end in plain_spans(now):
-        changed = False
-        for step in reversed(steps):
-            start, end, touched = step.source(start, end)
-            changed |= touched
+        start, end, changed = to_source(start, end)
         i = bisect_right(taken, (end,)) - 1
         clear = all(e <= start or s >= end for s, e in taken[max(0, i - 3) : i + 1])
         if changed and clear:
             found.append((kind, start, end))
-    return found
+    return found, unsure
 
 
 def ordered(spans: list[Span]) -> list[Span]:
@@ -284,8 +382,14 @@ def as_text(spans: list[Span]) -> str:
 
 def spans_of(text: str) -> tuple[list[Span], list[Span]]:
     """(plain, all) spans of a text, each by start and then kind."""
+    return every_span(text)[:2]
+
+
+def every_span(text: str) -> tuple[list[Span], list[Span], list[Span]]:
+    """(plain, all, unsure) spans of a text, each by start and then kind; unsure ones are not in all."""
     plain = plain_spans(text)
-    return ordered(plain), ordered(plain + disguised_spans(text, plain))
+    disguised, unsure = disguised_spans(text, plain)
+    return ordered(plain), ordered(plain + disguised), ordered(unsure)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -302,10 +406,11 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_disguised for every row.
+    """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_disguised, unsure for every row.
 
     The counts and the digest are those of the plain spans, `spans` lists these and the disguised
-    ones. Positions are code points, ends exclusive. A null or empty text has no spans. Equal texts
+    ones, `unsure` words that may be an address but read like prose ("a talk at python.org"); they are
+    not masked. Positions are code points, ends exclusive. A null or empty text has no spans. Equal texts
     get equal results; ids are passed through, null or repeated; other columns are not read.
     """
     sized(docs.sparkSession)
@@ -313,20 +418,26 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for text in batch.column(1).to_pylist():
-            plain, every = spans_of(text or "")
+            plain, every, unsure = every_span(text or "")
             kinds = [kind for kind, _, _ in plain]
             digest = hashlib.sha256(as_text(plain).encode()).hexdigest()
             rows.append(
-                (*map(kinds.count, KINDS), digest, as_text(every), len(every) - len(plain))
+                (
+                    *map(kinds.count, KINDS), digest, as_text(every), len(every) - len(plain),
+                    as_text(unsure),
+                )
             )
-        kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.int64()]
-        names = [id_col, *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans", "n_disguised"]
+        kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.int64(), pa.string()]
+        names = [
+            id_col, *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans", "n_disguised", "unsure"
+        ]
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     schema = f"`{id_col}` {kind}, {counts}, base_sha256 string, spans string, n_disguised long"
+    schema += ", unsure string"
     return map_texts(docs, [id_col, text_col], convert, schema)
 
 

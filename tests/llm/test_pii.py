@@ -110,6 +110,73 @@ def test_prose_around_a_spelled_dot_is_left_alone(text):
     assert pii.spans_of(text) == ([], [])
 
 
+PROSE = [
+    "The talk at python.org was long.", "We met at amazon.com headquarters.", "Details at example.org.",
+    "He works at booking.com now.", "Look at example.com first.", "In 2024 at nature.com they wrote so.",
+    "See version 3.12 at python.org.", "It opens at 9 a.m. at example.com.", "You can mail us at x.example.com",
+    "Der Stand at messe.de war voll.", "Wir sind at home.de zu finden.", "Le stand at salon.fr est plein.",
+    "La charla at python.org fue larga.", "A state-of-the-art model at openai.com", "at one point it was so",
+    "au point de vue du point un", "un punto de vista, dos puntos", "una arroba de trigo. Luego nada",
+    "der Punkt ist eins zwei drei", "plus de six personnes", "más de dos o tres",
+]
+
+
+@pytest.mark.parametrize("text", PROSE)
+def test_prose_in_four_languages_is_left_alone(text):
+    assert pii.spans_of(text) == ([], []) and pii.masked(text, []) == text
+
+
+def test_unsure_addresses_are_listed_but_not_masked(spark):
+    text = "The talk at python.org was long."
+    assert pii.every_span(text) == ([], [], [("email", 4, 22)])
+    row = pii.find(documents(spark, [(1, text)])).first()
+    assert (row.spans, row.n_disguised, row.unsure) == ("", 0, "email:4:22")
+    # The same words after a letter that had to be mapped: offsets are those of the source.
+    assert pii.every_span("\u00ad" + text)[2] == [("email", 5, 23)]
+
+
+@pytest.mark.parametrize(
+    "text, part",
+    [
+        ("john.doe at example.com", "john.doe at example.com"),
+        ("see jane_99 at mail.example.org ok", "jane_99 at mail.example.org"),
+        ("E-Mail: jana at firma.de bitte", "jana at firma.de"),
+        ("write to anna at posta.com", "anna at posta.com"),
+        ("Schreiben Sie an jana at firma.de!", "jana at firma.de"),
+        ("correo: ana at casa.es", "ana at casa.es"),
+        ("courriel : luc at maison.fr", "luc at maison.fr"),
+        ("jana at firma punkt de", "jana at firma punkt de"),
+        ("jana punkt maier at firma punkt de", "jana punkt maier at firma punkt de"),
+        ("jana (at) firma (punkt) de", "jana (at) firma (punkt) de"),
+        ("jana klammeraffe firma punkt de", "jana klammeraffe firma punkt de"),
+        ("ana arroba casa punto es", "ana arroba casa punto es"),
+        ("ana [arroba] casa.es", "ana [arroba] casa.es"),
+        ("luc arobase maison point fr", "luc arobase maison point fr"),
+        ("luc point petit arobase maison point fr", "luc point petit arobase maison point fr"),
+    ],
+)
+def test_addresses_with_evidence_or_in_other_languages(text, part):
+    (kind, start, end), = pii.spans_of(text)[1]
+    assert (kind, text[start:end]) == ("email", part)
+
+
+@pytest.mark.parametrize(
+    "part, kind",
+    [
+        ("eins neun zwei punkt eins sechs acht punkt eins punkt eins", "ip"),
+        ("uno nueve dos punto uno seis ocho punto uno punto uno", "ip"),
+        ("un neuf deux point un six huit point un point un", "ip"),
+        ("plus vier neun eins fünf eins zwei drei vier fünf sechs sieben", "phone"),
+        ("más tres cuatro nueve uno uno dos tres cuatro cinco seis siete", "phone"),
+        ("plus trois trois six un deux trois quatre cinq six sept huit", "phone"),
+    ],
+)
+def test_spelled_numbers_in_other_languages(part, kind):
+    for text in (part, f"({part}) é"):
+        (found, start, end), = pii.spans_of(text)[1]
+        assert (found, text[start:end]) == (kind, part)
+
+
 def test_pre_test_passes_whatever_the_pattern_finds():
     rng = random.Random(3)
     parts = ["at", "At", "dot", "DOT", "plus", "éplus", "(", ")", "[", ".", "@", " ", " ", "\t", "é",
