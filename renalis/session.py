@@ -47,9 +47,20 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Makes the folder, to be removed when the driver's JVM ends, if nobody clears it before."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+
+
 class Workspace:
     """Tables of one run, written to the shared folder and read back; a context that drops them.
 
+    What is not dropped by then goes with the application: results that are not cleared stay readable
+    as long as it runs.
+
     Names may repeat, as each table has a folder of its own. A written table survives the loss of
     executors, is scanned with column pruning by each of its readers, and has a known size, so that
     Spark's own broadcast decision rests on a measured one.
@@ -58,6 +69,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{root or scratch_root(spark)}/renalis-{uuid.uuid4().hex}"
+        _delete_on_exit(spark, self.path)
         self.numbers = itertools.count(1)
 
     def __enter__(self) -> Workspace:
