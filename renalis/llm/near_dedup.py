@@ -13,8 +13,9 @@ Texts with equal sets are one class and go through all this as one. In a crowded
 first compared with a single centre, the member that shares most with others, so a group of thousands
 of near copies costs as many comparisons and not their square. What the confirmed links join into one
 component needs no further comparison. Members of one bucket that are still in different components
-are then compared with each other by shortened sets, in blocks of bounded size inside the tasks, which
-pass on links between components and nothing else.
+are then compared with each other, in blocks of bounded size inside the tasks: by the estimate first, by
+full sets where it allows a link. What a block finds is exact; it passes on links between components and
+nothing else.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from renalis.llm.common import claim, cuts, map_texts, sized
@@ -40,7 +42,9 @@ LEVELS = [(24, 32, 3), (51, 72, 4), (BUCKETS, BUCKETS, 5)]  # own, reach, regist
 STARTS = 51
 TINY = 9  # sets of so few shingles also meet by what is left without one of them, which is exact
 CELL = 1024  # members of a bucket that are compared with as many at a time
+CELL_HASHES = 2_000_000  # and shingles that their sets hold, on average
 COLUMNS = 1024  # hashes of a cell that are counted at a time
+BEYOND = 1 << 62  # ids are smaller
 MARGIN = 5.0  # standard deviations by which an estimate may fall short
 CACHE = 400_000  # words whose hashes a worker keeps
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -140,16 +144,27 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     used = ((a > 0) | (b > 0)).sum(axis=1)
     both = ((a > 0) & (b > 0)).sum(axis=1)
     equal = ((a == b) & (a > 0)).sum(axis=1)
+    return corrected(equal, both, used), used
+
+
+def corrected(equal: np.ndarray, both: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """The share of equal registers, without those expected to be equal by accident."""
     chance = (both - equal) / (3.0 * (1 << MANTISSA))
-    return np.maximum(equal - chance, 0) / np.maximum(used, 1), used
+    return np.maximum(equal - chance, 0) / np.maximum(used, 1)
+
+
+def least_estimate(percent: int, used: np.ndarray) -> np.ndarray:
+    """The estimate below which a pair of the similarity asked for does not fall."""
+    threshold = percent / 100
+    return threshold - MARGIN * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1))
 
 
 # ---- steps ----------------------------------------------------------------------------------------
 
 
 def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, set_hash, registers, keys) of each row."""
-    names = ["id", "n", "set_hash", "registers", "keys"]
+    """(id, text_key, n, set_hash, registers, keys) of each row."""
+    names = ["id", "text_key", "n", "set_hash", "registers", "keys"]
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, whole, short, keys = [], [], [], []
@@ -161,16 +176,19 @@ def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
             short.append(found.tobytes())
             keys.append(band_keys(found, h))
         columns = [
-            batch.column(0), pa.array(counts, pa.int64()), pa.array(whole, pa.binary()),
+            batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(whole, pa.binary()),
             pa.array(short, pa.binary()), _lists(keys),
         ]
         return pa.RecordBatch.from_arrays(columns, names)
 
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key")
+    )
     return map_texts(
-        docs,
-        [id_col, text_col],
+        rows,
+        rows.columns,
         convert,
-        "id long, n long, set_hash binary, registers binary, keys array<long>",
+        "id long, text_key long, n long, set_hash binary, registers binary, keys array<long>",
     )
 
 
@@ -193,7 +211,6 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     sides = [
         classes.select(F.col("rep").alias(c), F.col("registers").alias(f"r{c}")) for c in ("a", "b")
     ]
-    threshold = percent / 100
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b = (
@@ -201,44 +218,67 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             for i in (2, 3)
         )
         found, used = estimate(a, b)
-        spread = np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1))
-        keep = pa.array(found >= threshold - MARGIN * spread)
+        keep = pa.array(found >= least_estimate(percent, used))
         return batch.select(["a", "b"]).filter(keep)
 
     joined = pairs.join(sides[0], "a").join(sides[1], "b")
     return map_texts(joined, ["a", "b", "ra", "rb"], convert, "a long, b long")
 
 
-def _links(members: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Links (a, b) that join components of the members (block, rep, label, short set) of one cell.
-
-    Members of one block, or else pairs of one from each of two. Short sets hold 32 bits of each hash,
-    so their common part is never smaller than that of the full sets. Of the links found, those that
-    connect what the ones before have not.
-    """
-    if len(members) < 2:
-        return []
-    sets = [np.unique(np.frombuffer(m[3], np.uint32)) for m in members]
-    block = np.array([m[0] for m in members])
-    label = np.unique(np.array([m[2] for m in members]), return_inverse=True)[1]
-    size = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), size)
-    shared, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    number = np.cumsum(count > 1) - 1  # of the hashes that more than one member has
+def _counts(tokens: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two of some sorted lists without repeats have in common."""
+    size = np.array([len(x) for x in tokens])
+    owner = np.repeat(np.arange(len(tokens)), size)
+    column, count = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)[1:]
+    number = np.cumsum(count > 1) - 1  # of the tokens that more than one list has
     kept = count[column] > 1
     owner, column = owner[kept], number[column[kept]]
-    common = np.zeros((len(sets), len(sets)), np.float32)
+    common = np.zeros((len(tokens), len(tokens)), np.float32)
     by_column = np.argsort(column, kind="stable")
     owner, column = owner[by_column], column[by_column]
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
         at = slice(*np.searchsorted(column, [low, low + COLUMNS]))
-        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part = np.zeros((len(tokens), COLUMNS), np.float32)
         part[owner[at], column[at] - low] = 1
         common += part @ part.T
-    union = size[:, None] + size - common
-    linked = (100 * common >= percent * union) & (label[:, None] != label)
+    return common
+
+
+def _estimated(sketches_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """estimate() of each two of some register rows."""
+    filled = (sketches_ > 0).astype(np.float32)
+    both = filled @ filled.T
+    place = np.arange(sketches_.shape[1], dtype=np.uint32) << np.uint32(16)
+    equal = _counts([(place | row)[row > 0] for row in sketches_])
+    np.fill_diagonal(equal, filled.sum(axis=1))
+    used = filled.sum(axis=1)[:, None] + filled.sum(axis=1) - both
+    return corrected(equal, both, used), used
+
+
+def _links(members: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links (a, b) that join components of the members (block, rep, label, registers, set) of one cell.
+
+    Members of one block, or else pairs of one from each of two. Pairs whose estimate lies far below
+    the similarity are left out, all others compared by their sets. Of the links found, those that
+    connect what the ones before have not.
+    """
+    if len(members) < 2:
+        return []
+    block = np.array([m[0] for m in members])
+    label = np.unique(np.array([m[2] for m in members]), return_inverse=True)[1]
+    found, used = _estimated(np.stack([np.frombuffer(m[3], np.uint16) for m in members]))
+    asked = found >= least_estimate(percent, used)
+    asked &= label[:, None] != label
     if block[0] != block[-1]:
-        linked &= block[:, None] != block
+        asked &= block[:, None] != block
+    pairs = np.argwhere(np.triu(asked, 1))
+    if not len(pairs):
+        return []
+    sets = {i: np.frombuffer(members[i][4], np.int64) for i in np.unique(pairs).tolist()}
+    common = None
+    if len(pairs) > 4 * len(sets):  # many: all at once
+        rows = {i: row for row, i in enumerate(sets)}
+        common = _counts(list(sets.values()))
     root = list(range(int(label.max()) + 1))
 
     def top(x: int) -> int:
@@ -247,32 +287,40 @@ def _links(members: list[tuple], percent: int) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    found = []
-    for x, y in zip(*(v.tolist() for v in np.nonzero(np.triu(linked)))):
+    out = []
+    for x, y in pairs.tolist():
         p, q = top(int(label[x])), top(int(label[y]))
-        if p != q:
+        if p == q:
+            continue
+        if common is None:
+            shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        else:
+            shared = int(common[rows[x], rows[y]])
+        if 100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared):
             root[p] = q
-            found.append(tuple(sorted((members[x][1], members[y][1]))))
-    return found
+            out.append(tuple(sorted((members[x][1], members[y][1]))))
+    return out
 
 
 def links_in_buckets(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components, of members (key, rep, label, short, c) of one bucket.
+    """Links (a, b) between components, of members (key, rep, label, registers, members, c, s) of a bucket.
 
-    c is the size of the bucket. Its members fall into blocks of about CELL, and each two blocks meet
-    in a cell, so a task holds two blocks at most, however large the bucket.
+    c is the number of members of the bucket, s that of their shingles. They fall into blocks of about
+    CELL members and CELL_HASHES shingles, and each two blocks meet in a cell, so a task holds two blocks
+    at most, however large the bucket.
     """
+    blocks = F.ceil(F.greatest(F.col("c") / F.lit(CELL), F.col("s") / F.lit(CELL_HASHES)))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     cells = (
-        members.withColumn("blocks", F.ceil(F.col("c") / F.lit(CELL)).cast("int"))
+        members.withColumn("blocks", blocks.cast("int"))
         .withColumn("block", own)
         .withColumn("other", F.explode(every))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
         .repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high", "block", "rep")
-        .select("key", "low", "high", "block", "rep", "label", "short")
+        .select("key", "low", "high", "block", "rep", "label", "registers", "members")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,34 +340,41 @@ def links_in_buckets(members: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, members, short): the full sets of the texts whose ids are listed, and 32 bits of each hash."""
+    """(id, repeated, members) for classes (rep, id, set_hash, repeated): by rep the full set, as 8 bytes
+    for each hash in order. An id may have several texts, of which that with the set_hash counts."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(t, size).astype(np.int64) for t in batch.column(1).to_pylist()]
-        short = [(s & 0xFFFFFFFF).astype(np.uint32).tobytes() for s in sets]
-        columns = [batch.column(0), _lists(sets), pa.array(short, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["id", "members", "short"])
+        sets = [shingles(t, size).astype(np.int64).tobytes() for t in batch.column(1).to_pylist()]
+        own = [xxhash.xxh3_128_digest(s) for s in sets]
+        same = pa.array([a == b for a, b in zip(own, batch.column(2).to_pylist())], pa.bool_())
+        columns = [batch.column(4), batch.column(3), pa.array(sets, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["id", "repeated", "members"]).filter(same)
+
+    asked = texts.join(ids, "id").select("id", "text", "set_hash", "repeated", "rep")
+    return map_texts(asked, asked.columns, convert, "id long, repeated boolean, members binary")
 
-    return map_texts(
-        texts.join(ids, "id", "left_semi"),
-        ["id", "text"],
-        convert,
-        "id long, members array<long>, short binary",
-    )
+
+def _once(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of repeated keys once; only these are shuffled."""
+    again = rows.filter("repeated").dropDuplicates([key])
+    return rows.filter("not repeated").unionByName(again).drop("repeated")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     sides = [sets.select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in ("a", "b")]
-    common = F.size(F.array_intersect("ma", "mb"))
-    union = F.size("ma") + F.size("mb") - common
-    return (
-        pairs.join(sides[0], "a")
-        .join(sides[1], "b")
-        .filter(100 * common >= percent * union)
-        .select("a", "b")
-    )
+
+    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in zip(batch.column(2), batch.column(3)):
+            a, b = (np.frombuffer(v.as_buffer(), np.int64) for v in (x, y))
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            keep.append(100 * common >= percent * (len(a) + len(b) - common))
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    joined = pairs.join(sides[0], "a").join(sides[1], "b")
+    return map_texts(joined, ["a", "b", "ma", "mb"], convert, "a long, b long")
 
 
 def near_duplicates(
@@ -334,31 +389,85 @@ def near_duplicates(
 
     Texts are linked if 100 * intersection >= percent * union of their sets of shingles. component_id
     is the smallest id that links lead to, and the row with that id is kept. Texts that are null,
-    empty or without words have no set and are linked with nothing. Rows with the same id are the same
-    document: they share its component. Rows without an id join the component of equal texts that have
-    one, and else stay by themselves, with a null component_id, and kept. An empty table gives no rows.
+    empty or without words have no set and are linked with nothing. Different texts under one id are
+    rows of their own, linked only by what they say; keep_first() chooses among rows, not ids. Rows
+    without an id join the component of equal texts that have one, and else stay by themselves, with a
+    null component_id, and kept. Ids are integers. An empty table gives no rows.
+    """
+    return _found(docs, work, size, percent, id_col, text_col).select(
+        F.col("id").alias(id_col), "n_shingles", "component_id", "kept"
+    )
+
+
+def keep_first(
+    docs: DataFrame,
+    work: Workspace,
+    size: int = 2,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The table with one row of each group of near duplicates, and all rows without words.
+
+    Of a group the row with the smallest id stays, null last; of different texts under that id one, and
+    of rows that repeat id and text one. Another text under the id of a row that goes is not touched.
+    """
+    found = work.cut(_found(docs, work, size, percent, id_col, text_col), "row_verdicts")
+    group = F.coalesce(F.col("number").cast("string"), F.hex("set_hash"))
+    rows = found.filter("n_shingles > 0").groupBy(group.alias("g"), "id", "text_key").agg(
+        F.count("*").alias("m")
+    )
+    order = F.struct(F.col("id").isNull(), "id", "text_key")
+    first = rows.groupBy("g").agg(F.min(order).alias("first"))
+    # Of most groups all rows but the first go; a first row that is repeated stays once.
+    named = F.struct(F.col("id").isNull(), "id", "text_key")
+    verdict = rows.join(first, "g").withColumn("stays", named.eqNullSafe(F.col("first")))
+    verdict = work.cut(
+        verdict.filter("not stays or m > 1").groupBy("id", "text_key").agg(F.max("stays").alias("stays")),
+        "row_changes",
+    )
+    keyed = docs.withColumn("near_dedup_key", F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(verdict["id"]) & (F.col("near_dedup_key") == verdict["text_key"])
+    untouched = keyed.join(verdict, same, "left_anti")
+    again = keyed.join(verdict.filter("stays"), same, "left_semi")
+    again = again.dropDuplicates([id_col, "near_dedup_key"])
+    return untouched.unionByName(again).drop("near_dedup_key")
+
+
+def _found(
+    docs: DataFrame, work: Workspace, size: int, percent: int, id_col: str, text_col: str
+) -> DataFrame:
+    """id, text_key, set_hash, n_shingles, number, component_id, kept for every row.
+
+    number tells components apart whose smallest ids are one; it is null where no id has the set.
     """
     spark = docs.sparkSession
     sized(spark)
     every = work.cut(sketches(docs, size, id_col, text_col), "sketches")
+    # Rows of one id and set first: copies without end of one row are one.
     sets = (
-        every.filter("n > 0")
+        every.filter("n > 0 and id is not null")
+        .groupBy("set_hash", "id")
+        .agg(F.count("*").alias("m"))
         .groupBy("set_hash")
-        .agg(F.min("id").alias("rep"))
-        .filter("rep is not null")
-    )
-    classes = work.cut(
-        every.join(sets, (every.id == sets.rep) & (every.set_hash == sets.set_hash), "left_semi")
-        .select(F.col("id").alias("rep"), "n", "registers", "keys"),
-        "classes",
+        .agg(F.min(F.struct("id", "m")).alias("first"))
+        .select("set_hash", F.col("first.id").alias("id"), (F.col("first.m") > 1).alias("repeated"))
     )
+    # A class goes by its smallest id, or by a number beyond all ids where that is the id of several.
+    alone = F.count("*").over(W.partitionBy("id")) == 1
+    other = F.pmod(F.xxhash64("set_hash"), F.lit(BEYOND)) + BEYOND
+    sets = sets.withColumn("rep", F.when(alone, F.col("id")).otherwise(other))
+    sets = work.cut(sets, "sets")
+    classes = every.select("id", "set_hash", "n", "registers", "keys").join(sets, ["id", "set_hash"])
+    classes = _once(work.cut(classes, "classes"), "rep")
 
     # Buckets with more than one class, and the full sets of those in them.
     keys = classes.select(F.explode("keys").alias("key"), "rep", "n")
-    counts = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    counts = keys.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
     crowded = work.cut(keys.join(counts, "key"), "crowded")
-    members = crowded.select(F.col("rep").alias("id")).distinct()
+    members = crowded.select("rep").distinct().join(sets, "rep")
     full = work.cut(full_sets(docs, members, size, id_col, text_col), "full_sets")
+    full = _once(full, "id")
 
     # Round one: each member with the centre of its bucket.
     weight = crowded.groupBy("rep").agg(F.sum("c").alias("w"))
@@ -378,7 +487,7 @@ def near_duplicates(
 
     # Round two: members of one bucket that are in different components, each with each.
     at = crowded.join(labels, crowded.rep == labels.id, "left").select(
-        "key", "rep", "n", "c", F.coalesce("label", "rep").alias("label")
+        "key", "rep", "c", "s", F.coalesce("label", "rep").alias("label")
     )
     mixed = (
         at.groupBy("key")
@@ -386,19 +495,25 @@ def near_duplicates(
         .filter("low < high")
         .select("key")
     )
-    short = full.select(F.col("id").alias("rep"), "short")
-    at = at.join(mixed, "key", "left_semi").join(short, "rep")
-    second = confirmed(work.cut(links_in_buckets(at, percent), "links_second"), full, percent)
-    links = work.cut(first.unionByName(second), "links")
-    labels = components(links, work, "all")
-
-    belongs = every.join(sets, "set_hash", "left").select(
-        "id", F.col("n").alias("n_shingles"), F.coalesce("rep", "id").alias("rep")
+    whole = full.withColumnRenamed("id", "rep").join(classes.select("rep", "registers"), "rep")
+    at = at.join(mixed, "key", "left_semi").join(whole, "rep")
+    second = work.cut(links_in_buckets(at, percent), "links_second")
+    labels = components(work.cut(first.unionByName(second), "links"), work, "all")
+
+    # Of components with a class that goes by another number, the smallest id.
+    odd = sets.filter(F.col("rep") >= BEYOND).select("rep", F.col("id").alias("own"))
+    odd = labels.join(odd, labels.id == odd.rep).groupBy("label").agg(F.min("own").alias("own"))
+    labels = labels.join(odd, "label", "left").select(
+        F.col("id").alias("rep"),
+        F.col("label").alias("number"),
+        F.coalesce(F.least("label", "own"), "label").alias("label"),
+    )
+    belongs = every.select("id", "text_key", "set_hash", F.col("n").alias("n_shingles")).join(
+        sets.select("set_hash", "rep", F.col("id").alias("own")), "set_hash", "left"
     )
-    found = F.coalesce("label", "rep")
-    return belongs.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        F.col("id").alias(id_col),
-        "n_shingles",
+    found = F.coalesce("label", "own", "id")
+    return belongs.join(labels, "rep", "left").select(
+        "id", "text_key", "set_hash", "n_shingles", F.coalesce("number", "rep").alias("number"),
         found.alias("component_id"),
         F.col("id").eqNullSafe(found).alias("kept"),
-    )
+    )

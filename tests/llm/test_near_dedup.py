@@ -87,11 +87,14 @@ def test_blocks_of_a_bucket(spark, work, monkeypatch):
         for i in range(60)
     ]
     label = [i // 7 for i in range(60)]
+    total = sum(map(len, sets))
     rows = [
-        (1, i, label[i], 60, (s & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
+        (1, i, label[i], 60, total, near_dedup.registers(s).tobytes(), s.astype(np.int64).tobytes())
         for i, s in enumerate(sets)
     ]
-    members = spark.createDataFrame(rows, "key long, rep long, label long, c long, short binary")
+    members = spark.createDataFrame(
+        rows, "key long, rep long, label long, c long, s long, registers binary, members binary"
+    )
 
     def connected(links):
         root = list(range(9))
@@ -107,13 +110,66 @@ def test_blocks_of_a_bucket(spark, work, monkeypatch):
             if label[i] != label[j] and 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
                 every.append((j, i))
     assert every and len(set(connected(every))) < 9
-    for cell in (1000, 7):
+    for cell, hashes in ((1000, 1 << 20), (7, 1 << 20), (1000, total // 5)):
         monkeypatch.setattr(near_dedup, "CELL", cell)
+        monkeypatch.setattr(near_dedup, "CELL_HASHES", hashes)
         monkeypatch.setattr(near_dedup, "COLUMNS", 16)
         found = [tuple(r) for r in near_dedup.links_in_buckets(members, 80).collect()]
         assert set(found) <= set(every) and connected(found) == connected(every)
 
 
+def test_several_texts_under_one_id(spark, work):
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    # 5 has a copy of 3's text and one of its own; 7 has two of its own, one of which 8 repeats.
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, prose(4, 80)), (8, c + " end"), (9, b)]
+    got = near_dedup.near_duplicates(documents(spark, rows), work).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [
+        (3, 3), (5, 3), (5, 5), (7, 7), (7, 7), (8, 7), (9, 5)
+    ]
+    kept = near_dedup.keep_first(documents(spark, rows), work).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(
+        [(3, a), (5, b), (7, c), (7, prose(4, 80))]
+    )
+
+
+def test_classes_that_share_their_smallest_id(spark, work):
+    """Both texts of 4 stand for their class, and each is linked with other ids."""
+    a, b = prose(1, 90), prose(2, 90)
+    rows = [(4, a), (4, b), (6, a + " x"), (2, b + " y"), (9, b + " z"), (11, a + " w")]
+    got = near_dedup.near_duplicates(documents(spark, rows), work).collect()
+    found = {(r.doc_id, r.component_id) for r in got}
+    assert found == {(4, 4), (6, 4), (11, 4), (4, 2), (2, 2), (9, 2)}
+    kept = near_dedup.keep_first(documents(spark, rows), work).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(2, b + " y"), (4, a)]
+
+
+def test_first_rows_of_repeated_rows_and_rows_without_id(spark, work):
+    a, b = prose(1, 60), prose(2, 60)
+    rows = [(None, a), (None, a), (1, a), (None, b), (None, b), (None, None), (None, None), (2, ""),
+            (3, prose(3, 60)), (3, prose(3, 60)), (3, prose(3, 60))]
+    docs = documents(spark, rows)
+    kept = near_dedup.keep_first(docs, work)
+    assert kept.columns == docs.columns
+    want = [(None, None), (None, None), (1, a), (None, b), (2, ""), (3, prose(3, 60))]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+    assert near_dedup.keep_first(documents(spark, []), work).count() == 0
+    assert near_dedup.keep_first(documents(spark, edge_rows()), work).count() > 5
+
+
+def test_long_texts_at_the_border(spark, work):
+    """Sets of 180,000 shingles that are 80 % alike are linked; with one word less in common not."""
+    first, second = ([f"{c}{j}" for j in range(200_001)] for c in "ab")
+    rows = [
+        (1, " ".join(first[:180_001])), (2, " ".join(first[20_000:])),  # 160,000 of 200,000
+        (3, " ".join(second[:180_001])), (4, " ".join([*second[20_001:], "new"])),
+    ]
+    sets = [sets_by_definition(t) for _, t in rows]
+    shares = [len(x & y) / len(x | y) for x, y in (sets[:2], sets[2:])]
+    assert shares[0] == 0.8 and 0.79999 < shares[1] < 0.8
+    got = near_dedup.near_duplicates(documents(spark, rows), work).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
 def test_edge_rows(spark, work):
     got = near_dedup.near_duplicates(documents(spark, edge_rows()), work).collect()
     assert len(got) == len(edge_rows())
