@@ -26,9 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
     tune(spark)
-    found = near_dedup.near_duplicates(docs, Workspace(spark), SHINGLE, SIMILARITY)
-    gone = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return near_dedup.keep_first(docs, Workspace(spark), SHINGLE, SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
