@@ -25,11 +25,14 @@ SEED = 5  # words of a shared run, and of the shortest tile
 COVERAGE = 0.8  # share of a test item under tiles from which a document counts as contaminated
 BLOCK_WORDS = 2_000_000  # words of the items that a worker holds at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_WORDS = re.compile(r"\w+")
+# Ranges of the scripts that put no spaces between words (South-East Asian ones, kana, Han).
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORDS = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 Tile = tuple[int, int, int]  # start in the document, start in the item, words
 
 
 def words_of(text: str) -> list[str]:
+    """Runs of letters and digits in lower case; of scripts without spaces, each character."""
     return _WORDS.findall(text.lower())
 
 
@@ -61,41 +64,70 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> list[Tile]:
     doc_free, item_free = np.ones(len(doc), bool), np.ones(len(item), bool)
     found: list[Tile] = []
 
-    def matches(size: int) -> list[tuple[int, int]]:
-        """Pairs (item, document) of equal unmarked runs of this size."""
-        ends = [np.cumsum(np.append(0, ~free)) for free in (item_free, doc_free)]
-        at = [np.flatnonzero(e[size:] == e[: len(e) - size]) for e in ends]
-        if not len(at[0]) or not len(at[1]):
-            return []
-        item_hash, doc_hash = run_hashes(item, size)[at[0]], run_hashes(doc, size)[at[1]]
+    def unmarked(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Places and hashes of the unmarked runs of this size, of the item and of the document."""
+        out = []
+        for ids, free in ((item, item_free), (doc, doc_free)):
+            ends = np.cumsum(np.append(0, ~free))
+            at = np.flatnonzero(ends[size:] == ends[: len(ends) - size])
+            out.append((at, run_hashes(ids, size)[at]))
+        return out
+
+    def same(i: int, j: int, size: int) -> bool:
+        return np.array_equal(item[i : i + size], doc[j : j + size])
+
+    def matches(size: int) -> bool:
+        """Whether any unmarked runs of this size are equal."""
+        (at, hashes), (doc_at, doc_hashes) = unmarked(size)
+        common, i, j = np.intersect1d(hashes, doc_hashes, return_indices=True)
+        if not len(common):
+            return False
+        if same(int(at[i[0]]), int(doc_at[j[0]]), size):
+            return True
+        return any(  # a hash that two runs share by accident
+            same(x, y, size)
+            for h in common
+            for x in at[hashes == h].tolist()
+            for y in doc_at[doc_hashes == h].tolist()
+        )
+
+    def mark(size: int) -> None:
+        """Marks equal runs by place in the item; each takes the first place in the document left.
+
+        Places that are marked stay so, and each run's list of places is walked once, however often
+        the run is repeated.
+        """
+        (at, hashes), (doc_at, doc_hashes) = unmarked(size)
+        hit = np.isin(doc_hashes, hashes)
         places = defaultdict(list)
-        for i, h in zip(at[0].tolist(), item_hash.tolist()):
-            places[h].append(i)
-        hit = np.isin(doc_hash, item_hash)
-        pairs = [
-            (i, j)
-            for j, h in zip(at[1][hit].tolist(), doc_hash[hit].tolist())
-            for i in places[h]
-            if np.array_equal(item[i : i + size], doc[j : j + size])
-        ]
-        return sorted(pairs)
+        for j, h in zip(doc_at[hit].tolist(), doc_hashes[hit].tolist()):
+            places[h].append(j)
+        next_place = dict.fromkeys(places, 0)
+        for i, h in zip(at.tolist(), hashes.tolist()):
+            if h not in places or not item_free[i : i + size].all():
+                continue
+            mine, k = places[h], next_place[h]
+            while k < len(mine) and not (doc_free[mine[k]] and doc_free[mine[k] : mine[k] + size].all()):
+                k += 1
+            next_place[h] = k
+            while k < len(mine) and not (
+                doc_free[mine[k] : mine[k] + size].all() and same(i, mine[k], size)
+            ):
+                k += 1
+            if k < len(mine):
+                j = mine[k]
+                item_free[i : i + size] = doc_free[j : j + size] = False
+                found.append((j, i, size))
 
     longest = min(len(doc), len(item))
     while longest >= least:
-        low, high, pairs = least - 1, longest, []
+        low, high = least - 1, longest
         while low < high:  # the greatest length with a match
             size = (low + high + 1) // 2
-            now = matches(size)
-            if now:
-                low, pairs = size, now
-            else:
-                high = size - 1
+            low, high = (size, high) if matches(size) else (low, size - 1)
         if low < least:
             break
-        for i, j in pairs:
-            if item_free[i : i + low].all() and doc_free[j : j + low].all():
-                item_free[i : i + low] = doc_free[j : j + low] = False
-                found.append((j, i, low))
+        mark(low)
         longest = low
     return found
 
@@ -110,17 +142,23 @@ class Block:
     seeds: np.ndarray  # sorted hashes
     owner: np.ndarray  # the item and the place of each seed
     place: np.ndarray
+    short: dict[int, dict[int, list[int]]]  # words, hash, items of so few words
 
     @classmethod
     def of(cls, rows: list[tuple[object, str | None]], least: int = SEED) -> Block:
-        """Items of fewer words than a seed are too short to tell and left out."""
+        """Items of fewer words than a seed have one seed, all of their words."""
         words: dict[str, int] = {}
         items, hashes, owner, place = [], [], [], []
+        short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for id_, text in rows:
             found = words_of(text or "")
-            if len(found) < least:
+            if not found:
                 continue
             ids = np.array([words.setdefault(w, len(words) + 1) for w in found], np.int64)
+            if len(ids) < least:
+                short[len(ids)][int(run_hashes(ids, len(ids))[0])].append(len(items))
+                items.append((id_, ids))
+                continue
             hashes.append(run_hashes(ids, least))
             owner.append(np.full(len(hashes[-1]), len(items)))
             place.append(np.arange(len(hashes[-1])))
@@ -129,7 +167,8 @@ class Block:
         seeds = np.concatenate(hashes) if hashes else none.astype(np.uint64)
         order = np.argsort(seeds, kind="stable")
         owner, place = (np.concatenate(x) if x else none for x in (owner, place))
-        return cls(items, words, least, seeds[order], owner[order], place[order])
+        plain = {n: dict(of) for n, of in short.items()}
+        return cls(items, words, least, seeds[order], owner[order], place[order], plain)
 
     def number(self, word: str) -> int:
         """Id of a document's word; all words that no item has are 0."""
@@ -154,6 +193,16 @@ class Block:
         return [o for o, s in under.items() if len(s) >= coverage * len(self.items[o][1])]
 
 
+    def whole(self, doc: np.ndarray) -> Iterator[tuple[int, Tile]]:
+        """Items of fewer words than a seed that stand in the document, where they do first."""
+        for n, items in self.short.items():
+            hashes = run_hashes(doc, n)
+            for at in np.flatnonzero(np.isin(hashes, np.fromiter(items, np.uint64, len(items)))):
+                for item in items[int(hashes[at])]:
+                    if np.array_equal(self.items[item][1], doc[at : at + n]):
+                        yield item, (int(at), 0, n)
+
+
 _workers: dict[int, Chunks] = {}
 
 
@@ -168,9 +217,12 @@ def _ids(text: str, block: Block) -> np.ndarray:
 
 
 def compare(
-    text: str | None, block: Block, coverage: float = COVERAGE
+    text: str | None, block: Block, coverage: float = COVERAGE, short: bool = True
 ) -> Iterator[tuple[object, float, list[Tile]]]:
-    """(item id, coverage, tiles) of the items that the text covers far enough."""
+    """(item id, coverage, tiles) of the items that the text covers far enough.
+
+    With `short`, also items of fewer words than a seed, which the text must hold as they are.
+    """
     if not text:
         return
     doc = _ids(text, block)
@@ -180,6 +232,8 @@ def compare(
         share = sum(size for _, _, size in found) / len(item)
         if share >= coverage:
             yield id_, share, found
+    for n, tile in dict(reversed([*block.whole(doc)])).items() if short else ():
+        yield block.items[n][0], 1.0, [tile]
 
 
 def blocks(
@@ -215,8 +269,9 @@ def contaminated(
     """(id, item id, coverage, n_tiles, longest_tile) for each document and item it covers.
 
     Every whole text is compared with every item. Null and empty texts and items match nothing; words
-    are runs of letters and digits in lower case. Items of fewer than `least` words are left out. Rows
-    with equal ids or texts are compared each for itself, as are repeated items. Other columns are not
+    are runs of letters and digits in lower case, and single characters of scripts without spaces. Of an
+    item of fewer than `least` words all must stand in the text in a row. Long runs of one word, or of a
+    repeated phrase, are tiled like others, in time that stays near the lengths. Rows with equal ids or texts are compared each for itself, as are repeated items. Other columns are not
     read.
     """
     spark = docs.sparkSession
@@ -262,7 +317,7 @@ def clean(
 ) -> DataFrame:
     """The rows of docs that cover no item, all columns as they are; null texts stay.
 
-    The verdict is a matter of the text alone, so it is made where the row is, without a shuffle.
+    Items of fewer than `least` words take no document away, as clean texts hold them as well. The verdict is a matter of the text alone, so it is made where the row is, without a shuffle.
     """
     spark = docs.sparkSession
     sized(spark)
@@ -274,7 +329,8 @@ def clean(
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = batch.column(at).to_pylist()
-                keep = [next(compare(t, sent.value, coverage), None) is None for t in texts]
+                found = (next(compare(t, sent.value, coverage, False), None) for t in texts)
+                keep = [f is None for f in found]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)

@@ -105,3 +105,36 @@ def test_edge_rows(spark):
     none = items(spark).limit(0)
     assert tiling.contaminated(docs, none).count() == 0
     assert tiling.clean(docs, none).count() == len(rows)
+
+
+def test_long_repetitive_texts_take_little_time():
+    import time
+
+    started = time.perf_counter()
+    same, item = np.zeros(20_000, np.int64), np.zeros(200, np.int64)
+    assert tiling.tiles(same, item) == [(0, 0, 200)]
+    assert tiling.tiles(item, same) == [(0, 0, 200)]
+    phrase = np.tile(np.arange(7), 3000)
+    assert tiling.tiles(phrase, np.tile(np.arange(7), 30)[3:]) == [(3, 0, 207)]
+    # Every second word differs: nothing is long enough.
+    odd = np.zeros(20_000, np.int64)
+    odd[::2] = np.arange(10_000) + 1
+    assert tiling.tiles(odd, item) == []
+    assert time.perf_counter() - started < 2
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    found = [(1, "Zebra quagga"), (2, "机器学习改变世界的方式"), (3, "こんにちは世界"), (4, "!!!"), (5, "zebra")]
+    asked = spark.createDataFrame(found, "item_id long, text string")
+    rows = [
+        (1, prose(1, 50) + " a ZEBRA, quagga: " + prose(2, 50)), (2, "quagga zebra"),
+        (3, "今天我们说机器学习改变世界的方式,就这样。"), (4, "机器的学习改了世界"), (5, "...こんにちは、世界"),
+        (6, prose(3, 60)), (7, "!!!"),
+    ]
+    docs = documents(spark, rows)
+    got = tiling.contaminated(docs, asked).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in got) == [
+        (1, 1, 1.0), (1, 5, 1.0), (2, 5, 1.0), (3, 2, 1.0), (5, 3, 1.0)
+    ]
+    # Items of a word or two take no document away.
+    assert sorted(r.doc_id for r in tiling.clean(docs, asked).collect()) == [1, 2, 4, 6, 7]
