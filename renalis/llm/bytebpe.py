@@ -34,8 +34,8 @@ from renalis.session import Workspace
 
 BLOCK = 24 << 20  # characters of text in a block; a longer text is a block of its own
 BUCKETS = 64  # least number of buckets that words are dealt into
-KNOWN = 400_000  # strings that a task keeps of each of two generations
-PLACES = 1 << 20  # places of one row of packed texts
+KNOWN = 250_000  # words of a bucket that a task keeps, of each of two generations
+PLACES = 1 << 19  # places of one row of packed texts
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 _TWO_SPACES = re.compile(r"\s\s")
 
@@ -123,7 +123,7 @@ def _unpacked(data: bytes, arrays: int = 1) -> list[np.ndarray]:
 
 def _packed_words(words: list[bytes]) -> bytes:
     sizes = _packed(np.array([len(w) for w in words], np.uint32))
-    body = zstandard.ZstdCompressor(level=3).compress(b"".join(words))
+    body = zstandard.ZstdCompressor(level=9).compress(b"".join(words))
     return len(sizes).to_bytes(4, "little") + sizes + body
 
 
@@ -179,7 +179,7 @@ class _Block:
             if k == 0:  # no space before the very first
                 codes[0] = self.lumps.code(strings[0])
             parts.append(self._numbers(codes))
-        self.texts.append(np.concatenate(parts))
+        self.texts.append(np.concatenate(parts).astype(np.int32))
 
     def _numbers(self, codes: np.ndarray) -> np.ndarray:
         odd = np.flatnonzero(codes < 0)
@@ -198,12 +198,20 @@ class _Block:
         A word's place is its rank by frequency in its bucket, times the number of buckets, plus the
         bucket: frequent words have small places, which compress well, and places need no list.
         """
+        self.lumps.clear()
+        self.lumps.several.clear()
         words = [w.encode("utf-8") for w in self.lumps.numbers]
+        self.lumps.numbers.clear()
         bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
         sizes = np.array([len(t) for t in self.texts], np.int64)
         numbers = np.concatenate(self.texts)
-        counts = np.bincount(numbers, minlength=len(words))
-        order = np.lexsort((-counts, bucket))
+        self.texts.clear()
+        counts = np.zeros(len(words), np.int64)
+        for a in range(0, len(numbers), PLACES):
+            counts += np.bincount(numbers[a : a + PLACES], minlength=len(words))
+        # Words of one frequency are sorted, so that neighbours begin alike.
+        by_name = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        order = by_name[np.lexsort((-counts[by_name], bucket[by_name]))]
         starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words)) - starts[bucket[order]]
@@ -303,10 +311,12 @@ def encode(
     )
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Ids(sent.value)
+        known, current = _Ids(sent.value), None
         for batch in batches:
             data = []
-            for packed in batch.column(2).to_pylist():
+            for bucket, packed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if bucket != current:
+                    known, current = _Ids(sent.value), bucket
                 found = [known[w] for w in _unpacked_words(packed)]
                 sizes = np.fromiter(map(len, found), np.int64, len(found))
                 ids = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
@@ -317,7 +327,8 @@ def encode(
             )
 
     words = split_up.filter("number is null").select("block", "bucket", "data")
-    words = words.repartition("bucket").mapInArrow(merged, "block long, bucket int, data binary")
+    words = words.repartition("bucket").sortWithinPartitions("bucket")
+    words = words.mapInArrow(merged, "block long, bucket int, data binary")
     texts = split_up.filter("number is not null").select("block", "number", "ids", "data")
     both = (
         words.unionByName(texts, allowMissingColumns=True)
