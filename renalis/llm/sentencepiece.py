@@ -28,7 +28,7 @@ from renalis.llm.common import CUT, claim, map_texts, sized
 
 SPACE = "▁"
 BLOCK = 1 << 18  # characters that are indexed at a time
-CACHE = 500_000  # strings whose pieces a worker keeps
+CACHE = 300_000  # strings whose pieces a worker keeps, of each of two generations
 _BORDER = 0x110000  # stands between strings; no character has this code
 # No piece has a space after another character, so no merge crosses such a border.
 _STRINGS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -73,6 +73,7 @@ class Pieces:
         for row, i in enumerate(own):
             self.codes[row, : len(self.names[i])] = [ord(c) for c in self.names[i]]
         self.single = np.sort([ord(self.names[i]) for i in own if len(self.names[i]) == 1])
+        self.number = list(range(n + 2))  # one object for each id
         self.follows = _Follows(self)
 
     def _merge(self, text: str) -> tuple[int, int] | None | bool:
@@ -95,41 +96,75 @@ class Pieces:
         return last
 
 
-class _Follows(dict):
-    """Whether the second piece may follow the first; key: first * 2^20 + second."""
+class _Follows:
+    """Whether one piece may follow another, for many pairs at once; key: first * 2^20 + second.
 
-    def __init__(self, pieces: Pieces):
-        super().__init__()
-        self.pieces = pieces
+    Answers are kept in a table of fixed size, a slot for many keys, where the latest key stays.
+    """
 
-    def __missing__(self, key: int) -> bool:
-        p = self.pieces
-        left, right = key >> 20, key & 0xFFFFF
-        ok = left in (p.start, p.unknown) or right == p.unknown or self.stay(left, right)
-        self[key] = ok
-        return ok
+    SLOTS = 1 << 20
 
-    def stay(self, left: int, right: int) -> bool:
+    def __init__(self, pieces: Pieces):
+        n = pieces.start + 1
+        self.always = np.array([pieces.start, pieces.unknown])
+        self.unknown = pieces.unknown
+        # The last merge of each piece, -1 for characters, and its rank.
+        self.left, self.right, self.rank = (np.full(n, -1, np.int64) for _ in range(3))
+        for i, parts in pieces.made.items():
+            if parts is not None:
+                self.left[i], self.right[i] = parts
+        for i, rank in pieces.rank.items():
+            self.rank[i] = rank
+        self.most = int(self.rank.max()) + 1
+        # All pairs of pieces that put together are a piece.
+        ids, found = pieces.ids, {}
+        for name, i in ids.items():
+            for k in range(1, len(name)):
+                a, b = ids.get(name[:k]), ids.get(name[k:])
+                if a is not None and b is not None:
+                    found[a << 20 | b] = i
+        self.pairs = np.array(sorted(found), np.int64)
+        self.across = self.rank[[found[k] for k in self.pairs.tolist()]]
+        self.keys = np.full(self.SLOTS, -1, np.int64)
+        self.answers = np.zeros(self.SLOTS, bool)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slots = (keys * 0x9E3779B97F4A7C1 >> 20) % self.SLOTS
+        known = self.keys[slots] == keys
+        found = self.answers[slots]
+        if not known.all():
+            unknown = np.flatnonzero(~known)
+            new, back = np.unique(keys[unknown], return_inverse=True)
+            answers = self.stay(new >> 20, new & 0xFFFFF)
+            found[unknown] = answers[back]
+            # One key for a slot, so that key and answer are of the same.
+            slots, first = np.unique((new * 0x9E3779B97F4A7C1 >> 20) % self.SLOTS, return_index=True)
+            self.keys[slots], self.answers[slots] = new[first], answers[first]
+        return found
+
+    def stay(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Undoes the merges of both pieces, the latest first, and looks for one across the border.
 
         At any time the border has the last part of the left piece and the first part of the right one
         beside it. If their merge comes before the one just undone, it would have been made. Of equal
         ranks the left merge comes first.
         """
-        p = self.pieces
-        names, rank, made = p.names, p.rank, p.made
-        limit = len(rank) + 1
-        while True:
-            across = p.ids.get(names[left] + names[right])
-            if across is not None and rank[across] < limit:
-                return False
-            a, b = made[left], made[right]
-            if a is None and b is None:
-                return True
-            if b is None or (a is not None and rank[left] > rank[right]):
-                limit, left = rank[left], a[1]
-            else:
-                limit, right = rank[right] + 1, b[0]
+        out = np.ones(len(left), bool)
+        live = np.flatnonzero(~(np.isin(left, self.always) | (right == self.unknown)))
+        left, right = left[live], right[live]
+        limit = np.full(len(live), self.most + 1)
+        while len(live):
+            key = left << 20 | right
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            crossed = (self.pairs[at] == key) & (self.across[at] < limit)
+            out[live[crossed]] = False
+            a, b = self.left[left] >= 0, self.left[right] >= 0
+            on = np.flatnonzero(~crossed & (a | b))
+            live, left, right, a, b = live[on], left[on], right[on], a[on], b[on]
+            undo = ~b | (a & (self.rank[left] > self.rank[right]))
+            limit = np.where(undo, self.rank[left], self.rank[right] + 1)
+            left, right = np.where(undo, self.right[left], left), np.where(undo, right, self.left[right])
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -142,16 +177,29 @@ def load(path: str) -> Pieces:
 
 def suffixes(code: np.ndarray, depth: int) -> np.ndarray:
     """Start of every suffix, in the order of their first `depth` characters, by prefix doubling."""
-    rank = np.unique(code, return_inverse=True)[1].astype(np.int64) + 1
-    size = 1
+    letters = np.zeros(_BORDER + 1, np.int64)
+    letters[code] = 1
+    kinds = int(letters.sum()) + 1
+    rank = np.cumsum(letters)[code]  # of the first character; 0 stands after the end
+    size, packed = 1, kinds
+    # As many characters as an integer holds are compared at once.
+    while size < depth and packed * packed < 1 << 62:
+        rank, packed = rank * packed + _after(rank, size), packed * packed
+        size *= 2
     while size < depth:
-        after = np.zeros_like(rank)
-        after[:-size] = rank[size:]
-        rank = np.unique(rank * (len(code) + 2) + after, return_inverse=True)[1].astype(np.int64) + 1
+        rank = np.unique(rank, return_inverse=True)[1].astype(np.int64) + 1
+        rank = rank * (len(code) + 2) + _after(rank, size)
         size *= 2
     return np.argsort(rank, kind="stable")
 
 
+def _after(rank: np.ndarray, size: int) -> np.ndarray:
+    """The ranks `size` places further on."""
+    out = np.zeros_like(rank)
+    out[:-size] = rank[size:]
+    return out
+
+
 def ranges(code: np.ndarray, order: np.ndarray, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """[low, high) among the sorted suffixes for each pattern (rows of codes, 0 after the end).
 
@@ -182,7 +230,10 @@ def ranges(code: np.ndarray, order: np.ndarray, patterns: np.ndarray) -> tuple[n
 
 
 def encode_strings(strings: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
-    """Piece ids of each string: index, match, sort, relax, and read back from the ends."""
+    """Piece ids of each string: index, match, sort, relax, and read back from the ends.
+
+    A character that is no piece comes as its bytes.
+    """
     sizes = np.array([len(s) for s in strings])
     joined = "\n".join(strings).encode("utf-32-le", "surrogatepass")
     code = np.frombuffer(joined, np.uint32).astype(np.int64)
@@ -200,9 +251,10 @@ def encode_strings(strings: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
     piece = np.concatenate([piece, np.full(len(odd), pieces.unknown)])
     end = start + pieces.sizes[piece]
 
-    string = np.searchsorted(begin, start, "right") - 1
+    string = np.repeat(np.arange(len(sizes)), sizes + 1)[start]
     place = end - begin[string]  # in its string
-    by_end = np.argsort(place, kind="stable")
+    small = np.uint16 if len(sizes) and sizes.max() < 1 << 16 else np.int64  # sorted by radix
+    by_end = np.argsort(place.astype(small), kind="stable")
     start, piece, end, place = start[by_end], piece[by_end], end[by_end], place[by_end]
     # The piece that ends before each position; a border's place serves as the end of its string.
     last = np.full(len(code) + 1, -1, np.int64)
@@ -217,9 +269,7 @@ def encode_strings(strings: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
         before = np.where(ends[s] >= 0, ends[s], last[s])
         live = np.flatnonzero(before >= 0)
         key = (before[live] << 20) | piece[a:b][live]
-        unique, back = np.unique(key, return_inverse=True)
-        ok = np.fromiter(map(follows.__getitem__, unique.tolist()), bool, len(unique))[back]
-        chosen = live[ok]
+        chosen = live[follows(key)]
         ends[end[a:b][chosen]] = piece[a:b][chosen]
 
     at, owner = begin + sizes, np.arange(len(strings))
@@ -237,47 +287,57 @@ def encode_strings(strings: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
     tokens = np.concatenate([t for _, t in found])
     step = np.repeat(np.arange(len(found)), [len(o) for o, _ in found])
     by_string = np.lexsort((-step, owners))
-    tokens = tokens[by_string].tolist()
+    tokens, owners = tokens[by_string], owners[by_string]
+    odd = set(owners[tokens == pieces.unknown].tolist())
+    tokens = list(map(pieces.number.__getitem__, tokens.tolist()))
     border = np.cumsum(np.bincount(owners, minlength=len(strings))).tolist()
-    return [tuple(tokens[a:b]) for a, b in zip([0, *border[:-1]], border)]
+    out = [tuple(tokens[a:b]) for a, b in zip([0, *border[:-1]], border)]
+    for i in odd:
+        out[i] = _with_bytes(strings[i], out[i], pieces)
+    return out
+
+
+def _with_bytes(string: str, ids: tuple[int, ...], pieces: Pieces) -> tuple[int, ...]:
+    out, at = [], 0
+    for i in ids:
+        if i == pieces.unknown:
+            out += [pieces.bytes[b] for b in string[at].encode("utf-8", "replace")]
+        else:
+            out.append(i)
+        at += int(pieces.sizes[i])
+    return tuple(out)
 
 
 class Encoder(dict):
-    """Piece ids of strings met before; new ones of a batch are matched together."""
+    """Piece ids of strings met before; new ones of a batch are matched together.
+
+    When it is full, its strings become the older generation, from which those that are met again come
+    back; only what two generations have not met is dropped.
+    """
 
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.pieces = pieces
-        self.number = list(range(len(pieces.names) + 2))  # one object for each id
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def learn(self, strings: Iterable[str]) -> None:
         if len(self) > CACHE:
+            self.older = dict(self)
             self.clear()
         new = [s for s in dict.fromkeys(strings) if s not in self]
+        if self.older:
+            known = {s: ids for s in new if (ids := self.older.get(s)) is not None}
+            self.update(known)
+            new = [s for s in new if s not in known]
         a = 0
         while a < len(new):
             b, size = a, 0
             while b < len(new) and (size == 0 or size + len(new[b]) < BLOCK):
                 size += len(new[b]) + 1
                 b += 1
-            for string, ids in zip(new[a:b], encode_strings(new[a:b], self.pieces)):
-                self[string] = self.final(string, ids)
+            self.update(zip(new[a:b], encode_strings(new[a:b], self.pieces)))
             a = b
 
-    def final(self, string: str, ids: tuple[int, ...]) -> tuple[int, ...]:
-        """With a character that is no piece as its bytes."""
-        p = self.pieces
-        if p.unknown in ids:
-            out, at = [], 0
-            for i in ids:
-                if i == p.unknown:
-                    out += [p.bytes[b] for b in string[at].encode("utf-8", "replace")]
-                else:
-                    out.append(i)
-                at += int(p.sizes[i])
-            ids = tuple(out)
-        return tuple(map(self.number.__getitem__, ids))
-
 
 def segments(text: str, size: int = CUT) -> Iterator[str]:
     """The text as the model sees it: a space in front, spaces as their mark, nothing else changed.
