@@ -8,6 +8,8 @@ A payload that contains the version line itself is sent in base64.
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,22 +19,19 @@ from renalis.session import Workspace
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-DATE = "2024-01-01T00:00:00Z"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_CONV32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"  # the digits that conv() gives
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _ENCODED = "Content-Transfer-Encoding: base64\r\n"
 
 
-def payload_digest(payload: Column) -> Column:
-    """SHA-1 of the UTF-8 bytes in base32, upper case, as WARC headers have it."""
-    digest = F.sha1(payload)
+def base32(sha1_hex: Column) -> Column:
+    """A SHA-1 of 40 hex digits in base32, upper case, as WARC headers have it."""
     letters = []
     for part in range(4):  # 40 bits are 8 letters
-        bits = F.conv(F.substring(digest, 10 * part + 1, 10), 16, 10).cast("long")
-        for i in range(8):
-            at = F.shiftright(bits, 35 - 5 * i).bitwiseAND(F.lit(31)).cast("int") + 1
-            letters.append(F.substring(F.lit(_BASE32), at, F.lit(1)))
-    return F.concat(*letters)
+        digits = F.conv(F.substring(sha1_hex, 10 * part + 1, 10), 16, 32)
+        letters.append(F.lpad(digits, 8, "0"))
+    return F.translate(F.concat(*letters), _CONV32, _BASE32)
 
 
 def _name(id_: Column) -> Column:
@@ -40,32 +39,37 @@ def _name(id_: Column) -> Column:
     return F.coalesce(id_.cast("string"), F.lit("-"))
 
 
-def headers(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """id, its name, digest and bytes of each row; no payload."""
+def headers(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """id, its name, url, digest (hex) and bytes of each row; no payload."""
     payload = F.coalesce(F.col(html_col), F.lit(""))
     return pages.select(
         F.col(id_col).alias("id"),
         _name(F.col(id_col)).alias("name"),
-        payload_digest(payload).alias("digest"),
+        F.col(url_col).alias("url"),
+        F.sha1(payload).alias("digest"),
         F.octet_length(payload).cast("long").alias("bytes"),
     )
 
 
 def originals(head: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(digest, original): for each payload of at least min_bytes, the smallest id that has it.
+    """(digest, original, uri): for each payload of at least min_bytes, the smallest id that has it and
+    the first url of that id.
 
     Tasks send one row for each digest they have seen, so a payload that a third of all pages share
     costs no more than any other. Null ids count only where there is no other.
     """
+    named = F.struct("id", "url")
+    first = F.coalesce(F.min(F.when(F.col("id").isNotNull(), named)), F.min(named))
     return (
         head.filter(F.col("bytes") >= min_bytes)
         .groupBy("digest")
-        .agg(F.min("id").alias("original"))
+        .agg(first.alias("first"))
+        .select("digest", F.col("first.id").alias("original"), F.col("first.url").alias("uri"))
     )
 
 
 def resolved(head: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(name, digest, original) of each distinct id and digest; original null: always a response."""
+    """(name, digest, original, uri) of each distinct id and digest; original null: always a response."""
     distinct = head.select("name", "digest").distinct()
     return distinct.join(originals(head, min_bytes), "digest", "left")
 
@@ -105,9 +109,12 @@ def records(
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
+    date: datetime | None = None,
 ) -> DataFrame:
     """`value`: one WARC record per page, without the line breaks that end it.
 
+    All records are of one date, that of the call if none is given: their headers are fresh ones.
+
     Headers alone meet by digest. Their decision then comes to the pages by id and digest, a key that
     one payload shared by many pages does not make hot. Of several rows with the id of the original
     and its payload, the first by url is the response.
@@ -118,9 +125,10 @@ def records(
         _name(F.col(id_col)).alias("name"),
         F.col(url_col).alias("url"),
         payload.alias("payload"),
-        payload_digest(payload).alias("digest"),
+        F.sha1(payload).alias("digest"),
     )
-    decided = resolved(headers(pages, id_col, html_col), min_bytes)
+    written = (date or datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    decided = resolved(headers(pages, id_col, url_col, html_col), min_bytes)
     rows = rows.join(decided, ["digest", "name"])
     nth = F.row_number().over(W.partitionBy("digest", "name").orderBy("url"))  # no further shuffle
     small = F.octet_length("payload") < min_bytes
@@ -134,10 +142,12 @@ def records(
         F.lit(VERSION),
         _line("WARC-Type", kind),
         _line("WARC-Record-ID", _record_id(F.col("id"), F.col("nth"))),
-        _line("WARC-Date", F.lit(DATE)),
+        _line("WARC-Date", F.lit(written)),
         _line("WARC-Target-URI", F.col("url")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("digest")))),
         _line("WARC-Refers-To", F.when(revisit, _record_id(F.col("original"), F.lit(1)))),
+        _line("WARC-Refers-To-Target-URI", F.when(revisit, F.col("uri"))),
+        _line("WARC-Refers-To-Date", F.when(revisit, F.lit(written))),
         _line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         _line("Content-Type", F.lit("application/http; msgtype=response")),
         _line("Content-Length", F.octet_length("body").cast("string")),
@@ -204,7 +214,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         F.col("refers_to").try_cast("long").alias("refers_to"),
         "uri",
         "payload",
-        F.when(response, payload_digest(F.col("payload"))).alias("found_digest"),
+        F.when(response, base32(F.sha1(F.col("payload")))).alias("found_digest"),
     )
 
 
