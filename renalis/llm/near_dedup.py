@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from renalis.functions.membership import Membership, membership
 from renalis.llm.common import claim, cuts, map_texts, sized
 from renalis.llm.components import components
 from renalis.session import Workspace
@@ -361,6 +362,16 @@ def _once(rows: DataFrame, key: str) -> DataFrame:
     return rows.filter("not repeated").unionByName(again).drop("repeated")
 
 
+def _among(rows: DataFrame, column: str, ids: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """Rows whose column can be among the first column of ids: others are dropped before a join's shuffle."""
+    words = work.cut(membership(ids, ids.columns[0]), f"among_{name}")
+    return rows.filter(Membership.of(words).may_have(column))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     sides = [sets.select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in ("a", "b")]
@@ -428,10 +439,16 @@ def keep_first(
     )
     keyed = docs.withColumn("near_dedup_key", F.xxhash64(text_col))
     same = F.col(id_col).eqNullSafe(verdict["id"]) & (F.col("near_dedup_key") == verdict["text_key"])
-    untouched = keyed.join(verdict, same, "left_anti")
-    again = keyed.join(verdict.filter("stays"), same, "left_semi")
+    words = work.cut(membership(verdict, "id"), "among_changes")
+    # Most rows cannot be concerned, and need no join.
+    asked = Membership.of(words).may_have(id_col) | F.col(id_col).isNull()
+    untouched = keyed.filter(asked).join(verdict, same, "left_anti")
+    stays = work.cut(verdict.filter("stays"), "rows_once")
+    same = F.col(id_col).eqNullSafe(stays["id"]) & (F.col("near_dedup_key") == stays["text_key"])
+    again = keyed.filter(asked).join(stays, same, "left_semi")
     again = again.dropDuplicates([id_col, "near_dedup_key"])
-    return untouched.unionByName(again).drop("near_dedup_key")
+    every = keyed.filter(~asked).unionByName(untouched).unionByName(again)
+    return every.drop("near_dedup_key")
 
 
 def _found(
@@ -465,8 +482,9 @@ def _found(
     keys = classes.select(F.explode("keys").alias("key"), "rep", "n")
     counts = keys.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
     crowded = work.cut(keys.join(counts, "key"), "crowded")
-    members = crowded.select("rep").distinct().join(sets, "rep")
-    full = work.cut(full_sets(docs, members, size, id_col, text_col), "full_sets")
+    members = work.cut(crowded.select("rep").distinct().join(sets, "rep"), "members")
+    asked = _among(docs, id_col, members.select("id"), work, "members")
+    full = work.cut(full_sets(asked, members, size, id_col, text_col), "full_sets")
     full = _once(full, "id")
 
     # Round one: each member with the centre of its bucket.
@@ -482,7 +500,10 @@ def _found(
         .distinct()
     )
     spokes = work.cut(spokes, "spokes")
-    first = work.cut(confirmed(likely(spokes, classes, percent), full, percent), "links_first")
+    sketched = _among(classes, "rep", _ends(spokes), work, "spokes")
+    passed = work.cut(likely(spokes, sketched, percent), "likely")
+    asked = _among(full, "id", _ends(passed), work, "likely")
+    first = work.cut(confirmed(passed, asked, percent), "links_first")
     labels = components(first, work, "first")
 
     # Round two: members of one bucket that are in different components, each with each.
@@ -495,8 +516,10 @@ def _found(
         .filter("low < high")
         .select("key")
     )
-    whole = full.withColumnRenamed("id", "rep").join(classes.select("rep", "registers"), "rep")
-    at = at.join(mixed, "key", "left_semi").join(whole, "rep")
+    at = work.cut(at.join(mixed, "key", "left_semi"), "mixed")
+    sketched = _among(classes.select("rep", "registers"), "rep", at.select("rep"), work, "mixed")
+    whole = _among(full.withColumnRenamed("id", "rep"), "rep", at.select("rep"), work, "mixed_sets")
+    at = at.join(sketched, "rep").join(whole, "rep")
     second = work.cut(links_in_buckets(at, percent), "links_second")
     labels = components(work.cut(first.unionByName(second), "links"), work, "all")
 
