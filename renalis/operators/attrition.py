@@ -1,4 +1,4 @@
-"""Attrition counts of one era, before or after the split date."""
+"""Attrition counts of the two eras, before and after the split date."""
 
 from __future__ import annotations
 
@@ -10,11 +10,15 @@ from renalis.config import CohortConfig
 BEFORE, AFTER = "BC", "AD"
 
 
-def _in_era(era: str, cfg: CohortConfig) -> Column:
+def _era(cfg: CohortConfig) -> Column:
     """By admission time against midnight of the split date, unlike the onset table's day rule."""
     split = F.lit(cfg.split_date).cast("timestamp_ntz")
     admit = F.col("ADMIT_DATE_TIME")
-    return admit <= split if era == BEFORE else admit > split
+    return F.when(admit <= split, BEFORE).when(admit > split, AFTER)
+
+
+def _in_era(era: str, cfg: CohortConfig) -> Column:
+    return _era(cfg) == era
 
 
 def _count(stays: DataFrame, label: str) -> DataFrame:
@@ -41,10 +45,10 @@ def attrition_exclusions(exclusions: DataFrame, era: str, cfg: CohortConfig) ->
     )
 
 
-def attrition_outcomes(onsets: DataFrame, era: str) -> DataFrame:
-    """Course of the injury, all counts in one pass. The groups overlap by definition."""
+def _courses() -> dict[str, Column]:
+    """Courses of the injury. They overlap by definition."""
     one, two, three = (F.col(f"AKI{s}_ONSET").isNotNull() for s in (1, 2, 3))
-    groups = {
+    return {
         "Total": F.lit(True),
         "nonAKI": ~one & ~two & ~three,
         "AKI1": one,
@@ -54,6 +58,11 @@ def attrition_outcomes(onsets: DataFrame, era: str) -> DataFrame:
         "nonAKI_to_AKI2_to_AKI3": ~one & two & three,
         "AKI1_to_AKI2_to_AKI3": one & two & three,
     }
+
+
+def attrition_outcomes(onsets: DataFrame, era: str) -> DataFrame:
+    """Course of the injury, all counts in one pass."""
+    groups = _courses()
     # The conditions depend on the stay alone, so reducing to one row per stay turns eight distinct
     # counts into sums.
     stays = (
@@ -68,18 +77,49 @@ def attrition_outcomes(onsets: DataFrame, era: str) -> DataFrame:
     return counted.select(F.inline(F.array(*pairs)))
 
 
-def consort(
+def marks(
     cohort: DataFrame,
     init: DataFrame,
     exclusions: DataFrame,
     onsets: DataFrame,
-    era: str,
     cfg: CohortConfig,
 ) -> DataFrame:
-    """(CNT_TYPE, ENC_CNT) of one era."""
+    """(ERA, CNT_TYPE, ENCOUNTERID): what each stay counts for, in either era.
+
+    Counts that are listed even if they are zero have a row without a stay. Marks of parts of the
+    cohort can be put together: a stay counts once.
+    """
+    era = _era(cfg).alias("ERA")
+    course = F.when(F.col("BCCOVID") == 1, BEFORE).when(F.col("BCCOVID") == 0, AFTER)
+    courses = _courses()
+    taken = F.filter(
+        F.array(*[F.when(cond, name) for name, cond in courses.items()]), lambda x: x.isNotNull()
+    )
+    listed = ["Initial", cfg.scr_label, *courses]
+    none = cohort.sparkSession.range(1).select(
+        F.explode(F.array(F.lit(BEFORE), F.lit(AFTER))).alias("ERA"),
+        F.array(*map(F.lit, listed)).alias("types"),
+    )
     return (
-        attrition_initial(cohort, era, cfg)
-        .unionByName(attrition_scr(init, era, cfg))
-        .unionByName(attrition_exclusions(exclusions, era, cfg))
-        .unionByName(attrition_outcomes(onsets, era))
+        cohort.select(era, F.lit("Initial").alias("CNT_TYPE"), "ENCOUNTERID")
+        .unionByName(init.select(era, F.lit(cfg.scr_label).alias("CNT_TYPE"), "ENCOUNTERID"))
+        .unionByName(exclusions.select(era, F.col("EXCLUD_TYPE").alias("CNT_TYPE"), "ENCOUNTERID"))
+        .unionByName(
+            onsets.select(course.alias("ERA"), F.explode(taken).alias("CNT_TYPE"), "ENCOUNTERID")
+        )
+        .unionByName(
+            none.select("ERA", F.explode("types").alias("CNT_TYPE"))
+            .withColumn("ENCOUNTERID", F.lit(None).cast("string"))
+        )
+        .filter("ERA is not null")
     )
+
+
+def consort(marks: DataFrame) -> DataFrame:
+    """(ERA, CNT_TYPE, ENC_CNT) of both eras, by one aggregate over the marks."""
+    return marks.groupBy("ERA", "CNT_TYPE").agg(F.countDistinct("ENCOUNTERID").alias("ENC_CNT"))
+
+
+def of_era(counts: DataFrame, era: str) -> DataFrame:
+    """(CNT_TYPE, ENC_CNT) of one era."""
+    return counts.filter(F.col("ERA") == era).select("CNT_TYPE", "ENC_CNT")

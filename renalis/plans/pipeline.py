@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import calendar
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from renalis.config import CohortConfig
 from renalis.functions.membership import Membership, membership
 from renalis.operators import attrition, cohort, collect, deid, exclusions, staging
 from renalis.operators.calendar import DayIndex, day_index
-from renalis.session import Workspace, tune
+from renalis.session import Workspace, folder_exists, tune
 
 Cdm = dict[str, DataFrame]
 
@@ -172,12 +174,51 @@ class Extraction:
         """The onset table, written, for the many readers of the collection step."""
         return self.work.cut(self.aki_onsets, "aki_onsets")
 
-    def consort(self, era: str) -> DataFrame:
+    @cached_property
+    def marks(self) -> DataFrame:
         # Each qualifying stay has a screened baseline.
-        return attrition.consort(
-            self.initial_cohort, self.screened, self.exclude_all, self.onsets, era, self.cfg
+        return attrition.marks(
+            self.initial_cohort, self.screened, self.exclude_all, self.onsets, self.cfg
         )
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Attrition of both eras, counted once."""
+        return self.work.cut(attrition.consort(self.marks), "consort")
+
+    def consort(self, era: str) -> DataFrame:
+        return attrition.of_era(self.counts, era)
+
+
+class Slice(Extraction):
+    """The part of an extraction that concerns stays admitted in a span of days.
+
+    What looks back beyond the span, or across stays, is the whole extraction's: which stays form the
+    cohort, the creatinine history, the history of codes, the calendars. From the match on each step
+    works stay by stay. Stays without an admission time belong to the first slice.
+    """
+
+    def __init__(self, whole: Extraction, low: date, high: date, first: bool, work: Workspace):
+        super().__init__(whole.spark, whole.cdm, whole.cfg, work)
+        self.whole, self.low, self.high, self.first = whole, low, high, first
+        self.days = whole.days
+
+    @cached_property
+    def stays(self) -> DataFrame:
+        admitted = F.col("ADMIT_DATE_TIME").cast("date")
+        inside = admitted.between(F.lit(self.low), F.lit(self.high))
+        if self.first:
+            inside = inside | admitted.isNull()
+        return self.work.cut(self.whole.stays.filter(inside), "initial_cohort")
+
+    @cached_property
+    def all_scr(self) -> DataFrame:
+        return self.whole.all_scr
+
+    @cached_property
+    def code_history(self) -> DataFrame:
+        return self.whole.code_history
+
 
 @dataclass
 class CohortResult:
@@ -194,6 +235,46 @@ def extract(spark: SparkSession, cdm: Cdm, cfg: CohortConfig, work: Workspace) -
     return CohortResult(run.onsets, run.consort(attrition.BEFORE), run.consort(attrition.AFTER))
 
 
+def spans(low: date, high: date, months: int) -> list[tuple[date, date]]:
+    """Consecutive spans of days of so many months each, the last one cut at the end."""
+    found, start = [], low
+    while start <= high:
+        year, month = divmod(low.year * 12 + low.month - 1 + months * (len(found) + 1), 12)
+        after = date(year, month + 1, min(low.day, calendar.monthrange(year, month + 1)[1]))
+        found.append((start, min(high, after - timedelta(days=1))))
+        start = after
+    return found
+
+
+def extract_slices(
+    spark: SparkSession, cdm: Cdm, cfg: CohortConfig, work: Workspace, out: str, months: int = 12
+) -> CohortResult:
+    """extract() slice by slice of the study window, for sites whose whole cohort is too much at once.
+
+    Match, ranks and staging hold the stays of one slice; the results are those of the whole run. Each
+    slice is a partition under ``out``, written once: a run that was lost goes on with the first slice
+    that is not there. ``out`` belongs to one site and configuration; delete the partition of a slice
+    to have it made again. Encounter identifiers are taken to name one stay.
+    """
+    whole = Extraction(tune(spark), cdm, cfg, work)
+    for number, (low, high) in enumerate(spans(cfg.window_start, cfg.window_end, months)):
+        targets = {name: f"{out}/{name}/admitted={low}" for name in ("onsets", "marks")}
+        missing = [n for n, t in targets.items() if not folder_exists(spark, f"{t}/_SUCCESS")]
+        if not missing:
+            continue
+        with Workspace(spark) as own:
+            part = Slice(whole, low, high, number == 0, own)
+            tables = {"onsets": part.onsets, "marks": part.marks}
+            for name in missing:
+                tables[name].write.mode("overwrite").parquet(targets[name])
+    stored = spark.read.option("basePath", f"{out}/marks").parquet(f"{out}/marks")
+    counts = work.cut(attrition.consort(stored.drop("admitted")), "consort")
+    onsets = spark.read.option("basePath", f"{out}/onsets").parquet(f"{out}/onsets").drop("admitted")
+    return CohortResult(
+        onsets, attrition.of_era(counts, attrition.BEFORE), attrition.of_era(counts, attrition.AFTER)
+    )
+
+
 def collect_one(
     name: str,
     onsets: DataFrame,

@@ -24,12 +24,32 @@ def _read_file(spark: SparkSession, root: str, table: str, fmt: str) -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def _read_jdbc(spark: SparkSession, url: str, schema: str, table: str, options: dict) -> DataFrame:
-    return (
-        spark.read.format("jdbc")
-        .options(url=url, dbtable=f"{schema}.{table}", **options)
-        .load()
-    )
+# Number of a key's part, in the databases' own hash functions.
+_PART_OF = {
+    "oracle": "ORA_HASH({key}, {last})",
+    "postgres": "MOD(ABS(CAST(HASHTEXT(CAST({key} AS TEXT)) AS BIGINT)), {parts})",
+    "tsql": "ABS(CAST(CHECKSUM({key}) AS BIGINT)) % {parts}",
+}
+
+
+def split_predicates(vendor: str, parts: int, key: str = "PATID") -> list[str]:
+    """Conditions of which each row meets exactly one, to read a table over so many connections.
+
+    Keys may be text, as identifiers are: the database hashes them. Rows without a key are in the
+    first part.
+    """
+    part = _PART_OF[vendor].format(key=key, parts=parts, last=parts - 1)
+    rest = [f"{key} IS NOT NULL AND {part} = {i}" for i in range(1, parts)]
+    return [f"{key} IS NULL OR {part} = 0", *rest]
+
+
+def _read_jdbc(
+    spark: SparkSession, url: str, schema: str, table: str, options: dict, predicates: list[str]
+) -> DataFrame:
+    name = f"{schema}.{table}" if schema else table
+    if predicates:
+        return spark.read.jdbc(url, name, predicates=predicates, properties=options)
+    return spark.read.format("jdbc").options(url=url, dbtable=name, **options).load()
 
 
 def is_absent(error: Exception) -> bool:
@@ -46,12 +66,14 @@ def load_cdm(
     schema: str | None = None,
     options: dict | None = None,
     tables: list[str] | None = None,
+    predicates: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The site's tables by name.
 
     ``source`` is a directory of files (fmt parquet, orc or csv), a catalog database (fmt table) or
-    a JDBC address (fmt jdbc, with ``schema`` and, for parallel reads, the usual partitioning
-    ``options``). Optional tables that a site does not have are left out; one that is there and
+    a JDBC address (fmt jdbc, with ``schema`` and, for parallel reads, ``predicates`` such as those of
+    split_predicates(), or the usual partitioning ``options``). The connections of a split read see
+    the table at slightly different times: read from a copy that nobody writes to. Optional tables that a site does not have are left out; one that is there and
     cannot be read is an error.
     """
     found = {}
@@ -60,7 +82,7 @@ def load_cdm(
             if fmt == "table":
                 df = spark.table(f"{source}.{table}")
             elif fmt == "jdbc":
-                df = _read_jdbc(spark, source, schema or "", table, options or {})
+                df = _read_jdbc(spark, source, schema or "", table, options or {}, predicates or [])
             else:
                 df = _read_file(spark, source, table, fmt)
         except (AnalysisException, Py4JJavaError) as error:

@@ -20,6 +20,7 @@ CORE = [
     "aki_onsets_postgres", "aki_onsets_tsql", "consort_bc", "collect_labs", "collect_prescribing",
     "shift_onsets", "class_weight", "stratified_folds", "roc_auc", "audit_pre_esrd", "halving_rungs",
     "grid_parameters", "load_cdm", "export_csv", "stored_matrix",
+    "consort", "aki_onsets_sliced", "export_manifest",
 ]
 REGISTRY = queries.registry()
 CHOSEN = list(REGISTRY) if os.environ.get("RENALIS_ALL_QUERIES") else CORE

@@ -5,9 +5,16 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 
-from renalis.sources.cdm import is_absent, load_cdm
+from renalis.sources.cdm import is_absent, load_cdm, split_predicates
 from renalis.sources.schemas import SCHEMAS, conform, missing_columns
-from renalis.sources.sinks import DEID_EXPORTS, RAW_EXPORTS, export_all, export_csv, save_table
+from renalis.sources.sinks import (
+    DEID_EXPORTS,
+    RAW_EXPORTS,
+    export_all,
+    export_csv,
+    save_table,
+    verify_export,
+)
 from tests.conftest import d, person, site, stay
 
 
@@ -99,3 +106,98 @@ def test_export_csv_overwrites(spark, tmp_path):
     for rows in (3, 2):
         export_csv(spark.range(rows).toDF("n"), f"{tmp_path}/t")
     assert spark.read.option("header", True).csv(f"{tmp_path}/t").count() == 2
+
+
+# The databases' hash functions, as far as the predicates need them.
+_STAND_INS = {
+    "oracle": "ORA_HASH(k STRING, last INT) RETURNS INT RETURN pmod(hash(k), last + 1)",
+    "postgres": "HASHTEXT(k STRING) RETURNS INT RETURN hash(k)",
+    "tsql": "CHECKSUM(k STRING) RETURNS INT RETURN hash(k)",
+}
+
+
+@pytest.mark.parametrize("vendor", list(_STAND_INS))
+def test_split_reads_take_each_row_once(spark, tmp_path, vendor):
+    keys = spark.range(500).selectExpr("if(id % 50 = 0, null, concat('p', id % 40)) as PATID", "id")
+    keys.write.parquet(f"{tmp_path}/t")
+    spark.sql(f"create or replace temporary function {_STAND_INS[vendor]}")
+    parts = []
+    for condition in split_predicates(vendor, 7):
+        sql = condition.replace("AS TEXT", "AS STRING")
+        parts.append([r.id for r in spark.read.parquet(f"{tmp_path}/t").filter(sql).collect()])
+    assert sorted(i for part in parts for i in part) == list(range(500))
+    assert sum(map(bool, parts)) > 4
+
+
+def test_one_part_is_the_whole_table():
+    assert split_predicates("oracle", 1) == ["PATID IS NULL OR ORA_HASH(PATID, 0) = 0"]
+
+
+AWKWARD = [
+    ("a", "plain", 1, 1.5), ("b", 'with "quotes", and commas', None, 1e20), ("c", "two\nlines", 2, None),
+    ("d", "", 3, 0.1), ("e", None, 4, 2.0), ("f", "  blanks  ", 5, 3.0), ("g", "back\\slash\\", 6, 4.0),
+    ("g", "back\\slash\\", 6, 4.0), (None, None, None, None), ("h", "\\\"", 7, 5.0), ("i", "é\r\nx", 8, 6.0),
+]
+
+
+def delivered(spark, folder):
+    rows = spark.createDataFrame(AWKWARD, "PATID string, NOTE string, N int, X double")
+    rows = rows.selectExpr("*", "date'2020-02-29' as D", "timestamp_ntz'2020-02-29 01:02:03' as T")
+    tables = {"AKI_DEMO": rows.repartition(3), "AKI_PX": rows.filter("false")}
+    assert export_all(tables, folder, RAW_EXPORTS) == ["AKI_DEMO"]
+    return rows
+
+
+def test_manifest_agrees_with_what_was_written(spark, tmp_path):
+    delivered(spark, str(tmp_path))
+    (row,) = verify_export(spark, str(tmp_path)).collect()
+    assert (row.TABLE, row.N_ROWS, row.FOUND_ROWS, row.INTACT) == ("AKI_DEMO", 11, 11, True)
+    # The order of rows and columns does not matter.
+    rows = delivered(spark, f"{tmp_path}/again").select("T", "X", "PATID", "D", "N", "NOTE")
+    export_all({"AKI_DEMO": rows.orderBy("X")}, f"{tmp_path}/other", RAW_EXPORTS)
+    (other,) = verify_export(spark, f"{tmp_path}/other").collect()
+    assert other.INTACT and other.CHECKSUM == row.CHECKSUM
+
+
+def _parts(folder):
+    names = sorted(f for f in os.listdir(folder) if f.endswith(".csv"))
+    return [os.path.join(folder, f) for f in names]
+
+
+def _changed_byte(folder):
+    for path in _parts(folder):
+        raw = open(path, "rb").read()
+        if b"plain" in raw:
+            os.remove(os.path.join(folder, f".{os.path.basename(path)}.crc"))
+            open(path, "wb").write(raw.replace(b"plain", b"plaim"))
+
+
+def _lost_file(folder):
+    os.remove(_parts(folder)[0])
+
+
+def _lost_folder(folder):
+    for name in os.listdir(folder):
+        os.remove(os.path.join(folder, name))
+    os.rmdir(folder)
+
+
+def _row_twice(folder):
+    path = _parts(folder)[-1]
+    os.remove(os.path.join(folder, f".{os.path.basename(path)}.crc"))
+    with open(path, "ab") as f:
+        f.write(b"z,again,1,1.0,2020-02-29,2020-02-29 01:02:03\n")
+
+
+@pytest.mark.parametrize("damage", [_changed_byte, _lost_file, _lost_folder, _row_twice])
+def test_manifest_finds_damage(spark, tmp_path, damage):
+    delivered(spark, str(tmp_path))
+    damage(f"{tmp_path}/AKI_DEMO")
+    (row,) = verify_export(spark, str(tmp_path)).collect()
+    assert not row.INTACT and row.N_ROWS == 11
+
+
+def test_manifest_of_nothing(spark, tmp_path):
+    empty = spark.range(0).selectExpr("id as N")
+    assert export_all({"AKI_DEMO": empty}, str(tmp_path), RAW_EXPORTS) == []
+    assert verify_export(spark, str(tmp_path)).collect() == []

@@ -11,6 +11,7 @@ import re
 from renalis.config import CohortConfig
 from renalis.functions.codes import CODE_SETS, SCR_LOINC, VITAL_CODES, VITAL_NAMES
 from renalis.operators.deid import SHIFTED_DATES
+from renalis.sources.schemas import SCHEMAS
 from verification import matrix
 from verification.views import VIEWS
 
@@ -417,6 +418,9 @@ def _attrition_steps(cfg: CohortConfig) -> dict[str, str]:
             f"(select * from attrition_{part}_{era})"
             for part in ("initial", "scr", "exclusions", "outcomes")
         )
+    steps["consort"] = " union all ".join(
+        f"select '{era.upper()}' as ERA, * from consort_{era}" for era in ("bc", "ad")
+    )
     return steps
 
 
@@ -521,6 +525,11 @@ def _deid_steps(cfg: CohortConfig) -> dict[str, str]:
 
 
 def _source_steps() -> dict[str, str]:
+    death = sorted(["ONSETS_ENCOUNTERID", *SCHEMAS["DEATH"].names, "DDAYS_SINCE_ENC"])
+    sized = " || ".join(
+        f"length({text}) || ':' || {text}"
+        for text in (f"coalesce(cast({c} as varchar), '')" for c in death)
+    )
     stored = ["ENCOUNTER", "DEMOGRAPHIC", "LAB_RESULT_CM", "DIAGNOSIS", "PROCEDURES", "DEATH", "VITAL"]
     return {
         "load_cdm": " union all ".join(
@@ -529,6 +538,10 @@ def _source_steps() -> dict[str, str]:
             for name in stored
         ),
         "export_csv": "select cast(columns(*) as varchar) from collect_death",
+        "export_manifest": f"""
+            select 'AKI_DEMO_DEATH' as "TABLE", count(*) as N_ROWS, true as INTACT,
+                   cast(sum(cast('0x' || substr(md5({sized}), 1, 15) as bigint)) as varchar) as CHECKSUM
+            from collect_death""",
     }
 
 

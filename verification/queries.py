@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from renalis import preset, session
 from renalis.config import CohortConfig
 from renalis.operators import attrition, cohort, collect, deid, exclusions, model, staging
-from renalis.plans.pipeline import Extraction, collect_one
+from renalis.plans.pipeline import CohortResult, Extraction, collect_one, extract_slices
 from renalis.sources import cdm, sinks
 from renalis.sources.matrix import SPLITS, load_matrix, stored_settings
 from verification import matrix, oracle
@@ -195,6 +195,28 @@ def _export_csv(x: Extraction) -> DataFrame:
     return x.spark.read.option("header", True).csv(f"{folder}/AKI_DEMO_DEATH")
 
 
+def _export_manifest(x: Extraction) -> DataFrame:
+    """What the manifest says of exported deaths, and whether the files agree."""
+    folder = x.work.folder("csv")
+    deaths = collect.collect_death(x.onsets, x.cdm["DEATH"])
+    sinks.export_all({"AKI_DEMO_DEATH": deaths}, folder, sinks.RAW_EXPORTS)
+    return sinks.verify_export(x.spark, folder).select("TABLE", "N_ROWS", "CHECKSUM", "INTACT")
+
+
+SLICE_MONTHS = 24
+
+
+def _sliced(x: Extraction) -> CohortResult:
+    return extract_slices(x.spark, x.cdm, x.cfg, x.work, x.work.folder("slices"), SLICE_MONTHS)
+
+
+def _sliced_consort(x: Extraction) -> DataFrame:
+    result = _sliced(x)
+    eras = {attrition.BEFORE: result.consort_bc, attrition.AFTER: result.consort_ad}
+    frames = [counts.withColumn("ERA", F.lit(era)) for era, counts in eras.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _baseline(x: Extraction) -> DataFrame:
     return x.baseline.drop("FIRST_TIME", "FIRST_EGFR")
 
@@ -319,6 +341,11 @@ def registry() -> dict[str, Query]:
 
     found["load_cdm"] = Query(_load_cdm, "load_cdm")
     found["export_csv"] = Query(_export_csv, "export_csv")
+    found["export_manifest"] = Query(_export_manifest, "export_manifest")
+    found["consort"] = Query(lambda x: x.counts, "consort")
+    found["aki_onsets_sliced"] = Query(lambda x: _sliced(x).onsets, "aki_onsets")
+    found["consort_sliced"] = Query(_sliced_consort, "consort")
+    found["aki_onsets_sliced_tsql"] = Query(lambda x: _sliced(x).onsets, "aki_onsets", "tsql")
     for name, (build, step) in _MODEL.items():
         found[name] = Query(build, step)
 
