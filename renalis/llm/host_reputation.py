@@ -65,9 +65,19 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
+ADDRESSES = "[address]"  # what numeric addresses have as their suffix; no label looks like it
+DIGITS = 9  # of the rates that judge() returns, so that the order of additions does not show
+
+
 def levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host: its last two labels, and its last."""
-    return F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
+    """Registered domain and suffix of a host: its last two labels, and its last.
+
+    A user part, a port and a final dot do not count. A numeric address is a domain by itself.
+    """
+    bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), r"\.?(:[0-9]*)?$", "")
+    numeric = bare.rlike(r"^([0-9]+(\.[0-9]+){3}|\[.*\])$")
+    domain = F.when(numeric, bare).otherwise(F.substring_index(bare, ".", -2))
+    return domain, F.when(numeric, ADDRESSES).otherwise(F.substring_index(bare, ".", -1))
 
 
 def _strength(p: Column, least: float = 1e-3) -> Column:
@@ -193,6 +203,6 @@ def judge(
         "path",
         F.col("found.rule").alias("rule"),
         F.coalesce("found.verdict", own).alias("verdict"),
-        F.col("mean").alias("bad_rate"),
-        F.col("lower").alias("lower_bound"),
+        F.round("mean", DIGITS).alias("bad_rate"),
+        F.round("lower", DIGITS).alias("lower_bound"),
     )

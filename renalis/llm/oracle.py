@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from renalis.llm.host_reputation import ADDRESSES, DIGITS, RULES, TOLERATED, WEAK, Z, Rule
+
 # Scores of all rows with all anchors, then ranks.
 HARD_NEGATIVES = """
 with taken as (
@@ -103,4 +105,165 @@ from leaves l join subroots s on s.of = l.grp
   cross join (select digest from tops where n = 1) r
 """
 
-SQL = {"op11_kronecker_hard_negatives": HARD_NEGATIVES, "op12_pointer_jumping_proofs": MERKLE}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _fitting(rules: list[Rule]) -> str:
+    """A CASE that gives the text and verdict of the longest rule that fits, as a list."""
+    longest = sorted(rules, key=lambda r: (-len(r.text), r.text))
+    branches = [
+        f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}') "
+        f"then ['{r.text}', '{r.verdict}']"
+        for r in longest
+    ]
+    return f"case {' '.join(branches)} end"
+
+
+def _siblings_sql(rows: str, key: str) -> str:
+    """Strength of the prior of each group of rows, from the intra-class correlation of its members."""
+    return f"""
+  select {key}, case when p > 0 and p < 1
+    then 1 / greatest(least(coalesce(
+      (between_ - within) / nullif(between_ + (n0 - 1) * within, 0), 1.0), 0.9), 1e-3) - 1 end as own
+  from (
+    select *, (gkk - gn * p * p) / (g - 1) as between_, (gk - gkk) / (gn - g) as within,
+      (gn - gnn / gn) / (g - 1) as n0
+    from (
+      select *, gk / gn as p
+      from (
+        select {key}, cast(sum(n) as double) as gn, cast(sum(k) as double) as gk,
+          cast(sum(n * n) as double) as gnn, sum(k * k / n) as gkk, count(*) as g
+        from {rows} where n > 0 group by {key}
+      ) where g > 2 and gn > g
+    )
+  )"""
+
+
+REPUTATION = f"""
+with tails as (
+  select page_id, case when contains(url, '://')
+    then regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') else '' end as bare
+  from pages
+),
+seen as (
+  select page_id, translate(split_part(bare, '/', 1), '{_UPPER}', '{_LOWER}') as host,
+    substr(bare, length(split_part(bare, '/', 1)) + 1) as path
+  from tails
+),
+known as (
+  select doc_id, max(greatest(toxic, 1 - quality)) as bad from labels group by doc_id
+),
+counted as (
+  select host, count(bad) as n, coalesce(sum(bad), 0) as k
+  from seen left join known on doc_id = page_id group by host
+),
+hosts as (
+  select *, case when address then bare else array_to_string(parts[-2:], '.') end as domain,
+    case when address then '{ADDRESSES}' else parts[-1] end as suffix
+  from (
+    select *, string_split(bare, '.') as parts,
+      regexp_matches(bare, '^([0-9]+(\\.[0-9]+){{3}}|\\[.*\\])$') as address
+    from (
+      select *, regexp_replace(regexp_replace(host, '^.*@', ''), '\\.?(:[0-9]*)?$', '') as bare
+      from counted
+    )
+  )
+),
+domains as (select suffix, domain, sum(n) as n, sum(k) as k from hosts group by suffix, domain),
+suffixes as (select 0 as every, suffix, sum(n) as n, sum(k) as k from domains group by suffix),
+total as (select (sum(k) + 0.5) / (sum(n) + 1.0) as mean from suffixes),
+shared as ({_siblings_sql('suffixes', 'every')}),
+by_domain as ({_siblings_sql('domains', 'suffix')}),
+by_host as ({_siblings_sql('hosts', 'domain')}),
+upper_ as (
+  select suffix, (k + t.mean * s) / (n + s) as pm, s as ps
+  from suffixes, (select cast(mean as double) as mean from total) t,
+    (select coalesce((select nullif(own, 0) from shared), {WEAK}) as s)
+),
+middle as (
+  select domain, (k + pm * s) / (n + s) as pm, s as ps
+  from (
+    select d.*, u.pm, coalesce(own, ps) as s
+    from domains d join upper_ u using (suffix) left join by_domain using (suffix)
+  )
+),
+judged as (
+  select host, (k + pm * s) / (n + s) as mean, k + pm * s as a, n - k + (1 - pm) * s as b
+  from (
+    select h.*, m.pm, coalesce(own, ps) as s
+    from hosts h join middle m using (domain) left join by_host using (domain)
+  )
+),
+bounded as (
+  select host, mean,
+    greatest(a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 0.0) as lower_
+  from judged
+),
+ruled as (select *, {_fitting(RULES)} as found from seen)
+select page_id, host, path, found[1] as rule,
+  coalesce(found[2], case when lower_ > {TOLERATED} then 'block' else 'allow' end) as verdict,
+  round(mean, {DIGITS}) as bad_rate, round(lower_, {DIGITS}) as lower_bound
+from ruled join bounded using (host)
+"""
+
+# 20 bits of the SHA-1 are five hex digits and four letters.
+WARC = """
+with payloads as (
+  select page_id, url, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
+),
+ranked as (
+  select *, row_number() over w as nth, first_value(page_id) over w as original
+  from payloads window w as (partition by hex order by page_id, url)
+)
+select page_id, cast(strlen(payload) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((cast('0x' || substr(hex, 1 + 5 * (i // 4), 5) as bigint) >> (5 * (3 - i % 4))) & 31), 1)),
+    '') as payload_digest,
+  case when nth = 1 then 'response' else 'revisit' end as record_type,
+  case when nth > 1 then original end as refers_to
+from ranked
+"""
+
+# All pairs of distinct sets by the shingles they share, then everything that links lead to.
+NEAR_DUPLICATES = rf"""
+with recursive spoken as (
+  select doc_id, regexp_extract_all(coalesce(translate(text, '{_UPPER}', '{_LOWER}'), ''),
+    '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+listed as (
+  select doc_id, case when len(w) < 2 then w else list_sort(list_distinct(list_transform(
+    range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) end as s
+  from spoken
+),
+sets as (select doc_id, s, len(s) as n, array_to_string(s, chr(10)) as key from listed),
+classes as (
+  select key, min(doc_id) as rep, any_value(n) as n, any_value(s) as s
+  from sets where n > 0 group by key
+),
+shingles as (select rep, n, unnest(s) as shingle from classes),
+links as (
+  select a.rep as a, b.rep as b
+  from shingles a join shingles b on a.shingle = b.shingle and a.rep <> b.rep
+  group by a.rep, b.rep, a.n, b.n
+  having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach as (
+  select rep as a, rep as b from classes
+  union
+  select r.a, l.b from reach r join links l on l.a = r.b
+),
+smallest as (select a, min(b) as component_id from reach group by a)
+select doc_id, sets.n as n_shingles,
+  coalesce(component_id, doc_id) as component_id, doc_id = coalesce(component_id, doc_id) as kept
+from sets left join classes on classes.key = sets.key left join smallest on a = rep
+"""
+
+SQL = {
+    "op5_host_reputation": REPUTATION,
+    "op7_warc_revisits": WARC,
+    "op10_hyperminhash": NEAR_DUPLICATES,
+    "op11_kronecker_hard_negatives": HARD_NEGATIVES,
+    "op12_pointer_jumping_proofs": MERKLE,
+}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from renalis.session import Workspace
+from renalis.session import Workspace, folder_exists
 
 SLOTS = 8192
 OVERHEAD = 16  # bytes a record takes besides its text
@@ -107,14 +107,21 @@ def rebalance(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
 
 
 class SlotMaps:
-    """Versions of the slot-to-shard map, each written once: one row per slot."""
+    """Versions of the slot-to-shard map, each written once: one row per slot.
+
+    A folder that holds versions is opened at the latest one that was written to its end. One writer
+    at a time.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.latest = spark, path, 0
+        while folder_exists(spark, f"{path}/version={self.latest + 1}/_SUCCESS"):
+            self.latest += 1
 
     def store(self, slot_map: DataFrame) -> DataFrame:
+        target = f"{self.path}/version={self.latest + 1}"
+        slot_map.repartition(1).write.mode("overwrite").parquet(target)  # of a write that broke off
         self.latest += 1
-        slot_map.repartition(1).write.parquet(f"{self.path}/version={self.latest}")
         return self.read()
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -128,9 +135,14 @@ def assign(
     work: Workspace,
     id_col: str = "doc_id",
     text_col: str = "text",
+    maps: SlotMaps | None = None,
 ) -> DataFrame:
     """id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot for every row.
 
+    With maps that hold a version already, that is edited, so that what is placed stays where it is
+    as far as the law allows, whatever was added since and however many shards there are now; else
+    the slots are dealt out first. The map that holds for the result is the latest version.
+
     The law is `bytes`: sizes of the shards near equal, as far as whole virtual slots allow. `slot` is
     the row's place in its shard, gapless from 0: virtual slots follow each other in a shard, and
     rows are ordered by id inside a virtual slot, so that no sort holds more than a slot. Null texts
@@ -140,9 +152,9 @@ def assign(
     spark = docs.sparkSession
     rows = records(docs, id_col, text_col)
     sizes = work.cut(slot_sizes(rows).repartition(1), "slot_sizes")
-    maps = SlotMaps(spark, work.folder("slot_map"))
-    first = maps.store(initial_map(spark, shards))
-    maps.store(rebalance(first, sizes, shards))
+    maps = maps or SlotMaps(spark, work.folder("slot_map"))
+    held = maps.read() if maps.latest else maps.store(initial_map(spark, shards))
+    maps.store(rebalance(held, sizes, shards))
 
     # Where each virtual slot begins in its shard; SLOTS rows, whatever the data.
     before = W.partitionBy("shard").orderBy("virtual_slot").rowsBetween(W.unboundedPreceding, -1)

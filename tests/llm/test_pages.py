@@ -6,6 +6,7 @@ import random
 from urllib.parse import urlsplit
 
 import pytest
+from pyspark.sql import functions as F
 
 from renalis.llm import host_reputation, warc
 from renalis.llm.host_reputation import RULES, Rule
@@ -218,3 +219,15 @@ def test_few_labels_and_empty_tables(spark, work, labels):
     )
     assert {r.host: r.rule for r in got.collect()} == {"h": "h/", "i": None}
     assert host_reputation.judge(pages(spark, []), label_rows(spark, labels), rules, work).count() == 0
+
+
+def test_levels_of_hosts(spark):
+    want = {
+        "a.b.com": ("b.com", "com"), "b.com:8080": ("b.com", "com"), "me:pw@b.com": ("b.com", "com"),
+        "b.com.": ("b.com", "com"), "b.com.:1": ("b.com", "com"), "10.0.0.1:80": ("10.0.0.1", "[address]"),
+        "[::1]:443": ("[::1]", "[address]"), "localhost": ("localhost", "localhost"), "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = host_reputation.levels(F.col("host"))
+    got = hosts.select("host", domain.alias("d"), suffix.alias("s")).collect()
+    assert {r.host: (r.d, r.s) for r in got} == want

@@ -70,3 +70,37 @@ def test_no_python_on_the_way(spark, work):
     plan = sharding.assign(documents(spark, edge_rows()), 3, work)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert not any(w in text for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_stored_maps_are_opened_and_edited(spark, work):
+    rows = [(i, prose(i, 20)) for i in range(3000)]
+    path = work.folder("maps")
+
+    def placed(shards, rows):
+        maps = sharding.SlotMaps(spark, path)
+        got = sharding.assign(documents(spark, rows), shards, work, maps=maps).collect()
+        return {r.doc_id: (r.shard, r.size) for r in got}, maps.latest
+
+    first, version = placed(8, rows)
+    again, later = placed(8, rows + [(10_000 + i, prose(i, 20)) for i in range(30)])
+    assert (version, later) == (2, 3)
+    total = sum(size for _, size in first.values())
+    moved = sum(size for i, (shard, size) in first.items() if again[i][0] != shard)
+    assert moved < total / 50
+    # One shard more takes a ninth; little else changes its place.
+    grown, last = placed(9, rows)
+    assert last == 4
+    into = sum(size for i, (shard, size) in grown.items() if shard == 8)
+    other = sum(s for i, (shard, s) in grown.items() if shard not in (8, again[i][0]))
+    assert abs(into - total / 9) < total / 90 and other < total / 20
+
+
+def test_a_broken_version_is_written_again(spark, work, tmp_path):
+    maps = sharding.SlotMaps(spark, str(tmp_path))
+    maps.store(sharding.initial_map(spark, 4))
+    (tmp_path / "version=2").mkdir()
+    (tmp_path / "version=2" / "part-0.parquet").write_bytes(b"half")
+    again = sharding.SlotMaps(spark, str(tmp_path))
+    assert again.latest == 1
+    again.store(sharding.initial_map(spark, 5))
+    assert sharding.SlotMaps(spark, str(tmp_path)).read().count() == sharding.SLOTS
