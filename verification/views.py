@@ -198,6 +198,10 @@ class Views(dict):
         self[name] = self.spark.sql(text, **used)
         return self[name]
 
+    def __contains__(self, name: object) -> bool:
+        # A view is there before its first use: callers ask before they build it.
+        return name in VIEWS
+
     def get(self, name: str, default=None):
         return self[name] if name in VIEWS else default
 
