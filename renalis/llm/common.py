@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -90,9 +92,18 @@ def claim(name: str, clear: Callable[[], None]) -> None:
         for drop in _claims.values():
             drop()
         _claims.clear()
+        trim()
         _claims[name] = clear
 
 
+def trim() -> None:
+    """Gives memory that a worker has freed back to the machine, which it shares with the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):  # there with glibc only
+        give_back(0)
+
+
 def map_texts(
     df: DataFrame,
     columns: list[str],

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from renalis.llm.common import Chunks, claim, cuts, map_texts, sized
+from renalis.llm.common import Chunks, claim, cuts, map_texts, sized, trim
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16  # hashed features
@@ -514,6 +514,8 @@ def _evidence(model: Model, most: float = float("inf")) -> _Evidence:
     found = _workers.get(model.key)
     if found is None or len(found) > most:
         _workers.clear()
+        del found
+        trim()
         found = _workers[model.key] = _Evidence(model)
     return found
 
