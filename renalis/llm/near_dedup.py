@@ -13,14 +13,14 @@ Texts with equal sets are one class and go through all this as one. In a crowded
 first compared with a single centre, the member that shares most with others, so a group of thousands
 of near copies costs as many comparisons and not their square. What the confirmed links join into one
 component needs no further comparison. Members of one bucket that are still in different components
-are then compared with each other, in blocks of bounded size inside the tasks: by the estimate first, by
-full sets where it allows a link. What a block finds is exact; it passes on links between components and
-nothing else.
+are then compared with each other, in blocks of bounded size inside the tasks: by halves of the hashes,
+which bound what sets share, and by the whole sets of those members alone that these allow a link.
+What a block finds is exact; it passes on links between components and nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from renalis.functions.membership import Membership, membership
-from renalis.llm.common import claim, cuts, map_texts, sized
+from renalis.llm.common import claim, cuts, map_texts, sized, trim
 from renalis.llm.components import components
 from renalis.session import Workspace
 
@@ -256,6 +256,22 @@ def _estimated(sketches_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return corrected(equal, both, used), used
 
 
+def _numbered(labels: list[int]) -> np.ndarray:
+    return np.unique(np.array(labels), return_inverse=True)[1]
+
+
+def _open(members: list[tuple]) -> np.ndarray:
+    """Which two members (block, rep, label, ...) of one cell are still to be compared.
+
+    Those of different labels, and in a cell of two blocks of different blocks.
+    """
+    block, label = np.array([m[0] for m in members]), _numbered([m[2] for m in members])
+    differ = label[:, None] != label
+    if block[0] != block[-1]:
+        differ &= block[:, None] != block
+    return differ
+
+
 def _links(members: list[tuple], percent: int) -> list[tuple[int, int]]:
     """Links (a, b) that join components of the members (block, rep, label, registers, set) of one cell.
 
@@ -265,13 +281,10 @@ def _links(members: list[tuple], percent: int) -> list[tuple[int, int]]:
     """
     if len(members) < 2:
         return []
-    block = np.array([m[0] for m in members])
-    label = np.unique(np.array([m[2] for m in members]), return_inverse=True)[1]
+    asked = _open(members)
     found, used = _estimated(np.stack([np.frombuffer(m[3], np.uint16) for m in members]))
-    asked = found >= least_estimate(percent, used)
-    asked &= label[:, None] != label
-    if block[0] != block[-1]:
-        asked &= block[:, None] != block
+    asked &= found >= least_estimate(percent, used)
+    label = _numbered([m[2] for m in members])
     pairs = np.argwhere(np.triu(asked, 1))
     if not len(pairs):
         return []
@@ -303,8 +316,14 @@ def _links(members: list[tuple], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def links_in_buckets(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components, of members (key, rep, label, registers, members, c, s) of a bucket.
+def _cells(
+    members: DataFrame,
+    values: list[str],
+    work: Callable[[int, list[tuple]], Iterable[tuple]],
+    columns: list[str],
+) -> DataFrame:
+    """The distinct pairs of numbers that `work` finds in the cells of members (key, rep, label, c, s and
+    the values it asks for) of a bucket.
 
     c is the number of members of the bucket, s that of their shingles. They fall into blocks of about
     CELL members and CELL_HASHES shingles, and each two blocks meet in a cell, so a task holds two blocks
@@ -321,23 +340,71 @@ def links_in_buckets(members: DataFrame, percent: int) -> DataFrame:
         .withColumn("high", F.greatest("block", "other"))
         .repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high", "block", "rep")
-        .select("key", "low", "high", "block", "rep", "label", "registers", "members")
+        .select("key", "low", "high", "block", "rep", "label", *values)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, rows, out = None, [], set()
+
+        def done() -> None:
+            out.update(work(cell[0], rows) if cell else ())
+
         for batch in batches:
             for key, low, high, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (key, low, high) != cell:
-                    out.update(_links(rows, percent))
+                    done()
                     cell, rows = (key, low, high), []
                 rows.append(tuple(row))
-        out.update(_links(rows, percent))
+        done()
         if out:
-            columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+            found = [pa.array(c, pa.int64()) for c in zip(*out)]
+            yield pa.RecordBatch.from_arrays(found, columns)
+        rows.clear()
+        trim()
+
+    return cells.mapInArrow(run, ", ".join(f"{c} long" for c in columns)).distinct()
+
+
+def asked_in_buckets(members: DataFrame, percent: int) -> DataFrame:
+    """(key, rep) of the members that may have a link to one of their bucket in another component.
+
+    Members (key, rep, label, n, half, c, s), see halved(). A pair that is left out has no link: its
+    sets share no more hashes than halves, and those that equal halves hide in one set.
+    """
+
+    def work(key: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        if len(rows) < 2 or not (asked := _open(rows)).any():
+            return
+        halves = [np.frombuffer(m[4], np.uint32) for m in rows]
+        n = np.array([m[3] for m in rows])
+        hidden = n - np.array([len(h) for h in halves])
+        most = _counts(halves).astype(np.int64) + np.minimum(hidden[:, None], hidden)
+        asked &= 100 * most >= percent * (n[:, None] + n - most)
+        for i in np.flatnonzero(asked.any(axis=0)).tolist():
+            yield key, rows[i][1]
+
+    return _cells(members, ["n", "half"], work, ["key", "rep"])
+
+
+def links_in_buckets(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, of members (key, rep, label, registers, members, c, s) of a bucket."""
+    return _cells(
+        members, ["registers", "members"], lambda key, rows: _links(rows, percent), ["a", "b"]
+    )
+
+
+def halved(sets: DataFrame) -> DataFrame:
+    """(rep, half) for (rep, members): the upper 32 bits of a set's hashes, in order, each once."""
+
+    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+        halves = [
+            np.unique(np.frombuffer(v.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)
+            for v in batch.column(1)
+        ]
+        found = pa.array([h.tobytes() for h in halves], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), found], ["rep", "half"])
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return map_texts(sets, ["rep", "members"], convert, "rep long, half binary")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -508,7 +575,7 @@ def _found(
 
     # Round two: members of one bucket that are in different components, each with each.
     at = crowded.join(labels, crowded.rep == labels.id, "left").select(
-        "key", "rep", "c", "s", F.coalesce("label", "rep").alias("label")
+        "key", "rep", "n", "c", "s", F.coalesce("label", "rep").alias("label")
     )
     mixed = (
         at.groupBy("key")
@@ -517,8 +584,14 @@ def _found(
         .select("key")
     )
     at = work.cut(at.join(mixed, "key", "left_semi"), "mixed")
-    sketched = _among(classes.select("rep", "registers"), "rep", at.select("rep"), work, "mixed")
+    # Halves of the hashes already rule out, exactly, what does not need whole sets.
     whole = _among(full.withColumnRenamed("id", "rep"), "rep", at.select("rep"), work, "mixed_sets")
+    asked = work.cut(asked_in_buckets(at.join(halved(whole), "rep"), percent), "asked")
+    at = at.join(asked, ["key", "rep"])
+    sizes = at.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    at = work.cut(at.drop("c", "s").join(sizes, "key"), "asked_members")
+    sketched = _among(classes.select("rep", "registers"), "rep", at.select("rep"), work, "asked_sketches")
+    whole = _among(whole, "rep", at.select("rep"), work, "asked_sets")
     at = at.join(sketched, "rep").join(whole, "rep")
     second = work.cut(links_in_buckets(at, percent), "links_second")
     labels = components(work.cut(first.unionByName(second), "links"), work, "all")

@@ -256,3 +256,52 @@ def test_components(spark, work):
     assert {got[i] for i in (7, 9, 15, 20)} == {7}
     assert {got[100 + i] for i in range(61)} == {100}
     assert components.components(frame.limit(0), work, "e").count() == 0
+
+
+def test_only_members_that_may_have_a_link_need_their_sets(spark, work, monkeypatch):
+    # Of bucket 1, members 0 and 1 are near copies in different components; 2 is a near copy in the
+    # component of 0, and with 3 to 39 shares nothing. Bucket 2 has unlike members only.
+    base = prose(1, 300)
+    texts = [base, edited(base, 0.01, 1), edited(base, 0.01, 2)] + [prose(9 + i, 300) for i in range(37)]
+    label = [0, 1, 0] + list(range(3, 40))
+    sets = [near_dedup.shingles(t) for t in texts]
+    whole = spark.createDataFrame(
+        [(i, h.tobytes()) for i, h in enumerate(sets)], "rep long, members binary"
+    )
+    rows = [(1, i, label[i], len(sets[i]), 40, 12000) for i in range(40)]
+    rows += [(2, i, label[i], len(sets[i]), 20, 6000) for i in range(20, 40)]
+    members = spark.createDataFrame(rows, "key long, rep long, label long, n long, c long, s long")
+    members = members.join(near_dedup.halved(whole), "rep")
+    for cell in (1000, 6):
+        monkeypatch.setattr(near_dedup, "CELL", cell)
+        found = near_dedup.asked_in_buckets(members, 80).collect()
+        assert sorted(tuple(r) for r in found) == [(1, 0), (1, 1), (1, 2)]
+
+
+def test_hashes_that_differ_in_their_lower_half_only_are_compared_whole(spark):
+    """Equal halves in one set hide hashes; the bound counts them, and loses no pair."""
+    a = np.array([(7 << 32) + i for i in range(10)] + [9 << 32], np.uint64)
+    b = a[:9]
+    whole = spark.createDataFrame([(0, a.tobytes()), (1, b.tobytes())], "rep long, members binary")
+    rows = spark.createDataFrame(
+        [(1, 0, 0, 11, 2, 20), (1, 1, 1, 9, 2, 20)],
+        "key long, rep long, label long, n long, c long, s long",
+    ).join(near_dedup.halved(whole), "rep")
+    assert sorted(r.rep for r in near_dedup.asked_in_buckets(rows, 80).collect()) == [0, 1]
+
+
+def test_sets_of_members_without_likely_links_are_not_dealt(spark, work, monkeypatch):
+    """Texts that share a band and not enough else meet in cells by halves, not by their whole sets."""
+    seen = []
+    through = near_dedup.links_in_buckets
+
+    def watched(members, percent):
+        seen.extend(members.select("rep").distinct().collect())
+        return through(members, percent)
+
+    monkeypatch.setattr(near_dedup, "links_in_buckets", watched)
+    # 72 in 100 words of each two agree at the same places: their estimate is close to the border.
+    shared = " ".join(f"s{i}" for i in range(240))
+    rows = [(i, f"{shared} {prose(i, 45)}") for i in range(60)]
+    check(spark, work, rows)
+    assert not seen
