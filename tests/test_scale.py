@@ -1,0 +1,39 @@
+"""What keeps the work of the shared steps in proportion to the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from renalis.operators import cohort, exclusions
+from renalis.operators.calendar import DayIndex, day_index
+from tests.conftest import frame
+
+
+def test_computed_codes_are_computed_once(spark, oracle_cfg):
+    """A code that a view computes is not computed anew in each comparison with a code set."""
+    rows = spark.range(3).selectExpr(
+        "'p' as PATID", "date'2015-01-01' as ADMIT_DATE", "'AD' as DX_SOURCE", "'10' as DX_TYPE",
+        "date'2015-01-02' as PX_DATE", "'CH' as PX_TYPE",
+        "concat('N18.', cast(id + 5 as string)) as DX", "concat('9093', cast(id + 5 as string)) as PX",
+    )
+    history = exclusions.code_history(rows, rows, oracle_cfg)
+    plan = history._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(N18.") == 1 and plan.count("concat(9093") == 1
+    (row,) = history.collect()
+    assert str(row.FIRST_ESRD) == "2015-01-01" and str(row.FIRST_RRT_PX) == "2015-01-02"
+
+
+def test_a_long_stay_is_copied_to_slots_and_not_to_days(spark):
+    columns = "PATID:string ENCOUNTERID:string ADMIT_DATE_TIME:ts DISCHARGE_DATE_TIME:ts"
+    stays = frame(spark, columns, [("p", "e", "2015-01-01 05:00", "2018-07-01 10:00")])
+    labs = spark.range(2000).selectExpr(
+        "'p' as PATID", "date_add(date'2014-12-01', cast(id as int)) as LAB_ORDER_DATE"
+    )
+    index = DayIndex.of(day_index(labs, "LAB_ORDER_DATE"))
+    assert cohort.stay_slots(stays, index).count() <= 1277 // 32 + 2
+    found = cohort.join_labs_to_stays(labs, stays).select("lab.LAB_ORDER_DATE")
+    first, last, n, days = found.agg(
+        F.min("LAB_ORDER_DATE"), F.max("LAB_ORDER_DATE"), F.count("*"),
+        F.countDistinct("LAB_ORDER_DATE"),
+    ).first()
+    assert (str(first), str(last), n, days) == ("2015-01-02", "2018-07-01", 1277, 1277)
