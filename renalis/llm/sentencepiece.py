@@ -402,17 +402,21 @@ def encode_texts(texts: list[str | None], path: str) -> list[list[int]]:
         encoder = _workers[path] = Encoder(load(path))
     found: list[list[int]] = [[] for _ in texts]
     waiting: list[tuple[int, list[str]]] = []
+    once: dict[str, str] = {}  # texts repeat their strings: one object waits for all that are equal
     held = 0
 
     def flush() -> None:
-        encoder.learn(chain.from_iterable(strings for _, strings in waiting))
+        encoder.learn(once)
         for i, strings in waiting:
             found[i].extend(chain.from_iterable(map(encoder.__getitem__, strings)))
         waiting.clear()
+        once.clear()
 
     for i, text in enumerate(texts):
         for segment in segments(text or ""):
-            waiting.append((i, _STRINGS.findall(segment)))
+            strings = _STRINGS.findall(segment)
+            waiting.append((i, list(map(once.setdefault, strings, strings))))
+            del strings
             held += len(segment)
             if held > 4 * CUT:
                 flush()
