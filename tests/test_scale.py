@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from renalis import preset
 from renalis.operators import cohort, exclusions
 from renalis.operators.calendar import DayIndex, day_index
-from tests.conftest import frame
+from renalis.plans.pipeline import Extraction
+from tests.conftest import frame, person, scr, site, stay
+from tests.test_plans import NO_BROADCAST, executed, settings, shuffles
 
 
 def test_computed_codes_are_computed_once(spark, oracle_cfg):
@@ -37,3 +41,63 @@ def test_a_long_stay_is_copied_to_slots_and_not_to_days(spark):
         F.countDistinct("LAB_ORDER_DATE"),
     ).first()
     assert (str(first), str(last), n, days) == ("2015-01-02", "2018-07-01", 1277, 1277)
+
+
+STAYS = [
+    stay("e", "p", "2015-01-02 05:00", "2015-01-09 10:00"),
+    stay("f", "p", "2015-03-01 05:00", "2015-05-09 10:00"),
+    stay("g", "q", "2015-01-03 08:00", "2015-01-06 10:00"),
+    stay("h", "r", "2015-01-03 08:00", "2015-01-06 10:00"),
+]
+LABS = [
+    scr("p", "2015-01-02", "2015-01-02 04:00", 0.7, ENCOUNTERID="x"),
+    scr("p", "2015-01-03", "2015-01-03 08:00", 1.0, ENCOUNTERID="e"),
+    scr("p", "2015-01-03", "2015-01-03 08:00", 1.2, ENCOUNTERID="e"),
+    scr("p", "2015-01-03", "2015-01-03 08:00", 1.4, ENCOUNTERID=None),
+    scr("p", "2015-01-04", "2015-01-04 08:00", 1.5, ENCOUNTERID="f"),
+    scr("p", "2015-03-02", "2015-03-02 08:00", 1.6, ENCOUNTERID=None),
+    scr("p", "2015-03-03", "2015-03-03 08:00", 1.7, ENCOUNTERID="f"),
+    scr("p", "2015-04-30", "2015-04-30 08:00", 1.8, ENCOUNTERID="e"),
+    # Of one patient, by the name of another's stay: in it, before it, and with the day before.
+    scr("q", "2015-01-05", "2015-01-05 08:00", 2.0, ENCOUNTERID="e"),
+    scr("q", "2015-01-01", "2015-01-01 08:00", 2.1, ENCOUNTERID="e"),
+    scr("q", "2015-01-04", "2015-01-04 08:00", 2.2, ENCOUNTERID="g"),
+    scr("p", "2015-01-04", "2015-01-04 09:00", 2.3, ENCOUNTERID="g"),
+    scr("p", "2015-01-04", "2015-01-04 10:00", 2.35, ENCOUNTERID="h"),
+    scr("q", "2015-01-03", "2015-01-03 09:00", 2.4, ENCOUNTERID="h"),
+    scr("nobody", "2015-01-04", "2015-01-04 09:00", 2.5, ENCOUNTERID="g"),
+]
+
+
+def _site(spark, labs):
+    people = [person("p"), person("q", sex="F"), person("r", race="03"), person("nobody")]
+    return site(spark, ENCOUNTER=STAYS, DEMOGRAPHIC=people, LAB_RESULT_CM=labs)
+
+
+def _rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+@pytest.mark.parametrize("name", ["postgres", "tsql"])
+@pytest.mark.parametrize("labs", [LABS, LABS[:8]], ids=["contested", "own"])
+def test_one_match_by_patient_and_encounter(spark, work, name, labs):
+    """One join gives what the match by patient and the one by encounter give, and the baselines."""
+    cfg = preset(name)
+    x = Extraction(spark, _site(spark, labs), cfg, work)
+    history = x.all_scr
+    want = cohort.match_labs_to_encounter(history, x.initial_cohort, cfg)
+    assert _rows(x.matched) == _rows(want) and (x.guests is not None) == (labs is LABS)
+    if name == "tsql":
+        base = cohort.baseline_prior_2d(cohort.first_scr(want, cfg), history)
+        assert _rows(x.baseline) == _rows(base)
+        assert 1 in {r.days_prior for r in base.collect()}
+
+
+@pytest.mark.parametrize("name", ["postgres", "tsql"])
+def test_labs_matched_by_encounter_cross_the_network_once(spark, work, name):
+    with settings(spark, **NO_BROADCAST):
+        x = Extraction(spark, _site(spark, LABS), preset(name), work)
+        lab, stays, guests = x.cdm["LAB_RESULT_CM"], x.stays, x.guests
+        index = x.days.of("LAB_RESULT_CM", "LAB_ORDER_DATE")
+        rows = cohort.scr_by_stay(lab, stays, guests, x.cfg, index)
+        assert shuffles(executed(rows)) == 2  # labs, stays
