@@ -467,10 +467,12 @@ def eligible_baseline(baseline: DataFrame, exclusions: DataFrame) -> DataFrame:
     return baseline.join(exclusions.select("ENCOUNTERID"), "ENCOUNTERID", "left_anti")
 
 
-def eligible(scr: DataFrame, base: DataFrame) -> DataFrame:
+def eligible(scr: DataFrame, base: DataFrame, cfg: CohortConfig | None = None) -> DataFrame:
     """Creatinine rows of the eligible stays next to the stay's baseline.
 
-    ``base`` holds the baselines of eligible stays only, so no anti-join touches the lab rows.
+    ``base`` holds the baselines of eligible stays only, so no anti-join touches the lab rows. With
+    ``cfg``, rows have their rank rn in the stay, which has all its rows here: only eligible ones are
+    ranked.
     """
     base = base.select(
         "ENCOUNTERID",
@@ -480,6 +482,9 @@ def eligible(scr: DataFrame, base: DataFrame) -> DataFrame:
         F.col("SPECIMEN_DATE_TIME").alias("SPECIMEN_DATE_TIME_BASE"),
         F.col("RESULT_DATE_TIME").alias("RESULT_DATE_TIME_BASE"),
     )
-    rank = ["rn"] if "rn" in scr.columns else []
     own = ["PATID", "ENCOUNTERID", "SERUM_CREAT", "EGFR", "SPECIMEN_DATE_TIME", "RESULT_DATE_TIME"]
-    return scr.select(*own, *rank).join(base, "ENCOUNTERID")
+    if cfg is None:
+        rank = ["rn"] if "rn" in scr.columns else []
+        return scr.select(*own, *rank).join(base, "ENCOUNTERID")
+    rows = scr.select(*own, "LAB_ORDER_DATE").join(base, "ENCOUNTERID")
+    return rank_scr(rows, cfg).drop("LAB_ORDER_DATE")

@@ -101,3 +101,12 @@ def test_labs_matched_by_encounter_cross_the_network_once(spark, work, name):
         index = x.days.of("LAB_RESULT_CM", "LAB_ORDER_DATE")
         rows = cohort.scr_by_stay(lab, stays, guests, x.cfg, index)
         assert shuffles(executed(rows)) == 2  # labs, stays
+
+
+def test_only_eligible_rows_are_ranked(spark, work):
+    with settings(spark, **NO_BROADCAST):
+        x = Extraction(spark, _site(spark, LABS), preset("postgres"), work)
+        want = cohort.eligible(x.scr_egfr, x.eligible_base)
+        assert _rows(x.eligible) == _rows(want) and x.eligible.count() > 5
+        # Labs and baselines by stay, for the rows and for the ranks; both by specimen.
+        assert shuffles(executed(x.eligible)) <= 6 < shuffles(executed(want))
