@@ -110,3 +110,22 @@ def test_only_eligible_rows_are_ranked(spark, work):
         assert _rows(x.eligible) == _rows(want) and x.eligible.count() > 5
         # Labs and baselines by stay, for the rows and for the ranks; both by specimen.
         assert shuffles(executed(x.eligible)) <= 6 < shuffles(executed(want))
+
+
+def test_codes_are_picked_ahead_of_a_join(spark, work, oracle_cfg):
+    """Records of a view that is a join: those without a code of the rules are not shuffled for it."""
+    x = Extraction(spark, _site(spark, LABS), oracle_cfg, work)
+    lines = spark.range(50).selectExpr(
+        "id", "concat('N18.', cast(id as string)) as DX", "'10' as DX_TYPE", "'AD' as DX_SOURCE"
+    )
+    heads = spark.range(50).selectExpr("id", "'p' as PATID", "date'2015-01-01' as ADMIT_DATE")
+    x.cdm["DIAGNOSIS"] = lines.join(heads, "id").drop("id")
+    with settings(spark, **NO_BROADCAST):
+        history = exclusions.code_history(
+            exclusions.coded_diagnoses(x.cdm["DIAGNOSIS"]), x.cdm["PROCEDURES"], oracle_cfg
+        )
+        plan = history._jdf.queryExecution().optimizedPlan().toString()
+    join = next(i for i, line in enumerate(plan.splitlines()) if "Join" in line)
+    assert any("exists(" in line and "Filter" in line for line in plan.splitlines()[join:])
+    (row,) = x.code_history.collect()
+    assert str(row.FIRST_ESRD) == "2015-01-01"
