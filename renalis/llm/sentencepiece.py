@@ -24,11 +24,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from renalis.llm.common import CUT, claim, map_texts, sized
+from renalis.llm.common import CUT, claim, map_texts, sized, trim
 
 SPACE = "▁"
 BLOCK = 1 << 18  # characters that are indexed at a time
-CACHE = 300_000  # strings whose pieces a worker keeps, of each of two generations
+CACHE = 100_000  # strings whose pieces a worker keeps, of each of two generations
 _BORDER = 0x110000  # stands between strings; no character has this code
 # No piece has a space after another character, so no merge crosses such a border.
 _STRINGS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -246,16 +246,17 @@ def encode_strings(strings: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
     which = np.repeat(np.arange(len(count)), count)
     slot = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + low[which]
     start, piece = order[slot], pieces.own[which]
+    del order, low, high, count, which, slot  # as large as the lattice, and no longer needed
     odd = np.flatnonzero(~np.isin(code, pieces.single) & (code != _BORDER))
     start = np.concatenate([start, odd])
     piece = np.concatenate([piece, np.full(len(odd), pieces.unknown)])
     end = start + pieces.sizes[piece]
 
-    string = np.repeat(np.arange(len(sizes)), sizes + 1)[start]
-    place = end - begin[string]  # in its string
+    place = end - np.repeat(begin, sizes + 1)[start]  # in its string
     small = np.uint16 if len(sizes) and sizes.max() < 1 << 16 else np.int64  # sorted by radix
     by_end = np.argsort(place.astype(small), kind="stable")
     start, piece, end, place = start[by_end], piece[by_end], end[by_end], place[by_end]
+    del by_end
     # The piece that ends before each position; a border's place serves as the end of its string.
     last = np.full(len(code) + 1, -1, np.int64)
     last[begin] = pieces.start
@@ -422,6 +423,7 @@ def encode_texts(texts: list[str | None], path: str) -> list[list[int]]:
                 flush()
                 held = 0
     flush()
+    trim()  # a lattice is many times as large as what is kept of it
     return found
 
 

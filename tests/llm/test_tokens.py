@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -13,6 +16,7 @@ from tests.llm.rows import CLASHING, documents, edge_rows, prose
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+ROOT = Path(__file__).parents[2]
 
 
 def odd_texts(n: int, seed: int) -> list[str]:
@@ -124,3 +128,25 @@ def test_pieces_of_edge_rows(spark):
     for (i, t), r in zip(edge_rows(), trip, strict=True):
         assert r.doc_id == i and r.same == ("▁" not in (t or ""))
     assert pieces.round_trip(documents(spark, []), MODEL).count() == 0
+
+
+def test_a_worker_that_encodes_stays_small():
+    """Memory beyond that of the model, after 600,000 different strings; a process of its own is measured."""
+    code = """
+import random, re, sys
+from renalis.llm import sentencepiece as pieces
+def anonymous():
+    text = open("/proc/self/smaps_rollup").read()
+    return sum(map(int, re.findall(r"Pss_Anon: +([0-9]+)", text))) // 1024
+pieces.encode_texts(["a few words"], sys.argv[1])
+before, rng = anonymous(), random.Random(0)
+for _ in range(6):
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(1000)) for _ in range(100)]
+    found = pieces.encode_texts(texts, sys.argv[1])
+    assert all(found)
+print(anonymous() - before)
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", code, MODEL], cwd=ROOT, capture_output=True, text=True, check=True
+    )
+    assert int(done.stdout) < 160
