@@ -13,8 +13,9 @@ Texts with equal sets are one class and go through all this as one. In a crowded
 first compared with a single centre, the member that shares most with others, so a group of thousands
 of near copies costs as many comparisons and not their square. What the confirmed links join into one
 component needs no further comparison. Members of one bucket that are still in different components
-are then compared with each other, in blocks of bounded size inside the tasks: by halves of the hashes,
-which bound what sets share, and by the whole sets of those members alone that these allow a link.
+are then compared with each other, in blocks of bounded size inside the tasks: by a byte of each register, by
+halves of the hashes, which bound what sets share, and by the whole sets of those members alone that
+these allow a link.
 What a block finds is exact; it passes on links between components and nothing else.
 """
 
@@ -365,6 +366,55 @@ def _cells(
     return cells.mapInArrow(run, ", ".join(f"{c} long" for c in columns)).distinct()
 
 
+def shortened(classes: DataFrame) -> DataFrame:
+    """(rep, short) for (rep, registers): a byte for each register, 0 if it is empty. Equal registers have
+    equal bytes, so that an estimate by bytes is not below that by registers."""
+
+    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
+        short = np.where(rows > 0, 1 + rows % 255, 0).astype(np.uint8).reshape(-1, BUCKETS)
+        found = pa.array([row.tobytes() for row in short], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), found], ["rep", "short"])
+
+    return map_texts(classes, ["rep", "registers"], convert, "rep long, short binary")
+
+
+def likely_in_buckets(members: DataFrame, percent: int) -> DataFrame:
+    """(key, rep) of the members whose sizes and estimate allow a link to one of their bucket in another
+    component, with which they share no lower key: two members meet in the first of their buckets only.
+
+    Members (key, rep, label, n, short, lower, c, s): short as shortened() has it, lower the keys of the
+    rep's buckets that are below this one. _links() compares no pair whose estimate is left out.
+    """
+
+    def work(key: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        if len(rows) < 2 or not (asked := _open(rows)).any():
+            return
+        n = np.array([m[3] for m in rows])
+        asked &= 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
+        found, used = _estimated(np.stack([np.frombuffer(m[4], np.uint8) for m in rows]))
+        asked &= found >= least_estimate(percent, used)
+        asked &= _counts([np.array(m[5], np.int64) for m in rows]) == 0
+        for i in np.flatnonzero(asked.any(axis=0)).tolist():
+            yield key, rows[i][1]
+
+    return _cells(members, ["n", "short", "lower"], work, ["key", "rep"])
+
+
+def with_lower_keys(members: DataFrame) -> DataFrame:
+    """Members (key, rep, ...) with the keys of the same rep that are below the row's, as `lower`."""
+    every = members.groupBy("rep").agg(F.collect_set("key").alias("every"))  # of a sketch's few bands
+    lower = F.array_sort(F.filter("every", lambda x: x < F.col("key")))
+    return members.join(every, "rep").withColumn("lower", lower).drop("every")
+
+
+def _only(members: DataFrame, asked: DataFrame) -> DataFrame:
+    """The members (key, rep) asked for, with c and s of what is left of their buckets."""
+    left = members.join(asked, ["key", "rep"]).drop("c", "s")
+    sizes = left.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    return left.join(sizes, "key")
+
+
 def asked_in_buckets(members: DataFrame, percent: int) -> DataFrame:
     """(key, rep) of the members that may have a link to one of their bucket in another component.
 
@@ -584,12 +634,15 @@ def _found(
         .select("key")
     )
     at = work.cut(at.join(mixed, "key", "left_semi"), "mixed")
-    # Halves of the hashes already rule out, exactly, what does not need whole sets.
+    # A byte of each register rules out pairs at a fraction of what sets take, and of the buckets that two
+    # members share leaves one; then halves of the hashes rule out, exactly, what needs no whole sets.
+    sketched = _among(classes.select("rep", "registers"), "rep", at.select("rep"), work, "mixed_sketches")
+    short = with_lower_keys(at).join(shortened(sketched), "rep")
+    asked = work.cut(likely_in_buckets(short, percent), "likely_mixed")
+    at = work.cut(_only(at, asked), "likely_members")
     whole = _among(full.withColumnRenamed("id", "rep"), "rep", at.select("rep"), work, "mixed_sets")
     asked = work.cut(asked_in_buckets(at.join(halved(whole), "rep"), percent), "asked")
-    at = at.join(asked, ["key", "rep"])
-    sizes = at.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
-    at = work.cut(at.drop("c", "s").join(sizes, "key"), "asked_members")
+    at = work.cut(_only(at, asked), "asked_members")
     sketched = _among(classes.select("rep", "registers"), "rep", at.select("rep"), work, "asked_sketches")
     whole = _among(whole, "rep", at.select("rep"), work, "asked_sets")
     at = at.join(sketched, "rep").join(whole, "rep")

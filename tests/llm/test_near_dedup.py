@@ -305,3 +305,41 @@ def test_sets_of_members_without_likely_links_are_not_dealt(spark, work, monkeyp
     rows = [(i, f"{shared} {prose(i, 45)}") for i in range(60)]
     check(spark, work, rows)
     assert not seen
+
+
+def test_two_members_meet_in_one_of_their_buckets(spark, work, monkeypatch):
+    """Unlike enough to have no link, alike enough for many common buckets: sets are dealt once."""
+    seen = []
+    through = near_dedup.asked_in_buckets
+
+    def watched(members, percent):
+        seen.extend(tuple(r) for r in members.select("key", "rep").collect())
+        return through(members, percent)
+
+    monkeypatch.setattr(near_dedup, "asked_in_buckets", watched)
+    base = prose(1, 600)
+    rows = [(1, base), (2, edited(base, 0.07, 1))]
+    keys = [near_dedup.band_keys(near_dedup.registers(h), h) for h in map(near_dedup.shingles, dict(rows).values())]
+    assert len(common := np.intersect1d(*keys)) > 3
+    check(spark, work, rows)
+    assert sorted(seen) == [(common.min(), 1), (common.min(), 2)]
+
+
+def test_likely_members_of_a_bucket(spark, monkeypatch):
+    # 0 and 1 share keys 1 to 3 and 2 is in 2 and 3 only: 0 and 1 meet in 1, 2 with each of them in 2. 3 is
+    # in the component of 0, 4 shares nothing, and 5 is as a part of 0 too small.
+    base = prose(1, 600)
+    texts = [base, edited(base, 0.01, 1), edited(base, 0.01, 2), base, prose(5, 600), base[: len(base) // 2]]
+    sets = [near_dedup.shingles(t) for t in texts]
+    label = [0, 1, 2, 0, 4, 5]
+    registers = [(i, near_dedup.registers(h).tobytes()) for i, h in enumerate(sets)]
+    rows = [(k, i, label[i], len(sets[i]), 6, 3600) for k in (1, 2, 3) for i in (0, 1)]
+    rows += [(k, 2, 2, len(sets[2]), 6, 3600) for k in (2, 3)]
+    rows += [(4, i, label[i], len(sets[i]), 6, 3600) for i in (0, 3, 4, 5)]
+    members = spark.createDataFrame(rows, "key long, rep long, label long, n long, c long, s long")
+    short = near_dedup.shortened(spark.createDataFrame(registers, "rep long, registers binary"))
+    members = near_dedup.with_lower_keys(members).join(short, "rep")
+    for cell in (1000, 2):
+        monkeypatch.setattr(near_dedup, "CELL", cell)
+        found = near_dedup.likely_in_buckets(members, 80).collect()
+        assert sorted(tuple(r) for r in found) == [(1, 0), (1, 1), (2, 0), (2, 1), (2, 2)]
