@@ -251,3 +251,78 @@ def test_settings_are_run_once_each(spark, work, monkeypatch):
     assert all(0.5 <= r.auc_probability <= 1 for r in found.collect())
     again = model.run_settings(root, ["catr"], "row_id", results, work, **kept, **options)
     assert ran == ["2016"] and again.count() == 2
+
+
+def stays(spark, times=1):
+    """Rows of few distinct values but for one feature; each comes `times` times."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        days, age, flag, x = rng.choice([2, 3, 4, 5, 1300]), rng.randrange(30), rng.random() < 0.5, rng.random()
+        label = int(days / 10 + age / 30 + flag + x > 1.6)
+        rows += [(f"r{i}-{j}", days, age, flag, label, x) for j in range(times)]
+    return spark.createDataFrame(
+        rows, "row_id string, days int, age int, flag boolean, label int, x double"
+    )
+
+
+def test_cells_hold_the_weight_of_all_rows(spark, work):
+    training = model.prepare(stays(spark, 3).drop("x"), "row_id", work, k=3)
+    found = model.cells(training)
+    weights = F.sum("weight").alias("weight")
+    sides = F.least("fold", F.lit(1)).alias("fold")
+    before = training.rows.groupBy("features", "label", sides).agg(weights)
+    assert found.rows.count() == before.count() < training.count == 1200
+    joined = before.alias("b").join(found.rows.alias("c"), ["features", "label", "fold"]).collect()
+    assert len(joined) == before.count()
+    assert all(r[3] == pytest.approx(r[4], rel=1e-12) for r in joined)
+
+
+def test_a_fit_of_cells_is_the_fit_of_the_rows(spark, work):
+    train = stays(spark, 2)
+    training = model.prepare(train, "row_id", work, k=3)
+    found = model.cells(training)
+    booster = model.booster(maxIter=12, maxDepth=4)
+    scores = [
+        {tuple(r.features): r.rawPrediction[1] for r in booster.fit(rows).transform(training.rows).collect()}
+        for rows in (training.rows, found.rows)
+    ]
+    assert len(scores[0]) > 300 and scores[1] == pytest.approx(scores[0], rel=1e-9)
+
+
+def test_features_keep_few_values(spark, work):
+    train = matrix(spark, 2000).withColumn("days", F.expr("if(n < 49, n % 10, 1300)"))
+    training = model.prepare(train.withColumn("same", F.lit(1.5)), "row_id", work)
+    values = list(zip(*[r.features for r in training.rows.select("features").collect()]))
+    x, n, days, same, flag = [sorted(set(v)) for v in values]
+    assert len(x) == 32 and 20 < len(n) <= 32
+    assert days == [*range(10), 1300] and same == [1.5] and flag == [0, 1]  # few values stay
+    # Ten times the rows, and no more cells than values allow.
+    only = training.pipeline.stages[0].getInputCols()
+    assert only == ["x", "n", "days", "same", "flag"]
+    assert model.cells(training).rows.count() <= 32 * 32 * 11 * 2 * 2 * 2
+
+
+def test_a_value_goes_to_the_nearest(spark):
+    df = spark.createDataFrame([(v,) for v in (-9.0, 1.0, 1.5, 1.6, 3.0, 3.1, 99.0)], "x double")
+    got = [r.x for r in model.nearest(df, "x", [1.0, 2.0, 4.0]).collect()]
+    assert got == [1.0, 1.0, 1.0, 2.0, 2.0, 4.0, 4.0]
+    assert {r.x for r in model.nearest(df, "x", [7.0]).collect()} == {7.0}
+
+
+def test_default_fit_takes_cells_and_repeats_no_batches(spark, work, monkeypatch):
+    training = model.prepare(stays(spark, 4).drop("x"), "row_id", work, k=3)
+    plain, fits = model.GBTClassifier._fit, []
+
+    def fit(self, rows):
+        fits.append((self.getMaxIter(), rows.count()))
+        return plain(self, rows)
+
+    monkeypatch.setattr(model.GBTClassifier, "_fit", fit)
+    # The loss falls to the end: a batch, then all trees once on the other folds and once on all rows.
+    fitted = model.default_fit(training, 16, patience=3)
+    assert fitted.getNumTrees == 16 and [n for n, _ in sorted(fits)] == [6, 16, 16]
+    assert all(n < training.count / 2 for _, n in fits)
+    # The model on all rows is the one of a plain fit.
+    again = model.booster(maxIter=16, maxDepth=6).fit(model.cells(training).rows)
+    assert again.treeWeights == fitted.treeWeights and again.totalNumNodes == fitted.totalNumNodes
